@@ -1,0 +1,20 @@
+"""Entry B: choose k for a clustering input folder.
+
+Only the iteration count of the params string is used (init and epsilon are
+ignored, as in the reference's k selection).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+from segmint.operators.select import select_k
+from segmint.operators.train import parse_params
+from segmint.plans.kmeans_job import load_inputs
+
+
+def kselect_job(spark: SparkSession, input_dir: str, params: str = "kmeans||,20,0.0001", ks=None, **kw) -> int:
+    _, iterations, _ = parse_params(params)
+    points, _, _ = load_inputs(spark, input_dir)
+    best = select_k(points.select("features"), ks=ks, max_iter=iterations, **kw)
+    return best.k
