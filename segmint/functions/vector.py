@@ -1,27 +1,43 @@
 """Vector maths as Spark column expressions (O52a–d, O14).
 
 Vectors are ``array<double>`` columns. When the width ``size`` is known and
-small, expressions are written out term by term so they stay inside
-whole-stage codegen; otherwise the higher-order-function form is used.
-Sums always run left to right from the first element, so results equal a
-sequential fold (and the SQL oracle's ``list_reduce``).
+small and the inputs are named columns, expressions are written out term by
+term as one SQL expression (parsed once in the JVM, compiled by whole-stage
+codegen); otherwise the higher-order-function form is used. Sums always run
+left to right from the first element, so results equal a sequential fold
+(and the SQL oracle's ``list_reduce``).
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Widest vector written out element by element inside one expression.
-UNROLL_WIDTH = 256
+UNROLL_WIDTH = 128
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def dlit(x: float) -> str:
+    """A double literal in Spark SQL text."""
+    x = float(x)
+    if math.isnan(x):
+        return "CAST('NaN' AS DOUBLE)"
+    if math.isinf(x):
+        return "CAST('Infinity' AS DOUBLE)" if x > 0 else "CAST('-Infinity' AS DOUBLE)"
+    return f"({x!r}D)"
+
+
 def square(x) -> Column:
     """x²."""
     x = _col(x)
@@ -38,10 +54,10 @@ def _fold_sum(terms: list[Column]) -> Column:
 
 
 def sq_norm(a, size: int | None = None) -> Column:
-    a = _col(a)
-    if size is not None and 0 < size <= UNROLL_WIDTH:
-        return _fold_sum([square(a[i]) for i in range(size)])
-    return F.aggregate(a, F.lit(0.0).cast("double"), lambda s, x: s + x * x)
+    if isinstance(a, str) and size is not None and 0 < size <= UNROLL_WIDTH:
+        n = _q(a)
+        return F.expr(" + ".join(f"({n}[{i}] * {n}[{i}])" for i in range(size)))
+    return F.aggregate(_col(a), F.lit(0.0).cast("double"), lambda s, x: s + x * x)
 
 
 def vector_norm(a, size: int | None = None) -> Column:
@@ -49,20 +65,27 @@ def vector_norm(a, size: int | None = None) -> Column:
     return F.sqrt(sq_norm(a, size))
 
 
+def sq_distance_sql(a: str, b, size: int | None = None) -> str:
+    """Σ (aᵢ − bᵢ)² as Spark SQL text; ``b`` is a column name or a list of floats."""
+    n = _q(a)
+    if isinstance(b, (list, tuple)):
+        terms = [f"(({n}[{i}] - {dlit(c)}) * ({n}[{i}] - {dlit(c)}))" for i, c in enumerate(b)]
+    else:
+        m = _q(b)
+        terms = [f"(({n}[{i}] - {m}[{i}]) * ({n}[{i}] - {m}[{i}]))" for i in range(size)]
+    return " + ".join(terms)
+
+
 def sq_distance(a, b, size: int | None = None) -> Column:
     """Σ (aᵢ − bᵢ)². ``b`` may be a column or a Python list of floats (a fixed centre)."""
-    a = _col(a)
+    if isinstance(a, str) and isinstance(b, (list, tuple)):
+        return F.expr(sq_distance_sql(a, list(b)))
+    if isinstance(a, str) and isinstance(b, str) and size is not None and 0 < size <= UNROLL_WIDTH:
+        return F.expr(sq_distance_sql(a, b, size))
     if isinstance(b, (list, tuple)):
-        terms = []
-        for i, c in enumerate(b):
-            d = a[i] - F.lit(float(c))
-            terms.append(d * d)
-        return _fold_sum(terms)
-    b = _col(b)
-    if size is not None and 0 < size <= UNROLL_WIDTH:
-        return _fold_sum([square(a[i] - b[i]) for i in range(size)])
+        b = F.array(*[F.lit(float(v)) for v in b])
     return F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)),
+        F.zip_with(_col(a), _col(b), lambda x, y: (x - y) * (x - y)),
         F.lit(0.0).cast("double"),
         lambda s, v: s + v,
     )

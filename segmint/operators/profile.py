@@ -41,8 +41,12 @@ def cluster_summary(
     features: str = "features",
     by: Sequence[str] = (),
     strategy: str = "auto",
+    with_dims: bool = True,
 ) -> DataFrame:
-    """One row per (``by``…, cluster) with n, max_dist, sse and per-dimension arrays."""
+    """One row per (``by``…, cluster) with n, max_dist, sse and per-dimension arrays.
+
+    ``with_dims=False`` keeps only the cluster-level statistics (enough for scoring).
+    """
     keys = _keys(by)
     base_aggs = [
         F.count(F.lit(1)).alias("n"),
@@ -50,6 +54,8 @@ def cluster_summary(
         F.sum("dist").alias("dist_sum"),
         F.sum("d2").alias("sse"),
     ]
+    if not with_dims:
+        return assigned.groupBy(*keys).agg(*base_aggs)
     if strategy == "auto":
         strategy = "wide" if q <= WIDE_MAX_Q else "long"
     x = F.col(features)

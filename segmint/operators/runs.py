@@ -15,10 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from segmint.functions.vector import nearest_center
+from segmint.operators.assign import MAX_CENTER_BYTES, nearest_rows
 from segmint.operators.profile import cluster_summary
 from segmint.operators.score import score_summary
 
@@ -40,15 +44,7 @@ def run_centers(points: DataFrame, run_col: str, id_col: str, max_k: int, featur
     )
 
 
-def assign_runs(
-    points: DataFrame, run_col: str, id_col: str, ks: Sequence[int], features: str = "features"
-) -> DataFrame:
-    """(run, k, id, features, cluster, d2, dist): every point under every k of its run."""
-    ks = sorted({int(k) for k in ks})
-    cents = run_centers(points, run_col, id_col, max(ks), features)
-    n_runs = cents.count()
-    if n_runs * max(ks) <= MAX_RUN_CENTERS:
-        cents = F.broadcast(cents)
+def _assign_runs_hof(points, cents, run_col, id_col, ks, features):
     joined = points.join(cents, run_col, "inner")
     per_k = F.explode(
         F.array(
@@ -69,9 +65,76 @@ def assign_runs(
     )
 
 
-def runs_summary(assigned_runs: DataFrame, run_col: str, q: int, features: str = "features") -> DataFrame:
+def _assign_runs_batches(points, table, run_col, id_col, ks, features):
+    bc = points.sparkSession.sparkContext.broadcast(table)
+    fields = {f.name: f for f in points.schema.fields}
+    out_schema = T.StructType(
+        [
+            fields[run_col],
+            T.StructField("k", T.IntegerType(), False),
+            fields[id_col],
+            fields[features],
+            T.StructField("cluster", T.IntegerType(), False),
+            T.StructField("d2", T.DoubleType(), False),
+            T.StructField("dist", T.DoubleType(), False),
+        ]
+    )
+
+    def run(batches):
+        per_run = bc.value
+        sq = {r: np.einsum("ij,ij->i", c, c) for r, c in per_run.items()}
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            for r, grp in pdf.groupby(run_col, sort=False):
+                if r not in per_run:
+                    continue
+                x = np.vstack([np.asarray(v, dtype=np.float64) for v in grp[features].to_numpy()])
+                for k in ks:
+                    c = per_run[r][:k]
+                    j, d2 = nearest_rows(x, c, sq[r][:k])
+                    yield pd.DataFrame(
+                        {
+                            run_col: grp[run_col].to_numpy(),
+                            "k": np.int32(k),
+                            id_col: grp[id_col].to_numpy(),
+                            features: grp[features].to_numpy(),
+                            "cluster": j.astype(np.int32),
+                            "d2": d2,
+                            "dist": np.sqrt(d2),
+                        }
+                    )
+
+    return points.select(run_col, id_col, features).mapInPandas(run, out_schema)
+
+
+def assign_runs(
+    points: DataFrame, run_col: str, id_col: str, ks: Sequence[int], features: str = "features"
+) -> DataFrame:
+    """(run, k, id, features, cluster, d2, dist): every point under every k of its run.
+
+    The per-run centre table (runs × max(ks) vectors) is broadcast to the
+    executors when it fits ``MAX_CENTER_BYTES``; the nearest centre is then
+    found per Arrow batch. Larger tables are joined on the run key and
+    searched inside the row.
+    """
+    ks = sorted({int(k) for k in ks})
+    cents = run_centers(points, run_col, id_col, max(ks), features)
+    n_runs = cents.count()
+    q = len(points.select(features).first()[0]) if n_runs else 0
+    if n_runs * max(ks) * max(q, 1) * 8 <= MAX_CENTER_BYTES:
+        table = {r[run_col]: np.asarray(r["centers"], dtype=np.float64) for r in cents.collect()}
+        return _assign_runs_batches(points, table, run_col, id_col, ks, features)
+    if n_runs * max(ks) <= MAX_RUN_CENTERS:
+        cents = F.broadcast(cents)
+    return _assign_runs_hof(points, cents, run_col, id_col, ks, features)
+
+
+def runs_summary(
+    assigned_runs: DataFrame, run_col: str, q: int, features: str = "features", with_dims: bool = False
+) -> DataFrame:
     """Per (run, k, cluster) summary, one aggregation over all runs and ks."""
-    return cluster_summary(assigned_runs, q, features, by=(run_col, "k"))
+    return cluster_summary(assigned_runs, q, features, by=(run_col, "k"), with_dims=with_dims)
 
 
 def k_curve(

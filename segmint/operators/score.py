@@ -80,7 +80,7 @@ def score_centers(points: DataFrame, centers, features: str = "features") -> Dat
     """Score fixed centres: assign, summarise and score in one pass (a 1-row frame)."""
     mat = as_centers(centers)
     k, q = mat.shape
-    summary = cluster_summary(assign(points, mat, features), q, features)
+    summary = cluster_summary(assign(points, mat, features), q, features, with_dims=False)
     return score_summary(summary, q, k)
 
 

@@ -49,7 +49,7 @@ def candidate_ks_frame(points: DataFrame, limit: int = LIMIT) -> DataFrame:
     # exponents start..floor(log2(top)); empty when top < 2^start
     last_exp = F.floor(F.log2(F.greatest(top, F.lit(1)).cast("double"))).cast("int")
     exps = F.when(last_exp >= start_exp, F.sequence(start_exp, last_exp)).otherwise(F.array().cast("array<int>"))
-    return points.agg(exps.alias("e")).select(F.explode(F.transform("e", lambda i: F.shiftleft(F.lit(1), i))).alias("k"))
+    return points.agg(exps.alias("e")).select(F.explode(F.transform("e", lambda i: F.pow(F.lit(2), i).cast("int"))).alias("k"))
 
 
 def next_binsearch_value(k1: int, k2: int) -> int:
