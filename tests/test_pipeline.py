@@ -1,0 +1,31 @@
+"""Monthly pipeline: a completed step is skipped on rerun; a suffix opens a new output."""
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from segmint.plans.pipeline import run_pipeline
+from segmint.sources.tables import table
+
+from conftest import SF_SMALL
+
+
+def test_pipeline_write_once(spark, workdir):
+    part = table(spark, SF_SMALL, "part", ["p_brand"])
+    cats = {"m1": part.where(F.col("p_brand").startswith("Brand#1")).select(F.col("p_brand").alias("page_id")).distinct()}
+    out = os.path.join(workdir, "out")
+    first = run_pipeline(spark, SF_SMALL, out, cats, ["199601"], k=2)
+    assert [r["ran"] for r in first] == [True]
+    path = first[0]["path"]
+    members = spark.read.parquet(path + "/members")
+    profile = spark.read.json(path + "/meta-data.json")
+    assert members.count() > 0
+    assert profile.agg(F.sum("cluster_member_count")).first()[0] == members.count()
+    data = [json.loads(r["value"]) for r in spark.read.text(path + "/data.json").collect()]
+    assert sum(len(d["user_ids"]) for d in data) == members.count()
+    again = run_pipeline(spark, SF_SMALL, out, cats, ["199601"], k=2)
+    assert [r["ran"] for r in again] == [False]
+    other = run_pipeline(spark, SF_SMALL, out, cats, ["199601"], k=3, suffix="k3")
+    assert [r["ran"] for r in other] == [True]
+    assert other[0]["path"].endswith("category=m1-k3")
