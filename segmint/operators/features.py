@@ -21,6 +21,10 @@ from segmint.sources.text import dense_from_map, index_rows
 
 # A category (page list) is broadcast only below this many rows.
 MAX_BROADCAST_CATEGORY = 5_000_000
+# Dimension tables up to this many rows are built on the driver.
+MAX_LOCAL_DIMS = 100_000
+# Vectors up to this width are assembled with one conditional sum per dimension.
+PIVOT_MAX_Q = 256
 
 
 def action_counts(events: DataFrame, user_col: str, page_col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -80,15 +84,27 @@ def scale_actions(counts: DataFrame, factor: float | None = None, value_col: str
 
 
 def dimension_table(
-    pages: DataFrame, page_col: str, names: DataFrame | None = None, name_col: str = "name"
+    pages: DataFrame,
+    page_col: str,
+    names: DataFrame | None = None,
+    name_col: str = "name",
+    max_local: int = MAX_LOCAL_DIMS,
 ) -> DataFrame:
     """(dim, dimension_id, dimension_name): distinct pages in ascending order, numbered from 0.
 
     Names come from ``names`` (page → name) when given; a page without a name
-    keeps its id as the name.
+    keeps its id as the name. Up to ``max_local`` pages (checked by a count)
+    the sorted ids are fetched and the table becomes a small local relation
+    that later joins broadcast; beyond that it is numbered on the executors.
     """
-    distinct = pages.select(F.col(page_col).cast("string").alias("dimension_id")).distinct().orderBy("dimension_id")
-    dims = index_rows(distinct, "dim").withColumn("dim", F.col("dim").cast("int"))
+    distinct = pages.select(F.col(page_col).cast("string").alias("dimension_id")).distinct()
+    spark = pages.sparkSession
+    # One job: at most max_local + 1 ids reach the driver, which is also the size check.
+    head = [r[0] for r in distinct.orderBy("dimension_id").limit(max_local + 1).collect()]
+    if len(head) <= max_local:
+        dims = spark.createDataFrame(list(enumerate(head)), "dim int, dimension_id string")
+    else:
+        dims = index_rows(distinct.orderBy("dimension_id"), "dim").withColumn("dim", F.col("dim").cast("int"))
     if names is not None:
         labels = names.select(
             F.col(page_col).cast("string").alias("dimension_id"), F.col(name_col).alias("_name")
@@ -107,16 +123,36 @@ def assemble_vectors(
     user_col: str,
     page_col: str,
     q: int | None = None,
-    value_col: str = "n",
+    value_col: str | None = "n",
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """(by…, user, features array<double>) with features[dim] = value, 0 elsewhere."""
+    """(by…, user, features array<double>) with features[dim] = value, 0 elsewhere.
+
+    ``value_col=None`` counts rows (raw activity in, no pre-aggregation needed).
+
+    Up to ``PIVOT_MAX_Q`` dimensions, one ``groupBy(user)`` with one
+    conditional sum per dimension (partial aggregation map-side, one
+    shuffle). Wider: join the dimension index, collect at most Q entries
+    per user into a map and expand it.
+    """
+    value = F.lit(1.0) if value_col is None else F.col(value_col).cast("double")
+    page = F.col(page_col).cast("string")
+    # One job: at most PIVOT_MAX_Q + 1 labels reach the driver, which is also the width check.
+    head = [r[0] for r in dims.orderBy("dim").select("dimension_id").limit(PIVOT_MAX_Q + 1).collect()]
+    if q is None and len(head) <= PIVOT_MAX_Q:
+        q = len(head)
     if q is None:
         q = dims.count()
+    if q <= PIVOT_MAX_Q:
+        ids = head[:q]
+        sums = [F.sum(F.when(page == F.lit(p), value).otherwise(F.lit(0.0))) for p in ids]
+        known = counts.where(page.isin(ids))
+        return known.groupBy(*by, user_col).agg(F.array(*sums).alias("features"))
     d = F.broadcast(dims.select(F.col("dimension_id").alias("_page"), "dim"))
-    keyed = counts.join(d, F.col(page_col).cast("string") == F.col("_page"), "inner")
-    per_user = keyed.groupBy(*by, user_col).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("dim"), F.col(value_col).cast("double")))).alias("_m")
+    keyed = counts.join(d, page == F.col("_page"), "inner")
+    per_user = keyed.groupBy(*by, user_col, "dim").agg(F.sum(value).alias("_v"))
+    per_user = per_user.groupBy(*by, user_col).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("dim"), F.col("_v")))).alias("_m")
     )
     return per_user.select(*by, user_col, dense_from_map("_m", q).alias("features"))
 
@@ -127,9 +163,8 @@ def assemble_vectors(
 def user_actions(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """events → (user_id, features) with one dimension per event type, and the dimension table."""
     events = table(spark, root, "events", ["user_id", "event_type"])
-    counts = action_counts(events, "user_id", "event_type")
-    dims = dimension_table(counts, "event_type")
-    return assemble_vectors(counts, dims, "user_id", "event_type"), dims
+    dims = dimension_table(events, "event_type")
+    return assemble_vectors(events, dims, "user_id", "event_type", value_col=None), dims
 
 
 def embedding_points(spark: SparkSession, root: str) -> DataFrame:

@@ -3,32 +3,35 @@
 The reference runs nine separate jobs per profile and pulls one integer per
 point to the driver. Here ``cluster_summary`` is a single ``groupBy`` over the
 assigned rows: member count, largest distance, Σd² and, per dimension, min,
-max, sum and the number of members with a positive value. Partial aggregation
-runs map-side, so the shuffle carries at most k rows per input partition,
-whatever the size of any one cluster. Every other operator in this module is
-a projection or a join of k-row (or k·Q-row) frames.
-
-Two physical forms of the per-dimension part:
-
-* ``wide`` (Q ≤ ``WIDE_MAX_Q``): 4·Q aggregate columns in the same
-  hash aggregate, inside whole-stage codegen.
-* ``long`` (wider vectors): explode to (cluster, dim, x), aggregate on
-  (cluster, dim), then pack the k·Q result rows back into arrays.
+max, mean, sum and the number of members with a positive value. Partial
+aggregation runs map-side, so the shuffle carries at most k rows per input
+partition, whatever the size of any one cluster. Every other operator in this
+module is a projection or a join of k-row (or k·Q-row) frames.
+
+Physical forms of the per-dimension part:
+
+* ``summarizer`` (default): Spark ML's ``Summarizer`` over the vector, a
+  typed aggregate with a tight loop per row, plus a second one over the
+  ``x > 0`` indicator vector for the positive counts (``numNonZeros`` alone
+  would count negative values too).
+* ``wide``: 4·Q aggregate columns in one hash aggregate. Measured on 2,000
+  × 64 rows it spent 3–5 s compiling against 0.4 s for ``summarizer``.
+* ``long``: explode to (cluster, dim, x), aggregate on (cluster, dim), then
+  pack the k·Q result rows back into arrays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmint.functions.keys import cluster_id as make_cluster_id
 from segmint.operators.assign import as_centers, centers_frame
 
-WIDE_MAX_Q = 128
-
-_DIM_FIELDS = ("mins", "maxs", "sums", "positives")
 
 
 def _keys(by: Sequence[str]) -> list[str]:
@@ -57,8 +60,30 @@ def cluster_summary(
     if not with_dims:
         return assigned.groupBy(*keys).agg(*base_aggs)
     if strategy == "auto":
-        strategy = "wide" if q <= WIDE_MAX_Q else "long"
+        strategy = "summarizer"
     x = F.col(features)
+    means = F.transform("sums", lambda v: v / F.col("n")).alias("means")
+    if strategy == "summarizer":
+        stats = Summarizer.metrics("min", "max", "mean", "numNonZeros")
+        pos = Summarizer.metrics("numNonZeros")
+        indicator = F.transform(features, lambda v: F.when(v > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+        g = assigned.groupBy(*keys).agg(
+            *base_aggs,
+            stats.summary(array_to_vector(x)).alias("_s"),
+            pos.summary(array_to_vector(indicator)).alias("_p"),
+        )
+        return g.select(
+            *keys,
+            "n",
+            "max_dist",
+            "dist_sum",
+            "sse",
+            vector_to_array("_s.min").alias("mins"),
+            vector_to_array("_s.max").alias("maxs"),
+            F.transform(vector_to_array("_s.mean"), lambda m: m * F.col("n")).alias("sums"),
+            vector_to_array("_s.mean").alias("means"),
+            vector_to_array("_p.numNonZeros").cast("array<bigint>").alias("positives"),
+        )
     if strategy == "wide":
         dim_aggs = [
             F.array(*[F.min(x[i]) for i in range(q)]).alias("mins"),
@@ -66,7 +91,8 @@ def cluster_summary(
             F.array(*[F.sum(x[i]) for i in range(q)]).alias("sums"),
             F.array(*[F.count_if(x[i] > 0) for i in range(q)]).alias("positives"),
         ]
-        return assigned.groupBy(*keys).agg(*base_aggs, *dim_aggs)
+        g = assigned.groupBy(*keys).agg(*base_aggs, *dim_aggs)
+        return g.select(*keys, "n", "max_dist", "dist_sum", "sse", "mins", "maxs", "sums", means, "positives")
     if strategy != "long":
         raise ValueError(f"unknown strategy {strategy!r}")
     base = assigned.groupBy(*keys).agg(*base_aggs)
@@ -90,7 +116,8 @@ def cluster_summary(
             F.col("_d.ps").alias("positives"),
         )
     )
-    return base.join(per_dim, keys, "inner")
+    joined = base.join(per_dim, keys, "inner")
+    return joined.select(*keys, "n", "max_dist", "dist_sum", "sse", "mins", "maxs", "sums", means, "positives")
 
 
 def with_all_clusters(summary: DataFrame, centers, by_values: dict | None = None) -> DataFrame:
@@ -171,6 +198,7 @@ def dimension_rows(summary_all: DataFrame, centers=None, dims: DataFrame | None
         F.col("mins").alias("min"),
         F.col("maxs").alias("max"),
         F.col("sums").alias("sum"),
+        F.col("means").alias("mean"),
         F.col("positives").alias("pos"),
     )
     rows = frame.where(F.col("n") > 0).select(*keys, "n", F.posexplode(zipped).alias("dim", "z")).select(
@@ -179,7 +207,7 @@ def dimension_rows(summary_all: DataFrame, centers=None, dims: DataFrame | None
         F.col("z.center").alias("center"),
         F.col("z.min").alias("min"),
         F.col("z.max").alias("max"),
-        (F.col("z.sum") / F.col("n")).alias("avg"),
+        F.col("z.mean").alias("avg"),
         F.col("z.sum").alias("sum"),
         F.col("z.pos").cast("bigint").alias("member_count"),
     )

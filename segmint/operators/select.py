@@ -9,6 +9,7 @@ seeded, so a refit would give the same model anyway).
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -63,12 +64,17 @@ class MemoScorer:
     def __init__(self, fn: Scorer):
         self.fn = fn
         self.cache: dict[int, ScoredModel] = {}
+        self._locks: dict[int, threading.Lock] = {}
+        self._guard = threading.Lock()
 
     def __call__(self, k: int) -> ScoredModel:
-        if k not in self.cache:
-            self.cache[k] = self.fn(k)
-            s = self.cache[k]
-            log.info("k=%d wssse=%s avg_diameter=%s bic=%s", k, s.wssse, s.avg_diameter, s.bic)
+        with self._guard:
+            lock = self._locks.setdefault(k, threading.Lock())
+        with lock:  # concurrent sweeps never fit the same k twice
+            if k not in self.cache:
+                s = self.fn(k)
+                self.cache[k] = s
+                log.info("k=%d wssse=%s avg_diameter=%s bic=%s", k, s.wssse, s.avg_diameter, s.bic)
         return self.cache[k]
 
 
@@ -104,10 +110,12 @@ def sweep(scorer: Scorer, ks: Sequence[int], parallelism: int = 1, max_k: int |
     ks = [int(k) for k in ks]
     if max_k is not None:
         ks = [k for k in ks if k <= max_k]
-    if parallelism <= 1:
+    if parallelism <= 1 or len(ks) <= 1:
         return [scorer(k) for k in ks]
+    # Largest k first: the longest fits start earliest.
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(scorer, ks))
+        done = dict(zip(sorted(ks, reverse=True), pool.map(scorer, sorted(ks, reverse=True))))
+    return [done[k] for k in ks]
 
 
 def binsearch_bic(scorer: Scorer, lo: tuple[int, float], hi: tuple[int, float], final: str = "lower") -> tuple[int, float]:
@@ -178,7 +186,7 @@ def select_k(
     strategy: str = "bisect",
     final: str = "lower",
     scorer: Scorer | None = None,
-    parallelism: int = 1,
+    parallelism: int = 4,
     features: str = "features",
 ) -> ScoredModel:
     """Sweep → largest BIC gap (O39b) → bisection (O40) or linear scan (O41) → model at the chosen k."""
