@@ -148,7 +148,9 @@ def assemble_vectors(
         sums = [F.sum(F.when(page == F.lit(p), value).otherwise(F.lit(0.0))) for p in ids]
         known = counts.where(page.isin(ids))
         return known.groupBy(*by, user_col).agg(F.array(*sums).alias("features"))
-    d = F.broadcast(dims.select(F.col("dimension_id").alias("_page"), "dim"))
+    d = dims.select(F.col("dimension_id").alias("_page"), "dim")
+    if q <= MAX_LOCAL_DIMS:
+        d = F.broadcast(d)
     keyed = counts.join(d, page == F.col("_page"), "inner")
     per_user = keyed.groupBy(*by, user_col, "dim").agg(F.sum(value).alias("_v"))
     per_user = per_user.groupBy(*by, user_col).agg(
@@ -173,11 +175,30 @@ def embedding_points(spark: SparkSession, root: str) -> DataFrame:
     return emb.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("features"))
 
 
-def customer_brand_counts(spark: SparkSession, root: str, by_month: bool = False) -> DataFrame:
-    """orders ⋈ lineitem ⋈ part, line count per (customer, brand) [and order month]."""
+def month_range(month: str) -> tuple[str, str]:
+    """'199601' → ('1996-01-01 00:00:00', '1996-02-01 00:00:00'), a half-open range."""
+    y, m = int(month[:4]), int(month[4:6])
+    ny, nm = (y + 1, 1) if m == 12 else (y, m + 1)
+    return f"{y:04d}-{m:02d}-01 00:00:00", f"{ny:04d}-{nm:02d}-01 00:00:00"
+
+
+def customer_brand_counts(
+    spark: SparkSession, root: str, by_month: bool = False, months: Sequence[str] | None = None
+) -> DataFrame:
+    """orders ⋈ lineitem ⋈ part, line count per (customer, brand) [and order month].
+
+    ``months`` become timestamp ranges on ``o_orderdate``, so the filter
+    reaches the orders scan (and prunes the join) instead of running after it.
+    """
     li = table(spark, root, "lineitem", ["l_orderkey", "l_partkey"])
-    cols = ["o_orderkey", "o_custkey"] + (["o_orderdate"] if by_month else [])
+    cols = ["o_orderkey", "o_custkey"] + (["o_orderdate"] if by_month or months else [])
     orders = table(spark, root, "orders", cols)
+    if months:
+        cond = None
+        for lo, hi in (month_range(m) for m in months):
+            c = (F.col("o_orderdate") >= F.lit(lo).cast("timestamp")) & (F.col("o_orderdate") < F.lit(hi).cast("timestamp"))
+            cond = c if cond is None else cond | c
+        orders = orders.where(cond)
     part = table(spark, root, "part", ["p_partkey", "p_brand"])
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey).join(part, li.l_partkey == part.p_partkey)
     keys = ["o_custkey", "p_brand"]

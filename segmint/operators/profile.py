@@ -179,7 +179,17 @@ def wssse(assigned: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return assigned.agg(F.sum("d2").alias("wssse"))
 
 
-def dimension_rows(summary_all: DataFrame, centers=None, dims: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+# Dimension tables up to this many rows are broadcast to the per-dimension rows.
+MAX_BROADCAST_DIMS = 1_000_000
+
+
+def dimension_rows(
+    summary_all: DataFrame,
+    centers=None,
+    dims: DataFrame | None = None,
+    by: Sequence[str] = (),
+    q: int | None = None,
+) -> DataFrame:
     """Per (cluster, dim): center, min, max, avg, sum, member_count.
 
     ``dims`` (dim, dimension_id, dimension_name) is joined on ``dim`` with an
@@ -212,7 +222,10 @@ def dimension_rows(summary_all: DataFrame, centers=None, dims: DataFrame | None
         F.col("z.pos").cast("bigint").alias("member_count"),
     )
     if dims is not None:
-        rows = rows.join(F.broadcast(dims.select("dim", "dimension_id", "dimension_name")), "dim", "inner")
+        labels = dims.select("dim", "dimension_id", "dimension_name")
+        if q is not None and q <= MAX_BROADCAST_DIMS:  # Q rows: the width of the centres
+            labels = F.broadcast(labels)
+        rows = rows.join(labels, "dim", "inner")
     return rows
 
 
@@ -240,7 +253,7 @@ def cluster_profile(
     mat = as_centers(centers)
     summary = cluster_summary(assigned, mat.shape[1], features=features, strategy=strategy)
     full = with_all_clusters(summary, mat)
-    per_dim = dimension_rows(full, dims=dims)
+    per_dim = dimension_rows(full, dims=dims, q=mat.shape[1])
     nested = per_dim.groupBy("cluster").agg(
         F.sort_array(
             F.collect_list(

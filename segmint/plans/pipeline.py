@@ -38,10 +38,7 @@ log = logging.getLogger(__name__)
 
 
 def month_counts(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> DataFrame:
-    counts = customer_brand_counts(spark, root, by_month=True)
-    if months:
-        counts = counts.where(F.col("month").isin(list(months)))
-    return counts
+    return customer_brand_counts(spark, root, by_month=True, months=months)
 
 
 def run_pipeline(

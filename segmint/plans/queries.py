@@ -17,6 +17,7 @@ SQL twin (``oracle.py``) can be compared value for value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ from segmint.operators import select as SEL
 from segmint.operators import train as TR
 from segmint.operators.assign import as_centers, assign, attach_users, centers_frame, first_rows_as_centers
 from segmint.sources import jsonl, sinks, text
+from segmint.session import ensure_checkpoint_dir
 from segmint.sources.tables import table
 
 DIGITS = 6
@@ -363,13 +365,29 @@ def q_run_cluster_id(spark, root):
     return a.select("user_id", K.cluster_id(RUN, "cluster").alias("cluster_id"))
 
 
+def q_write_once(spark, root):
+    """The same pipeline step twice; the second finds the completed output and skips."""
+    from segmint.plans.pipeline import run_pipeline
+
+    base = ensure_checkpoint_dir(spark, fallback_local=True)
+    out = f"{base.rstrip('/')}/write-once-{uuid.uuid4().hex}"
+    orders = table(spark, root, "orders", ["o_orderdate"])
+    month = orders.agg(F.min(F.date_format("o_orderdate", "yyyyMM"))).first()[0]
+    cats = {"m1": _category(spark, root)}
+    rows = []
+    for attempt in (1, 2):
+        for r in run_pipeline(spark, root, out, cats, [month], k=2):
+            rows.append((r["month"], r["category"], attempt, r["ran"]))
+    return spark.createDataFrame(rows, "month string, category string, attempt int, ran boolean")
+
+
 # ---- scalar vector functions (O52a–d) ----------------------------------------------------------
 
 
 def _emb_with_anchor(spark, root):
     emb = _emb(spark, root)
     anchors = R.run_centers(emb, "label", "vec_id", 1).select("label", F.col("centers")[0].alias("anchor"))
-    return emb.join(F.broadcast(anchors), "label")
+    return emb.join(FE.checked_broadcast(anchors, 1_000_000), "label")
 
 
 def q_square(spark, root):
@@ -419,7 +437,7 @@ def q_point_density(spark, root):
     a = _emb_runs_assigned(spark, root).withColumnRenamed("label", "run_id")
     var = S.model_variance(P.cluster_summary(a, 64, by=("run_id", "k")), by=("run_id", "k"))
     return rounded(
-        a.join(F.broadcast(var), ["run_id", "k"]).select(
+        a.join(FE.checked_broadcast(var, 1_000_000), ["run_id", "k"]).select(
             "run_id", "k", "vec_id", S.point_density("d2", "variance").alias("density")
         )
     )
@@ -623,6 +641,7 @@ QUERIES: dict[str, Query] = {
     "membership_rows": q_membership_rows,
     "write_membership": q_write_membership,
     "write_profile": q_write_profile,
+    "write_once": q_write_once,
     "consistent_hash": q_consistent_hash,
     "run_cluster_id": q_run_cluster_id,
     # vector functions

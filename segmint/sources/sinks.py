@@ -38,7 +38,7 @@ def membership_lines(rows: DataFrame, chunk_size: int = CHUNK_USERS) -> DataFram
     """JSON lines ``{cluster_id, user_ids}``, ids sorted, big clusters split into chunks."""
     sizes = rows.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("_n"))
     n_chunks = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("_n") / F.lit(float(chunk_size))).cast("bigint"))
-    # One row per cluster: bounded by k.
+    # One row per cluster id: k per model.
     tagged = rows.join(F.broadcast(sizes), "cluster_id").withColumn("_chunk", _md5_bucket(F.col("user_id"), n_chunks))
     grouped = tagged.groupBy("cluster_id", "_chunk").agg(F.sort_array(F.collect_list("user_id")).alias("user_ids"))
     return grouped.select(F.to_json(F.struct("cluster_id", "user_ids")).alias("value"))
