@@ -61,9 +61,10 @@ def q_features(spark, root):
 
 
 def q_brand_vectors(spark, root):
-    counts = customer_brand_counts(spark, root)
+    counts = materialize(customer_brand_counts(spark, root))  # read twice: dimensions, vectors
     dims = dimension_table(counts, "p_brand")
     run(assemble_vectors(counts, dims, "o_custkey", "p_brand"))
+    counts.unpersist()
 
 
 def q_kmeans_job(spark, root):

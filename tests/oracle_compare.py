@@ -72,8 +72,17 @@ def main(argv):
     import __spark_entry__ as entry
     from segmint.session import ensure_checkpoint_dir, local_session
 
-    spark = local_session(8)
-    ensure_checkpoint_dir(spark, fallback_local=True)
+    import os
+
+    if os.environ.get("PLAIN_SESSION"):
+        # as the driver does: a bare builder, default configs, no checkpoint folder
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8)
+        ensure_checkpoint_dir(spark, fallback_local=True)
     con = duck(sf_dir)
     qs = entry.queries()
     sql = entry.oracle_sql()
