@@ -82,6 +82,18 @@ def default_scorer(points: DataFrame, max_iter: int, features: str = "features",
     return MemoScorer(lambda k: train_kmeans_default(points, k, max_iter, features, seed))
 
 
+def fixed_center_scorer(points: DataFrame, order_by: str, features: str = "features") -> MemoScorer:
+    """Deterministic stand-in for training: the k-centre model is the first k rows by ``order_by``.
+
+    Same scoring job as a real fit; used to check the search logic exactly.
+    """
+    from segmint.operators.assign import first_rows_as_centers
+    from segmint.operators.score import score_model
+
+    pts = points.select(order_by, features)
+    return MemoScorer(lambda k: score_model(pts, first_rows_as_centers(pts, k, order_by, features), features))
+
+
 CURVE_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),

@@ -506,3 +506,100 @@ SELECT CAST(pow(2, e) AS INTEGER) AS k
 FROM (SELECT count(*) AS n FROM ua) c, range(1, 31) r(e)
 WHERE CASE WHEN n > 100000 THEN e >= 4 AND pow(2, e) <= 1000 ELSE pow(2, e) <= n END""",
 )
+
+# k search with the fixed-centre model (first k users by id) as the scorer: the
+# BIC and diameter of every k in 2..32, then the search replayed step by step.
+UA_ALL_K = (
+    UA
+    + """,
+ua_c AS (
+  SELECT CAST(row_number() OVER (ORDER BY user_id) AS INTEGER) AS rn, features AS c
+  FROM ua QUALIFY row_number() OVER (ORDER BY user_id) <= 32
+),
+kk AS (SELECT CAST(k AS INTEGER) AS k FROM range(2, 33) t(k)),
+pr AS (
+  SELECT kk.k, p.user_id, c.rn - 1 AS cluster, """
+    + d2("p.features", "c.c")
+    + """ AS d2
+  FROM ua p CROSS JOIN ua_c c JOIN kk ON c.rn <= kk.k
+),
+best AS (
+  SELECT k, user_id, cluster, d2, sqrt(d2) AS dist
+  FROM pr QUALIFY row_number() OVER (PARTITION BY k, user_id ORDER BY d2, cluster) = 1
+),
+cs AS (SELECT k, cluster, count(*) AS n, max(dist) AS md, sum(d2) AS sse FROM best GROUP BY k, cluster),
+sc AS (SELECT k, CAST(sum(n) AS BIGINT) AS n, sum(sse) AS w, avg(2 * md) AS avg_d FROM cs GROUP BY k),
+lnl AS (
+  SELECT k, n, avg_d, CASE WHEN w / n > 0 THEN -CAST(n AS DOUBLE) / 2.0 * (ln(2 * pi() * (w / n)) + 1) END AS ln_l
+  FROM sc
+),
+scores AS (
+  SELECT k, avg_d, ln_l - CAST(k * (SELECT count(*) FROM ua_dims) + 1 AS DOUBLE) / 2.0 * ln(CAST(n AS DOUBLE)) AS bic
+  FROM lnl
+),
+sweep_pairs AS (
+  SELECT k AS k1, bic AS b1, lead(k) OVER (ORDER BY k) AS k2, lead(bic) OVER (ORDER BY k) AS b2
+  FROM scores WHERE k IN (2, 4, 8, 16, 32)
+),
+gap AS (
+  SELECT k1, b1, k2, b2 FROM sweep_pairs WHERE k2 IS NOT NULL
+  QUALIFY row_number() OVER (ORDER BY abs(b2 - b1) DESC, k1) = 1
+)"""
+)
+
+SQL["binsearch_bic"] = (
+    "WITH RECURSIVE "
+    + UA_ALL_K.strip()
+    + """,
+search(k1, b1, k2, b2) AS (
+  SELECT k1, b1, k2, b2 FROM gap
+  UNION ALL
+  SELECT CASE WHEN abs(s.b1 - m.bic) > abs(m.bic - s.b2) THEN s.k1 ELSE m.k END,
+         CASE WHEN abs(s.b1 - m.bic) > abs(m.bic - s.b2) THEN s.b1 ELSE m.bic END,
+         CASE WHEN abs(s.b1 - m.bic) > abs(m.bic - s.b2) THEN m.k ELSE s.k2 END,
+         CASE WHEN abs(s.b1 - m.bic) > abs(m.bic - s.b2) THEN m.bic ELSE s.b2 END
+  FROM search s JOIN scores m ON m.k = s.k1 + (s.k2 - s.k1 + 1) // 2
+  WHERE s.k2 - s.k1 > 1
+)
+"""
+    + _round(
+        """
+SELECT CAST(CASE WHEN k2 <= k1 OR b1 < b2 THEN k1 ELSE k2 END AS INTEGER) AS k,
+       CASE WHEN k2 <= k1 OR b1 < b2 THEN b1 ELSE b2 END AS bic
+FROM search WHERE k2 - k1 <= 1""",
+        ["bic"],
+    )
+)
+SQL["linear_bic"] = _with(
+    UA_ALL_K,
+    _round(
+        """
+SELECT k, bic FROM scores
+WHERE list_contains((SELECT list_append(range(k1, k2, 2), k2) FROM gap), k)
+QUALIFY row_number() OVER (ORDER BY bic DESC, k) = 1""",
+        ["bic"],
+    ),
+)
+SQL["binsearch_diameter"] = (
+    "WITH RECURSIVE "
+    + UA_ALL_K.strip()
+    + """,
+search(k1, d1, k2, d2) AS (
+  SELECT 2, (SELECT avg_d FROM scores WHERE k = 2), 32, (SELECT avg_d FROM scores WHERE k = 32)
+  UNION ALL
+  SELECT CASE WHEN (s.d1 - m.avg_d) > (m.avg_d - s.d2) THEN s.k1 ELSE m.k END,
+         CASE WHEN (s.d1 - m.avg_d) > (m.avg_d - s.d2) THEN s.d1 ELSE m.avg_d END,
+         CASE WHEN (s.d1 - m.avg_d) > (m.avg_d - s.d2) THEN m.k ELSE s.k2 END,
+         CASE WHEN (s.d1 - m.avg_d) > (m.avg_d - s.d2) THEN m.avg_d ELSE s.d2 END
+  FROM search s JOIN scores m ON m.k = s.k1 + (s.k2 - s.k1 + 1) // 2
+  WHERE s.k2 - s.k1 > 1
+)
+"""
+    + _round(
+        """
+SELECT CAST(CASE WHEN k2 <= k1 THEN k1 ELSE k2 END AS INTEGER) AS k,
+       CASE WHEN k2 <= k1 THEN d1 ELSE d2 END AS avg_diameter
+FROM search WHERE k2 - k1 <= 1""",
+        ["avg_diameter"],
+    )
+)

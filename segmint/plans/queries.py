@@ -563,29 +563,35 @@ def q_sweep(spark, root):
     return _scored_frame(spark, SEL.sweep(scorer, KS_CURVE))
 
 
-def _sweep_range(scorer):
-    scored = SEL.sweep(scorer, KS_CURVE)
-    spark = SparkSession.getActiveSession()
-    return SEL._best_range(spark, scored)
+KS_SEARCH = (2, 4, 8, 16, 32)
+
+
+def _ua_fixed_scorer(spark, root):
+    pts, _ = _ua(spark, root)
+    return SEL.fixed_center_scorer(pts, "user_id")
+
+
+def _sweep_range(spark, scorer):
+    return SEL._best_range(spark, SEL.sweep(scorer, KS_SEARCH))
 
 
 def q_binsearch_bic(spark, root):
-    _, scorer = _emb_scorer(spark, root)
-    lo, hi = _sweep_range(scorer)
+    scorer = _ua_fixed_scorer(spark, root)
+    lo, hi = _sweep_range(spark, scorer)
     k, b = SEL.binsearch_bic(scorer, lo, hi)
     return rounded(spark.createDataFrame([(k, b)], "k int, bic double"))
 
 
 def q_linear_bic(spark, root):
-    _, scorer = _emb_scorer(spark, root)
-    lo, hi = _sweep_range(scorer)
+    scorer = _ua_fixed_scorer(spark, root)
+    lo, hi = _sweep_range(spark, scorer)
     k, b = SEL.linear_bic(scorer, lo[0], hi[0])
     return rounded(spark.createDataFrame([(k, b)], "k int, bic double"))
 
 
 def q_binsearch_diameter(spark, root):
-    _, scorer = _emb_scorer(spark, root)
-    scored = SEL.sweep(scorer, KS_CURVE)
+    scorer = _ua_fixed_scorer(spark, root)
+    scored = SEL.sweep(scorer, KS_SEARCH)
     lo, hi = scored[0], scored[-1]
     k, d = SEL.binsearch_diameter(scorer, (lo.k, lo.avg_diameter), (hi.k, hi.avg_diameter))
     return rounded(spark.createDataFrame([(k, d)], "k int, avg_diameter double"))

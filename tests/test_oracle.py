@@ -24,7 +24,7 @@ def test_query_matches_sql(spark, con, name):
 
 def test_every_query_has_sql_or_is_a_fit():
     fits = {"train_kmeans", "train_kmeans_default", "compute_next_model", "next_model_diameter", "sweep",
-            "binsearch_bic", "linear_bic", "binsearch_diameter", "select_k", "run_kmeans", "write_once"}
+            "select_k", "run_kmeans", "write_once"}
     assert set(QUERIES) - set(SQL) == fits
 
 
