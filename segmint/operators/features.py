@@ -125,6 +125,7 @@ def assemble_vectors(
     q: int | None = None,
     value_col: str | None = "n",
     by: Sequence[str] = (),
+    method: str = "auto",
 ) -> DataFrame:
     """(by…, user, features array<double>) with features[dim] = value, 0 elsewhere.
 
@@ -143,7 +144,11 @@ def assemble_vectors(
         q = len(head)
     if q is None:
         q = dims.count()
-    if q <= PIVOT_MAX_Q:
+    if method == "auto":
+        method = "pivot" if q <= PIVOT_MAX_Q else "map"
+    if method == "pivot":
+        if q > PIVOT_MAX_Q:
+            raise ValueError(f"pivot assembly is for at most {PIVOT_MAX_Q} dimensions")
         ids = head[:q]
         sums = [F.sum(F.when(page == F.lit(p), value).otherwise(F.lit(0.0))) for p in ids]
         known = counts.where(page.isin(ids))
