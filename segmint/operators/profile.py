@@ -249,47 +249,64 @@ def cluster_profile(
     cluster_wssse (the whole model's cost on every row), dimensions
     (array of struct dimension_id, dimension_name, member_count, center,
     min, max, avg; ordered by dimension).
+
+    The data is read once, by ``cluster_summary``. Everything after works on
+    its k rows: explode to k·Q rows, attach labels (inner semantics: a
+    dimension without a label is dropped, as the reference's zip drops it),
+    and regroup per cluster.
     """
     mat = as_centers(centers)
-    summary = cluster_summary(assigned, mat.shape[1], features=features, strategy=strategy)
+    q = mat.shape[1]
+    summary = cluster_summary(assigned, q, features=features, strategy=strategy)
     full = with_all_clusters(summary, mat)
-    per_dim = dimension_rows(full, dims=dims, q=mat.shape[1])
-    nested = per_dim.groupBy("cluster").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct("dim", "dimension_id", "dimension_name", "member_count", "center", "min", "max", "avg")
-            )
-        ).alias("_dims")
+    zipped = F.arrays_zip(
+        F.col("center").alias("center"),
+        F.col("mins").alias("min"),
+        F.col("maxs").alias("max"),
+        F.col("means").alias("mean"),
+        F.col("positives").alias("pos"),
+    )
+    keys = ["cluster", "n", "max_dist", "sse"]
+    exploded = full.select(*keys, F.posexplode_outer(F.when(F.col("n") > 0, zipped)).alias("dim", "z"))
+    labels = dims.select(F.col("dim").cast("int").alias("dim"), "dimension_id", "dimension_name")
+    if q <= MAX_BROADCAST_DIMS:  # Q rows: the width of the centres
+        labels = F.broadcast(labels)
+    labelled = exploded.join(labels, "dim", "left")
+    entry = F.when(
+        F.col("dimension_id").isNotNull() & F.col("z").isNotNull(),
+        F.struct(
+            F.col("dim"),
+            F.col("dimension_id"),
+            F.col("dimension_name"),
+            F.col("z.pos").cast("bigint").alias("member_count"),
+            F.col("z.center").alias("center"),
+            F.col("z.min").alias("min"),
+            F.col("z.max").alias("max"),
+            F.col("z.mean").alias("avg"),
+        ),
     )
+    # k groups of at most Q entries each.
+    nested = labelled.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_dims"))
     # k rows: the window over them is one small partition by design.
     total = F.sum(F.coalesce(F.col("sse"), F.lit(0.0))).over(Window.partitionBy())
-    out = (
-        full.join(nested, "cluster", "left")
-        .select(
-            F.col("cluster"),
-            make_cluster_id(run_id, "cluster").alias("cluster_id"),
-            F.col("n").alias("cluster_member_count"),
-            F.lit(False).alias("private"),
-            F.when(F.col("n") > 0, F.col("max_dist") * 2.0).alias("cluster_diameter"),
-            total.alias("cluster_wssse"),
-            F.coalesce(
-                F.transform(
-                    "_dims",
-                    lambda d: F.struct(
-                        d["dimension_id"].alias("dimension_id"),
-                        d["dimension_name"].alias("dimension_name"),
-                        d["member_count"].alias("member_count"),
-                        d["center"].alias("center"),
-                        d["min"].alias("min"),
-                        d["max"].alias("max"),
-                        d["avg"].alias("avg"),
-                    ),
-                ),
-                F.array().cast(
-                    "array<struct<dimension_id:string,dimension_name:string,member_count:bigint,"
-                    "center:double,min:double,max:double,avg:double>>"
-                ),
-            ).alias("dimensions"),
-        )
+    out = nested.select(
+        F.col("cluster"),
+        make_cluster_id(run_id, "cluster").alias("cluster_id"),
+        F.col("n").alias("cluster_member_count"),
+        F.lit(False).alias("private"),
+        F.when(F.col("n") > 0, F.col("max_dist") * 2.0).alias("cluster_diameter"),
+        total.alias("cluster_wssse"),
+        F.transform(
+            "_dims",
+            lambda d: F.struct(
+                d["dimension_id"].alias("dimension_id"),
+                d["dimension_name"].alias("dimension_name"),
+                d["member_count"].alias("member_count"),
+                d["center"].alias("center"),
+                d["min"].alias("min"),
+                d["max"].alias("max"),
+                d["avg"].alias("avg"),
+            ),
+        ).alias("dimensions"),
     )
     return out if keep_empty else drop_empty_clusters(out)

@@ -77,7 +77,9 @@ def run_kmeans_job(
     centers = centers_of(model)
     assigned = assign(points, centers)
     out = output_dir.rstrip("/")
-    sinks.write_membership(sinks.membership_rows(assigned, run_id), f"{out}/data.json", mode="overwrite")
+    sinks.write_membership_rows(sinks.membership_rows(assigned, run_id), f"{out}/members", mode="overwrite")
+    # the JSON form is built from the written rows: no second assignment pass
+    sinks.write_membership(spark.read.parquet(f"{out}/members"), f"{out}/data.json", mode="overwrite")
     t = time.time()
     sinks.write_profile(cluster_profile(assigned, centers, dims, run_id), f"{out}/meta-data.json", mode="overwrite")
     log.info("done with get-meta-data. runtime: %d secs", time.time() - t)

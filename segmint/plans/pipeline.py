@@ -82,7 +82,9 @@ def run_pipeline(
                 assigned = assign(points.withColumnRenamed("o_custkey", "user_id"), centers)
                 rows = sinks.membership_rows(assigned.withColumn("user_id", F.col("user_id").cast("string")), run_id)
                 sinks.write_membership_rows(rows, f"{path}/members", mode="overwrite")
-                sinks.write_membership(rows, f"{path}/data.json", mode="overwrite")
+                # the JSON form is built from the written rows: no second assignment pass
+                written = spark.read.parquet(f"{path}/members")
+                sinks.write_membership(written, f"{path}/data.json", mode="overwrite")
                 profile = cluster_profile(assigned, centers, dims, run_id)
                 sinks.write_profile(profile, f"{path}/meta-data.json", mode="overwrite")
                 # The marker of a completed step is written last.
