@@ -7,7 +7,7 @@ well). Two physical forms, same result:
 * tiny k·Q: one generated SQL expression per row,
   ``least(struct(d2_0, 0), …, struct(d2_{k-1}, k-1))``, with the centres as
   literals. No shuffle, no Python, inside whole-stage codegen.
-* otherwise: Arrow batches through ``mapInPandas``. The centre matrix is a
+* otherwise: Arrow batches through ``mapInArrow``. The centre matrix is a
   Spark broadcast variable and the nearest centre comes from one matrix
   product per batch. (Written out as an expression, k·Q terms outgrow the
   JVM's method size: at k = 16, Q = 64 the generated code no longer
@@ -99,10 +99,27 @@ def nearest_rows(x: np.ndarray, c: np.ndarray, c_sq: np.ndarray) -> tuple[np.nda
     return j, d2
 
 
+def feature_matrix(col, q: int) -> np.ndarray:
+    """(rows × q) float64 matrix from an Arrow list column, without touching rows one by one."""
+    import pyarrow.compute as pc
+
+    n = len(col)
+    if col.null_count:
+        raise ValueError("feature arrays must not be null")
+    widths = pc.list_value_length(col).to_numpy(zero_copy_only=False)
+    if n and (widths.min() != q or widths.max() != q):
+        raise ValueError(f"every feature array must have {q} values")
+    flat = pc.list_flatten(col).to_numpy(zero_copy_only=False)
+    return np.asarray(flat, dtype=np.float64).reshape(n, q)
+
+
 def _assign_batches(points: DataFrame, mat: np.ndarray, features: str) -> DataFrame:
+    import pyarrow as pa
+
     sc = points.sparkSession.sparkContext
     bc = sc.broadcast(mat)
     q = mat.shape[1]
+    feat_idx = points.columns.index(features)
     out_schema = T.StructType(
         list(points.schema.fields)
         + [
@@ -111,18 +128,20 @@ def _assign_batches(points: DataFrame, mat: np.ndarray, features: str) -> DataFr
             T.StructField("dist", T.DoubleType(), False),
         ]
     )
+    names = points.columns + ["cluster", "d2", "dist"]
 
     def run(batches):
         c = bc.value
         c_sq = np.einsum("ij,ij->i", c, c)
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            x = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf[features].to_numpy()]).reshape(len(pdf), q)
+            x = feature_matrix(batch.column(feat_idx), q)
             j, d2 = nearest_rows(x, c, c_sq)
-            yield pdf.assign(cluster=j.astype(np.int32), d2=d2, dist=np.sqrt(d2))
+            cols = list(batch.columns) + [pa.array(j.astype(np.int32)), pa.array(d2), pa.array(np.sqrt(d2))]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return points.mapInPandas(run, out_schema)
+    return points.mapInArrow(run, out_schema)
 
 
 def assign(points: DataFrame, centers, features: str = "features", method: str = "auto") -> DataFrame:

@@ -16,13 +16,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmint.functions.vector import nearest_center
-from segmint.operators.assign import MAX_CENTER_BYTES, nearest_rows
+from segmint.operators.assign import MAX_CENTER_BYTES, feature_matrix, nearest_rows
 from segmint.operators.profile import cluster_summary
 from segmint.operators.score import score_summary
 
@@ -65,7 +64,9 @@ def _assign_runs_hof(points, cents, run_col, id_col, ks, features):
     )
 
 
-def _assign_runs_batches(points, table, run_col, id_col, ks, features):
+def _assign_runs_batches(points, table, run_col, id_col, ks, features, q):
+    import pyarrow as pa
+
     bc = points.sparkSession.sparkContext.broadcast(table)
     fields = {f.name: f for f in points.schema.fields}
     out_schema = T.StructType(
@@ -79,33 +80,39 @@ def _assign_runs_batches(points, table, run_col, id_col, ks, features):
             T.StructField("dist", T.DoubleType(), False),
         ]
     )
+    names = [run_col, "k", id_col, features, "cluster", "d2", "dist"]
 
     def run(batches):
         per_run = bc.value
         sq = {r: np.einsum("ij,ij->i", c, c) for r, c in per_run.items()}
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            for r, grp in pdf.groupby(run_col, sort=False):
+            runs = batch.column(0).to_numpy(zero_copy_only=False)
+            x = feature_matrix(batch.column(2), q)
+            for r in np.unique(runs):
                 if r not in per_run:
                     continue
-                x = np.vstack([np.asarray(v, dtype=np.float64) for v in grp[features].to_numpy()])
+                idx = np.nonzero(runs == r)[0]
+                sub = batch.take(pa.array(idx))
+                xs = x[idx]
                 for k in ks:
                     c = per_run[r][:k]
-                    j, d2 = nearest_rows(x, c, sq[r][:k])
-                    yield pd.DataFrame(
-                        {
-                            run_col: grp[run_col].to_numpy(),
-                            "k": np.int32(k),
-                            id_col: grp[id_col].to_numpy(),
-                            features: grp[features].to_numpy(),
-                            "cluster": j.astype(np.int32),
-                            "d2": d2,
-                            "dist": np.sqrt(d2),
-                        }
+                    j, d2 = nearest_rows(xs, c, sq[r][:k])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            sub.column(0),
+                            pa.array(np.full(len(idx), k, dtype=np.int32)),
+                            sub.column(1),
+                            sub.column(2),
+                            pa.array(j.astype(np.int32)),
+                            pa.array(d2),
+                            pa.array(np.sqrt(d2)),
+                        ],
+                        names=names,
                     )
 
-    return points.select(run_col, id_col, features).mapInPandas(run, out_schema)
+    return points.select(run_col, id_col, features).mapInArrow(run, out_schema)
 
 
 def assign_runs(
@@ -124,7 +131,7 @@ def assign_runs(
     q = len(points.select(features).first()[0]) if n_runs else 0
     if n_runs * max(ks) * max(q, 1) * 8 <= MAX_CENTER_BYTES:
         table = {r[run_col]: np.asarray(r["centers"], dtype=np.float64) for r in cents.collect()}
-        return _assign_runs_batches(points, table, run_col, id_col, ks, features)
+        return _assign_runs_batches(points, table, run_col, id_col, ks, features, q)
     if n_runs * max(ks) <= MAX_RUN_CENTERS:
         cents = F.broadcast(cents)
     return _assign_runs_hof(points, cents, run_col, id_col, ks, features)
