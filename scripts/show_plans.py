@@ -28,7 +28,7 @@ from segmint.session import local_session  # noqa: E402
 from segmint.sources import sinks  # noqa: E402
 
 KEEP = re.compile(
-    r"(Scan|Exchange|Join|Aggregate|Window|Generate|MapInPandas|ArrowEvalPython|BatchEvalPython|"
+    r"(Scan|Exchange|Join|Aggregate|Window|Generate|MapIn|ArrowEvalPython|BatchEvalPython|"
     r"WholeStageCodegen|TakeOrdered|Limit|Sort |LocalTableScan|PushedFilters|ReadSchema)"
 )
 
