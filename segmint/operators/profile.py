@@ -256,8 +256,14 @@ def cluster_profile(
     and regroup per cluster.
     """
     mat = as_centers(centers)
+    summary = cluster_summary(assigned, mat.shape[1], features=features, strategy=strategy)
+    return profile_from_summary(summary, mat, dims, run_id, keep_empty)
+
+
+def profile_from_summary(summary: DataFrame, centers, dims: DataFrame, run_id: str, keep_empty: bool = False) -> DataFrame:
+    """O23 from a k-row summary (dense or sparse ``cluster_summary`` output)."""
+    mat = as_centers(centers)
     q = mat.shape[1]
-    summary = cluster_summary(assigned, q, features=features, strategy=strategy)
     full = with_all_clusters(summary, mat)
     zipped = F.arrays_zip(
         F.col("center").alias("center"),

@@ -7,6 +7,9 @@ brands, scale, assemble vectors → k (given, or chosen by k selection) →
 fit → assign → write membership rows, membership JSON and profiles under
 ``<out>/month=<m>/category=<c>[-suffix]``.
 
+Categories with more than ``DENSE_MAX_Q`` pages run on sparse vectors
+(``operators.sparse``); narrower ones on dense arrays.
+
 A completed output folder makes its step a no-op, so rerunning the
 pipeline with the same arguments does no fit; a new ``suffix`` opens new
 outputs for the clustering step only.
@@ -28,7 +31,8 @@ from segmint.operators.features import (
     filter_to_category,
     scale_actions,
 )
-from segmint.operators.profile import cluster_profile
+from segmint.operators.profile import cluster_profile, profile_from_summary
+from segmint.operators.sparse import assemble_sparse, assign_sparse, cluster_summary_sparse, sparse_scorer, train_kmeans_sparse
 from segmint.operators.select import select_k
 from segmint.operators.train import centers_of, train_kmeans
 from segmint.session import materialize
@@ -36,6 +40,9 @@ from segmint.sources import sinks
 
 log = logging.getLogger(__name__)
 
+# Categories wider than this many pages use sparse vectors.
+DENSE_MAX_Q = 1024
+
 
 def month_counts(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> DataFrame:
     return customer_brand_counts(spark, root, by_month=True, months=months)
@@ -53,6 +60,7 @@ def run_pipeline(
     seed: int = 7,
     scale: float | None = None,
     suffix: str = "",
+    representation: str = "auto",
 ) -> list[dict]:
     """Run every (month, category); returns one record per step with ``ran`` True/False."""
     counts = materialize(month_counts(spark, root, months))
@@ -67,7 +75,12 @@ def run_pipeline(
                 kept = filter_to_category(month_rows, category, "p_brand")
                 scaled = scale_actions(kept, scale)
                 dims = dimension_table(scaled, "p_brand")
-                points = materialize(assemble_vectors(scaled, dims, "o_custkey", "p_brand"))
+                q = dims.count()
+                sparse = representation == "sparse" or (representation == "auto" and q > DENSE_MAX_Q)
+                if sparse:
+                    points = materialize(assemble_sparse(scaled, dims, "o_custkey", "p_brand"))
+                else:
+                    points = materialize(assemble_vectors(scaled, dims, "o_custkey", "p_brand", q=q))
                 n = points.count()
                 if n == 0:
                     log.warning("no activity for %s", run_id)
@@ -75,17 +88,29 @@ def run_pipeline(
                     return
                 kk = k
                 if kk is None:
-                    kk = select_k(points.select("features"), ks=ks, max_iter=max_iter).k
+                    if sparse:
+                        kk = select_k(points, ks=ks, scorer=sparse_scorer(points, q, max_iter)).k
+                    else:
+                        kk = select_k(points.select("features"), ks=ks, max_iter=max_iter).k
                 kk = min(kk, n)
-                model = train_kmeans(points, kk, "k-means||", max_iter, 1e-4, seed)
-                centers = centers_of(model)
-                assigned = assign(points.withColumnRenamed("o_custkey", "user_id"), centers)
+                users = points.withColumnRenamed("o_custkey", "user_id")
+                if sparse:
+                    model = train_kmeans_sparse(points, q, kk, "k-means||", max_iter, 1e-4, seed)
+                    centers = centers_of(model)
+                    assigned = assign_sparse(users, centers)
+                else:
+                    model = train_kmeans(points, kk, "k-means||", max_iter, 1e-4, seed)
+                    centers = centers_of(model)
+                    assigned = assign(users, centers)
                 rows = sinks.membership_rows(assigned.withColumn("user_id", F.col("user_id").cast("string")), run_id)
                 sinks.write_membership_rows(rows, f"{path}/members", mode="overwrite")
                 # the JSON form is built from the written rows: no second assignment pass
                 written = spark.read.parquet(f"{path}/members")
                 sinks.write_membership(written, f"{path}/data.json", mode="overwrite")
-                profile = cluster_profile(assigned, centers, dims, run_id)
+                if sparse:
+                    profile = profile_from_summary(cluster_summary_sparse(assigned, q), centers, dims, run_id)
+                else:
+                    profile = cluster_profile(assigned, centers, dims, run_id)
                 sinks.write_profile(profile, f"{path}/meta-data.json", mode="overwrite")
                 # The marker of a completed step is written last.
                 spark.createDataFrame([(run_id, kk)], "run_id string, k int").write.mode("overwrite").json(f"{path}/step")

@@ -29,3 +29,16 @@ def test_pipeline_write_once(spark, workdir):
     other = run_pipeline(spark, SF_SMALL, out, cats, ["199601"], k=3, suffix="k3")
     assert [r["ran"] for r in other] == [True]
     assert other[0]["path"].endswith("category=m1-k3")
+
+
+def test_pipeline_sparse_route(spark, workdir):
+    part = table(spark, SF_SMALL, "part", ["p_brand"])
+    cats = {"all": part.select(F.col("p_brand").alias("page_id")).distinct()}
+    out = os.path.join(workdir, "out")
+    dense = run_pipeline(spark, SF_SMALL, out, cats, ["199601"], k=2, representation="dense")
+    sparse = run_pipeline(spark, SF_SMALL, out, cats, ["199601"], k=2, representation="sparse", suffix="sparse")
+    a = spark.read.json(dense[0]["path"] + "/meta-data.json")
+    b = spark.read.json(sparse[0]["path"] + "/meta-data.json")
+    sizes = lambda df: sorted(r["cluster_member_count"] for r in df.collect())
+    assert sizes(a) == sizes(b)
+    assert spark.read.parquet(sparse[0]["path"] + "/members").count() == spark.read.parquet(dense[0]["path"] + "/members").count()
