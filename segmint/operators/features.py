@@ -64,11 +64,26 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def filter_to_category(counts: DataFrame, category: DataFrame, page_col: str, category_page_col: str = "page_id") -> DataFrame:
-    """Keep actions on the category's pages, drop zero counts."""
-    cat = category.select(F.col(category_page_col).alias(page_col)).distinct()
+def filter_to_category(
+    counts: DataFrame,
+    category: DataFrame,
+    page_col: str,
+    category_page_col: str = "page_id",
+    category_col: str | None = None,
+) -> DataFrame:
+    """Keep actions on the category's pages, drop zero counts.
+
+    With ``category_col`` the page list holds several categories: every kept
+    row is tagged with its category (a page in two categories counts in both).
+    """
+    if category_col is None:
+        cat = category.select(F.col(category_page_col).alias(page_col)).distinct()
+        how = "left_semi"
+    else:
+        cat = category.select(F.col(category_col), F.col(category_page_col).alias(page_col)).distinct()
+        how = "inner"
     cat = checked_broadcast(cat, MAX_BROADCAST_CATEGORY)
-    return counts.join(cat, page_col, "left_semi").where(F.col("n") > 0)
+    return counts.join(cat, page_col, how).where(F.col("n") > 0)
 
 
 def scaling_factor(counts: DataFrame, value_col: str = "n") -> float:
@@ -77,10 +92,22 @@ def scaling_factor(counts: DataFrame, value_col: str = "n") -> float:
     return 1.0 / (1.0 + float(top or 0))
 
 
-def scale_actions(counts: DataFrame, factor: float | None = None, value_col: str = "n") -> DataFrame:
-    """Multiply counts by a factor (``factor=1`` keeps raw counts, as the test does)."""
-    f = scaling_factor(counts, value_col) if factor is None else float(factor)
-    return counts.withColumn(value_col, F.col(value_col).cast("double") * F.lit(f))
+def scale_actions(
+    counts: DataFrame, factor: float | None = None, value_col: str = "n", by: Sequence[str] = ()
+) -> DataFrame:
+    """Multiply counts by a factor (``factor=1`` keeps raw counts, as the test does).
+
+    Without a factor: 1 / (1 + largest count), of the whole input or of each
+    ``by`` group (e.g. each category), so every value lands in 0 < x < 1.
+    """
+    value = F.col(value_col).cast("double")
+    if factor is not None or not by:
+        f = scaling_factor(counts, value_col) if factor is None else float(factor)
+        return counts.withColumn(value_col, value * F.lit(f))
+    tops = counts.groupBy(*by).agg(F.max(value_col).cast("double").alias("_top"))
+    tops = checked_broadcast(tops, MAX_BROADCAST_CATEGORY)  # one row per group
+    scaled = counts.join(tops, list(by)).withColumn(value_col, value * (F.lit(1.0) / (F.lit(1.0) + F.col("_top"))))
+    return scaled.drop("_top")
 
 
 def dimension_table(

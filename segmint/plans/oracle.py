@@ -127,8 +127,9 @@ cb AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
   GROUP BY o.o_custkey, p.p_brand
 ),
+cats AS (SELECT DISTINCT CAST(substr(p_brand, 7, 1) AS BIGINT) AS category_id, p_brand AS page_id FROM part),
 fc AS (
-  SELECT * FROM cb WHERE p_brand IN (SELECT p_brand FROM part WHERE p_brand LIKE 'Brand#1%') AND n > 0
+  SELECT c.category_id, cb.o_custkey, cb.p_brand, cb.n FROM cb JOIN cats c ON c.page_id = cb.p_brand WHERE cb.n > 0
 )"""
 
 
@@ -186,23 +187,25 @@ SQL["read_user_activity"] = (
 
 # features
 SQL["group_by_user"] = "SELECT user_id, event_type AS page, count(*) AS n FROM events GROUP BY user_id, event_type"
-SQL["filter_to_category"] = _with(BRANDS, "SELECT o_custkey, p_brand, n FROM fc")
+SQL["filter_to_category"] = _with(BRANDS, "SELECT category_id, o_custkey, p_brand, n FROM fc")
 SQL["scale_actions"] = _with(
     BRANDS,
     _round(
-        "SELECT o_custkey, p_brand, CAST(n AS DOUBLE) * (1.0::DOUBLE / (1.0::DOUBLE + (SELECT max(n) FROM fc))) AS n FROM fc",
+        "SELECT category_id, o_custkey, p_brand, "
+        "CAST(n AS DOUBLE) * (1.0::DOUBLE / (1.0::DOUBLE + CAST(max(n) OVER (PARTITION BY category_id) AS DOUBLE))) AS n "
+        "FROM fc",
         ["n"],
     ),
 )
 SQL["assemble_vectors"] = _with(
     BRANDS
     + """,
-bd AS (SELECT CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS dim, p_brand FROM (SELECT DISTINCT p_brand FROM fc))""",
+bd AS (SELECT CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS dim, p_brand FROM (SELECT DISTINCT p_brand FROM cb))""",
     _round(
         """
-SELECT u.o_custkey, bd.dim, CAST(coalesce(fc.n, 0) AS DOUBLE) AS value
-FROM (SELECT DISTINCT o_custkey FROM fc) u CROSS JOIN bd
-LEFT JOIN fc ON fc.o_custkey = u.o_custkey AND fc.p_brand = bd.p_brand""",
+SELECT u.o_custkey, bd.dim, CAST(coalesce(cb.n, 0) AS DOUBLE) AS value
+FROM (SELECT DISTINCT o_custkey FROM cb) u CROSS JOIN bd
+LEFT JOIN cb ON cb.o_custkey = u.o_custkey AND cb.p_brand = bd.p_brand""",
         ["value"],
     ),
 )
@@ -301,7 +304,10 @@ emb AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS features FROM embed
 anchor AS (SELECT label, features AS anchor FROM emb QUALIFY row_number() OVER (PARTITION BY label ORDER BY vec_id) = 1),
 ea AS (SELECT e.vec_id, e.features, a.anchor FROM emb e JOIN anchor a ON a.label = e.label)"""
 SQL["square"] = _round(
-    "SELECT vec_id, CAST(embedding[1] AS DOUBLE) * CAST(embedding[1] AS DOUBLE) AS sq FROM embeddings", ["sq"]
+    "SELECT vec_id, CAST(dim AS INTEGER) AS dim, x * x AS sq FROM ("
+    "SELECT vec_id, unnest(generate_series(0, len(embedding) - 1)) AS dim, unnest(CAST(embedding AS DOUBLE[])) AS x "
+    "FROM embeddings)",
+    ["sq"],
 )
 SQL["vector_diff"] = _with(
     _ANCHOR,

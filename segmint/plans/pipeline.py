@@ -44,7 +44,13 @@ log = logging.getLogger(__name__)
 DENSE_MAX_Q = 1024
 
 
+ALL_MONTHS = "all"
+
+
 def month_counts(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> DataFrame:
+    """(month, customer, brand, n); ``months=None`` puts the whole history in one ``all`` bucket."""
+    if months is None:
+        return customer_brand_counts(spark, root).withColumn("month", F.lit(ALL_MONTHS))
     return customer_brand_counts(spark, root, by_month=True, months=months)
 
 
@@ -53,7 +59,7 @@ def run_pipeline(
     root: str,
     out: str,
     categories: dict[str, DataFrame],
-    months: Sequence[str],
+    months: Sequence[str] | None,
     k: int | None = None,
     ks: Sequence[int] | None = None,
     max_iter: int = 20,
@@ -65,7 +71,7 @@ def run_pipeline(
     """Run every (month, category); returns one record per step with ``ran`` True/False."""
     counts = materialize(month_counts(spark, root, months))
     done = []
-    for month in months:
+    for month in months if months is not None else [ALL_MONTHS]:
         month_rows = counts.where(F.col("month") == month).drop("month")
         for cat_name, category in categories.items():
             path = f"{out.rstrip('/')}/month={month}/category={cat_name}{('-' + suffix) if suffix else ''}"

@@ -104,9 +104,18 @@ def _brand_counts(spark, root):
     return FE.customer_brand_counts(spark, root)
 
 
-def _category(spark, root):
+def _categories(spark, root):
+    """(category_id, page_id): one category per manufacturer, its pages are the manufacturer's brands."""
     part = table(spark, root, "part", ["p_brand"])
-    return part.where(F.col("p_brand").startswith("Brand#1")).select(F.col("p_brand").alias("page_id")).distinct()
+    return part.select(
+        F.substring("p_brand", 7, 1).cast("bigint").alias("category_id"), F.col("p_brand").alias("page_id")
+    ).distinct()
+
+
+def _all_brands(spark, root):
+    """One category holding every brand."""
+    part = table(spark, root, "part", ["p_brand"])
+    return part.select(F.col("p_brand").alias("page_id")).distinct()
 
 
 # ---- sources (O01–O04) ----------------------------------------------------------------------
@@ -163,17 +172,22 @@ def q_group_by_user(spark, root):
     return users.select("user_id", F.explode("actions").alias("page", "n"))
 
 
+def _category_counts(spark, root):
+    return FE.filter_to_category(
+        _brand_counts(spark, root), _categories(spark, root), "p_brand", category_col="category_id"
+    )
+
+
 def q_filter_to_category(spark, root):
-    return FE.filter_to_category(_brand_counts(spark, root), _category(spark, root), "p_brand")
+    return _category_counts(spark, root)
 
 
 def q_scale_actions(spark, root):
-    counts = FE.filter_to_category(_brand_counts(spark, root), _category(spark, root), "p_brand")
-    return rounded(FE.scale_actions(counts))
+    return rounded(FE.scale_actions(_category_counts(spark, root), by=("category_id",)))
 
 
 def q_assemble_vectors(spark, root):
-    counts = FE.filter_to_category(_brand_counts(spark, root), _category(spark, root), "p_brand")
+    counts = _brand_counts(spark, root)
     dims = FE.dimension_table(counts, "p_brand")
     vecs = FE.assemble_vectors(counts, dims, "o_custkey", "p_brand")
     return rounded(vecs.select("o_custkey", F.posexplode("features").alias("dim", "value")))
@@ -371,12 +385,10 @@ def q_write_once(spark, root):
 
     base = ensure_checkpoint_dir(spark, fallback_local=True)
     out = f"{base.rstrip('/')}/write-once-{uuid.uuid4().hex}"
-    orders = table(spark, root, "orders", ["o_orderdate"])
-    month = orders.agg(F.min(F.date_format("o_orderdate", "yyyyMM"))).first()[0]
-    cats = {"m1": _category(spark, root)}
+    cats = {"all": _all_brands(spark, root)}
     rows = []
     for attempt in (1, 2):
-        for r in run_pipeline(spark, root, out, cats, [month], k=2):
+        for r in run_pipeline(spark, root, out, cats, None, k=2):
             rows.append((r["month"], r["category"], attempt, r["ran"]))
     return spark.createDataFrame(rows, "month string, category string, attempt int, ran boolean")
 
@@ -392,7 +404,8 @@ def _emb_with_anchor(spark, root):
 
 def q_square(spark, root):
     emb = _emb(spark, root)
-    return rounded(emb.select("vec_id", V.square(F.col("features")[0]).alias("sq")))
+    cells = emb.select("vec_id", F.posexplode("features").alias("dim", "x"))
+    return rounded(cells.select("vec_id", "dim", V.square("x").alias("sq")))
 
 
 def q_vector_diff(spark, root):
