@@ -83,7 +83,7 @@ def train_kmeans_sparse(points: DataFrame, q: int, k: int, init="k-means||", max
     from segmint.operators.train import check_params
 
     mode, max_iter, tol = check_params(init, max_iter, tol)
-    km = KMeans(k=k, initMode=mode, maxIter=max_iter, tol=tol, seed=seed, featuresCol="_vec")
+    km = KMeans(k=k, initMode=mode, maxIter=max_iter, tol=tol, seed=seed, featuresCol="_vec", solver="row")
     return km.fit(vector_frame(points, q))
 
 
