@@ -166,7 +166,12 @@ def cluster_sq_distance(summary: DataFrame, by: Sequence[str] = ()) -> DataFrame
 
 
 def cluster_reduce(assigned: DataFrame, *aggs: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Any associative aggregate per cluster, e.g. ``F.max("dist")`` or a grouped pandas UDF."""
+    """Any aggregate per cluster, e.g. ``F.max("dist")``, or grouped pandas UDFs.
+
+    Spark runs built-in aggregates with partial aggregation; a grouped pandas
+    UDF sees each cluster whole in one task, so keep those to bounded inputs
+    (Spark also does not mix the two kinds in one call).
+    """
     if not aggs:
         raise ValueError("give at least one aggregate column")
     return assigned.groupBy(*_keys(by)).agg(*aggs)

@@ -76,3 +76,25 @@ def test_zero_variance_gives_null_likelihood(spark):
     pts = spark.createDataFrame([([1.0],), ([1.0],)], "features array<double>")
     s = score_centers(pts, [[1.0]]).first()
     assert s["variance"] == 0.0 and s["ln_l"] is None and s["bic"] is None
+
+
+def test_cluster_reduce_accepts_user_aggregates(emb):
+    """Any aggregate per cluster, including a grouped pandas UDF (element-wise vector max)."""
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    from segmint.operators.profile import cluster_reduce
+
+    @pandas_udf("array<double>")
+    def vmax(v: pd.Series) -> list:
+        return np.max(np.vstack(v.to_numpy()), axis=0).tolist()
+
+    cents = first_rows_as_centers(emb, 3, "vec_id")
+    a = assign(emb, cents)
+    got = {r["cluster"]: r["vmax"] for r in cluster_reduce(a, vmax("features").alias("vmax")).collect()}
+    counts = {r["cluster"]: r["n"] for r in cluster_reduce(a, F.count("*").alias("n")).collect()}
+    summary = {r["cluster"]: (r["maxs"], r["n"]) for r in cluster_summary(a, 64).collect()}
+    assert got.keys() == summary.keys() == counts.keys()
+    for c in got:
+        assert counts[c] == summary[c][1]
+        assert np.allclose(got[c], summary[c][0])
