@@ -166,11 +166,11 @@ def cluster_sq_distance(summary: DataFrame, by: Sequence[str] = ()) -> DataFrame
 
 
 def cluster_reduce(assigned: DataFrame, *aggs: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Any aggregate per cluster, e.g. ``F.max("dist")``, or grouped pandas UDFs.
+    """Any aggregate column per cluster, e.g. ``F.max("dist")`` or ``F.max_by("user_id", "dist")``.
 
-    Spark runs built-in aggregates with partial aggregation; a grouped pandas
-    UDF sees each cluster whole in one task, so keep those to bounded inputs
-    (Spark also does not mix the two kinds in one call).
+    The reference takes an associative reduce; Spark's aggregate functions
+    are its equivalent and keep partial (map-side) aggregation, so a cluster
+    of any size never lands whole in one task.
     """
     if not aggs:
         raise ValueError("give at least one aggregate column")
