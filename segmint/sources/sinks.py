@@ -15,6 +15,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,11 +90,15 @@ def write_profile(profile: DataFrame, path: str, mode: str = "errorifexists") ->
 
 
 def path_done(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a completed Spark output (its ``_SUCCESS`` marker)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    """True when ``path`` holds a completed Spark output (its ``_SUCCESS`` marker).
+
+    Resolving the marker is an analysis-time file listing; no job runs.
+    """
+    try:
+        spark.read.text(path.rstrip("/") + "/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
 
 
 def write_once(spark: SparkSession, path: str, build: Callable[[], None]) -> bool:

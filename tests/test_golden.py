@@ -78,3 +78,21 @@ def test_params_are_checked():
     for bad in ("kmeans,100,0.001", "kmeans||,1.5,0.001", "kmeans||,100,1", "kmeans||,100"):
         with pytest.raises(ValueError):
             parse_params(bad)
+
+
+def test_kselect_job_on_folder(spark, workdir):
+    """Entry B: candidate ks from the point count (6 → 2, 4), sweep, largest BIC gap, bisection."""
+    from segmint.plans.kselect_job import kselect_job
+
+    inp = os.path.join(workdir, "in")
+    os.makedirs(inp)
+    with open(os.path.join(inp, "inputs.txt"), "w") as f:
+        for _, x, y in POINTS:
+            f.write(f"0:{x} 1:{y}\n")
+    with open(os.path.join(inp, "users.txt"), "w") as f:
+        f.write("\n".join(u for u, _, _ in POINTS) + "\n")
+    for name in ("pages.txt", "names.txt"):
+        with open(os.path.join(inp, name), "w") as f:
+            f.write("page1\npage2\n")
+    k = kselect_job(spark, inp, "random,20,0.001")
+    assert k in (2, 3, 4)
