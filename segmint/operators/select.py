@@ -90,7 +90,7 @@ def fixed_center_scorer(points: DataFrame, order_by: str, features: str = "featu
     from segmint.operators.assign import first_rows_as_centers
     from segmint.operators.score import score_model
 
-    pts = points.select(order_by, features)
+    pts = materialize(points.select(order_by, features))  # read by every candidate
     return MemoScorer(lambda k: score_model(pts, first_rows_as_centers(pts, k, order_by, features), features))
 
 

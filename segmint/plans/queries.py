@@ -36,7 +36,7 @@ from segmint.operators import select as SEL
 from segmint.operators import train as TR
 from segmint.operators.assign import as_centers, assign, attach_users, centers_frame, first_rows_as_centers
 from segmint.sources import jsonl, sinks, text
-from segmint.session import ensure_checkpoint_dir
+from segmint.session import ensure_checkpoint_dir, materialize
 from segmint.sources.tables import table
 
 DIGITS = 6
@@ -561,7 +561,7 @@ def q_candidate_ks(spark, root):
 
 
 def _emb_scorer(spark, root):
-    pts = _emb(spark, root).select("features")
+    pts = materialize(_emb(spark, root).select("features"))
     return pts, SEL.default_scorer(pts, TRAIN_ITER)
 
 
@@ -573,7 +573,7 @@ def _scored_frame(spark, scored) -> DataFrame:
 
 def q_sweep(spark, root):
     _, scorer = _emb_scorer(spark, root)
-    return _scored_frame(spark, SEL.sweep(scorer, KS_CURVE))
+    return _scored_frame(spark, SEL.sweep(scorer, KS_CURVE, parallelism=4))
 
 
 KS_SEARCH = (2, 4, 8, 16, 32)
@@ -585,7 +585,7 @@ def _ua_fixed_scorer(spark, root):
 
 
 def _sweep_range(spark, scorer):
-    return SEL._best_range(spark, SEL.sweep(scorer, KS_SEARCH))
+    return SEL._best_range(spark, SEL.sweep(scorer, KS_SEARCH, parallelism=4))
 
 
 def q_binsearch_bic(spark, root):
@@ -604,7 +604,7 @@ def q_linear_bic(spark, root):
 
 def q_binsearch_diameter(spark, root):
     scorer = _ua_fixed_scorer(spark, root)
-    scored = SEL.sweep(scorer, KS_SEARCH)
+    scored = SEL.sweep(scorer, KS_SEARCH, parallelism=4)
     lo, hi = scored[0], scored[-1]
     k, d = SEL.binsearch_diameter(scorer, (lo.k, lo.avg_diameter), (hi.k, hi.avg_diameter))
     return rounded(spark.createDataFrame([(k, d)], "k int, avg_diameter double"))
