@@ -19,13 +19,17 @@ from pyspark.sql import functions as F
 
 from segmint.operators.assign import assign
 from segmint.operators.features import user_actions
-from segmint.operators.profile import cluster_profile
+from segmint.operators.profile import cluster_profile, profile_from_summary
+from segmint.operators.sparse import assign_sparse, cluster_summary_sparse, train_kmeans_sparse
 from segmint.operators.train import centers_of, parse_params, train_kmeans
 from segmint.session import materialize
 from segmint.sources import sinks, text
 
 log = logging.getLogger(__name__)
 
+# Page sets wider than this run on sparse vectors.
+DENSE_MAX_Q = 1024
+
 
 def profile_job(
     spark: SparkSession,
@@ -44,8 +48,12 @@ def profile_job(
     return cluster_profile(assign(points, centers), centers, dims, run_id)
 
 
-def load_inputs(spark: SparkSession, input_dir: str) -> tuple[DataFrame, DataFrame, int]:
-    """(points with user_id and dense features, dims, Q) from a clustering input folder."""
+def load_inputs(spark: SparkSession, input_dir: str, sparse: bool = False) -> tuple[DataFrame, DataFrame, int]:
+    """(points, dims, Q) from a clustering input folder.
+
+    Points carry ``row_id``, ``user_id`` and either dense ``features`` or,
+    with ``sparse=True``, the non-zero ``idx``/``val`` arrays of each line.
+    """
     d = input_dir.rstrip("/")
     pages = text.read_lookup(spark, f"{d}/pages.txt", "dim", "dimension_id")
     names = text.read_lookup(spark, f"{d}/names.txt", "dim", "dimension_name")
@@ -54,10 +62,27 @@ def load_inputs(spark: SparkSession, input_dir: str) -> tuple[DataFrame, DataFra
     q = pages.count()
     raw = text.read_points(spark, f"{d}/inputs.txt")
     users = text.read_lookup(spark, f"{d}/users.txt", "row_id", "user_id")
-    points = raw.join(users, "row_id", "inner").select("row_id", "user_id", text.dense_from_map("features", q).alias("features"))
+    joined = raw.join(users, "row_id", "inner")
+    if sparse:
+        entries = F.filter(F.array_sort(F.map_entries("features")), lambda e: e["value"] != 0)
+        points = joined.select(
+            "row_id",
+            "user_id",
+            F.transform(entries, lambda e: e["key"]).alias("idx"),
+            F.transform(entries, lambda e: e["value"]).alias("val"),
+        )
+    else:
+        points = joined.select("row_id", "user_id", text.dense_from_map("features", q).alias("features"))
     return points, dims, q
 
 
+def _is_sparse(spark: SparkSession, input_dir: str, representation: str) -> bool:
+    if representation in ("dense", "sparse"):
+        return representation == "sparse"
+    q = text.read_lookup(spark, f"{input_dir.rstrip('/')}/pages.txt", "dim", "dimension_id").count()
+    return q > DENSE_MAX_Q
+
+
 def run_kmeans_job(
     spark: SparkSession,
     input_dir: str,
@@ -66,21 +91,34 @@ def run_kmeans_job(
     params: str = "kmeans||,20,0.0001",
     run_id: str | None = None,
     seed: int = 7,
+    representation: str = "auto",
 ) -> dict:
+    """Entry A: folder in → members (parquet), data.json, meta-data.json out.
+
+    Wide page sets (more than ``DENSE_MAX_Q`` pages) run on sparse vectors.
+    """
     init, iterations, epsilon = parse_params(params)
     run_id = run_id or str(uuid.uuid4())
-    points, dims, _ = load_inputs(spark, input_dir)
+    sparse = _is_sparse(spark, input_dir, representation)
+    points, dims, q = load_inputs(spark, input_dir, sparse)
     points = materialize(points)
     t = time.time()
-    model = train_kmeans(points, k, init, iterations, epsilon, seed)
+    if sparse:
+        model = train_kmeans_sparse(points, q, k, init, iterations, epsilon, seed)
+    else:
+        model = train_kmeans(points, k, init, iterations, epsilon, seed)
     log.info("done with train-kmeans. runtime: %d secs", time.time() - t)
     centers = centers_of(model)
-    assigned = assign(points, centers)
+    assigned = assign_sparse(points, centers) if sparse else assign(points, centers)
     out = output_dir.rstrip("/")
     sinks.write_membership_rows(sinks.membership_rows(assigned, run_id), f"{out}/members", mode="overwrite")
     # the JSON form is built from the written rows: no second assignment pass
     sinks.write_membership(spark.read.parquet(f"{out}/members"), f"{out}/data.json", mode="overwrite")
     t = time.time()
-    sinks.write_profile(cluster_profile(assigned, centers, dims, run_id), f"{out}/meta-data.json", mode="overwrite")
+    if sparse:
+        profile = profile_from_summary(cluster_summary_sparse(assigned, q), centers, dims, run_id)
+    else:
+        profile = cluster_profile(assigned, centers, dims, run_id)
+    sinks.write_profile(profile, f"{out}/meta-data.json", mode="overwrite")
     log.info("done with get-meta-data. runtime: %d secs", time.time() - t)
     return {"run_id": run_id, "k": k, "output": out}

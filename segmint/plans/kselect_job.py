@@ -10,11 +10,20 @@ from pyspark.sql import SparkSession
 
 from segmint.operators.select import select_k
 from segmint.operators.train import parse_params
-from segmint.plans.kmeans_job import load_inputs
+from segmint.operators.sparse import sparse_scorer
+from segmint.plans.kmeans_job import _is_sparse, load_inputs
+from segmint.session import materialize
 
 
-def kselect_job(spark: SparkSession, input_dir: str, params: str = "kmeans||,20,0.0001", ks=None, **kw) -> int:
+def kselect_job(
+    spark: SparkSession, input_dir: str, params: str = "kmeans||,20,0.0001", ks=None, representation="auto", **kw
+) -> int:
     _, iterations, _ = parse_params(params)
-    points, _, _ = load_inputs(spark, input_dir)
-    best = select_k(points.select("features"), ks=ks, max_iter=iterations, **kw)
+    sparse = _is_sparse(spark, input_dir, representation)
+    points, _, q = load_inputs(spark, input_dir, sparse)
+    if sparse:
+        points = materialize(points.select("idx", "val"))
+        best = select_k(points, ks=ks, scorer=sparse_scorer(points, q, iterations), **kw)
+    else:
+        best = select_k(points.select("features"), ks=ks, max_iter=iterations, **kw)
     return best.k

@@ -48,7 +48,8 @@ def test_golden_profile_in_memory(spark):
     _check_profiles(prof)
 
 
-def test_golden_text_folder_job(spark, workdir):
+@pytest.mark.parametrize("representation", ["dense", "sparse"])
+def test_golden_text_folder_job(spark, workdir, representation):
     """The reference's flow: inputs.txt + users/pages/names → data.json + meta-data.json."""
     inp = os.path.join(workdir, "in")
     os.makedirs(inp)
@@ -62,7 +63,7 @@ def test_golden_text_folder_job(spark, workdir):
         with open(os.path.join(inp, name), "w") as f:
             f.write("page1\npage2\n")
     out = os.path.join(workdir, "out")
-    run_kmeans_job(spark, inp, out, 2, "kmeans||,100,0.001", run_id="golden", seed=1)
+    run_kmeans_job(spark, inp, out, 2, "kmeans||,100,0.001", run_id="golden", seed=1, representation=representation)
     data = [json.loads(r["value"]) for r in spark.read.text(out + "/data.json").collect()]
     assert {tuple(d["user_ids"]) for d in data} == {("a", "b", "c"), ("d", "e", "f")}
     assert all(d["cluster_id"].startswith("golden-") for d in data)
@@ -96,3 +97,4 @@ def test_kselect_job_on_folder(spark, workdir):
             f.write("page1\npage2\n")
     k = kselect_job(spark, inp, "random,20,0.001")
     assert k in (2, 3, 4)
+    assert kselect_job(spark, inp, "random,20,0.001", representation="sparse") in (2, 3, 4)
