@@ -12,6 +12,7 @@ Queries (each forced to completion with the ``noop`` sink or a small collect):
 * sweep         embeddings: real fits for k = 2 … 64 (powers of two) + scores
 * select_k      embeddings: sweep → largest BIC gap → bisection → chosen model
 * membership    F4 fit → membership JSON lines (chunked)
+* sparse_job    F6 on sparse vectors: assemble → fit (k = 8) → assign → sparse profile
 
 Before timing, every query runs once on the smallest table set (untimed) so
 the numbers are steady-state: JIT, code generation caches and Python
@@ -38,9 +39,15 @@ from segmint.operators.features import (  # noqa: E402
     embedding_points,
     user_actions,
 )
-from segmint.operators.profile import cluster_profile  # noqa: E402
+from segmint.operators.profile import cluster_profile, profile_from_summary  # noqa: E402
 from segmint.operators.runs import k_curve  # noqa: E402
 from segmint.operators.select import default_scorer, select_k, sweep  # noqa: E402
+from segmint.operators.sparse import (  # noqa: E402
+    assemble_sparse,
+    assign_sparse,
+    cluster_summary_sparse,
+    train_kmeans_sparse,
+)
 from segmint.operators.train import centers_of, train_kmeans  # noqa: E402
 from segmint.session import ensure_checkpoint_dir, local_session, materialize  # noqa: E402
 from segmint.sources import sinks  # noqa: E402
@@ -102,6 +109,18 @@ def q_select_k(spark, root):
     select_k(pts, ks=KS, max_iter=20)
 
 
+def q_sparse_job(spark, root):
+    counts = materialize(customer_brand_counts(spark, root))
+    dims = dimension_table(counts, "p_brand")
+    q = dims.count()
+    pts = materialize(assemble_sparse(counts, dims, "o_custkey", "p_brand"))
+    model = train_kmeans_sparse(pts, q, 8)
+    c = centers_of(model)
+    run(profile_from_summary(cluster_summary_sparse(assign_sparse(pts, c), q), c, dims, "bench"))
+    pts.unpersist()
+    counts.unpersist()
+
+
 def q_membership(spark, root):
     pts, _ = user_actions(spark, root)
     pts = materialize(pts)
@@ -119,6 +138,7 @@ QUERIES = {
     "sweep": q_sweep,
     "select_k": q_select_k,
     "membership": q_membership,
+    "sparse_job": q_sparse_job,
 }
 
 
