@@ -151,3 +151,35 @@ def test_between_model_statistics(spark):
     assert msb == {"r": (2.25,), "s": (None,)}
     centered = {(r["k"], r["cluster"]): r["centered"] for r in C.center_data(d).where("run_id = 'r'").collect()}
     assert centered == {(2, 0): 1.0, (2, 1): -1.0, (4, 0): -1.0, (4, 1): 1.0, (4, 3): 0.0}
+
+
+def test_random_curves_match_brute_force(spark):
+    """300 random curves (small integer values, so ties happen) in one job, every rule checked."""
+    import random
+
+    rnd = random.Random(20261202)
+    curves = {}
+    for i in range(300):
+        n = rnd.randint(1, 7)
+        ks = sorted(rnd.sample(range(2, 40), n))
+        curves[f"r{i}"] = [(k, float(rnd.randint(0, 6))) for k in ks]
+    rows = [(r, k, v, v * 10.0 + 1.0, -v) for r, pts in curves.items() for k, v in pts]
+    df = spark.createDataFrame(rows, "run_id string, k int, avg_diameter double, wssse double, bic double")
+    slope_rows = {(r["run_id"], r["k"]): (r["slope"], r["value"]) for r in C.k_slopes(df).collect()}
+    ranges = _by_run(C.best_k_range_slope(df), ["k1", "s1", "d1", "k2", "s2", "d2"])
+    drops = _by_run(C.best_k_diameter_drop(df), ["k", "drop"])
+    ratios = _by_run(C.best_k_error_ratio(df), ["k", "ratio"])
+    elbows = _by_run(C.elbow_point(df), ["k", "avg_diameter"])
+    gaps = _by_run(C.max_bic_gap(df), ["k1", "k2", "gap"])
+    for run, pts in curves.items():
+        for k, s, v in ref_slopes(pts):
+            assert slope_rows[(run, k)] == pytest.approx((s, v))
+        ref = ref_range_slope(pts)
+        assert ranges[run] == ((None,) * 6 if ref is None else pytest.approx(ref))
+        assert drops[run] == pytest.approx(ref_drop(pts))
+        e = ref_elbow(pts)
+        assert elbows.get(run) == (None if e is None else pytest.approx(e))
+        if len(pts) > 1:
+            assert ratios[run] == pytest.approx(ref_ratio([(k, v * 10.0 + 1.0) for k, v in pts]))
+            g = ref_gap([(k, -v) for k, v in pts])
+            assert gaps[run] == pytest.approx((g[0][0], g[1][0], g[2]))

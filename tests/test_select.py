@@ -107,3 +107,34 @@ def test_candidate_frame_matches_rule(spark):
     for n in (1, 3, 6, 150, 1000):
         got = sorted(r["k"] for r in S.candidate_ks_frame(spark.range(n)).collect())
         assert got == S.candidate_ks(n)
+
+
+def test_random_tables_match_rules():
+    import random
+
+    rnd = random.Random(7)
+    for _ in range(300):
+        table = {k: float(rnd.randint(-20, 20)) for k in range(2, 70)}
+        k1 = rnd.randint(2, 40)
+        k2 = rnd.randint(k1, 69)
+        f = table.__getitem__
+        assert S.binsearch_bic(Stub(f), (k1, f(k1)), (k2, f(k2))) == _ref_binsearch(f, k1, f(k1), k2, f(k2))
+        # diameter rule, transcribed
+        a, da, b, db = k1, f(k1), k2, f(k2)
+        while True:
+            if b <= a:
+                want = (a, da)
+                break
+            if b - a == 1:
+                want = (b, db)
+                break
+            m = a + int((b - a) / 2.0 + 0.5)
+            d = f(m)
+            if (da - d) > (d - db):
+                b, db = m, d
+            else:
+                a, da = m, d
+        assert S.binsearch_diameter(Stub(lambda k: 0.0, f), (k1, f(k1)), (k2, f(k2))) == want
+        cands = list(range(k1, k2, 2)) + [k2]
+        best = sorted([(k, f(k)) for k in cands], key=lambda t: -t[1])[0]
+        assert S.linear_bic(Stub(f), k1, k2) == best
