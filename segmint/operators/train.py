@@ -110,7 +110,7 @@ def train_kmeans_default(points: DataFrame, k: int, max_iter: int, features: str
     return score_model(points, model, features)
 
 
-# The reference's compute-next-model is the same function.
+# The next model of a k search is fitted and scored the same way.
 compute_next_model = train_kmeans_default
 
 

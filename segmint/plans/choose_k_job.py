@@ -15,7 +15,7 @@ from segmint.plans.kmeans_job import _is_sparse, load_inputs
 from segmint.session import materialize
 
 
-def kselect_job(
+def choose_k_job(
     spark: SparkSession, input_dir: str, params: str = "kmeans||,20,0.0001", ks=None, representation="auto", **kw
 ) -> int:
     _, iterations, _ = parse_params(params)

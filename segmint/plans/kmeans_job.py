@@ -107,7 +107,7 @@ def run_kmeans_job(
         model = train_kmeans_sparse(points, q, k, init, iterations, epsilon, seed)
     else:
         model = train_kmeans(points, k, init, iterations, epsilon, seed)
-    log.info("done with train-kmeans. runtime: %d secs", time.time() - t)
+    log.info("model trained in %d s", time.time() - t)
     centers = centers_of(model)
     assigned = assign_sparse(points, centers) if sparse else assign(points, centers)
     out = output_dir.rstrip("/")
@@ -120,5 +120,5 @@ def run_kmeans_job(
     else:
         profile = cluster_profile(assigned, centers, dims, run_id)
     sinks.write_profile(profile, f"{out}/meta-data.json", mode="overwrite")
-    log.info("done with get-meta-data. runtime: %d secs", time.time() - t)
+    log.info("profile written in %d s", time.time() - t)
     return {"run_id": run_id, "k": k, "output": out}

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed values of the input formats (field names and column order must match the files).
+# Category file fields: id, facebook (list of objects with id and name).
+# Activity line: a JSON array in the order user_id, gender, page_like, page_comment, post_like, post_comment.
 ACTIVITY_COLUMNS = ("user_id", "gender", "page_like", "page_comment", "post_like", "post_comment")
 _MAP_COLUMNS = frozenset({"page_like", "page_comment", "post_like", "post_comment"})
 

@@ -1,4 +1,4 @@
-"""the reference's end-to-end fixture — six users, two pages, k = 2."""
+"""the end-to-end golden fixture — six users, two pages, k = 2."""
 
 import json
 import os
@@ -81,9 +81,9 @@ def test_params_are_checked():
             parse_params(bad)
 
 
-def test_kselect_job_on_folder(spark, workdir):
+def test_choose_k_job_on_folder(spark, workdir):
     """Entry B: candidate ks from the point count (6 → 2, 4), sweep, largest BIC gap, bisection."""
-    from segmint.plans.kselect_job import kselect_job
+    from segmint.plans.choose_k_job import choose_k_job
 
     inp = os.path.join(workdir, "in")
     os.makedirs(inp)
@@ -95,6 +95,6 @@ def test_kselect_job_on_folder(spark, workdir):
     for name in ("pages.txt", "names.txt"):
         with open(os.path.join(inp, name), "w") as f:
             f.write("page1\npage2\n")
-    k = kselect_job(spark, inp, "random,20,0.001")
+    k = choose_k_job(spark, inp, "random,20,0.001")
     assert k in (2, 3, 4)
-    assert kselect_job(spark, inp, "random,20,0.001", representation="sparse") in (2, 3, 4)
+    assert choose_k_job(spark, inp, "random,20,0.001", representation="sparse") in (2, 3, 4)
