@@ -9,7 +9,7 @@ Queries (each forced to completion with the ``noop`` sink or a small collect):
 * kmeans_job    F4 → seeded fit (k = 8) → assign → nested profile
 * profile_emb   embeddings, fixed 16 centres → assign → nested profile
 * k_curve       embeddings: fixed-centre models for every label and k ∈ {2,4,8,16,32,64}
-* sweep         embeddings: real fits for k = 2 … 64 (powers of two) + scores
+* sweep         embeddings: real fits for k = 2 … 64 (powers of two), 4 at a time, scored in one pass
 * select_k      embeddings: sweep → largest BIC gap → bisection → chosen model
 * membership    F4 fit → membership JSON lines (chunked)
 * sparse_job    F6 on sparse vectors: assemble → fit (k = 8) → assign → sparse profile
@@ -41,7 +41,7 @@ from segmint.operators.features import (  # noqa: E402
 )
 from segmint.operators.profile import cluster_profile, profile_from_summary  # noqa: E402
 from segmint.operators.runs import k_curve  # noqa: E402
-from segmint.operators.select import default_scorer, select_k, sweep  # noqa: E402
+from segmint.operators.select import select_k, sweep_models  # noqa: E402
 from segmint.operators.sparse import (  # noqa: E402
     assemble_sparse,
     assign_sparse,
@@ -101,7 +101,7 @@ def q_k_curve(spark, root):
 
 def q_sweep(spark, root):
     pts = materialize(embedding_points(spark, root).select("features"))
-    sweep(default_scorer(pts, 20), KS, parallelism=4)
+    sweep_models(pts, KS, 20)
 
 
 def q_select_k(spark, root):

@@ -125,3 +125,57 @@ def model_diameters(k_curve: DataFrame, by: Sequence[str] = ("run_id",)) -> Data
 def model_errors(k_curve: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
     """(k, wssse) per model."""
     return k_curve.select(*by, "k", "wssse")
+
+
+def score_many(points: DataFrame, centers_by_k: dict, features: str = "features") -> DataFrame:
+    """Score several models in ONE pass over the points: (k, n, wssse, avg_diameter, variance, ln_l, aic, bic).
+
+    Every Arrow batch is assigned under each model's centres (all broadcast
+    together, size-checked); one aggregation by (k, cluster) follows.
+    """
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    from segmint.operators.assign import MAX_CENTER_BYTES, feature_matrix, nearest_rows
+
+    table = {int(k): as_centers(c) for k, c in centers_by_k.items()}
+    if not table:
+        raise ValueError("no models to score")
+    qs = {m.shape[1] for m in table.values()}
+    if len(qs) != 1:
+        raise ValueError("all models must have the same width")
+    q = qs.pop()
+    if sum(m.nbytes for m in table.values()) > MAX_CENTER_BYTES:
+        raise ValueError("centre matrices exceed the broadcast limit; score in smaller groups")
+    bc = points.sparkSession.sparkContext.broadcast(table)
+    feat = points.select(features)
+    out_schema = T.StructType(
+        [
+            T.StructField("k", T.IntegerType(), False),
+            T.StructField("cluster", T.IntegerType(), False),
+            T.StructField("d2", T.DoubleType(), False),
+            T.StructField("dist", T.DoubleType(), False),
+        ]
+    )
+
+    def run(batches):
+        models = bc.value
+        sq = {k: np.einsum("ij,ij->i", c, c) for k, c in models.items()}
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            x = feature_matrix(batch.column(0), q)
+            for k, c in models.items():
+                j, d2 = nearest_rows(x, c, sq[k])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, k, dtype=np.int32)), pa.array(j.astype(np.int32)), pa.array(d2), pa.array(np.sqrt(d2))],
+                    names=["k", "cluster", "d2", "dist"],
+                )
+
+    assigned = feat.mapInArrow(run, out_schema)
+    summary = assigned.groupBy("k", "cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.max("dist").alias("max_dist"), F.sum("d2").alias("sse")
+    )
+    return score_summary(summary, q, "k", by=("k",))

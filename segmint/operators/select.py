@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmint.operators.curve import best_k_range_bic
-from segmint.operators.train import DEFAULT_SEED, ScoredModel, train_kmeans_default
+from segmint.operators.train import DEFAULT_SEED, DEFAULT_TOL, ScoredModel, train_kmeans_default
 from segmint.session import materialize
 
 log = logging.getLogger(__name__)
@@ -130,6 +130,43 @@ def sweep(scorer: Scorer, ks: Sequence[int], parallelism: int = 1, max_k: int |
     return [done[k] for k in ks]
 
 
+def sweep_models(
+    points: DataFrame,
+    ks: Sequence[int],
+    max_iter: int = 20,
+    parallelism: int = 4,
+    features: str = "features",
+    seed: int = DEFAULT_SEED,
+    max_k: int | None = None,
+) -> list[ScoredModel]:
+    """O28 with one scoring pass: fit every candidate (concurrently), then score all in one job."""
+    from segmint.operators.score import score_many
+    from segmint.operators.train import centers_of, train_kmeans
+
+    ks = sorted(int(k) for k in ks if max_k is None or k <= max_k)
+    fit = lambda k: (k, train_kmeans(points, k, "k-means||", max_iter, DEFAULT_TOL, seed, features))
+    if parallelism <= 1 or len(ks) <= 1:
+        models = dict(map(fit, ks))
+    else:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            models = dict(pool.map(fit, sorted(ks, reverse=True)))
+    rows = {r["k"]: r for r in score_many(points, {k: centers_of(m) for k, m in models.items()}, features).collect()}
+    q = len(centers_of(models[ks[0]])[0]) if ks else 0
+    return [
+        ScoredModel(
+            k=k,
+            wssse=float(rows[k]["wssse"]),
+            avg_diameter=float(rows[k]["avg_diameter"]),
+            model=models[k],
+            n=int(rows[k]["n"]),
+            q=q,
+            bic=None if rows[k]["bic"] is None else float(rows[k]["bic"]),
+            aic=None if rows[k]["aic"] is None else float(rows[k]["aic"]),
+        )
+        for k in ks
+    ]
+
+
 def binsearch_bic(scorer: Scorer, lo: tuple[int, float], hi: tuple[int, float], final: str = "lower") -> tuple[int, float]:
     """Bisect on BIC between (k1, b1) and (k2, b2).
 
@@ -203,7 +240,8 @@ def select_k(
 ) -> ScoredModel:
     """Sweep → largest BIC gap (O39b) → bisection (O40) or linear scan (O41) → model at the chosen k."""
     spark = points.sparkSession
-    if scorer is None:
+    own_scorer = scorer is None
+    if own_scorer:
         points = materialize(points.select(features))
         scorer = default_scorer(points, max_iter, features)
     if ks is None:
@@ -213,7 +251,12 @@ def select_k(
         ks = candidate_ks(n)
     if not ks:
         raise ValueError("no candidate k")
-    scored = sweep(scorer, sorted(ks), parallelism)
+    if own_scorer:
+        # fits run concurrently, all candidates are scored in one pass; bisection reuses them
+        scored = sweep_models(points, ks, max_iter, parallelism, features)
+        scorer.cache.update({s.k: s for s in scored})
+    else:
+        scored = sweep(scorer, sorted(ks), parallelism)
     lo, hi = _best_range(spark, scored)
     if strategy == "bisect":
         k, _ = binsearch_bic(scorer, lo, hi, final)

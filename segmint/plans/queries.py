@@ -572,8 +572,8 @@ def _scored_frame(spark, scored) -> DataFrame:
 
 
 def q_sweep(spark, root):
-    _, scorer = _emb_scorer(spark, root)
-    return _scored_frame(spark, SEL.sweep(scorer, KS_CURVE, parallelism=4))
+    pts = materialize(_emb(spark, root).select("features"))
+    return _scored_frame(spark, SEL.sweep_models(pts, KS_CURVE, TRAIN_ITER))
 
 
 KS_SEARCH = (2, 4, 8, 16, 32)

@@ -96,3 +96,14 @@ def test_cluster_reduce_accepts_user_aggregates(emb):
         assert far == max(members, key=lambda r: r["dist"])["vec_id"]
         dists = sorted(r["dist"] for r in members)
         assert med == dists[(len(dists) - 1) // 2]
+
+
+def test_score_many_equals_one_by_one(emb):
+    from segmint.operators.score import score_many
+
+    models = {k: first_rows_as_centers(emb, k, "vec_id") for k in (2, 5, 9)}
+    together = {r["k"]: r for r in score_many(emb, models).collect()}
+    for k, c in models.items():
+        alone = score_centers(emb, c).first()
+        for f in ("n", "wssse", "avg_diameter", "bic", "aic", "ln_l"):
+            assert together[k][f] == pytest.approx(alone[f], rel=1e-12), f
