@@ -23,6 +23,8 @@ from segmint.operators.features import (  # noqa: E402
 )
 from segmint.operators.profile import cluster_profile, cluster_summary  # noqa: E402
 from segmint.operators.runs import k_curve  # noqa: E402
+from segmint.operators.score import score_many  # noqa: E402
+from segmint.operators.sparse import assemble_sparse, assign_sparse, cluster_summary_sparse  # noqa: E402
 from segmint.plans.pipeline import month_counts  # noqa: E402
 from segmint.session import local_session  # noqa: E402
 from segmint.sources import sinks  # noqa: E402
@@ -49,6 +51,10 @@ def main(root: str) -> None:
     emb = embedding_points(spark, root)
     ecents = first_rows_as_centers(emb, 16, "vec_id")
     counts = customer_brand_counts(spark, root)
+    bdims = dimension_table(counts, "p_brand")
+    q_b = bdims.count()
+    sp = assemble_sparse(counts, bdims, "o_custkey", "p_brand")
+    bcents = first_rows_as_centers(assemble_vectors(counts, bdims, "o_custkey", "p_brand"), 8, "o_custkey")
     cases = {
         "features (F4 events → vectors)": pts,
         "brand counts (F6 join)": counts,
@@ -59,6 +65,8 @@ def main(root: str) -> None:
         "cluster summary (Summarizer)": cluster_summary(assign(emb, ecents), 64),
         "nested profile": cluster_profile(assign(pts, cents), cents, dims, "r"),
         "k-curve (10 runs × 4 k)": k_curve(emb, "label", "vec_id", [2, 4, 8, 16], 64),
+        "sweep scoring, 3 models in one pass": score_many(emb, {k: first_rows_as_centers(emb, k, "vec_id") for k in (4, 8, 16)}),
+        "sparse assignment + summary": cluster_summary_sparse(assign_sparse(sp, bcents), q_b),
         "membership lines": sinks.membership_lines(
             sinks.membership_rows(assign(pts, cents).withColumn("user_id", F.col("user_id").cast("string")), "r")
         ),

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmint.operators.assign import as_centers
+from segmint.operators.features import MAX_LOCAL_DIMS
 from segmint.sources.text import dense_from_map
 
 def assemble_sparse(
@@ -37,10 +38,15 @@ def assemble_sparse(
     page_col: str,
     value_col: str | None = "n",
     by: Sequence[str] = (),
+    q: int | None = None,
 ) -> DataFrame:
     """(by…, user, idx, val): the non-zero dimensions of every user, ascending."""
     value = F.lit(1.0) if value_col is None else F.col(value_col).cast("double")
     d = dims.select(F.col("dimension_id").alias("_page"), F.col("dim").cast("int").alias("_dim"))
+    if q is None:
+        q = dims.count()
+    if q <= MAX_LOCAL_DIMS:  # Q rows; otherwise the planner picks the join
+        d = F.broadcast(d)
     keyed = counts.join(d, F.col(page_col).cast("string") == F.col("_page"), "inner")
     per_dim = keyed.groupBy(*by, user_col, "_dim").agg(F.sum(value).alias("_v")).where(F.col("_v") != 0)
     entries = per_dim.groupBy(*by, user_col).agg(F.sort_array(F.collect_list(F.struct("_dim", "_v"))).alias("_e"))
@@ -167,30 +173,42 @@ def assign_sparse(points: DataFrame, centers, idx: str = "idx", val: str = "val"
 
 
 def cluster_summary_sparse(assigned: DataFrame, q: int, by: Sequence[str] = ()) -> DataFrame:
-    """Same columns as ``profile.cluster_summary``, from the non-zeros only."""
+    """Same columns as ``profile.cluster_summary``, from the non-zeros only, in one aggregation.
+
+    Each row contributes its non-zero entries plus one marker entry (dim −1)
+    that carries the row's distance, so the cluster-level and the
+    per-dimension statistics come from the same pass and the same shuffle.
+    """
     keys = [*by, "cluster"]
-    base = assigned.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max("dist").alias("max_dist"),
-        F.sum("dist").alias("dist_sum"),
-        F.sum("d2").alias("sse"),
-    )
-    per_dim = (
-        assigned.select(*keys, F.explode(F.arrays_zip(F.col("idx").alias("i"), F.col("val").alias("v"))).alias("e"))
-        .groupBy(*keys, F.col("e.i").alias("dim"))
-        .agg(
-            F.min("e.v").alias("mn"),
-            F.max("e.v").alias("mx"),
-            F.sum("e.v").alias("sm"),
-            F.count_if(F.col("e.v") > 0).alias("ps"),
-            F.count(F.lit(1)).alias("nz"),
-        )
+    marker = F.array(F.struct(F.lit(-1).alias("i"), F.lit(0.0).alias("v")))
+    entries = F.concat(marker, F.arrays_zip(F.col("idx").alias("i"), F.col("val").alias("v")))
+    exploded = assigned.select(*keys, "dist", "d2", F.explode(entries).alias("e"))
+    is_row = F.col("e.i") < 0
+    per_dim = exploded.groupBy(*keys, F.col("e.i").alias("dim")).agg(
+        F.count(F.lit(1)).alias("nz"),
+        F.max(F.when(is_row, F.col("dist"))).alias("max_dist"),
+        F.sum(F.when(is_row, F.col("dist"))).alias("dist_sum"),
+        F.sum(F.when(is_row, F.col("d2"))).alias("sse"),
+        F.min("e.v").alias("mn"),
+        F.max("e.v").alias("mx"),
+        F.sum("e.v").alias("sm"),
+        F.count_if(F.col("e.v") > 0).alias("ps"),
     )
-    # At most Q entries per cluster: the profile's own size.
+    # At most Q + 1 entries per cluster: the profile's own size.
     packed = per_dim.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("dim", F.struct("mn", "mx", "sm", "ps", "nz")))).alias("_m")
+        F.map_from_entries(
+            F.collect_list(F.struct("dim", F.struct("nz", "max_dist", "dist_sum", "sse", "mn", "mx", "sm", "ps")))
+        ).alias("_m")
+    )
+    row = F.element_at(F.col("_m"), F.lit(-1))
+    joined = packed.select(
+        *keys,
+        row["nz"].alias("n"),
+        row["max_dist"].alias("max_dist"),
+        row["dist_sum"].alias("dist_sum"),
+        row["sse"].alias("sse"),
+        "_m",
     )
-    joined = base.join(packed, keys, "left")
     seq = F.sequence(F.lit(0), F.lit(q - 1))
     n = F.col("n")
 
