@@ -95,29 +95,39 @@ def cluster_summary(
         return g.select(*keys, "n", "max_dist", "dist_sum", "sse", "mins", "maxs", "sums", means, "positives")
     if strategy != "long":
         raise ValueError(f"unknown strategy {strategy!r}")
-    base = assigned.groupBy(*keys).agg(*base_aggs)
-    per_dim = (
-        assigned.select(*keys, F.posexplode(features).alias("dim", "x"))
-        .groupBy(*keys, "dim")
-        .agg(
-            F.min("x").alias("mn"),
-            F.max("x").alias("mx"),
-            F.sum("x").alias("sm"),
-            F.count_if(F.col("x") > 0).alias("ps"),
-        )
-        # Q entries per cluster: bounded by the vector width, not by the data.
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("dim", "mn", "mx", "sm", "ps"))).alias("_d"))
-        .select(
-            *keys,
-            F.col("_d.mn").alias("mins"),
-            F.col("_d.mx").alias("maxs"),
-            F.col("_d.sm").alias("sums"),
-            F.col("_d.ps").alias("positives"),
-        )
+    # One pass: every row adds a marker entry (dim −1) carrying its distance, then its Q values.
+    marker = F.array(F.struct(F.lit(-1).alias("dim"), F.lit(0.0).alias("x")))
+    cells = F.transform(x, lambda v, i: F.struct(i.alias("dim"), v.alias("x")))
+    exploded = assigned.select(*keys, "dist", "d2", F.explode(F.concat(marker, cells)).alias("e"))
+    is_row = F.col("e.dim") < 0
+    per_dim = exploded.groupBy(*keys, F.col("e.dim").alias("dim")).agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.max(F.when(is_row, F.col("dist"))).alias("max_dist"),
+        F.sum(F.when(is_row, F.col("dist"))).alias("dist_sum"),
+        F.sum(F.when(is_row, F.col("d2"))).alias("sse"),
+        F.min("e.x").alias("mn"),
+        F.max("e.x").alias("mx"),
+        F.sum("e.x").alias("sm"),
+        F.count_if(F.col("e.x") > 0).alias("ps"),
+    )
+    # Q + 1 entries per cluster: bounded by the vector width, not by the data.
+    packed = per_dim.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("dim", "cnt", "max_dist", "dist_sum", "sse", "mn", "mx", "sm", "ps"))).alias("_d")
+    )
+    row = F.col("_d")[0]  # the marker sorts first
+    dims = F.slice(F.col("_d"), 2, q)
+    return packed.select(
+        *keys,
+        row["cnt"].alias("n"),
+        row["max_dist"].alias("max_dist"),
+        row["dist_sum"].alias("dist_sum"),
+        row["sse"].alias("sse"),
+        F.transform(dims, lambda d: d["mn"]).alias("mins"),
+        F.transform(dims, lambda d: d["mx"]).alias("maxs"),
+        F.transform(dims, lambda d: d["sm"]).alias("sums"),
+        F.transform(dims, lambda d: d["sm"] / row["cnt"]).alias("means"),
+        F.transform(dims, lambda d: d["ps"]).alias("positives"),
     )
-    joined = base.join(per_dim, keys, "inner")
-    return joined.select(*keys, "n", "max_dist", "dist_sum", "sse", "mins", "maxs", "sums", means, "positives")
 
 
 def with_all_clusters(summary: DataFrame, centers, by_values: dict | None = None) -> DataFrame:
