@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 import sys
 from pathlib import Path
@@ -36,7 +38,10 @@ KEEP = re.compile(
 
 
 def condensed(df) -> str:
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
     out = []
     for line in plan.splitlines():
         if KEEP.search(line):

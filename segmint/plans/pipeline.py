@@ -2,7 +2,8 @@
 
 activity (orders ⋈ lineitem ⋈ part: a customer "acts on" a brand by buying
 it) → per (month, customer, brand) counts, computed once for all months
-and cut from the lineage → for each month and category: keep the category's
+and written as a month-partitioned table in the checkpoint folder (each
+step reads only its month) → for each month and category: keep the category's
 brands, scale, assemble vectors → k (given, or chosen by k selection) →
 fit → assign → write membership rows, membership JSON and profiles under
 ``<out>/month=<m>/category=<c>[-suffix]``.
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +37,7 @@ from segmint.operators.profile import cluster_profile, profile_from_summary
 from segmint.operators.sparse import assemble_sparse, assign_sparse, cluster_summary_sparse, sparse_scorer, train_kmeans_sparse
 from segmint.operators.select import select_k
 from segmint.operators.train import centers_of, train_kmeans
-from segmint.session import materialize
+from segmint.session import materialize, materialize_table
 from segmint.sources import sinks
 
 log = logging.getLogger(__name__)
@@ -67,10 +69,12 @@ def run_pipeline(
     scale: float | None = None,
     suffix: str = "",
     representation: str = "auto",
+    parallelism: int = 1,
 ) -> list[dict]:
     """Run every (month, category); returns one record per step with ``ran`` True/False."""
-    counts = materialize(month_counts(spark, root, months))
-    done = []
+    # one table for all steps, partitioned by month: each step reads only its month
+    counts = materialize_table(month_counts(spark, root, months), ["month"])
+    steps = []
     for month in months if months is not None else [ALL_MONTHS]:
         month_rows = counts.where(F.col("month") == month).drop("month")
         for cat_name, category in categories.items():
@@ -121,6 +125,15 @@ def run_pipeline(
                 # The marker of a completed step is written last.
                 spark.createDataFrame([(run_id, kk)], "run_id string, k int").write.mode("overwrite").json(f"{path}/step")
 
-            ran = sinks.write_once(spark, f"{path}/step", build)
-            done.append({"month": month, "category": cat_name, "path": path, "ran": ran})
-    return done
+            steps.append((month, cat_name, path, build))
+
+    def run(step):
+        month, cat_name, path, build = step
+        ran = sinks.write_once(spark, f"{path}/step", build)
+        return {"month": month, "category": cat_name, "path": path, "ran": ran}
+
+    if parallelism <= 1 or len(steps) <= 1:
+        return [run(st) for st in steps]
+    # independent steps, each its own set of Spark jobs on the shared session
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(run, steps))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import os
 import tempfile
 
 from pyspark import StorageLevel
@@ -69,8 +68,23 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def materialize_table(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """Cut the lineage by writing a parquet table into the shared checkpoint folder.
+
+    Unlike ``checkpoint()``, a table partitioned by ``partition_by`` lets later
+    filters on those columns read only their own folders (partition pruning).
+    Without a checkpoint folder the frame is persisted instead.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        log.warning("spark.checkpoint.dir is unset; persisting instead of writing a table")
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = f"{base.rstrip('/')}/table-{uuid.uuid4().hex}"
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return spark.read.parquet(path)

@@ -42,3 +42,30 @@ def test_pipeline_sparse_route(spark, workdir):
     sizes = lambda df: sorted(r["cluster_member_count"] for r in df.collect())
     assert sizes(a) == sizes(b)
     assert spark.read.parquet(sparse[0]["path"] + "/members").count() == spark.read.parquet(dense[0]["path"] + "/members").count()
+
+
+def test_pipeline_parallel_steps_and_month_pruning(spark, workdir):
+    from segmint.plans.pipeline import month_counts
+    from segmint.session import materialize_table
+
+    table_ = materialize_table(month_counts(spark, SF_SMALL, ["199601", "199602"]), ["month"])
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        table_.where(F.col("month") == "199602").explain()
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(month" in plan and "199602" in plan
+    part = table(spark, SF_SMALL, "part", ["p_brand"])
+    cats = {
+        f"m{i}": part.where(F.col("p_brand").startswith(f"Brand#{i}")).select(F.col("p_brand").alias("page_id")).distinct()
+        for i in (1, 2)
+    }
+    out = os.path.join(workdir, "out")
+    got = run_pipeline(spark, SF_SMALL, out, cats, ["199601", "199602"], k=2, parallelism=4)
+    assert sorted((r["month"], r["category"], r["ran"]) for r in got) == [
+        ("199601", "m1", True), ("199601", "m2", True), ("199602", "m1", True), ("199602", "m2", True)
+    ]
+    again = run_pipeline(spark, SF_SMALL, out, cats, ["199601", "199602"], k=2, parallelism=4)
+    assert not any(r["ran"] for r in again)
