@@ -11,7 +11,6 @@ left to right from the first element, so results equal a sequential fold
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,10 +48,6 @@ def vector_diff(a, b) -> Column:
     return F.zip_with(_col(a), _col(b), lambda x, y: x - y)
 
 
-def _fold_sum(terms: list[Column]) -> Column:
-    return reduce(lambda acc, t: acc + t, terms)
-
-
 def sq_norm(a, size: int | None = None) -> Column:
     if isinstance(a, str) and size is not None and 0 < size <= UNROLL_WIDTH:
         n = _q(a)

@@ -156,9 +156,9 @@ def assign(points: DataFrame, centers, features: str = "features", method: str =
     raise ValueError(f"unknown assign method {method!r}")
 
 
-def distance_to_center(assigned: DataFrame) -> DataFrame:
-    """The distance of every point to its own centre (already on assigned rows)."""
-    return assigned.select(*[c for c in assigned.columns if c not in ("d2",)])
+def distance_to_center(assigned: DataFrame, *keep: str) -> DataFrame:
+    """(keep…, cluster, dist), each point's Euclidean distance to its own centre."""
+    return assigned.select(*keep, "cluster", "dist")
 
 
 def attach_users(predictions: DataFrame, users: DataFrame, row_col: str = "row_id") -> DataFrame:

@@ -34,7 +34,14 @@ from segmint.operators import runs as R
 from segmint.operators import score as S
 from segmint.operators import select as SEL
 from segmint.operators import train as TR
-from segmint.operators.assign import as_centers, assign, attach_users, centers_frame, first_rows_as_centers
+from segmint.operators.assign import (
+    as_centers,
+    assign,
+    attach_users,
+    centers_frame,
+    distance_to_center,
+    first_rows_as_centers,
+)
 from segmint.sources import jsonl, sinks, text
 from segmint.session import ensure_checkpoint_dir, materialize
 from segmint.sources.tables import table
@@ -239,7 +246,7 @@ def q_assign(spark, root):
 
 def q_distance_to_center(spark, root):
     a, _, _ = _ua_assigned(spark, root)
-    return rounded(a.select("user_id", "cluster", "dist"))
+    return rounded(distance_to_center(a, "user_id"))
 
 
 def q_attach_users(spark, root):
@@ -560,11 +567,6 @@ def q_candidate_ks(spark, root):
     return SEL.candidate_ks_frame(pts)
 
 
-def _emb_scorer(spark, root):
-    pts = materialize(_emb(spark, root).select("features"))
-    return pts, SEL.default_scorer(pts, TRAIN_ITER)
-
-
 def _scored_frame(spark, scored) -> DataFrame:
     schema = "k int, n bigint, wssse double, avg_diameter double, bic double"
     rows = [(s.k, s.n, s.wssse, s.avg_diameter, s.bic) for s in scored]

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -82,12 +81,3 @@ def format_points(features) -> Column:
         lambda e: e["v"] != 0,
     )
     return F.concat_ws(" ", F.transform(entries, lambda e: F.concat(e["i"].cast("string"), F.lit(":"), e["v"].cast("string"))))
-
-
-def points_schema() -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField("row_id", T.LongType(), False),
-            T.StructField("features", T.MapType(T.IntegerType(), T.DoubleType()), True),
-        ]
-    )
