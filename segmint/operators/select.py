@@ -91,7 +91,18 @@ def fixed_center_scorer(points: DataFrame, order_by: str, features: str = "featu
     from segmint.operators.score import score_model
 
     pts = materialize(points.select(order_by, features))  # read by every candidate
-    return MemoScorer(lambda k: score_model(pts, first_rows_as_centers(pts, k, order_by, features), features))
+    prefix: dict[str, object] = {"rows": None}
+    guard = threading.Lock()
+
+    def centres(k: int):
+        with guard:  # one fetch of the longest prefix asked for so far
+            rows = prefix["rows"]
+            if rows is None or len(rows) < k:
+                rows = first_rows_as_centers(pts, max(k, 32), order_by, features)
+                prefix["rows"] = rows
+        return rows[:k]
+
+    return MemoScorer(lambda k: score_model(pts, centres(k), features))
 
 
 CURVE_SCHEMA = T.StructType(
