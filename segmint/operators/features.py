@@ -4,9 +4,11 @@ Activity → per (user, page) counts → optional category filter and scaling 
 one dense ``array<double>`` per user, plus the dimension table
 ``(dim, dimension_id, dimension_name)``.
 
-Every aggregation is pre-aggregated on (user, page) before anything is keyed
-by user alone, so a user with a third of all events still reaches the
-per-user step as at most Q rows.
+No per-user step ever sees a user's raw activity: narrow vectors are one
+``groupBy(user)`` of conditional sums whose partial aggregation runs
+map-side (one row per user per input partition reaches the shuffle), and
+the map and sparse forms pre-aggregate on (user, page) first, so a user with
+a third of all events still arrives as at most Q entries.
 """
 
 from __future__ import annotations

@@ -2,9 +2,11 @@
 
 A run is one point set (a month × category, a label …). For each run the
 centres are that run's first rows by id, and a model with k centres uses the
-first k of them. Each point is assigned once per k, in one pass: the run's
-centre list (at most ``max(ks)`` vectors) is attached by a broadcast join on
-the run key and the nearest centre is found inside the row.
+first k of them. Each point is assigned once per k, in one pass: the table
+of every run's centres (runs × max(ks) vectors, size-checked) is broadcast
+to the executors and each Arrow batch is searched per run and k. Beyond the
+size cap the run's centre list is joined on the run key instead and the
+nearest centre is found inside the row.
 
 This is the deterministic stand-in for training that the k-curve and the
 k-selection operators are checked with, and a cheap way to score many

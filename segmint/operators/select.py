@@ -1,9 +1,11 @@
 """Choosing k.
 
-Control stays on the driver; every step is one distributed fit plus one
-scoring aggregation over the persisted points. A scorer maps k to a
-``ScoredModel`` and is memoised, so a k is never fitted twice (fits are
-seeded, so a refit would give the same model anyway).
+Control stays on the driver; every step is a distributed fit over the
+persisted points. The sweep fits its candidates concurrently and scores
+them all in one pass (``sweep_models``); each bisection step is one fit plus
+one scoring aggregation. A scorer maps k to a ``ScoredModel`` and is
+memoised, so a k is never fitted twice (fits are seeded, so a refit would
+give the same model anyway).
 """
 
 from __future__ import annotations
