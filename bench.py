@@ -78,8 +78,7 @@ def q_kmeans_job(spark, root):
     pts, dims = user_actions(spark, root)
     pts = materialize(pts)
     model = train_kmeans(pts, 8, "k-means||", 20, 1e-4, 7)
-    c = centers_of(model)
-    run(cluster_profile(assign(pts, c), c, dims, "bench"))
+    run(cluster_profile(assign(pts, model), centers_of(model), dims, "bench"))
     pts.unpersist()
 
 
@@ -125,7 +124,7 @@ def q_membership(spark, root):
     pts, _ = user_actions(spark, root)
     pts = materialize(pts)
     model = train_kmeans(pts, 8, "k-means||", 20, 1e-4, 7)
-    a = assign(pts, centers_of(model)).withColumn("user_id", F.col("user_id").cast("string"))
+    a = assign(pts, model).withColumn("user_id", F.col("user_id").cast("string"))
     run(sinks.membership_lines(sinks.membership_rows(a, "bench")))
 
 

@@ -18,6 +18,11 @@ Both keep the lowest cluster number on exact ties and both give the exact
 squared distance to the chosen centre, summed left to right like a
 sequential fold: the batch form re-checks near-ties exactly instead of
 trusting the ‖x‖² + ‖c‖² − 2x·c shortcut.
+
+Given a trained Spark ML model, ``assign`` stays in the JVM instead: the
+model's own prediction picks the cluster (norm bounds and centre-to-centre
+pruning), a broadcast join attaches that centre and d² is one Q-term
+expression.
 """
 
 from __future__ import annotations
@@ -144,13 +149,49 @@ def _assign_batches(points: DataFrame, mat: np.ndarray, features: str) -> DataFr
     return points.mapInArrow(run, out_schema)
 
 
+def _assign_model(points: DataFrame, model, mat: np.ndarray, features: str) -> DataFrame:
+    """Spark ML's own prediction (JVM), then the exact d² to that centre by expression."""
+    from pyspark.ml.functions import array_to_vector
+
+    from segmint.functions.vector import sq_distance
+
+    q = mat.shape[1]
+    vec = points.withColumn("_vec", array_to_vector(F.col(features)))
+    pred = model.transform(vec, {model.featuresCol: "_vec", model.predictionCol: "_pred"})
+    cents = centers_frame(points.sparkSession, mat).select(F.col("cluster").alias("_pred"), F.col("center").alias("_c"))
+    joined = pred.join(F.broadcast(cents), "_pred")  # k rows
+    d2 = sq_distance(features, "_c", q)
+    return joined.select(
+        *[F.col(c) for c in points.columns],
+        F.col("_pred").cast("int").alias("cluster"),
+        d2.alias("d2"),
+    ).withColumn("dist", F.sqrt("d2"))
+
+
 def assign(points: DataFrame, centers, features: str = "features", method: str = "auto") -> DataFrame:
-    """Add ``cluster`` (nearest centre), ``d2`` (squared distance) and ``dist``."""
+    """Add ``cluster`` (nearest centre), ``d2`` (squared distance) and ``dist``.
+
+    ``centers`` is a k × Q matrix (or list of vectors) or a trained Spark ML
+    ``KMeansModel``. Methods: ``expression`` (tiny k·Q), ``model`` (a trained
+    model: Spark ML's JVM-side prediction, with its distance pruning; a
+    near-tie within rounding may resolve differently from the exact rule),
+    ``batches`` (Arrow, exact); ``auto`` picks in that order.
+    """
+    is_model = hasattr(centers, "clusterCenters") and hasattr(centers, "transform")
     mat = as_centers(centers)
     if method == "auto":
-        method = "expression" if mat.size <= UNROLL_TERMS else "batches"
+        if mat.size <= UNROLL_TERMS:
+            method = "expression"
+        elif is_model:
+            method = "model"
+        else:
+            method = "batches"
     if method == "expression":
         return _assign_expression(points, mat, features)
+    if method == "model":
+        if not is_model:
+            raise ValueError("method='model' needs a trained Spark ML KMeansModel")
+        return _assign_model(points, centers, mat, features)
     if method == "batches":
         return _assign_batches(points, mat, features)
     raise ValueError(f"unknown assign method {method!r}")

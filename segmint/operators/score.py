@@ -89,7 +89,10 @@ def score_model(points: DataFrame, model, features: str = "features"):
     from segmint.operators.train import ScoredModel
 
     mat = as_centers(model)
-    row = score_centers(points, mat, features).first()
+    k, q = mat.shape
+    # a trained model is assigned by its own (JVM) prediction; a plain matrix exactly
+    assigned = assign(points, model if hasattr(model, "transform") else mat, features)
+    row = score_summary(cluster_summary(assigned, q, features, with_dims=False), q, k).first()
     return ScoredModel(
         k=int(mat.shape[0]),
         wssse=float(row["wssse"]),

@@ -44,8 +44,7 @@ def profile_job(
     """events → vectors → fit → nested profile of every non-empty cluster."""
     points, dims = user_actions(spark, root)
     model = train_kmeans(points, k, init, max_iter, tol, seed)
-    centers = centers_of(model)
-    return cluster_profile(assign(points, centers), centers, dims, run_id)
+    return cluster_profile(assign(points, model), centers_of(model), dims, run_id)
 
 
 def load_inputs(spark: SparkSession, input_dir: str, sparse: bool = False) -> tuple[DataFrame, DataFrame, int]:
@@ -109,7 +108,7 @@ def run_kmeans_job(
         model = train_kmeans(points, k, init, iterations, epsilon, seed)
     log.info("model trained in %d s", time.time() - t)
     centers = centers_of(model)
-    assigned = assign_sparse(points, centers) if sparse else assign(points, centers)
+    assigned = assign_sparse(points, centers) if sparse else assign(points, model)
     out = output_dir.rstrip("/")
     sinks.write_membership_rows(sinks.membership_rows(assigned, run_id), f"{out}/members", mode="overwrite")
     # the JSON form is built from the written rows: no second assignment pass

@@ -111,7 +111,7 @@ def run_pipeline(
                 else:
                     model = train_kmeans(points, kk, "k-means||", max_iter, 1e-4, seed)
                     centers = centers_of(model)
-                    assigned = assign(users, centers)
+                    assigned = assign(users, model)
                 rows = sinks.membership_rows(assigned.withColumn("user_id", F.col("user_id").cast("string")), run_id)
                 sinks.write_membership_rows(rows, f"{path}/members", mode="overwrite")
                 # the JSON form is built from the written rows: no second assignment pass

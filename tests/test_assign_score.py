@@ -107,3 +107,13 @@ def test_score_many_equals_one_by_one(emb):
         alone = score_centers(emb, c).first()
         for f in ("n", "wssse", "avg_diameter", "bic", "aic", "ln_l"):
             assert together[k][f] == pytest.approx(alone[f], rel=1e-12), f
+
+
+def test_model_path_matches_exact_path(emb):
+    from segmint.operators.train import centers_of, train_kmeans
+
+    model = train_kmeans(emb, 12, seed=3)
+    via_model = {r["vec_id"]: (r["cluster"], r["d2"]) for r in assign(emb, model).collect()}
+    exact = {r["vec_id"]: (r["cluster"], r["d2"]) for r in assign(emb, centers_of(model), method="batches").collect()}
+    assert {k: c for k, (c, _) in via_model.items()} == {k: c for k, (c, _) in exact.items()}
+    assert all(via_model[k][1] == pytest.approx(exact[k][1], rel=1e-12, abs=1e-12) for k in exact)
