@@ -27,6 +27,7 @@ from segmint.operators.profile import cluster_profile, cluster_summary  # noqa:
 from segmint.operators.runs import k_curve  # noqa: E402
 from segmint.operators.score import score_many  # noqa: E402
 from segmint.operators.sparse import assemble_sparse, assign_sparse, cluster_summary_sparse  # noqa: E402
+from segmint.operators.train import train_kmeans  # noqa: E402
 from segmint.plans.pipeline import month_counts  # noqa: E402
 from segmint.session import local_session  # noqa: E402
 from segmint.sources import sinks  # noqa: E402
@@ -55,6 +56,7 @@ def main(root: str) -> None:
     cents = first_rows_as_centers(pts, 4, "user_id")
     emb = embedding_points(spark, root)
     ecents = first_rows_as_centers(emb, 16, "vec_id")
+    model = train_kmeans(emb, 16)
     counts = customer_brand_counts(spark, root)
     bdims = dimension_table(counts, "p_brand")
     q_b = bdims.count()
@@ -67,6 +69,7 @@ def main(root: str) -> None:
         "month counts (pipeline, two months)": month_counts(spark, root, ["199601", "199602"]),
         "assign, tiny k·Q (expression)": assign(pts, cents),
         "assign, k=16 Q=64 (Arrow batches)": assign(emb, ecents),
+        "assign, trained model (Spark ML prediction, JVM)": assign(emb, model),
         "cluster summary (Summarizer)": cluster_summary(assign(emb, ecents), 64),
         "nested profile": cluster_profile(assign(pts, cents), cents, dims, "r"),
         "k-curve (10 runs × 4 k)": k_curve(emb, "label", "vec_id", [2, 4, 8, 16], 64),
