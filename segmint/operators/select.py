@@ -180,12 +180,33 @@ def sweep_models(
     ]
 
 
-def binsearch_bic(scorer: Scorer, lo: tuple[int, float], hi: tuple[int, float], final: str = "lower") -> tuple[int, float]:
+def _prefetch(scorer: Scorer, k1: int, mid: int, k2: int, parallelism: int) -> None:
+    """Fit the middle k and both possible next middles at once (results are memoised).
+
+    The bisection's decisions do not change; each round settles two levels
+    of the search at the price of at most one unused fit.
+    """
+    if parallelism <= 1:
+        return
+    ks = [mid]
+    if mid - k1 > 1:
+        ks.append(next_binsearch_value(k1, mid))
+    if k2 - mid > 1:
+        ks.append(next_binsearch_value(mid, k2))
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(ks))) as pool:
+        list(pool.map(scorer, ks))
+
+
+def binsearch_bic(
+    scorer: Scorer, lo: tuple[int, float], hi: tuple[int, float], final: str = "lower", parallelism: int = 1
+) -> tuple[int, float]:
     """Bisect on BIC between (k1, b1) and (k2, b2).
 
     Fit the middle k; keep the half whose end is farther in BIC from the
     middle (left when |b1 − b| > |b − b2|). Adjacent ends: the lower BIC wins
-    (``final="lower"``, the reference's rule) or the higher.
+    (``final="lower"``, the reference's rule) or the higher. With
+    ``parallelism`` > 1 (and a memoised scorer) the next middles are fitted
+    ahead, concurrently; the result is the same.
     """
     (k1, b1), (k2, b2) = lo, hi
     while True:
@@ -196,6 +217,8 @@ def binsearch_bic(scorer: Scorer, lo: tuple[int, float], hi: tuple[int, float],
                 return (k1, b1) if b1 < b2 else (k2, b2)
             return (k1, b1) if b1 > b2 else (k2, b2)
         mid = next_binsearch_value(k1, k2)
+        if mid not in getattr(scorer, "cache", {}):
+            _prefetch(scorer, k1, mid, k2, parallelism)
         b = scorer(mid).bic
         if abs(b1 - b) > abs(b - b2):
             k2, b2 = mid, b
@@ -203,7 +226,9 @@ def binsearch_bic(scorer: Scorer, lo: tuple[int, float], hi: tuple[int, float],
             k1, b1 = mid, b
 
 
-def binsearch_diameter(scorer: Scorer, lo: tuple[int, float], hi: tuple[int, float]) -> tuple[int, float]:
+def binsearch_diameter(
+    scorer: Scorer, lo: tuple[int, float], hi: tuple[int, float], parallelism: int = 1
+) -> tuple[int, float]:
     """Bisect on average diameter; left when d1 − d > d − d2; adjacent ends: the upper k."""
     (k1, d1), (k2, d2) = lo, hi
     while True:
@@ -212,6 +237,8 @@ def binsearch_diameter(scorer: Scorer, lo: tuple[int, float], hi: tuple[int, flo
         if k2 - k1 == 1:
             return k2, d2
         mid = next_binsearch_value(k1, k2)
+        if mid not in getattr(scorer, "cache", {}):
+            _prefetch(scorer, k1, mid, k2, parallelism)
         d = scorer(mid).avg_diameter
         if (d1 - d) > (d - d2):
             k2, d2 = mid, d
@@ -272,11 +299,16 @@ def select_k(
         scored = sweep(scorer, sorted(ks), parallelism)
     lo, hi = _best_range(spark, scored)
     if strategy == "bisect":
-        k, _ = binsearch_bic(scorer, lo, hi, final)
+        k, _ = binsearch_bic(scorer, lo, hi, final, parallelism if isinstance(scorer, MemoScorer) else 1)
     elif strategy == "linear":
         k, _ = linear_bic(scorer, lo[0], hi[0])
     elif strategy == "diameter":
-        k, _ = binsearch_diameter(scorer, (lo[0], scorer(lo[0]).avg_diameter), (hi[0], scorer(hi[0]).avg_diameter))
+        k, _ = binsearch_diameter(
+            scorer,
+            (lo[0], scorer(lo[0]).avg_diameter),
+            (hi[0], scorer(hi[0]).avg_diameter),
+            parallelism if isinstance(scorer, MemoScorer) else 1,
+        )
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return scorer(k)

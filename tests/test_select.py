@@ -138,3 +138,20 @@ def test_random_tables_match_rules():
         cands = list(range(k1, k2, 2)) + [k2]
         best = sorted([(k, f(k)) for k in cands], key=lambda t: -t[1])[0]
         assert S.linear_bic(Stub(f), k1, k2) == best
+
+
+def test_lookahead_bisection_same_answer():
+    import random
+
+    rnd = random.Random(11)
+    for _ in range(60):
+        table = {k: float(rnd.randint(-20, 20)) for k in range(2, 70)}
+        f = table.__getitem__
+        k1 = rnd.randint(2, 30)
+        k2 = rnd.randint(k1, 69)
+        seq = S.binsearch_bic(S.MemoScorer(Stub(f)), (k1, f(k1)), (k2, f(k2)))
+        par = S.binsearch_bic(S.MemoScorer(Stub(f)), (k1, f(k1)), (k2, f(k2)), parallelism=3)
+        assert seq == par
+        seq_d = S.binsearch_diameter(S.MemoScorer(Stub(lambda k: 0.0, f)), (k1, f(k1)), (k2, f(k2)))
+        par_d = S.binsearch_diameter(S.MemoScorer(Stub(lambda k: 0.0, f)), (k1, f(k1)), (k2, f(k2)), parallelism=3)
+        assert seq_d == par_d
