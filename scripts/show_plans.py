@@ -28,7 +28,7 @@ from segmint.operators.runs import k_curve  # noqa: E402
 from segmint.operators.score import score_many  # noqa: E402
 from segmint.operators.sparse import assemble_sparse, assign_sparse, cluster_summary_sparse  # noqa: E402
 from segmint.operators.train import train_kmeans  # noqa: E402
-from segmint.plans.pipeline import month_counts  # noqa: E402
+from segmint.plans.monthly import month_counts  # noqa: E402
 from segmint.session import local_session  # noqa: E402
 from segmint.sources import sinks  # noqa: E402
 

@@ -56,7 +56,7 @@ def month_counts(spark: SparkSession, root: str, months: Sequence[str] | None =
     return customer_brand_counts(spark, root, by_month=True, months=months)
 
 
-def run_pipeline(
+def run_monthly(
     spark: SparkSession,
     root: str,
     out: str,

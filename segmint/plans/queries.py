@@ -388,14 +388,14 @@ def q_run_cluster_id(spark, root):
 
 def q_write_once(spark, root):
     """The same pipeline step twice; the second finds the completed output and skips."""
-    from segmint.plans.pipeline import run_pipeline
+    from segmint.plans.monthly import run_monthly
 
     base = ensure_checkpoint_dir(spark, fallback_local=True)
     out = f"{base.rstrip('/')}/write-once-{uuid.uuid4().hex}"
     cats = {"all": _all_brands(spark, root)}
     rows = []
     for attempt in (1, 2):
-        for r in run_pipeline(spark, root, out, cats, None, k=2):
+        for r in run_monthly(spark, root, out, cats, None, k=2):
             rows.append((r["month"], r["category"], attempt, r["ran"]))
     return spark.createDataFrame(rows, "month string, category string, attempt int, ran boolean")
 
