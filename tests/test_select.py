@@ -155,3 +155,14 @@ def test_lookahead_bisection_same_answer():
         seq_d = S.binsearch_diameter(S.MemoScorer(Stub(lambda k: 0.0, f)), (k1, f(k1)), (k2, f(k2)))
         par_d = S.binsearch_diameter(S.MemoScorer(Stub(lambda k: 0.0, f)), (k1, f(k1)), (k2, f(k2)), parallelism=3)
         assert seq_d == par_d
+
+
+def test_select_k_diameter_strategy_with_stub(spark):
+    d = lambda k: 100.0 / k
+    stub = S.MemoScorer(Stub(lambda k: -((k - 11) ** 2) * 1.0, d))
+    best = S.select_k(spark.range(1).toDF("features"), ks=[2, 4, 8, 16, 32], scorer=stub, strategy="diameter")
+    # range from the largest BIC gap (16, 32), then the diameter bisection inside it
+    want, _ = S.binsearch_diameter(Stub(lambda k: 0.0, d), (16, d(16)), (32, d(32)))
+    assert best.k == want
+    with pytest.raises(ValueError):
+        S.select_k(spark.range(1).toDF("features"), ks=[2, 4], scorer=stub, strategy="nope")
