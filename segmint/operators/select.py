@@ -63,12 +63,19 @@ def next_binsearch_value(k1: int, k2: int) -> int:
 class MemoScorer:
     """Wrap a scorer so each k is fitted and scored once."""
 
-    def __init__(self, fn: Scorer):
+    def __init__(self, fn: Scorer, owned: DataFrame | None = None):
         self.fn = fn
+        self.owned = owned  # a frame this scorer cached for itself
         self.cache: dict[int, ScoredModel] = {}
         self._locks: dict[int, threading.Lock] = {}
         self._guard = threading.Lock()
 
+    def release(self) -> None:
+        """Unpersist the frame the scorer cached (scores already computed stay)."""
+        if self.owned is not None:
+            self.owned.unpersist()
+            self.owned = None
+
     def __call__(self, k: int) -> ScoredModel:
         with self._guard:
             lock = self._locks.setdefault(k, threading.Lock())
@@ -104,7 +111,7 @@ def fixed_center_scorer(points: DataFrame, order_by: str, features: str = "featu
                 prefix["rows"] = rows
         return rows[:k]
 
-    return MemoScorer(lambda k: score_model(pts, centres(k), features))
+    return MemoScorer(lambda k: score_model(pts, centres(k), features), owned=pts)
 
 
 CURVE_SCHEMA = T.StructType(
@@ -279,11 +286,29 @@ def select_k(
     features: str = "features",
 ) -> ScoredModel:
     """Sweep → largest BIC gap (O39b) → bisection (O40) or linear scan (O41) → model at the chosen k."""
+    if scorer is not None:
+        return _select_k(points, ks, max_iter, strategy, final, scorer, parallelism, features, own_scorer=False)
+    # our own cached copy of the points, released when the choice is made
+    points = materialize(points.select(features))
+    try:
+        own = default_scorer(points, max_iter, features)
+        return _select_k(points, ks, max_iter, strategy, final, own, parallelism, features, own_scorer=True)
+    finally:
+        points.unpersist()
+
+
+def _select_k(
+    points: DataFrame,
+    ks: Sequence[int] | None,
+    max_iter: int,
+    strategy: str,
+    final: str,
+    scorer: Scorer,
+    parallelism: int,
+    features: str,
+    own_scorer: bool,
+) -> ScoredModel:
     spark = points.sparkSession
-    own_scorer = scorer is None
-    if own_scorer:
-        points = materialize(points.select(features))
-        scorer = default_scorer(points, max_iter, features)
     if ks is None:
         n = points.count()
         if n < 2:

@@ -575,7 +575,10 @@ def _scored_frame(spark, scored) -> DataFrame:
 
 def q_sweep(spark, root):
     pts = materialize(_emb(spark, root).select("features"))
-    return _scored_frame(spark, SEL.sweep_models(pts, KS_CURVE, TRAIN_ITER))
+    try:
+        return _scored_frame(spark, SEL.sweep_models(pts, KS_CURVE, TRAIN_ITER))
+    finally:
+        pts.unpersist()
 
 
 KS_SEARCH = (2, 4, 8, 16, 32)
@@ -592,23 +595,32 @@ def _sweep_range(spark, scorer):
 
 def q_binsearch_bic(spark, root):
     scorer = _ua_fixed_scorer(spark, root)
-    lo, hi = _sweep_range(spark, scorer)
-    k, b = SEL.binsearch_bic(scorer, lo, hi)
+    try:
+        lo, hi = _sweep_range(spark, scorer)
+        k, b = SEL.binsearch_bic(scorer, lo, hi)
+    finally:
+        scorer.release()
     return rounded(spark.createDataFrame([(k, b)], "k int, bic double"))
 
 
 def q_linear_bic(spark, root):
     scorer = _ua_fixed_scorer(spark, root)
-    lo, hi = _sweep_range(spark, scorer)
-    k, b = SEL.linear_bic(scorer, lo[0], hi[0])
+    try:
+        lo, hi = _sweep_range(spark, scorer)
+        k, b = SEL.linear_bic(scorer, lo[0], hi[0])
+    finally:
+        scorer.release()
     return rounded(spark.createDataFrame([(k, b)], "k int, bic double"))
 
 
 def q_binsearch_diameter(spark, root):
     scorer = _ua_fixed_scorer(spark, root)
-    scored = SEL.sweep(scorer, KS_SEARCH, parallelism=4)
-    lo, hi = scored[0], scored[-1]
-    k, d = SEL.binsearch_diameter(scorer, (lo.k, lo.avg_diameter), (hi.k, hi.avg_diameter))
+    try:
+        scored = SEL.sweep(scorer, KS_SEARCH, parallelism=4)
+        lo, hi = scored[0], scored[-1]
+        k, d = SEL.binsearch_diameter(scorer, (lo.k, lo.avg_diameter), (hi.k, hi.avg_diameter))
+    finally:
+        scorer.release()
     return rounded(spark.createDataFrame([(k, d)], "k int, avg_diameter double"))
 
 
