@@ -120,4 +120,5 @@ def run_kmeans_job(
         profile = cluster_profile(assigned, centers, dims, run_id)
     sinks.write_profile(profile, f"{out}/meta-data.json", mode="overwrite")
     log.info("profile written in %d s", time.time() - t)
+    points.unpersist()
     return {"run_id": run_id, "k": k, "output": out}

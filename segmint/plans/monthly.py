@@ -72,6 +72,42 @@ def run_monthly(
     parallelism: int = 1,
 ) -> list[dict]:
     """Run every (month, category); returns one record per step with ``ran`` True/False."""
+
+    def _fit_and_write(points, dims, q, sparse, path, run_id):
+        n = points.count()
+        if n == 0:
+            log.warning("no activity for %s", run_id)
+            spark.createDataFrame([(run_id, 0)], "run_id string, k int").write.mode("overwrite").json(f"{path}/step")
+            return
+        kk = k
+        if kk is None:
+            if sparse:
+                kk = select_k(points, ks=ks, scorer=sparse_scorer(points, q, max_iter)).k
+            else:
+                kk = select_k(points.select("features"), ks=ks, max_iter=max_iter).k
+        kk = min(kk, n)
+        users = points.withColumnRenamed("o_custkey", "user_id")
+        if sparse:
+            model = train_kmeans_sparse(points, q, kk, "k-means||", max_iter, 1e-4, seed)
+            centers = centers_of(model)
+            assigned = assign_sparse(users, centers)
+        else:
+            model = train_kmeans(points, kk, "k-means||", max_iter, 1e-4, seed)
+            centers = centers_of(model)
+            assigned = assign(users, model)
+        rows = sinks.membership_rows(assigned.withColumn("user_id", F.col("user_id").cast("string")), run_id)
+        sinks.write_membership_rows(rows, f"{path}/members", mode="overwrite")
+        # the JSON form is built from the written rows: no second assignment pass
+        written = spark.read.parquet(f"{path}/members")
+        sinks.write_membership(written, f"{path}/data.json", mode="overwrite")
+        if sparse:
+            profile = profile_from_summary(cluster_summary_sparse(assigned, q), centers, dims, run_id)
+        else:
+            profile = cluster_profile(assigned, centers, dims, run_id)
+        sinks.write_profile(profile, f"{path}/meta-data.json", mode="overwrite")
+        # The marker of a completed step is written last.
+        spark.createDataFrame([(run_id, kk)], "run_id string, k int").write.mode("overwrite").json(f"{path}/step")
+
     # one table for all steps, partitioned by month: each step reads only its month
     counts = materialize_table(month_counts(spark, root, months), ["month"])
     steps = []
@@ -91,39 +127,10 @@ def run_monthly(
                     points = materialize(assemble_sparse(scaled, dims, "o_custkey", "p_brand"))
                 else:
                     points = materialize(assemble_vectors(scaled, dims, "o_custkey", "p_brand", q=q))
-                n = points.count()
-                if n == 0:
-                    log.warning("no activity for %s", run_id)
-                    spark.createDataFrame([(run_id, 0)], "run_id string, k int").write.mode("overwrite").json(f"{path}/step")
-                    return
-                kk = k
-                if kk is None:
-                    if sparse:
-                        kk = select_k(points, ks=ks, scorer=sparse_scorer(points, q, max_iter)).k
-                    else:
-                        kk = select_k(points.select("features"), ks=ks, max_iter=max_iter).k
-                kk = min(kk, n)
-                users = points.withColumnRenamed("o_custkey", "user_id")
-                if sparse:
-                    model = train_kmeans_sparse(points, q, kk, "k-means||", max_iter, 1e-4, seed)
-                    centers = centers_of(model)
-                    assigned = assign_sparse(users, centers)
-                else:
-                    model = train_kmeans(points, kk, "k-means||", max_iter, 1e-4, seed)
-                    centers = centers_of(model)
-                    assigned = assign(users, model)
-                rows = sinks.membership_rows(assigned.withColumn("user_id", F.col("user_id").cast("string")), run_id)
-                sinks.write_membership_rows(rows, f"{path}/members", mode="overwrite")
-                # the JSON form is built from the written rows: no second assignment pass
-                written = spark.read.parquet(f"{path}/members")
-                sinks.write_membership(written, f"{path}/data.json", mode="overwrite")
-                if sparse:
-                    profile = profile_from_summary(cluster_summary_sparse(assigned, q), centers, dims, run_id)
-                else:
-                    profile = cluster_profile(assigned, centers, dims, run_id)
-                sinks.write_profile(profile, f"{path}/meta-data.json", mode="overwrite")
-                # The marker of a completed step is written last.
-                spark.createDataFrame([(run_id, kk)], "run_id string, k int").write.mode("overwrite").json(f"{path}/step")
+                try:
+                    _fit_and_write(points, dims, q, sparse, path, run_id)
+                finally:
+                    points.unpersist()  # one step's points; never kept across steps
 
             steps.append((month, cat_name, path, build))
 
@@ -132,8 +139,11 @@ def run_monthly(
         ran = sinks.write_once(spark, f"{path}/step", build)
         return {"month": month, "category": cat_name, "path": path, "ran": ran}
 
-    if parallelism <= 1 or len(steps) <= 1:
-        return [run(st) for st in steps]
-    # independent steps, each its own set of Spark jobs on the shared session
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return list(pool.map(run, steps))
+    try:
+        if parallelism <= 1 or len(steps) <= 1:
+            return [run(st) for st in steps]
+        # independent steps, each its own set of Spark jobs on the shared session
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            return list(pool.map(run, steps))
+    finally:
+        counts.unpersist()

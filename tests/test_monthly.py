@@ -67,5 +67,8 @@ def test_monthly_parallel_steps_and_month_pruning(spark, workdir):
     assert sorted((r["month"], r["category"], r["ran"]) for r in got) == [
         ("199601", "m1", True), ("199601", "m2", True), ("199602", "m1", True), ("199602", "m2", True)
     ]
+    for r in got:  # every step wrote its own outputs, tagged with its own run id
+        ids = {x["cluster_id"].rsplit("-", 1)[0] for x in spark.read.parquet(r["path"] + "/members").collect()}
+        assert ids == {f"{r['month']}-{r['category']}"}
     again = run_monthly(spark, SF_SMALL, out, cats, ["199601", "199602"], k=2, parallelism=4)
     assert not any(r["ran"] for r in again)
