@@ -30,3 +30,18 @@ def test_stream_assignment_equals_batch(spark, workdir):
     batch_sizes = {r["cluster"]: r["count"] for r in assign(batch, cents).groupBy("cluster").count().collect()}
     assert sizes == batch_sizes
     assert sum(sizes.values()) == batch.count()
+
+
+def test_stream_assignment_with_trained_model(spark, workdir):
+    from segmint.operators.train import train_kmeans
+
+    batch = embedding_points(spark, SF_SMALL)
+    model = train_kmeans(batch, 6, seed=2)
+    src = os.path.join(workdir, "emb2")
+    batch.write.parquet(src)
+    out = assign_stream(spark.readStream.schema(batch.schema).parquet(src), model)
+    q = out.select("vec_id", "cluster", "d2").writeStream.format("memory").queryName("seg_model").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = {r["vec_id"]: (r["cluster"], r["d2"]) for r in spark.table("seg_model").collect()}
+    want = {r["vec_id"]: (r["cluster"], r["d2"]) for r in assign(batch, model).collect()}
+    assert got == want
