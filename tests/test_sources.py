@@ -70,3 +70,19 @@ def test_index_rows_is_dense(spark):
     got = text.index_rows(df, "row_id").collect()
     assert sorted(r["row_id"] for r in got) == list(range(1000))
     assert all(r["row_id"] == r["id"] for r in got)
+
+
+def test_consistent_hash_methods(spark):
+    import hashlib
+
+    from segmint.functions.keys import cluster_id, consistent_hash
+
+    df = spark.createDataFrame([(f"user-{i}",) for i in range(200)], "u string")
+    got = df.select("u", consistent_hash("u", 7).alias("md5"), consistent_hash("u", 7, "murmur").alias("mm")).collect()
+    for r in got:
+        assert r["md5"] == int(hashlib.md5(r["u"].encode()).hexdigest()[:8], 16) % 7
+        assert 0 <= r["mm"] < 7
+    assert len({r["mm"] for r in got}) == 7  # spreads over every slot
+    again = {r["u"]: r["mm"] for r in df.select("u", consistent_hash("u", 7, "murmur").alias("mm")).collect()}
+    assert again == {r["u"]: r["mm"] for r in got}
+    assert df.select(cluster_id("run", F.lit(3)).alias("c")).first()["c"] == "run-3"
