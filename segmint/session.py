@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers (once per application).
+
+    A driver that has the package only on its own ``sys.path`` would otherwise leave
+    the workers with ``ModuleNotFoundError``. ``spark-submit --py-files`` does the same.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_segmint_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="segmint-zip-")) / "segmint_package.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(Path(root.name) / f.relative_to(root)))
+    sc.addPyFile(str(path))
+    sc._segmint_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback_local: bool = False) -> str | None:
     """Point the context at the cluster's shared checkpoint folder.
 
