@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from segmint.session import ship_package
 
 U64 = np.uint64
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +40,13 @@ def store(df: DataFrame) -> DataFrame:
     so a lost executor costs one task of the table's readers, not the work above it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # what the write shuffled isn't needed once the table is there
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

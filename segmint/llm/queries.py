@@ -24,7 +24,21 @@ def q_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
 
 
+def q_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.fm_index import dedup_words
+
+    return dedup_words(table(spark, sf_dir, "documents"), digest=True)
+
+
+def q_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.suffix_buckets import dedup_bytes
+
+    return dedup_bytes(table(spark, sf_dir, "documents"), digest=True)
+
+
 QUERIES = {
     "op4_best_fit_packing": q_packing,
+    "op6_substring_fm_index": q_substring,
+    "op9_suffix_buckets": q_suffix,
     "op10_sentencepiece": q_pieces,
 }
