@@ -36,8 +36,15 @@ def q_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_bytes(table(spark, sf_dir, "documents"), digest=True)
 
 
+def q_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_best_fit_packing": q_packing,
+    "op5_ngram_jaccard": q_ngram,
     "op6_substring_fm_index": q_substring,
     "op9_suffix_buckets": q_suffix,
     "op10_sentencepiece": q_pieces,
