@@ -42,10 +42,24 @@ def q_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def q_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.metric_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def q_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.hnsw import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op4_best_fit_packing": q_packing,
     "op5_ngram_jaccard": q_ngram,
     "op6_substring_fm_index": q_substring,
+    "op7_metric_range_join": q_metric,
+    "op8_hnsw": q_hnsw,
     "op9_suffix_buckets": q_suffix,
     "op10_sentencepiece": q_pieces,
 }
