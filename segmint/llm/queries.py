@@ -54,7 +54,15 @@ def q_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.toxicity import score_documents, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
+    "op3_toxicity_bigru": q_toxicity,
     "op4_best_fit_packing": q_packing,
     "op5_ngram_jaccard": q_ngram,
     "op6_substring_fm_index": q_substring,
