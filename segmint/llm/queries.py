@@ -61,7 +61,21 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.pii import digest, find_personal
+
+    return digest(find_personal(table(spark, sf_dir, "documents")))
+
+
+def q_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.url_trust import judge_pages
+
+    return judge_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_pii_boosting": q_pii,
+    "op2_url_trust": q_url,
     "op3_toxicity_bigru": q_toxicity,
     "op4_best_fit_packing": q_packing,
     "op5_ngram_jaccard": q_ngram,
