@@ -116,6 +116,14 @@ def per_worker(make, *args):
 _KEPT: dict = {}
 
 
+def resized(docs: DataFrame, text_col: str, size_col: str) -> DataFrame:
+    """``size_col``, if there, as the text's length in characters."""
+    if size_col not in docs.columns:
+        return docs
+    kind = docs.schema[size_col].dataType
+    return docs.select(*[F.char_length(text_col).cast(kind).alias(size_col) if c == size_col else F.col(c) for c in docs.columns])
+
+
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """Connected components of ``edges`` (a, b: long) as rows (node, component).
 

@@ -19,7 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from segmint.llm.passages import START_BITS, Units, repeated_spans, without_spans
+from segmint.llm.common import resized
+from segmint.llm.passages import ROWS, START_BITS, Units, cuts_of, repeated_spans, with_spans, without_spans
 from segmint.llm.suffix_buckets import merge
 
 WIDTH = 20
@@ -162,3 +163,29 @@ def dedup_words(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
         return without_spans(docs, marked, spans, units, id_col, text_col, finish, "n_words long, n_removed long, kept_sha256 string")
     finish = lambda n, gone, kept, cuts: (n, gone, kept.decode())
     return without_spans(docs, marked, spans, units, id_col, text_col, finish, "n_words long, n_removed long, kept string")
+
+
+def cut_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with each text cut as by ``dedup_words``; all columns stay, ``size_col`` is counted anew where it is there.
+
+    A text that loses nothing is not touched; of a cut one the words that stay are joined
+    by one space. A row whose words are all repeats has nothing of its own and goes.
+    """
+    units = Units(True, width, min(GRAM, width))
+    marked, spans = repeated_spans(docs, units, lambda t, d, s: find_repeats(t, d, s, width), id_col, text_col)
+    names = list(docs.columns)
+    at = names.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                old = part.column(at).cast(pa.string())
+                cut = cuts_of(units, old.fill_null(""), part.column(part.num_columns - 2).to_pylist(), part.column(part.num_columns - 1).to_pylist())
+                new = [kept.decode() if gone else text for (_, gone, kept, _), text in zip(cut, old.to_pylist(), strict=True)]
+                columns = [pa.array(new, pa.string()) if k == at else part.column(k) for k in range(part.num_columns - 2)]
+                keep = pa.array([not gone or gone < n for n, gone, _, _ in cut])
+                yield pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
+
+    out = with_spans(docs, marked, spans, id_col, text_col).mapInArrow(run, docs.schema)
+    return resized(out, text_col, size_col)

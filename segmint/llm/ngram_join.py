@@ -256,8 +256,10 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
 
 
 def first_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", group_col: str = "component_id") -> DataFrame:
-    """``docs`` without those whose group has a smaller id; rows without an id or group stay, repeated ids once."""
-    gone = groups.where(F.col(group_col) < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    numbered = kept.withColumn("_row", F.row_number().over(Window.partitionBy(id_col).orderBy(*[c for c in docs.columns if c != id_col])))
-    return numbered.where((F.col("_row") == 1) | F.col(id_col).isNull()).drop("_row")
+    """``docs`` without those whose group has a smaller id; of rows repeated under one id the first
+    in the order of the other columns stays; rows without an id all stay."""
+    gone = groups.where(F.col(group_col) < F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    order = Window.partitionBy(id_col).orderBy(*[c for c in docs.columns if c != id_col])
+    kept = kept.withColumn("_segmint_row", F.row_number().over(order)).where("_segmint_row = 1").drop("_segmint_row")
+    return kept.union(docs.where(F.col(id_col).isNull()))

@@ -245,22 +245,35 @@ def repeated_spans(docs: DataFrame, units: Units, find: Callable, id_col: str =
     return marked, store(spans.groupBy("doc", "k1").agg(F.collect_set(F.struct("a", "b")).alias("spans")))
 
 
+def with_spans(docs: DataFrame, marked: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with two more columns: the row's spans (null: none) and whether it is a copy removed whole."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    flags = marked.where("copy").select("doc", "k1", "copy").distinct()
+    found = spans.join(flags, ["doc", "k1"], "full").select(
+        "doc", "k1", F.transform("spans", lambda s: F.array(s["a"], s["b"])).alias("_segmint_spans"), F.coalesce("copy", F.lit(False)).alias("_segmint_copy"))
+    keyed = docs.withColumn("_segmint_id", F.col(id_col).cast("long")).withColumn("_segmint_key", F.xxhash64(text))
+    joined = keyed.join(found, (F.col("_segmint_id") == found["doc"]) & (F.col("_segmint_key") == found["k1"]), "left")
+    return joined.select(*[keyed[c] for c in docs.columns], "_segmint_spans", "_segmint_copy")
+
+
+def cuts_of(units: Units, texts: pa.Array, spans: list, copies: list) -> list:
+    """(units, removed, kept bytes, runs) of each text by its spans, a copy's being all of it."""
+    if any(copies):
+        size = np.diff(units.read(texts)[1]).tolist()
+        spans = [[(0, n)] if whole else s for whole, s, n in zip(copies, spans, size, strict=True)]
+    return units.kept(texts, spans)
+
+
 def without_spans(docs: DataFrame, marked: DataFrame, spans: DataFrame, units: Units, id_col: str, text_col: str, finish: Callable, schema: str) -> DataFrame:
     """``finish(n, removed, kept bytes, runs)`` of every row of ``docs``, as columns of ``schema`` after doc_id."""
-    keyed = _keyed(docs, id_col, text_col).select("doc", "text", "k1")
-    flags = marked.where("copy").select("doc", "k1", "copy").distinct()
-    joined = (keyed.join(spans.join(flags, ["doc", "k1"], "full"), ["doc", "k1"], "left")
-              .select("doc", "text", F.coalesce("copy", F.lit(False)).alias("copy"), F.transform("spans", lambda s: F.array(s["a"], s["b"])).alias("spans")))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     names = [c.split()[0] for c in schema.split(",")]
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
-                cuts = [[(0, 1 << 62)] if whole else s for whole, s in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
-                sizes = np.diff(units.read(part.column(1))[1]) if any(part.column(2).to_pylist()) else None
-                cuts = [[(0, int(sizes[k]))] if whole else c for k, (whole, c) in enumerate(zip(part.column(2).to_pylist(), cuts, strict=True))]
-                rows = [finish(*r) for r in units.kept(part.column(1), cuts)]
+                rows = [finish(*r) for r in cuts_of(units, part.column(1), part.column(2).to_pylist(), part.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in zip(*rows, strict=True))], names=["doc_id", *names])
 
-    return joined.mapInArrow(run, f"doc_id long, {schema}")
+    return with_spans(plain, marked, spans, "doc_id", "text").mapInArrow(run, f"doc_id long, {schema}")

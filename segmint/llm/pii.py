@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from segmint.llm.common import store
+from segmint.llm.common import resized, store
 
 #: base kinds in the order of their listing; the patterns are the fixed ones, written so that a long run is scanned once:
 #: possessive where no way back can match, and started only where a run starts or the match before ended
@@ -167,8 +167,9 @@ def digest(found: DataFrame) -> DataFrame:
     return rows.select("doc_id", *[n(k) for k in BASE], F.sha2(_joined(of_base), 256).alias("base_sha256"), _joined(F.col("all")).alias("spans"))
 
 
-def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every span's text replaced by its kind in brackets; overlapping spans become one of the first's kind."""
+def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with every span's text replaced by its kind in brackets; overlapping spans become one
+    of the first's kind. All columns stay, ``size_col`` is counted anew where it is there."""
     spans = found.where("kind is not null").select("doc_id", "key", "kind", "start", "end").distinct()
     order = Window.partitionBy("doc_id", "key").orderBy("start", _order(F.col("kind")))
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -184,4 +185,4 @@ def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
                                                        F.lit("["), F.upper(c["kind"]), F.lit("]")))
     tail = text.substr((F.element_at(starts, -1) + 1).cast("int"), F.char_length(text))
     new = F.when(F.col("_cuts").isNull(), text).otherwise(F.concat(F.concat_ws("", parts), tail))
-    return joined.select(*[new.alias(text_col) if c == text_col else F.col(c) for c in docs.columns])
+    return resized(joined.select(*[new.alias(text_col) if c == text_col else F.col(c) for c in docs.columns]), text_col, size_col)

@@ -311,3 +311,17 @@ def score_documents(docs: DataFrame, net: Network, id_col: str = "doc_id", text_
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int"))
+
+
+def drop_toxic(docs: DataFrame, net: Network, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose text scores ``least`` or more; columns and other rows as they are."""
+    prepare(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                yield part.filter(pa.array(net.score_texts(part.column(at).cast(pa.string())) < least))
+
+    return docs.mapInArrow(run, docs.schema)
