@@ -117,8 +117,8 @@ def word_codes(distinct: pa.Array) -> np.ndarray:
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of string texts laid end to end, and their bounds."""
-    texts = texts.cast(pa.large_string())
+    """Bytes of string or binary texts laid end to end, and their bounds."""
+    texts = texts.cast(pa.large_string() if pa.types.is_string(texts.type) else pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = texts.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
