@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from segmint.llm.common import resized
-from segmint.llm.passages import ROWS, START_BITS, Units, cuts_of, repeated_spans, with_spans, without_spans
+from segmint.llm.passages import ROWS, START_BITS, Units, repeated_spans, with_spans, without_spans
 from segmint.llm.suffix_buckets import merge
 
 WIDTH = 20
@@ -181,7 +181,7 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
                 old = part.column(at).cast(pa.string())
-                cut = cuts_of(units, old.fill_null(""), part.column(part.num_columns - 2).to_pylist(), part.column(part.num_columns - 1).to_pylist())
+                cut = units.kept(old.fill_null(""), part.column(part.num_columns - 2).to_pylist(), part.column(part.num_columns - 1).to_pylist())
                 new = [kept.decode() if gone else text for (_, gone, kept, _), text in zip(cut, old.to_pylist(), strict=True)]
                 columns = [pa.array(new, pa.string()) if k == at else part.column(k) for k in range(part.num_columns - 2)]
                 keep = pa.array([not gone or gone < n for n, gone, _, _ in cut])

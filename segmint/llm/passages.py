@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -54,22 +55,25 @@ class Units:
         raw, bounds = text_bytes(texts)
         return BYTE_CODES[raw], bounds, lambda a, b: raw[a:b].tobytes()
 
-    def kept(self, texts: pa.Array, spans: list) -> list[tuple[int, int, bytes]]:
-        """(units, removed units, bytes that stay) of each text without its spans [(from, to)]."""
-        if self.words:
-            which, bounds, distinct = word_lists(texts)
-            names = np.array(distinct.cast(pa.binary()).to_pylist() or [b""], dtype=object)
-        else:
-            raw, bounds = text_bytes(texts)
+    def kept(self, texts: pa.Array, spans: list, copies: list) -> list[tuple[int, int, bytes, int]]:
+        """(units, removed units, bytes that stay, removed runs) of each text without its spans
+        [(from, to)]; of a copy nothing stays."""
         out = []
-        for k, cut in enumerate(spans):
-            n = int(bounds[k + 1] - bounds[k])
-            stay = covered(n, cut) == 0
+        for text, cut, copy in zip(texts.cast(pa.binary()).to_pylist(), spans, copies, strict=True):
             if self.words:
-                got = b" ".join(names[which[bounds[k] : bounds[k + 1]][stay]])
+                text = text.split()  # bytes split at ASCII white space
+            n = len(text)
+            if copy:
+                out.append((n, n, b"", 1))
+            elif not cut:
+                out.append((n, 0, b" ".join(text) if self.words else text, 0))
             else:
-                got = raw[bounds[k] : bounds[k + 1]][stay].tobytes()
-            out.append((n, int(n - stay.sum()), got, int((np.diff(np.concatenate([[1], stay])) == -1).sum())))
+                stay = covered(n, cut) == 0
+                if self.words:
+                    got = b" ".join(compress(text, stay.tolist()))
+                else:
+                    got = np.frombuffer(text, dtype=np.uint8)[stay].tobytes()
+                out.append((n, int(n - stay.sum()), got, int((np.diff(np.concatenate([[1], stay])) == -1).sum())))
         return out
 
 
@@ -256,14 +260,6 @@ def with_spans(docs: DataFrame, marked: DataFrame, spans: DataFrame, id_col: str
     return joined.select(*[keyed[c] for c in docs.columns], "_segmint_spans", "_segmint_copy")
 
 
-def cuts_of(units: Units, texts: pa.Array, spans: list, copies: list) -> list:
-    """(units, removed, kept bytes, runs) of each text by its spans, a copy's being all of it."""
-    if any(copies):
-        size = np.diff(units.read(texts)[1]).tolist()
-        spans = [[(0, n)] if whole else s for whole, s, n in zip(copies, spans, size, strict=True)]
-    return units.kept(texts, spans)
-
-
 def without_spans(docs: DataFrame, marked: DataFrame, spans: DataFrame, units: Units, id_col: str, text_col: str, finish: Callable, schema: str) -> DataFrame:
     """``finish(n, removed, kept bytes, runs)`` of every row of ``docs``, as columns of ``schema`` after doc_id."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -273,7 +269,7 @@ def without_spans(docs: DataFrame, marked: DataFrame, spans: DataFrame, units: U
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
-                rows = [finish(*r) for r in cuts_of(units, part.column(1), part.column(2).to_pylist(), part.column(3).to_pylist())]
+                rows = [finish(*r) for r in units.kept(part.column(1), part.column(2).to_pylist(), part.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in zip(*rows, strict=True))], names=["doc_id", *names])
 
     return with_spans(plain, marked, spans, "doc_id", "text").mapInArrow(run, f"doc_id long, {schema}")

@@ -28,6 +28,9 @@ SAMPLE, DOC_WINDOWS, FOLDS = 1500, 32, 5
 VOCABULARY, TRIGRAMS = 8192, 4096
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 8, 8, 8
 EPOCHS, BATCH, RATE, SEED = 8, 256, 0.01, 7
+DECAY, DROPPED = 0.1, 0.1  # of word and trigram vectors; words that enter as unknown while training
+LEAST = 3  # documents of a vocabulary word
+STEPS = 150  # at least so many, on a small sample in more epochs
 CHUNK = 2048  # windows scored at a time
 ROWS = 500
 
@@ -77,9 +80,11 @@ class Network:
         self.p["E"][0] = 0
         self.scale, self.shift, self.empty = 1.0, 0.0, -5.0
 
-    def inputs(self, words: list[str]) -> tuple[np.ndarray, tuple]:
-        """Input vectors of distinct words."""
+    def inputs(self, words: list[str], drop=None) -> tuple[np.ndarray, tuple]:
+        """Input vectors of distinct words; ``drop`` marks words to enter as unknown."""
         ids = np.fromiter((self.vocabulary.get(w.lower(), 0) for w in words), dtype=np.int64, count=len(words))
+        if drop is not None:
+            ids[drop] = 0
         grams, starts = trigrams(words)
         count = np.diff(np.append(starts, len(grams))).astype(np.float32)
         chars = np.add.reduceat(self.p["C"][grams], starts, axis=0) / count[:, None]
@@ -117,10 +122,10 @@ class Network:
         logit = pooled @ p["o"] + p["c"][0]
         return (logit, (states, kept, both, a, weight, pooled)) if keep else logit
 
-    def gradients(self, words, at, size, label) -> dict[str, np.ndarray]:
+    def gradients(self, words, at, size, label, drop=None) -> dict[str, np.ndarray]:
         """Of the mean logistic loss, back through time, attention and both inputs."""
         p, hid, (n, t) = self.p, HIDDEN, at.shape
-        x, (ids, grams, starts, count) = self.inputs(words)
+        x, (ids, grams, starts, count) = self.inputs(words, drop)
         gates = self.gates(x)
         logit, (states, kept, both, a, weight, pooled) = self.forward(gates, at, size, keep=True)
         d_logit = ((1 / (1 + np.exp(-logit)) - label) / n).astype(np.float32)
@@ -187,17 +192,36 @@ class Network:
         return self.score(worst)
 
 
+def seed_odds(net: Network, docs, names: list[str]) -> None:
+    """First components of the vectors: smoothed log odds that a document with the word, or with the trigram, is toxic."""
+    grams, starts = trigrams(names)
+    of_word = {w: g for w, g in zip(names, np.split(grams, starts[1:]), strict=True)}
+    words, chars = np.zeros((2, len(net.p["E"]))), np.zeros((2, TRIGRAMS))
+    total = np.ones(2)
+    for y, ws in docs:
+        seen = {w for w in ws if w}
+        total[y] += 1
+        words[y, list({net.vocabulary.get(w.lower(), 0) for w in seen})] += 1
+        if seen:
+            chars[y, np.unique(np.concatenate([of_word[w] for w in seen]))] += 1
+    for key, n in (("E", words), ("C", chars)):
+        rate = (n + 0.5) / (total[:, None] + 1)
+        net.p[key][:, 0] = np.clip(np.log(rate[1] / rate[0]), -3, 3)
+    net.p["E"][0] = 0
+
+
 def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
     """A network from (label, words of some windows, each padded with '' to ``WINDOW``) of labelled documents."""
     rng = np.random.default_rng(seed)
     flat = [w for _, words in docs for w in words]
+    counts: dict[str, int] = {}  # documents with the word
+    for _, ws in docs:
+        for w in {w.lower() for w in ws if w}:
+            counts[w] = counts.get(w, 0) + 1
     names, number = np.unique(np.array(flat or [""], dtype=object), return_inverse=True)
-    counts: dict[str, int] = {}
-    for w in flat:
-        if w:
-            counts[w.lower()] = counts.get(w.lower(), 0) + 1
-    common = sorted((w for w, c in counts.items() if c > 1), key=lambda w: (-counts[w], w))[:VOCABULARY]
+    common = sorted((w for w, c in counts.items() if c >= LEAST), key=lambda w: (-counts[w], w))[:VOCABULARY]
     net = Network({w: k + 1 for k, w in enumerate(common)}, seed)
+    seed_odds(net, docs, names.tolist())
     if not flat or len({y for y, _ in docs}) < 2:
         net.scale, net.shift = 0.0, -1.0 if not any(y for y, _ in docs) else 1.0
         return net
@@ -225,7 +249,8 @@ def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
         place = np.arange(len(rows)) - np.repeat(heads, np.diff(np.append(heads, len(rows))))
         return rows[order][place < most]
 
-    for epoch in range(EPOCHS):
+    epoch = 0
+    while epoch < EPOCHS or step < STEPS:
         if epoch:
             some = clean[rng.random(len(clean)) < 0.1]
             rows = np.concatenate([np.repeat(worst_of_each(toxic, 1), 2), worst_of_each(clean, 2), some])
@@ -236,13 +261,16 @@ def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
             r = rows[lo : lo + BATCH]
             used, inv = np.unique(at[r], return_inverse=True)
             inv = np.where(np.arange(WINDOW)[None, :] < size[r][:, None], inv.reshape(len(r), WINDOW), len(used))
-            grads = net.gradients([words[u] for u in used], inv, size[r], label[owner[r]].astype(np.float32))
+            grads = net.gradients([words[u] for u in used], inv, size[r], label[owner[r]].astype(np.float32), rng.random(len(used)) < DROPPED)
             step += 1
             for k, g in grads.items():
                 m, v = moments[k]
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
+                if k in ("E", "C"):
+                    net.p[k] *= 1 - RATE * DECAY
                 net.p[k] -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        epoch += 1
     held = np.flatnonzero(calibrate[owner])
     worst = np.full(len(docs), -np.inf)
     np.maximum.at(worst, owner[held], all_logits(held))
