@@ -116,6 +116,14 @@ def per_worker(make, *args):
 _KEPT: dict = {}
 
 
+def release(*stored: DataFrame) -> None:
+    """Empty tables made by ``store`` that nothing will read any more."""
+    for df in stored:
+        folder = df.inputFiles()[0].rsplit("/", 1)[0] if df.inputFiles() else None
+        if folder:
+            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
+
+
 def resized(docs: DataFrame, text_col: str, size_col: str) -> DataFrame:
     """``size_col``, if there, as the text's length in characters."""
     if size_col not in docs.columns:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from segmint.llm.common import U64, components, mix, prepare, store
+from segmint.llm.common import U64, components, mix, prepare, release, store
 from segmint.llm.windows import powers, word_codes, word_lists
 
 NGRAM = 3
@@ -115,42 +115,55 @@ def _outline(ngram, similar):
     return run
 
 
-def _slices(ngram, slices):
-    """k, n, slice number and the n-grams of the slice, for texts whose set is the wanted one."""
+def _sets(ngram):
+    """k, n and the sorted n-grams of texts whose set is the wanted one."""
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
-                rows = []
-                for want, s in zip(part.column(2).to_pylist(), ngram_sets(part.column(1), ngram), strict=True):
-                    if set_key(s) == want:
-                        cut = np.searchsorted(s, (np.arange(1, slices, dtype=np.uint64) * U64((1 << 64) // slices)))
-                        rows += [(want, len(s), g, x.view(np.int64)) for g, x in enumerate(np.split(s, cut))]
-                cols = list(zip(*rows, strict=True)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())), strict=True)],
-                                                 names=["k", "n", "slice", "grams"])
+                found = [(k, s) for k, s in zip(part.column(2).to_pylist(), ngram_sets(part.column(1), ngram), strict=True) if set_key(s) == k]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int64()),
+                     pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], names=["k", "n", "grams"])
 
     return run
 
 
-def _overlaps(batches):
-    """The partial overlap of each pair in one slice."""
-    for batch in batches:
-        x, y = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-        same = [len(np.intersect1d(np.asarray(p, np.int64), np.asarray(q, np.int64), assume_unique=True)) for p, q in zip(x, y, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(same, pa.int64())], names=["a", "b", "sizes", "same"])
+def overlap(x: np.ndarray, y: np.ndarray, fragments: int = SLICES) -> int:
+    """Common n-grams of two sorted sets: counted in each fragment of the order on its own, then summed."""
+    at = np.arange(1, fragments, dtype=np.uint64) * U64((1 << 64) // fragments)
+    return sum(len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(np.split(x, np.searchsorted(x, at)), np.split(y, np.searchsorted(y, at)), strict=True))
+
+
+def _similar(similar):
+    num, den = similar
+
+    def run(batches):
+        for batch in batches:
+            sets = []
+            for c in (2, 3):
+                column = batch.column(c)
+                bounds = column.offsets.to_numpy()
+                flat = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                sets.append([flat[a:b] for a, b in zip(bounds, bounds[1:], strict=False)])
+            good = []
+            for x, y in zip(*sets, strict=True):
+                same = overlap(x, y)
+                good.append(same * den >= (len(x) + len(y) - same) * num)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, similar=SIMILAR) -> DataFrame:
-    """The pairs (a, b) of set keys that are similar: partial overlaps per slice, summed per pair."""
+    """The pairs (a, b) of set keys that are similar, by the sum of their partial overlaps."""
     num, den = similar
-    left = sets.select(F.col("k").alias("a"), "slice", F.col("n").alias("na"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("k").alias("b"), "slice", F.col("n").alias("nb"), F.col("grams").alias("gb"))
-    both = pairs.join(left, "a").join(right, ["b", "slice"]).where((F.least("na", "nb") * den >= F.greatest("na", "nb") * num))
-    part = both.select("a", "b", (F.col("na") + F.col("nb")).alias("sizes"), "ga", "gb").mapInArrow(_overlaps, "a long, b long, sizes long, same long")
-    return (part.groupBy("a", "b", "sizes").agg(F.sum("same").alias("same"))
-            .where(F.col("same") * den >= (F.col("sizes") - F.col("same")) * num).select("a", "b"))
+    sizes = sets.select("k", "n")
+    fit = (pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+           .where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).select("a", "b"))
+    both = fit.join(sets.select(F.col("k").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("k").alias("b"), F.col("grams").alias("gb")), "b")
+    return both.select("a", "b", "ga", "gb").mapInArrow(_similar(similar), "a long, b long")
 
 
 def block_links(pdf: pd.DataFrame, similar=SIMILAR) -> list[tuple[int, int]]:
@@ -212,8 +225,7 @@ def rest_links(members: DataFrame, labels: DataFrame, groups: DataFrame, sets: D
         "k", "component", "group", F.lit(True).alias("big"), F.col("own").alias("i"), F.col("with").alias("j"), F.lit(0).alias("side"))
     from_big = each.where("big and others > 0").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select(
         "k", "component", "group", F.lit(True).alias("big"), F.col("with").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"))
-    whole = sets.groupBy("k").agg(F.max("n").alias("n"), F.flatten(F.collect_list("grams")).alias("grams"))
-    rows = to_others.union(to_big).union(from_big).join(whole, "k")
+    rows = to_others.union(to_big).union(from_big).join(sets, "k")
     return rows.groupBy("group", "big", "i", "j").applyInPandas(
         lambda pdf: pd.DataFrame(block_links(pdf, similar), columns=["a", "b"], dtype="int64"), "a long, b long")
 
@@ -229,19 +241,22 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     prepare(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     outline = store(plain.mapInArrow(_outline(ngram, similar), "doc long, n long, k long, keys array<long>"))
-    own = outline.where("doc is not null and n > 0")
-    classes = own.groupBy("k").agg(F.min("doc").alias("doc"))
-    each = store(own.join(classes, ["k", "doc"]).select("k", "doc", F.explode("keys").alias("key")))
-    buckets = each.groupBy("key").agg(F.count("*").alias("c"), F.min("k").alias("low"), F.max("k").alias("high")).where("low <> high")
-    members = store(each.join(buckets, "key").select("key", "k", "doc", "c", "low"))
+    light = store(outline.select("doc", "n", "k"))
+    classes = store(light.where("doc is not null and n > 0").groupBy("k").agg(F.min("doc").alias("doc")))
+    each = outline.where("doc is not null and n > 0").select("k", F.explode("keys").alias("key"))
+    often = store(each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"))
+    met = store(each.join(often, "key").distinct())
+    release(outline, often)
+    buckets = met.groupBy("key").agg(F.count("*").alias("c"), F.min("k").alias("low")).where("c > 1")
+    members = store(met.join(buckets, "key").select("key", "k", "c", "low"))
+    release(met)
 
     groups = store(components(members.select(F.col("k").alias("a"), F.col("low").alias("b")))).select(F.col("node").alias("k"), F.col("component").alias("group"))
     weight = members.groupBy("k").agg(F.sum("c").alias("w"))
     middle = members.join(weight, "k").groupBy("key").agg(F.max(F.struct("w", "k")).alias("m")).select("key", F.col("m.k").alias("middle"))
     pairs = members.join(middle, "key").where("k <> middle").select(F.least("k", "middle").alias("a"), F.greatest("k", "middle").alias("b")).distinct()
-    wanted = members.select("k", "doc").distinct()
-    sets = store(plain.join(wanted, "doc").select("doc", "text", "k").mapInArrow(_slices(ngram, SLICES), "k long, n long, slice int, grams array<long>")
-                 .dropDuplicates(["k", "slice"]))
+    wanted = members.select("k").distinct().join(classes, "k")
+    sets = store(plain.join(wanted, "doc").select("doc", "text", "k").mapInArrow(_sets(ngram), "k long, n long, grams array<long>").dropDuplicates(["k"]))
     links = store(similar_pairs(pairs, sets, similar))
     so_far = store(components(links)).select(F.col("node").alias("k"), "component")
     more = store(rest_links(members.select("key", "k"), so_far, groups, sets, similar))
@@ -250,7 +265,7 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     smallest = joined.groupBy("component").agg(F.min("doc").alias("component_id"))
     by_class = classes.join(joined.join(smallest, "component").select("k", "component_id"), "k", "left").select(
         "k", F.coalesce("component_id", "doc").alias("component_id"))
-    return outline.select("doc", "n", "k").join(by_class, "k", "left").select(
+    return light.join(by_class, "k", "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.when(F.col("doc").isNotNull(), F.col("component_id"))).otherwise(F.col("doc")).alias("component_id"))
 
