@@ -95,11 +95,17 @@ def nearest_rows(x: np.ndarray, c: np.ndarray, c_sq: np.ndarray) -> tuple[np.nda
     j = np.argmin(approx, axis=1)
     if k > 1:
         two = np.partition(approx, 1, axis=1)[:, :2]
-        scale = x_sq + c_sq.max() + 1.0
-        unsure = np.nonzero((two[:, 1] - two[:, 0]) <= 1e-9 * scale)[0]
-        if unsure.size:
-            exact = _fold_sq(x[unsure][:, None, :] - c[None, :, :])
-            j[unsure] = np.argmin(exact, axis=1)
+        # relative to the norms: features of any size have few near-ties
+        unsure = np.nonzero((two[:, 1] - two[:, 0]) <= 1e-9 * (x_sq + c_sq.max()))[0]
+        if unsure.size:  # re-decided exactly, one centre at a time
+            near = x[unsure]
+            best = np.full(unsure.size, np.inf)
+            pick = np.zeros(unsure.size, dtype=j.dtype)
+            for cand in range(k):
+                d = _fold_sq(near - c[cand])
+                better = d < best
+                best[better], pick[better] = d[better], cand
+            j[unsure] = pick
     d2 = _fold_sq(x - c[j])
     return j, d2
 
@@ -205,7 +211,9 @@ def distance_to_center(assigned: DataFrame, *keep: str) -> DataFrame:
 def attach_users(predictions: DataFrame, users: DataFrame, row_col: str = "row_id") -> DataFrame:
     """Join positional predictions to the user lookup on the row number.
 
-    An inner equi-join; a prediction without a user would be a broken input,
-    so the caller can compare counts (``assert_no_loss``).
+    A prediction without a user is a broken input and fails the job where its row is read.
     """
-    return predictions.join(users, on=row_col, how="inner")
+    known = users.withColumn("_known", F.lit(True))
+    joined = predictions.join(known, on=row_col, how="left")
+    lost = F.raise_error(F.concat(F.lit(f"no user for {row_col} "), F.col(row_col).cast("string")))
+    return joined.where(F.when(F.col("_known"), F.lit(True)).otherwise(lost.cast("boolean"))).drop("_known")

@@ -64,7 +64,7 @@ def cluster_summary(
     x = F.col(features)
     means = F.transform("sums", lambda v: v / F.col("n")).alias("means")
     if strategy == "summarizer":
-        stats = Summarizer.metrics("min", "max", "mean", "numNonZeros")
+        stats = Summarizer.metrics("min", "max", "mean", "sum")
         pos = Summarizer.metrics("numNonZeros")
         indicator = F.transform(features, lambda v: F.when(v > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
         g = assigned.groupBy(*keys).agg(
@@ -80,7 +80,7 @@ def cluster_summary(
             "sse",
             vector_to_array("_s.min").alias("mins"),
             vector_to_array("_s.max").alias("maxs"),
-            F.transform(vector_to_array("_s.mean"), lambda m: m * F.col("n")).alias("sums"),
+            vector_to_array("_s.sum").alias("sums"),
             vector_to_array("_s.mean").alias("means"),
             vector_to_array("_p.numNonZeros").cast("array<bigint>").alias("positives"),
         )

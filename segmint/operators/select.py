@@ -33,10 +33,13 @@ MIN_K_LARGE = 16
 Scorer = Callable[[int], ScoredModel]
 
 
-def candidate_ks(n: int, limit: int = LIMIT) -> list[int]:
-    """Powers of two from 2 up to N (N ≤ limit), or 16 … 512 (N > limit, cap 1000)."""
-    top = MAX_K if n > limit else n
-    k = MIN_K_LARGE if n > limit else 2
+def candidate_ks(n: int, limit: int = LIMIT, max_k: int = MAX_K, min_k: int = MIN_K_LARGE) -> list[int]:
+    """Powers of two from 2 up to N; above ``limit`` points from ``min_k`` up to ``max_k``.
+
+    The defaults are the reference's rule. One point has no candidates.
+    """
+    top = max_k if n > limit else n
+    k = min_k if n > limit else 2
     out = []
     while k <= top:
         out.append(k)
@@ -44,11 +47,13 @@ def candidate_ks(n: int, limit: int = LIMIT) -> list[int]:
     return out
 
 
-def candidate_ks_frame(points: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """O27 as a frame: (k) rows, from the point count, computed by Spark."""
+def candidate_ks_frame(points: DataFrame, limit: int = LIMIT, max_k: int = MAX_K, min_k: int = MIN_K_LARGE) -> DataFrame:
+    """O27 as a frame: (k) rows, from the point count, computed by Spark; ``min_k`` must be a power of two."""
+    if min_k < 2 or min_k & (min_k - 1):
+        raise ValueError("min_k must be a power of two from 2 on")
     n = F.count(F.lit(1))
-    top = F.when(n > limit, F.lit(MAX_K)).otherwise(n)
-    start_exp = F.when(n > limit, F.lit(4)).otherwise(F.lit(1))
+    top = F.when(n > limit, F.lit(max_k)).otherwise(n)
+    start_exp = F.when(n > limit, F.lit(min_k.bit_length() - 1)).otherwise(F.lit(1))
     # exponents start..floor(log2(top)); empty when top < 2^start
     last_exp = F.floor(F.log2(F.greatest(top, F.lit(1)).cast("double"))).cast("int")
     exps = F.when(last_exp >= start_exp, F.sequence(start_exp, last_exp)).otherwise(F.array().cast("array<int>"))
@@ -220,6 +225,8 @@ def binsearch_bic(
         if k2 <= k1:
             return k1, b1
         if k2 - k1 == 1:
+            if b1 is None or b2 is None:  # an end without variance has no BIC: the other one, or the smaller k
+                return (k2, b2) if b1 is None and b2 is not None else (k1, b1)
             if final == "lower":
                 return (k1, b1) if b1 < b2 else (k2, b2)
             return (k1, b1) if b1 > b2 else (k2, b2)
@@ -227,7 +234,12 @@ def binsearch_bic(
         if mid not in getattr(scorer, "cache", {}):
             _prefetch(scorer, k1, mid, k2, parallelism)
         b = scorer(mid).bic
-        if abs(b1 - b) > abs(b - b2):
+        if b is None:  # no variance at mid, so none above it either: skipped, the search goes on below
+            log.warning("skipping k = %d: zero variance", mid)
+            k2, b2 = mid, None
+        elif b1 is None or b2 is None:
+            k1, b1 = mid, b
+        elif abs(b1 - b) > abs(b - b2):
             k2, b2 = mid, b
         else:
             k1, b1 = mid, b
@@ -254,20 +266,25 @@ def binsearch_diameter(
 
 
 def linear_bic(scorer: Scorer, k1: int, k2: int) -> tuple[int, float]:
-    """Every second k in [k1, k2) plus k2; the highest BIC (earliest on ties)."""
+    """Every second k in [k1, k2) plus k2; the highest BIC (earliest on ties), k1 if none has one."""
     cands = list(range(k1, k2, 2)) + [k2]
     best = None
     for k in cands:
         b = scorer(k).bic
-        if best is None or b > best[1]:
+        if b is None:
+            log.warning("skipping k = %d: zero variance", k)
+        elif best is None or b > best[1]:
             best = (k, b)
-    return best
+    return best or (k1, None)
 
 
 def _best_range(spark, scored: list[ScoredModel]) -> tuple[tuple[int, float], tuple[int, float]]:
     usable = [s for s in scored if s.bic is not None]
     if len(usable) < len(scored):
         log.warning("skipping %d candidate(s) with zero variance", len(scored) - len(usable))
+    if not usable:  # every candidate fits without error: the smallest will do
+        s = min(scored, key=lambda s: s.k)
+        return (s.k, None), (s.k, None)
     if len(usable) == 1:
         s = usable[0]
         return (s.k, s.bic), (s.k, s.bic)
@@ -284,8 +301,20 @@ def select_k(
     scorer: Scorer | None = None,
     parallelism: int = 4,
     features: str = "features",
+    limit: int = LIMIT,
+    max_k: int = MAX_K,
+    min_k: int = MIN_K_LARGE,
 ) -> ScoredModel:
-    """Sweep → largest BIC gap (O39b) → bisection (O40) or linear scan (O41) → model at the chosen k."""
+    """Sweep → largest BIC gap (O39b) → bisection (O40) or linear scan (O41) → model at the chosen k.
+
+    Without ``ks`` the candidates are ``candidate_ks(n, limit, max_k, min_k)``, which needs
+    two points (callers with one point fit k = 1).
+    """
+    if ks is None:
+        n = points.count()
+        if n < 2:
+            raise ValueError("k selection needs at least two points")
+        ks = candidate_ks(n, limit, max_k, min_k)
     if scorer is not None:
         return _select_k(points, ks, max_iter, strategy, final, scorer, parallelism, features, own_scorer=False)
     # our own cached copy of the points, released when the choice is made
@@ -299,7 +328,7 @@ def select_k(
 
 def _select_k(
     points: DataFrame,
-    ks: Sequence[int] | None,
+    ks: Sequence[int],
     max_iter: int,
     strategy: str,
     final: str,
@@ -309,11 +338,6 @@ def _select_k(
     own_scorer: bool,
 ) -> ScoredModel:
     spark = points.sparkSession
-    if ks is None:
-        n = points.count()
-        if n < 2:
-            raise ValueError("k selection needs at least two points")
-        ks = candidate_ks(n)
     if not ks:
         raise ValueError("no candidate k")
     if own_scorer:
@@ -340,7 +364,7 @@ def _select_k(
 
 
 def run_kmeans(points: DataFrame, k=None, max_iter: int = 20, features: str = "features", **kw) -> ScoredModel:
-    """An int k fits once; a list of ks selects among them; None sweeps powers of two."""
+    """An int k fits once; a list of ks selects among them; None sweeps powers of two (``limit``, ``max_k``, ``min_k`` as in ``select_k``)."""
     if isinstance(k, int):
         return train_kmeans_default(points, k, max_iter, features)
     return select_k(points, ks=k, max_iter=max_iter, features=features, **kw)

@@ -28,9 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmint.operators.assign import as_centers
-from segmint.operators.features import MAX_LOCAL_DIMS
 from segmint.sources.text import dense_from_map
 
+# A dimension index up to this many bytes is broadcast.
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+
+
 def assemble_sparse(
     counts: DataFrame,
     dims: DataFrame,
@@ -43,10 +46,9 @@ def assemble_sparse(
     """(by…, user, idx, val): the non-zero dimensions of every user, ascending."""
     value = F.lit(1.0) if value_col is None else F.col(value_col).cast("double")
     d = dims.select(F.col("dimension_id").alias("_page"), F.col("dim").cast("int").alias("_dim"))
-    if q is None:
-        q = dims.count()
-    if q <= MAX_LOCAL_DIMS:  # Q rows; otherwise the planner picks the join
-        d = F.broadcast(d)
+    size = dims.agg(F.sum(F.octet_length("dimension_id") + 16)).first()[0] or 0
+    if size <= MAX_BROADCAST_BYTES:
+        d = F.broadcast(d)  # size just checked; beyond it the planner picks the join
     keyed = counts.join(d, F.col(page_col).cast("string") == F.col("_page"), "inner")
     per_dim = keyed.groupBy(*by, user_col, "_dim").agg(F.sum(value).alias("_v")).where(F.col("_v") != 0)
     entries = per_dim.groupBy(*by, user_col).agg(F.sort_array(F.collect_list(F.struct("_dim", "_v"))).alias("_e"))
@@ -117,8 +119,7 @@ def nearest_sparse(rows, cols, vals, n, c, c_sq):
     j = np.argmin(approx, axis=1)
     if k > 1:
         two = np.partition(approx, 1, axis=1)[:, :2]
-        scale = x_sq + c_sq.max() + 1.0
-        unsure = np.nonzero((two[:, 1] - two[:, 0]) <= 1e-9 * scale)[0]
+        unsure = np.nonzero((two[:, 1] - two[:, 0]) <= 1e-9 * (x_sq + c_sq.max()))[0]
         if unsure.size:
             # re-decide near-ties exactly, on the entries of those rows only
             pos = np.full(n, -1)

@@ -6,17 +6,22 @@ map-side). The model's k × Q centres live on the driver, as in Spark ML.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 import numpy as np
+from py4j.protocol import Py4JJavaError
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_SEED = 7
 DEFAULT_TOL = 1e-4
 
+log = logging.getLogger(__name__)
+
 # Accepted initialisation names → Spark ML's names.
 INIT_MODES = {"kmeans||": "k-means||", "k-means||": "k-means||", "random": "random"}
 
@@ -25,15 +30,15 @@ def init_mode(name: str) -> str:
     try:
         return INIT_MODES[name]
     except KeyError:
-        raise ValueError(f'init should be one of "random" or "kmeans||", not: {name!r}') from None
+        raise ValueError(f"unknown initialisation {name!r}; known: {sorted(INIT_MODES)}") from None
 
 
 def check_params(init: str, max_iter, tol) -> tuple[str, int, float]:
     """The checks of the reference's ``init,iterations,epsilon`` string, on typed values."""
     if isinstance(max_iter, bool) or not isinstance(max_iter, (int, np.integer)):
-        raise ValueError("iterations should be an int")
+        raise ValueError("the iteration cap must be a whole number")
     if isinstance(tol, bool) or not isinstance(tol, (float, np.floating)):
-        raise ValueError("epsilon should be a float")
+        raise ValueError("the tolerance must be written as a decimal number")
     return init_mode(init), int(max_iter), float(tol)
 
 
@@ -41,14 +46,14 @@ def parse_params(params: str) -> tuple[str, int, float]:
     """``"kmeans||,100,0.001"`` → (init, iterations, epsilon), validated."""
     parts = params.split(",")
     if len(parts) != 3:
-        raise ValueError(f"params should be: <kmeans|| or random>,<iterations>,<epsilon>. got: {parts}")
+        raise ValueError(f"expected three comma-separated fields (initialisation, iteration cap, tolerance), found {len(parts)}")
     init, it, eps = parts
     try:
         it_v = int(it)
     except ValueError:
-        raise ValueError("iterations should be an int") from None
+        raise ValueError("the iteration cap must be a whole number") from None
     if "." not in eps and "e" not in eps.lower():
-        raise ValueError("epsilon should be a float")
+        raise ValueError("the tolerance must be written as a decimal number")
     return check_params(init, it_v, float(eps))
 
 
@@ -74,10 +79,37 @@ def train_kmeans(
     solver; ~25% faster at sf0.1, more at larger k·Q).
     """
     mode, max_iter, tol = check_params(init, max_iter, tol)
-    if k < 2:
-        raise ValueError("k must be at least 2 (Spark ML k-means)")
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    if k == 1:
+        return one_center(vector_frame(points, features))
     km = KMeans(k=k, initMode=mode, maxIter=max_iter, tol=tol, seed=seed, featuresCol="_vec", solver=solver)
-    return km.fit(vector_frame(points, features))
+    try:
+        return km.fit(vector_frame(points, features))
+    except Py4JJavaError as e:
+        # the block solver can't start from fewer centres than k, which k-means|| gives when
+        # fewer than k points differ; the row solver fits the centres there are
+        if solver == "row" or "ArrayIndexOutOfBounds" not in str(e):
+            raise
+        log.warning("fewer than k = %d distinct points, fitting the distinct ones", k)
+        return km.setSolver("row").fit(vector_frame(points, features))
+
+
+class OneCenter:
+    """The k = 1 model, which Spark ML's k-means doesn't take: the mean of all points."""
+
+    def __init__(self, center: np.ndarray):
+        self.center = center
+
+    def clusterCenters(self) -> list[np.ndarray]:  # noqa: N802 (the name of Spark ML's models)
+        return [self.center]
+
+
+def one_center(vectors: DataFrame) -> OneCenter:
+    mean = vectors.select(Summarizer.mean(F.col("_vec"))).first()[0]
+    if mean is None:
+        raise ValueError("no points to fit")
+    return OneCenter(np.asarray(mean.toArray(), dtype=np.float64))
 
 
 def centers_of(model: KMeansModel) -> np.ndarray:

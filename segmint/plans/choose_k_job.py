@@ -1,4 +1,4 @@
-"""Entry B: choose k for a clustering input folder.
+"""Entry B: choose k for a segmentation input folder.
 
 Only the iteration count of the params string is used (init and epsilon are
 ignored, as in the reference's k selection).

@@ -3,7 +3,7 @@
 Two ways in:
 
 * ``profile_job``: from the parquet tables (events → per-user vectors).
-* ``run_kmeans_job``: from a clustering input folder (``inputs.txt``,
+* ``run_kmeans_job``: from a segmentation input folder (``inputs.txt``,
   ``users.txt``, ``pages.txt``, ``names.txt``), writing ``data.json``
   (membership) and ``meta-data.json`` (profiles) under the output folder.
 """
@@ -48,7 +48,9 @@ def profile_job(
 
 
 def load_inputs(spark: SparkSession, input_dir: str, sparse: bool = False) -> tuple[DataFrame, DataFrame, int]:
-    """(points, dims, Q) from a clustering input folder.
+    """(points, dims, Q) from a segmentation input folder.
+
+    Fails when points and users differ in number or an index has no page.
 
     Points carry ``row_id``, ``user_id`` and either dense ``features`` or,
     with ``sparse=True``, the non-zero ``idx``/``val`` arrays of each line.
@@ -61,6 +63,13 @@ def load_inputs(spark: SparkSession, input_dir: str, sparse: bool = False) -> tu
     q = pages.count()
     raw = text.read_points(spark, f"{d}/inputs.txt")
     users = text.read_lookup(spark, f"{d}/users.txt", "row_id", "user_id")
+    raw = materialize(raw)
+    n, top = raw.agg(F.count(F.lit(1)), F.max(F.array_max(F.map_keys("features")))).first()
+    n_users = users.count()
+    if n != n_users:
+        raise ValueError(f"{n} points but {n_users} users: every line of inputs.txt needs its line of users.txt")
+    if top is not None and top >= q:
+        raise ValueError(f"point index {top} has no line in pages.txt ({q} pages)")
     joined = raw.join(users, "row_id", "inner")
     if sparse:
         entries = F.filter(F.array_sort(F.map_entries("features")), lambda e: e["value"] != 0)

@@ -13,7 +13,7 @@ Categories with more than ``DENSE_MAX_Q`` pages run on sparse vectors
 
 A completed output folder makes its step a no-op, so rerunning the
 pipeline with the same arguments does no fit; a new ``suffix`` opens new
-outputs for the clustering step only.
+outputs for the segmentation step only.
 """
 
 from __future__ import annotations
@@ -75,17 +75,26 @@ def run_monthly(
 
     def _fit_and_write(points, dims, q, sparse, path, run_id):
         n = points.count()
-        if n == 0:
+        step = "run_id string, requested_k int, k int"
+        if n == 0:  # the three outputs exist, empty and with their schema
             log.warning("no activity for %s", run_id)
-            spark.createDataFrame([(run_id, 0)], "run_id string, k int").write.mode("overwrite").json(f"{path}/step")
+            none = spark.createDataFrame([], "cluster_id string, user_id string")
+            sinks.write_membership_rows(none, f"{path}/members", mode="overwrite")
+            sinks.write_membership(none, f"{path}/data.json", mode="overwrite")
+            sinks.write_profile(spark.createDataFrame([], sinks.PROFILE_SCHEMA), f"{path}/meta-data.json", mode="overwrite")
+            spark.createDataFrame([(run_id, k, 0)], step).write.mode("overwrite").json(f"{path}/step")
             return
         kk = k
+        if kk is None and n == 1:
+            kk = 1
         if kk is None:
             if sparse:
                 kk = select_k(points, ks=ks, scorer=sparse_scorer(points, q, max_iter)).k
             else:
                 kk = select_k(points.select("features"), ks=ks, max_iter=max_iter).k
-        kk = min(kk, n)
+        if kk > n:
+            log.warning("%s: %d users for k = %d, using k = %d (both are in the step record)", run_id, n, kk, n)
+            kk = n
         users = points.withColumnRenamed("o_custkey", "user_id")
         if sparse:
             model = train_kmeans_sparse(points, q, kk, "k-means||", max_iter, 1e-4, seed)
@@ -106,7 +115,7 @@ def run_monthly(
             profile = cluster_profile(assigned, centers, dims, run_id)
         sinks.write_profile(profile, f"{path}/meta-data.json", mode="overwrite")
         # The marker of a completed step is written last.
-        spark.createDataFrame([(run_id, kk)], "run_id string, k int").write.mode("overwrite").json(f"{path}/step")
+        spark.createDataFrame([(run_id, k, kk)], step).write.mode("overwrite").json(f"{path}/step")
 
     # one table for all steps, partitioned by month: each step reads only its month
     counts = materialize_table(month_counts(spark, root, months), ["month"])

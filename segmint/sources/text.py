@@ -4,42 +4,48 @@
   space. Line n is row n.
 * ``users.txt``, ``pages.txt``, ``names.txt``: line n names row / dimension n.
 
-Row numbers come from file order. ``index_rows`` numbers rows without
-leaving the JVM: a per-partition count (one small job) gives each partition
-its offset, the row number is that offset plus the row's position inside the
-partition.
+Row numbers come from file order (files by name, then by place). ``index_rows``
+numbers rows without leaving the JVM: the rows are stored with their partition
+(or file block) and position, the sizes are counted from the stored rows, and
+each row's number is its block's offset plus its position. Counting from
+anything but the stored rows would not do: a sorted frame that runs twice may
+be cut into other partitions the second time.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-_LOW_BITS = (1 << 33) - 1
+from segmint.session import materialize
+
+
+def _numbered(tagged: DataFrame, block: list[str], index_col: str) -> DataFrame:
+    """Number rows that carry ``block`` columns and ``_pos`` (rising inside a block), blocks in column order."""
+    stored = materialize(tagged)
+    sizes = stored.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    # one row per partition or file block
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*block, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
+    plain = [c for c in tagged.columns if c not in (*block, "_pos")]
+    return stored.join(offsets, block).select(*plain, (F.col("_offset") + F.col("_pos")).cast("bigint").alias(index_col))
 
 
 def index_rows(df: DataFrame, index_col: str = "row_id") -> DataFrame:
     """Number rows 0..n-1 in the frame's current order (partition order, then row order)."""
-    tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id())
-    counts = sorted((r["_pid"], r["count"]) for r in tagged.groupBy("_pid").count().collect())
-    offsets: dict[int, int] = {}
-    running = 0
-    for pid, n in counts:
-        offsets[pid] = running
-        running += n
-    if offsets:
-        offset_map = F.create_map(*[x for pid, off in offsets.items() for x in (F.lit(pid), F.lit(off))])
-        offset = F.element_at(offset_map, F.col("_pid"))
-    else:
-        offset = F.lit(0).cast("bigint")
-    pos = F.col("_mono").bitwiseAND(F.lit(_LOW_BITS))
-    return tagged.withColumn(index_col, (offset + pos).cast("bigint")).drop("_pid", "_mono")
-
-
-def _lines(spark: SparkSession, source) -> DataFrame:
+    tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id())
+    return _numbered(tagged, ["_pid"], index_col)
+
+
+def _index_lines(spark: SparkSession, source, index_col: str) -> DataFrame:
+    """(index, value) of a line frame, a file or a folder of files (in name order)."""
     if isinstance(source, DataFrame):
-        return source.select(F.col(source.columns[0]).alias("value"))
-    return spark.read.text(source)
+        return index_rows(source.select(F.col(source.columns[0]).alias("value")), index_col)
+    lines = spark.read.text(source).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
+    )
+    return _numbered(lines.withColumn("_pos", F.monotonically_increasing_id()), ["_file", "_start"], index_col)
 
 
 def parse_points(value: Column) -> Column:
@@ -57,7 +63,7 @@ def parse_points(value: Column) -> Column:
 
 def read_points(spark: SparkSession, source) -> DataFrame:
     """``(row_id bigint, features map<int,double>)`` from an ``inputs.txt`` path or a line frame."""
-    lines = index_rows(_lines(spark, source))
+    lines = _index_lines(spark, source, "row_id")
     return lines.select("row_id", parse_points(F.col("value")).alias("features"))
 
 
@@ -69,7 +75,7 @@ def dense_from_map(m, q: int) -> Column:
 
 def read_lookup(spark: SparkSession, source, index_col: str = "row_id", value_col: str = "user_id") -> DataFrame:
     """N-th line names the n-th row (users.txt) or dimension (pages.txt, names.txt)."""
-    lines = index_rows(_lines(spark, source), index_col)
+    lines = _index_lines(spark, source, index_col)
     return lines.select(F.col(index_col), F.col("value").alias(value_col))
 
 
