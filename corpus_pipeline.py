@@ -20,7 +20,7 @@ from segmint.llm.pii import find_personal, redact
 from segmint.llm.toxicity import drop_toxic, train
 
 #: near-copies share this much of their five-word shingles
-SHINGLE, SIMILAR = 5, (80, 100)
+SHINGLE, SIMILAR, FINER = 5, (80, 100), 0.25
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -31,7 +31,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-copies."""
-    return first_of_each(docs, jaccard_components(docs, SIMILAR, SHINGLE))
+    return first_of_each(docs, jaccard_components(docs, SIMILAR, SHINGLE, finer=FINER))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Jaccard join of documents on word n-grams by vertical partitioning.
 
 The n-grams have one global order (their 64-bit hashes), which is cut into fragments by
-equal ranges. Two sets of at least the wanted similarity differ in fewer n-grams than
-a fine cut has fragments, so some fragment of theirs is the same: fragments are the
-join key that finds every candidate. Candidates are then counted fragment by fragment
-of a coarse cut, each partial overlap on its own, and the partial counts summed per pair.
+equal ranges. Two sets of at least the wanted similarity differ in a bounded number of
+n-grams, each of which spoils one fragment at most, so a fine cut leaves them a known
+number of equal fragments: fragments are the join key that finds every candidate, and a
+set that shares fewer with all others together has no partner. Candidates are then
+counted fragment by fragment of a coarse cut, each partial overlap on its own, and the
+partial counts summed per pair.
 
 How fine the cut is depends on the size of a set, in bands half as large again as the
 one before; a set near a band's lower end also takes part in the band below.
@@ -30,8 +32,10 @@ from segmint.llm.windows import powers, word_codes, word_lists
 
 NGRAM = 3
 SIMILAR = (90, 100)
+FINER = 0.5  # fragments beyond the most that a partner can spoil, as a share of those
+PRUNE = 2
 SLICES = 4
-BLOCK = 256
+BLOCK = 512
 ROWS = 1000
 COLUMNS = 4096  # n-grams per fragment when a block is counted
 
@@ -77,40 +81,50 @@ def ngram_sets(texts: pa.Array, ngram: int = NGRAM) -> list[np.ndarray]:
 
 
 def set_key(s: np.ndarray) -> int:
-    return int(mix(np.array([mix(s ^ U64(0xA24BAED4963EE407)).sum(dtype=np.uint64) + U64(len(s))], dtype=np.uint64)).view(np.int64)[0])
+    """64-bit key of a set, even: the odd number after it stands for the set in the band below."""
+    return int(mix(np.array([mix(s ^ U64(0xA24BAED4963EE407)).sum(dtype=np.uint64) + U64(len(s))], dtype=np.uint64)).view(np.int64)[0]) & ~1
 
 
-def fragment_keys(s: np.ndarray, similar=SIMILAR) -> np.ndarray:
-    """Keys of the fragments of a set, in its own band and, near the lower end, the one below."""
+def fragment_keys(s: np.ndarray, similar=SIMILAR, finer: float = FINER) -> list[tuple[np.ndarray, int]]:
+    """Keys of a set's fragments and how many of them a partner shares at least: in its own
+    band and, near the lower end, in the one below."""
     num, den = similar
     n = len(s)
     if not n:
-        return np.zeros(0, np.int64)
+        return []
     band = int(np.searchsorted(BOUNDS, n, side="right")) - 1
     out = []
     for b in [band] + ([band - 1] if band and -(-n * num // den) < BOUNDS[band] else []):
-        largest = int(BOUNDS[b + 1]) - 1
-        cut = most_different(largest, similar) + 1
+        most = most_different(int(BOUNDS[b + 1]) - 1, similar)
+        cut = most + 1 + int(finer * (most + 1))
         piece = ((s >> U64(32)) * U64(cut)) >> U64(32)
         count = np.bincount(piece.astype(np.int64), minlength=cut)
-        sums = np.concatenate([[U64(0)], np.cumsum(mix(s))])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(s))])
         end = np.cumsum(count)
-        keys = mix(mix(sums[end] - sums[end - count] + count.astype(np.uint64)) + np.arange(cut, dtype=np.uint64) * powers(3) + U64(b + 1) * powers(5))
+        names = np.arange(cut, dtype=np.uint64) * powers(3) + np.full(1, b + 1, np.uint64) * powers(5)
+        keys = mix(mix(sums[end] - sums[end - count] + count.astype(np.uint64)) + names)
+        # a partner in this band: n and at most n / similarity, or the band's sizes
+        spoilt = min(most_different(n, similar), most)
         full = count > 0
-        # sets with so many empty fragments that a partner's equal ones may all be empty keep those too
-        out.append(keys if full.sum() <= most_different(max(n, largest), similar) else keys[full])
-    return np.concatenate(out).view(np.int64)
+        need = cut - spoilt - int(cut - full.sum())
+        # so many empty fragments that a partner's equal ones may all be empty: then those count too
+        out.append((keys[full].view(np.int64), need) if need > 0 else (keys.view(np.int64), cut - spoilt))
+    return out
+
 
+def _outline(ngram, similar, finer):
+    """doc, n, k and for both bands the keys and the number a partner shares."""
 
-def _outline(ngram, similar):
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
                 part = batch.slice(lo, ROWS)
                 sets = ngram_sets(part.column(1), ngram)
+                bands = [[*fragment_keys(s, similar, finer), (np.zeros(0, np.int64), 0), (np.zeros(0, np.int64), 0)][:2] for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.int64()),
-                     pa.array([fragment_keys(s, similar) for s in sets], pa.list_(pa.int64()))], names=["doc", "n", "k", "keys"])
+                     *(x for j in (0, 1) for x in (pa.array([b[j][0] for b in bands], pa.list_(pa.int64())), pa.array([b[j][1] for b in bands], pa.int32())))],
+                    names=["doc", "n", "k", "keys", "need", "keys_below", "need_below"])
 
     return run
 
@@ -230,7 +244,8 @@ def rest_links(members: DataFrame, labels: DataFrame, groups: DataFrame, sets: D
         lambda pdf: pd.DataFrame(block_links(pdf, similar), columns=["a", "b"], dtype="int64"), "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_col: str = "doc_id", text_col: str = "text",
+                       finer: float = FINER) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
     ``component_id`` is the smallest id that similar pairs lead to, its own included.
@@ -240,16 +255,27 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     """
     prepare(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    outline = store(plain.mapInArrow(_outline(ngram, similar), "doc long, n long, k long, keys array<long>"))
-    light = store(outline.select("doc", "n", "k"))
-    classes = store(light.where("doc is not null and n > 0").groupBy("k").agg(F.min("doc").alias("doc")))
-    each = outline.where("doc is not null and n > 0").select("k", F.explode("keys").alias("key"))
+    outline = store(plain.mapInArrow(_outline(ngram, similar, finer), "doc long, n long, k long, keys array<long>, need int, keys_below array<long>, need_below int"))
+    light = store(outline.select("doc", "n", "k", "need", "need_below"))
+    full = light.where("doc is not null and n > 0")
+    classes = store(full.groupBy("k").agg(F.min("doc").alias("doc")))
+    # a set in its own band is its (even) key, in the band below the odd number after it
+    own = outline.where("doc is not null and n > 0")
+    each = own.select(F.col("k").alias("node"), F.explode("keys").alias("key")).union(own.select(F.col("k") + 1, F.explode("keys_below")))
     often = store(each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"))
     met = store(each.join(often, "key").distinct())
     release(outline, often)
+    needs = full.select(F.col("k").alias("node"), "need").union(full.select(F.col("k") + 1, "need_below")).distinct()
+    for _ in range(PRUNE):  # sets that share too few fragments with all others go, and with them what others share
+        alone = met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+        shared = met.join(alone, "key")
+        enough = shared.groupBy("node").agg(F.count("*").alias("c")).join(needs, "node").where("c >= need").select("node")
+        less = store(shared.join(enough, "node"))
+        release(met)
+        met = less
+    met = met.select("key", (F.col("node") - F.pmod(F.col("node"), F.lit(2))).alias("k"))
     buckets = met.groupBy("key").agg(F.count("*").alias("c"), F.min("k").alias("low")).where("c > 1")
     members = store(met.join(buckets, "key").select("key", "k", "c", "low"))
-    release(met)
 
     groups = store(components(members.select(F.col("k").alias("a"), F.col("low").alias("b")))).select(F.col("node").alias("k"), F.col("component").alias("group"))
     weight = members.groupBy("k").agg(F.sum("c").alias("w"))
@@ -265,7 +291,7 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     smallest = joined.groupBy("component").agg(F.min("doc").alias("component_id"))
     by_class = classes.join(joined.join(smallest, "component").select("k", "component_id"), "k", "left").select(
         "k", F.coalesce("component_id", "doc").alias("component_id"))
-    return light.join(by_class, "k", "left").select(
+    return light.select("doc", "n", "k").join(by_class, "k", "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.when(F.col("doc").isNotNull(), F.col("component_id"))).otherwise(F.col("doc")).alias("component_id"))
 
