@@ -20,6 +20,8 @@ written unless it must be counted, and no link between different sets is lost.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -40,16 +42,16 @@ ROWS = 1000
 COLUMNS = 4096  # n-grams per fragment when a block is counted
 
 
-def band_bounds(limit: int = 1 << 40) -> np.ndarray:
+@cache
+def band_bounds(similar=SIMILAR, limit: int = 1 << 40) -> np.ndarray:
+    """Least sizes of the bands: each half as large again as the one before, or more where partners may be further apart."""
+    num, den = similar
     out = [1]
     while out[-1] < limit:
-        out.append(max(out[-1] + 1, out[-1] * 3 // 2))
+        out.append(max(out[-1] + 1, out[-1] * 3 // 2, -(-out[-1] * den // num)))
     return np.array(out, dtype=np.int64)
 
 
-BOUNDS = band_bounds()
-
-
 def most_different(n: int, similar=SIMILAR) -> int:
     """The most n-grams in which a set of n and a similar larger one can differ."""
     num, den = similar
@@ -92,10 +94,11 @@ def fragment_keys(s: np.ndarray, similar=SIMILAR, finer: float = FINER) -> list[
     n = len(s)
     if not n:
         return []
-    band = int(np.searchsorted(BOUNDS, n, side="right")) - 1
+    bounds = band_bounds(similar)
+    band = int(np.searchsorted(bounds, n, side="right")) - 1
     out = []
-    for b in [band] + ([band - 1] if band and -(-n * num // den) < BOUNDS[band] else []):
-        most = most_different(int(BOUNDS[b + 1]) - 1, similar)
+    for b in [band] + ([band - 1] if band and -(-n * num // den) < bounds[band] else []):
+        most = most_different(int(bounds[b + 1]) - 1, similar)
         cut = most + 1 + int(finer * (most + 1))
         piece = ((s >> U64(32)) * U64(cut)) >> U64(32)
         count = np.bincount(piece.astype(np.int64), minlength=cut)

@@ -47,8 +47,8 @@ class WordEncoder:
     LETTERS = "a-zA-Zªµº\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
     NUMBERS = "0-9²³¹¼½¾"
     PATTERN = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+"
-    #: other letters, a letter whose lower case is two characters, separators that are white space to Python only, special tokens
-    EXOTIC = "[\u0250-\U0010ffff\u0130\x1c-\x1f]|<\\|"
+    #: other letters, a letter whose lower case is two characters, control characters (white space to some libraries), special tokens
+    EXOTIC = "[\u0250-\U0010ffff\u0130\x00-\x08\x0e-\x1f\x7f-\x9f]|<\\|"
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
@@ -83,9 +83,9 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; null is empty."""
-        plain = [t.isascii() and "<|" not in t and not self.exotic(t) or not self.exotic(t) and unicodedata.is_normalized("NFC", t)
+        plain = [not self.exotic(t) and (t.isascii() or unicodedata.is_normalized("NFC", t))
                  for t in texts.fill_null("").to_pylist()]
-        some = texts.filter(pa.array(plain))
+        some = texts.filter(pa.array(plain, pa.bool_()))
         words = pc.utf8_split_whitespace(pc.utf8_lower(some.fill_null("")))
         numbered = words.flatten().dictionary_encode()
         known = [self._word(w) for w in numbered.dictionary.to_pylist()]
