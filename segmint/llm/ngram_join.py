@@ -111,7 +111,7 @@ def fragment_keys(s: np.ndarray, similar=SIMILAR, finer: float = FINER) -> list[
         full = count > 0
         need = cut - spoilt - int(cut - full.sum())
         # so many empty fragments that a partner's equal ones may all be empty: then those count too
-        out.append((keys[full].view(np.int64), need) if need > 0 else (keys.view(np.int64), cut - spoilt))
+        out.append((keys[full].view(np.int64), need) if need > 0 else (keys.view(np.int64), 1))
     return out
 
 
