@@ -70,7 +70,7 @@ def passes(kind: Column, hit: Column) -> Column:
     """The checks of the base kinds."""
     digits = _digits(hit)
     n = F.length(digits)
-    ip = F.forall(F.split(hit, r"\."), lambda p: F.length(F.ltrim(F.lit("0"), p)) <= 3) & F.forall(
+    ip = F.forall(F.split(hit, r"\."), lambda p: F.length(F.ltrim(p, F.lit("0"))) <= 3) & F.forall(
         F.split(hit, r"\."), lambda p: F.coalesce(F.right(p, F.lit(4)).try_cast("int"), F.lit(0)) <= 255)
     return (F.when(kind == "email", True).when(kind == "ip", ip).when(kind == "card", F.when(n.between(14, 19), luhn(digits)).otherwise(False))
             .when(kind == "phone", n.between(10, 15)).otherwise(True))

@@ -4,8 +4,9 @@ Hosts are the nodes of a graph: an edge runs from a page's host to every other h
 markup links to, and to the host's parent domain, each counted once per pair and kind.
 Trust starts at hosts with allowed pages and follows the edges (personalised PageRank);
 distrust starts at hosts with blocked pages and runs against them, to those that link to
-such hosts. Both are scaled back to pages, so a host is blocked when the blocked pages
-that reach it outweigh the allowed ones and its own undecided ones: ``THRESHOLD`` of all.
+such hosts. Both are counted in pages, so a host is blocked when its own blocked pages
+and the distrust that reaches it outweigh its allowed pages, the trust that reaches it
+and its undecided pages: more than ``THRESHOLD`` of all.
 
 Everything is DataFrame work: pages are reduced to one row per host and one per edge
 before anything is joined, and each round moves one row per edge.
@@ -76,7 +77,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
 
 def judge_pages(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, rounds: int = ROUNDS,
                 id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per row: page_id, host, path, rule, verdict, spam (the host's share of blocked mass).
+    """One row per row: page_id, host, path, rule, verdict, spam (the host's share of blocked pages and distrust).
 
     Null addresses and those without ``://`` have an empty host and path, no rule, and are
     allowed, as is every host that neither kind of mass reaches. Repeated rows are judged
@@ -97,8 +98,9 @@ def judge_pages(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, rou
     rank = propagate(both, seeds, rounds).groupBy("host").agg(F.sum(F.when(F.col("kind") == "trust", F.col("rank"))).alias("trust"),
                                                              F.sum(F.when(F.col("kind") == "distrust", F.col("rank"))).alias("distrust"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-    mass = zero("distrust") + zero("trust") + zero("open")
-    spam = F.when(mass > 0, zero("distrust") / mass).otherwise(0.0)
+    bad, fine = zero("blocked") + zero("distrust"), zero("allowed") + zero("trust")
+    mass = bad + fine + zero("open")
+    spam = F.when(mass > 0, bad / mass).otherwise(0.0)
     hosts = seen.join(rank, "host", "left").select("host", spam.alias("spam"))
     return judged.drop("html").join(hosts, "host", "left").select(
         "page_id", "host", "path", "rule",
