@@ -279,6 +279,7 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     met = met.select("key", (F.col("node") - F.pmod(F.col("node"), F.lit(2))).alias("k"))
     buckets = met.groupBy("key").agg(F.count("*").alias("c"), F.min("k").alias("low")).where("c > 1")
     members = store(met.join(buckets, "key").select("key", "k", "c", "low"))
+    release(less)
 
     groups = store(components(members.select(F.col("k").alias("a"), F.col("low").alias("b")))).select(F.col("node").alias("k"), F.col("component").alias("group"))
     weight = members.groupBy("k").agg(F.sum("c").alias("w"))

@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.common import U64, mix, prepare, store
+from segmint.llm.common import U64, mix, prepare, release, store
 from segmint.llm.windows import BYTE_CODES, powers, runs, text_bytes, word_codes, word_lists
 
-HOT = 20_000
+HOT = 5_000
 SHARD_UNITS = 1 << 20
 ROWS = 1000  # texts taken at a time
 START_BITS = 40
@@ -228,6 +228,7 @@ def repeated_spans(docs: DataFrame, units: Units, find: Callable, id_col: str =
     repeated = store(each.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"))
     wanted = each.join(repeated, "anchor").groupBy("doc", "k1").agg(F.collect_list("idx").alias("idx"))
     wanted = store(wanted.join(marked.where("not copy").select("doc", "k1").distinct(), ["doc", "k1"], "left_semi"))
+    release(texts, repeated)
     segments = store(keyed.select("doc", "text", "k1").join(wanted, ["doc", "k1"]).select("doc", "text", "k1", "idx")
                      .mapInArrow(_segments(units), "anchor long, content long, doc long, k1 long, start long, n long, text binary"))
 
@@ -246,7 +247,9 @@ def repeated_spans(docs: DataFrame, units: Units, find: Callable, id_col: str =
         earliest = single.groupBy("w1", "w2").agg(F.min(place()).alias("first"), F.count("*").alias("c")).where("c > 1")
         spans = spans.union(single.join(earliest, ["w1", "w2"]).where(place() > F.col("first"))
                             .select("doc", "k1", F.col("start").alias("a"), (F.col("start") + units.width).alias("b")))
-    return marked, store(spans.groupBy("doc", "k1").agg(F.collect_set(F.struct("a", "b")).alias("spans")))
+    found = store(spans.groupBy("doc", "k1").agg(F.collect_set(F.struct("a", "b")).alias("spans")))
+    release(wanted, segments, contents, hot_leads)
+    return marked, found
 
 
 def with_spans(docs: DataFrame, marked: DataFrame, spans: DataFrame, id_col: str, text_col: str) -> DataFrame:
