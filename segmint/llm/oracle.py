@@ -1,3 +1,90 @@
-"""DuckDB twins of the registered queries, where SQL can state them."""
+"""DuckDB twins of the registered queries, where SQL can state them.
 
-SQL: dict[str, str] = {}
+The others hold trained models, approximate search or tokenizer ids; tests compare them
+with plain versions, library results or held-out labels.
+"""
+
+#: pieces that cover a unit when a window starting up to width - 1 units before it starts earlier elsewhere
+_COVERED = """
+marks AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1 AS again FROM win
+),
+units AS (
+  SELECT u.doc_id, u.i, u.x, coalesce(bool_or(m.again) OVER (PARTITION BY u.doc_id ORDER BY u.i ROWS BETWEEN {before} PRECEDING AND CURRENT ROW), FALSE) AS gone
+  FROM unit u LEFT JOIN marks m ON m.doc_id = u.doc_id AND m.i = u.i
+)"""
+
+WORDS = """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 19], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS i FROM d)
+),
+unit AS (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS i FROM d),""" + _COVERED.format(before=19) + """
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(s.n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(s.kept, '')) AS kept_sha256
+FROM d LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, string_agg(x, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM units GROUP BY doc_id
+) s ON s.doc_id = d.doc_id"""
+
+BYTES = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents),
+win AS (
+  SELECT doc_id, i, md5(substring(t, CAST(2 * i - 1 AS BIGINT), 200)) AS h
+  FROM (SELECT doc_id, t, unnest(generate_series(1, len(t) // 2 - 99)) AS i FROM d)
+),
+unit AS (
+  SELECT doc_id, unnest(regexp_extract_all(t, '..')) AS x, unnest(generate_series(1, len(t) // 2)) AS i FROM d
+),""" + _COVERED.format(before=99) + """,
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS opens FROM units)
+SELECT d.doc_id, CAST(len(d.t) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(s.n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(s.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(s.kept, ''))) AS kept_sha256
+FROM d LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+         string_agg(x, '' ORDER BY i) FILTER (WHERE NOT gone) AS kept
+  FROM edges GROUP BY doc_id
+) s ON s.doc_id = d.doc_id"""
+
+JACCARD = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+sets AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, array_to_string(w[i : i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 2)) AS i FROM d)
+    UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 2)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * met >= 90 * (x.n + y.n - met)
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id)"""
+
+METRIC = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.98
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(low, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, min(b) AS low FROM reach GROUP BY a) USING (vec_id)"""
+
+SQL: dict[str, str] = {
+    "op5_ngram_jaccard": JACCARD,
+    "op6_substring_fm_index": WORDS,
+    "op7_metric_range_join": METRIC,
+    "op9_suffix_buckets": BYTES,
+}
