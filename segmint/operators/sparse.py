@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmint.operators.assign import as_centers
+from segmint.session import materialize
 from segmint.sources.text import dense_from_map
 
 # A dimension index up to this many bytes is broadcast.
@@ -84,15 +85,21 @@ def vector_frame(points: DataFrame, q: int) -> DataFrame:
     return points.select(to_vec("idx", "val").alias("_vec"))
 
 
-def train_kmeans_sparse(points: DataFrame, q: int, k: int, init="k-means||", max_iter=20, tol=1e-4, seed=7):
-    """O09 on sparse points: Spark ML k-means over sparse vectors."""
+def train_kmeans_sparse(points: DataFrame, q: int, k: int, init="k-means||", max_iter=20, tol=1e-4, seed=7, vectors=None):
+    """O09 on sparse points: Spark ML k-means over sparse vectors.
+
+    ``vectors`` (a stored ``vector_frame``) saves building them again when several fits share the points.
+    """
     from pyspark.ml.clustering import KMeans
 
-    from segmint.operators.train import check_params
+    from segmint.operators.train import check_params, one_center
 
     mode, max_iter, tol = check_params(init, max_iter, tol)
+    vectors = vector_frame(points, q) if vectors is None else vectors
+    if k == 1:
+        return one_center(vectors)
     km = KMeans(k=k, initMode=mode, maxIter=max_iter, tol=tol, seed=seed, featuresCol="_vec", solver="row")
-    return km.fit(vector_frame(points, q))
+    return km.fit(vectors)
 
 
 def _segment_dots(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, n: int, c: np.ndarray) -> np.ndarray:
@@ -242,8 +249,10 @@ def sparse_scorer(points: DataFrame, q: int, max_iter: int = 20, seed: int = 7):
     from segmint.operators.select import MemoScorer
     from segmint.operators.train import ScoredModel, centers_of
 
+    vectors = materialize(vector_frame(points, q))  # built once for all fits
+
     def score(k):
-        model = train_kmeans_sparse(points, q, k, max_iter=max_iter, seed=seed)
+        model = train_kmeans_sparse(points, q, k, max_iter=max_iter, seed=seed, vectors=vectors)
         a = assign_sparse(points, centers_of(model))
         base = a.groupBy("cluster").agg(
             F.count(F.lit(1)).alias("n"), F.max("dist").alias("max_dist"), F.sum("d2").alias("sse")
@@ -254,4 +263,4 @@ def sparse_scorer(points: DataFrame, q: int, max_iter: int = 20, seed: int = 7):
             bic=row["bic"], aic=row["aic"],
         )
 
-    return MemoScorer(score)
+    return MemoScorer(score, owned=vectors)
