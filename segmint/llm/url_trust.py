@@ -25,6 +25,7 @@ DAMPING = 0.85
 ROUNDS = 12
 STORE_EVERY = 4
 THRESHOLD = 0.5
+SALTS = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -101,7 +102,9 @@ def judge_pages(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD, rou
     bad, fine = zero("blocked") + zero("distrust"), zero("allowed") + zero("trust")
     mass = bad + fine + zero("open")
     spam = F.when(mass > 0, bad / mass).otherwise(0.0)
-    hosts = seen.join(rank, "host", "left").select("host", spam.alias("spam"))
-    return judged.drop("html").join(hosts, "host", "left").select(
+    # one host may hold a third of all pages: its pages meet as many copies of its one row
+    hosts = seen.join(rank, "host", "left").select("host", spam.alias("spam"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = judged.drop("html").withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(SALTS)).cast("int"))
+    return salted.join(hosts, ["host", "salt"], "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("by_rule", F.when(F.col("spam") > threshold, "block").otherwise("allow")).alias("verdict"), F.coalesce("spam", F.lit(0.0)).alias("spam"))
