@@ -36,7 +36,7 @@ from segmint.functions.vector import sq_distance_sql
 
 # Centre matrices up to this many k·Q terms become one generated expression.
 UNROLL_TERMS = 64
-# Largest centre matrix this module will ship to executors (bytes).
+# Centres shipped to the executors at a time (bytes); a larger model is tried group by group.
 MAX_CENTER_BYTES = 256 * 1024 * 1024
 
 
@@ -47,8 +47,6 @@ def as_centers(centers) -> np.ndarray:
     mat = np.asarray([np.asarray(c, dtype=np.float64).ravel() for c in centers], dtype=np.float64)
     if mat.ndim != 2 or mat.shape[0] == 0:
         raise ValueError("need at least one centre, all of the same size")
-    if mat.nbytes > MAX_CENTER_BYTES:
-        raise ValueError(f"centre matrix of {mat.nbytes} bytes exceeds the {MAX_CENTER_BYTES}-byte limit; lower k")
     return mat
 
 
@@ -188,7 +186,7 @@ def assign(points: DataFrame, centers, features: str = "features", method: str =
     if method == "auto":
         if mat.size <= UNROLL_TERMS:
             method = "expression"
-        elif is_model:
+        elif is_model and mat.nbytes <= MAX_CENTER_BYTES:
             method = "model"
         else:
             method = "batches"
@@ -199,7 +197,17 @@ def assign(points: DataFrame, centers, features: str = "features", method: str =
             raise ValueError("method='model' needs a trained Spark ML KMeansModel")
         return _assign_model(points, centers, mat, features)
     if method == "batches":
-        return _assign_batches(points, mat, features)
+        most = max(1, MAX_CENTER_BYTES // mat[0].nbytes)
+        best = _assign_batches(points, mat[:most], features)
+        for at in range(most, len(mat), most):  # a later centre wins only if it is nearer
+            here = _assign_batches(best.withColumnsRenamed({c: f"_best_{c}" for c in ("cluster", "d2", "dist")}), mat[at : at + most], features)
+            nearer = F.col("d2") < F.col("_best_d2")
+            best = here.select(
+                *points.columns,
+                F.when(nearer, F.col("cluster") + at).otherwise(F.col("_best_cluster")).cast("int").alias("cluster"),
+                *[F.when(nearer, F.col(c)).otherwise(F.col(f"_best_{c}")).alias(c) for c in ("d2", "dist")],
+            )
+        return best
     raise ValueError(f"unknown assign method {method!r}")
 
 

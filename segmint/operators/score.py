@@ -133,8 +133,10 @@ def model_errors(k_curve: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFra
 def score_many(points: DataFrame, centers_by_k: dict, features: str = "features") -> DataFrame:
     """Score several models in ONE pass over the points: (k, n, wssse, avg_diameter, variance, ln_l, aic, bic).
 
-    Every Arrow batch is assigned under each model's centres (all broadcast
-    together, size-checked); one aggregation by (k, cluster) follows.
+    Every Arrow batch is assigned under each model's centres and gives one row per
+    (k, cluster) with its count, largest distance and sum of squares; one aggregation
+    follows. Models that are too large to be broadcast together are scored in groups,
+    one pass each.
     """
     import numpy as np
     import pyarrow as pa
@@ -149,16 +151,19 @@ def score_many(points: DataFrame, centers_by_k: dict, features: str = "features"
     if len(qs) != 1:
         raise ValueError("all models must have the same width")
     q = qs.pop()
-    if sum(m.nbytes for m in table.values()) > MAX_CENTER_BYTES:
-        raise ValueError("centre matrices exceed the broadcast limit; score in smaller groups")
+    if len(table) > 1 and sum(m.nbytes for m in table.values()) > MAX_CENTER_BYTES:
+        ks = sorted(table)
+        half = [score_many(points, {k: table[k] for k in part}, features) for part in (ks[: len(ks) // 2], ks[len(ks) // 2 :])]
+        return half[0].union(half[1])
     bc = points.sparkSession.sparkContext.broadcast(table)
     feat = points.select(features)
     out_schema = T.StructType(
         [
             T.StructField("k", T.IntegerType(), False),
             T.StructField("cluster", T.IntegerType(), False),
-            T.StructField("d2", T.DoubleType(), False),
-            T.StructField("dist", T.DoubleType(), False),
+            T.StructField("n", T.LongType(), False),
+            T.StructField("max_dist", T.DoubleType(), False),
+            T.StructField("sse", T.DoubleType(), False),
         ]
     )
 
@@ -172,13 +177,22 @@ def score_many(points: DataFrame, centers_by_k: dict, features: str = "features"
             x = feature_matrix(batch.column(0), q)
             for k, c in models.items():
                 j, d2 = nearest_rows(x, c, sq[k])
+                seen, at = np.unique(j, return_inverse=True)
+                far = np.zeros(len(seen))
+                np.maximum.at(far, at, d2)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, k, dtype=np.int32)), pa.array(j.astype(np.int32)), pa.array(d2), pa.array(np.sqrt(d2))],
-                    names=["k", "cluster", "d2", "dist"],
+                    [
+                        pa.array(np.full(len(seen), k, dtype=np.int32)),
+                        pa.array(seen.astype(np.int32)),
+                        pa.array(np.bincount(at).astype(np.int64)),
+                        pa.array(np.sqrt(far)),
+                        pa.array(np.bincount(at, weights=d2)),
+                    ],
+                    names=["k", "cluster", "n", "max_dist", "sse"],
                 )
 
     assigned = feat.mapInArrow(run, out_schema)
     summary = assigned.groupBy("k", "cluster").agg(
-        F.count(F.lit(1)).alias("n"), F.max("dist").alias("max_dist"), F.sum("d2").alias("sse")
+        F.sum("n").alias("n"), F.max("max_dist").alias("max_dist"), F.sum("sse").alias("sse")
     )
     return score_summary(summary, q, "k", by=("k",))

@@ -188,7 +188,11 @@ SQL["read_user_activity"] = (
 
 # features
 SQL["group_by_user"] = "SELECT user_id, event_type AS page, count(*) AS n FROM events GROUP BY user_id, event_type"
-SQL["filter_to_category"] = _with(BRANDS, "SELECT category_id, o_custkey, p_brand, n FROM fc")
+SQL["filter_to_category"] = _with(
+    BRANDS,
+    "SELECT category_id, o_custkey, p_brand, n FROM fc WHERE substr(p_brand, 8, 1) <= '3' "
+    "UNION ALL SELECT -1, o_custkey, p_brand, n FROM fc WHERE substr(p_brand, 8, 1) <= '3' AND category_id = 2",
+)
 SQL["scale_actions"] = _with(
     BRANDS,
     _round(
@@ -222,7 +226,9 @@ SQL["attach_users"] = _with(UA_MODEL, "SELECT CAST(user_id AS VARCHAR) AS user_i
 # profile
 SQL["cluster_counts"] = _with(
     UA_MODEL,
-    "SELECT ct.cluster, CAST(coalesce(s.n, 0) AS BIGINT) AS member_count FROM ua_cent ct LEFT JOIN ua_sum s ON s.cluster = ct.cluster",
+    # the model has its first centre once more, as an empty fifth cluster
+    "SELECT ct.cluster, CAST(coalesce(s.n, 0) AS BIGINT) AS member_count FROM ua_cent ct LEFT JOIN ua_sum s ON s.cluster = ct.cluster "
+    "UNION ALL SELECT CAST(count(*) AS INTEGER), CAST(0 AS BIGINT) FROM ua_cent",
 )
 SQL["cluster_diameters"] = _with(UA_MODEL, _round("SELECT cluster, 2 * max_dist AS diameter FROM ua_sum", ["diameter"]))
 SQL["cluster_max_distance"] = _with(UA_MODEL, _round("SELECT cluster, max_dist FROM ua_sum", ["max_dist"]))
@@ -372,7 +378,7 @@ SQL["slope"] = _with(
     ),
 )
 SQL["k_slopes"] = _with(EMB, _round(_slopes("avg_diameter"), ["slope", "value"]))
-SQL["filter_slopes"] = _with(EMB, _round(f"SELECT * FROM ({_slopes('wssse')}) WHERE slope <= -1", ["slope", "value"]))
+SQL["filter_slopes"] = _with(EMB, _round(f"SELECT * FROM ({_slopes('(avg_diameter * 20)')}) WHERE slope <= -1", ["slope", "value"]))
 _GAP = f"""
 SELECT run_id, k1, v1, k2, v2, gap FROM (
   SELECT *, abs(v2 - v1) AS gap FROM ({_pairs('bic')})
@@ -384,7 +390,7 @@ SQL["best_k_range_bic"] = _with(
 SQL["best_k_range_slope"] = _with(
     EMB
     + f""",
-sl AS ({_slopes('avg_diameter')}),
+sl AS ({_slopes('(avg_diameter * 20)')}),
 sp AS (
   SELECT run_id, k AS k1, value AS d1, slope AS s1,
          lead(k) OVER (PARTITION BY run_id ORDER BY k) AS k2,
@@ -510,9 +516,13 @@ SQL["center_data"] = _with(
 SQL["candidate_ks"] = _with(
     UA,
     """
-SELECT CAST(pow(2, e) AS INTEGER) AS k
+SELECT CAST(pow(2, e) AS INTEGER) AS k, 'small' AS branch
+FROM (SELECT count(*) AS n FROM ua) c, range(1, 31) r(e)
+WHERE CASE WHEN n > 100000 THEN e >= 4 AND pow(2, e) <= 1000 ELSE pow(2, e) <= n END
+UNION ALL
+SELECT CAST(pow(2, e) AS INTEGER) AS k, 'large' AS branch
 FROM (SELECT count(*) AS n FROM ua) c, range(1, 31) r(e)
-WHERE CASE WHEN n > 100000 THEN e >= 4 AND pow(2, e) <= 1000 ELSE pow(2, e) <= n END""",
+WHERE CASE WHEN n > 5 THEN e >= 3 AND pow(2, e) <= 100 ELSE pow(2, e) <= n END""",
 )
 
 # k search with the fixed-centre model (first k users by id) as the scorer: the

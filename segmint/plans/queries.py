@@ -186,7 +186,12 @@ def _category_counts(spark, root):
 
 
 def q_filter_to_category(spark, root):
-    return _category_counts(spark, root)
+    """Both forms, on categories that leave brands out: several tagged ones (inner join), and one (semi-join, tagged −1)."""
+    counts = _brand_counts(spark, root)
+    some = _categories(spark, root).where(F.substring("page_id", 8, 1) <= "3")
+    tagged = FE.filter_to_category(counts, some, "p_brand", category_col="category_id")
+    one = FE.filter_to_category(counts, some.where("category_id = 2"), "p_brand").withColumn("category_id", F.lit(-1).cast("bigint"))
+    return tagged.unionByName(one).select("category_id", "o_custkey", "p_brand", "n")
 
 
 def q_scale_actions(spark, root):
@@ -280,9 +285,16 @@ def q_attach_users(spark, root):
 # ---- profile (O11, O13–O24, O23a) -------------------------------------------------------------
 
 
+def _with_empty_cluster(spark, root):
+    """The fixed model and its first centre once more: ties go to the first, so the last cluster is empty."""
+    pts, dims, cents = _ua_model(spark, root)
+    cents = [*as_centers(cents), as_centers(cents)[0]]
+    return assign(pts, cents), dims, cents
+
+
 def q_cluster_counts(spark, root):
-    full, _, _ = _ua_summary_all(spark, root)
-    return P.cluster_counts(full)
+    a, _, cents = _with_empty_cluster(spark, root)
+    return P.cluster_counts(P.with_all_clusters(P.cluster_summary(a, as_centers(cents).shape[1]), cents))
 
 
 def q_cluster_diameters(spark, root):
@@ -372,7 +384,8 @@ def q_cluster_profile(spark, root):
 
 
 def q_drop_empty_clusters(spark, root):
-    prof = P.drop_empty_clusters(_profile(spark, root, keep_empty=True))
+    a, dims, cents = _with_empty_cluster(spark, root)
+    prof = P.drop_empty_clusters(P.cluster_profile(a, cents, dims, RUN, keep_empty=True))
     return rounded(prof.select("cluster_id", "cluster_member_count", "cluster_diameter"))
 
 
@@ -516,8 +529,13 @@ def q_k_slopes(spark, root):
     return rounded(C.k_slopes(_curve(spark, root), "avg_diameter"))
 
 
+def _steep_curve(spark, root):
+    """Diameters times 20: slopes on both sides of −1."""
+    return _curve(spark, root).withColumn("avg_diameter", F.col("avg_diameter") * 20)
+
+
 def q_filter_slopes(spark, root):
-    return rounded(C.filter_slopes(C.k_slopes(_curve(spark, root), "wssse")))
+    return rounded(C.filter_slopes(C.k_slopes(_steep_curve(spark, root), "avg_diameter")))
 
 
 def q_max_bic_gap(spark, root):
@@ -529,7 +547,7 @@ def q_best_k_range_bic(spark, root):
 
 
 def q_best_k_range_slope(spark, root):
-    return rounded(C.best_k_range_slope(_curve(spark, root), "avg_diameter"))
+    return rounded(C.best_k_range_slope(_steep_curve(spark, root), "avg_diameter"))
 
 
 def q_best_k_diameter_drop(spark, root):
@@ -584,8 +602,10 @@ def q_center_data(spark, root):
 
 
 def q_candidate_ks(spark, root):
+    """Both branches of the rule: the usual limit, and one below the number of points."""
     pts, _ = _ua(spark, root)
-    return SEL.candidate_ks_frame(pts)
+    small = SEL.candidate_ks_frame(pts).withColumn("branch", F.lit("small"))
+    return small.union(SEL.candidate_ks_frame(pts, limit=5, max_k=100, min_k=8).withColumn("branch", F.lit("large")))
 
 
 def _cost_agrees(pts, scored):

@@ -109,3 +109,17 @@ def test_members_json_has_one_schema(spark):
     parts = [json.loads(r["value"]) for r in sinks.membership_lines(rows, chunk_size=4).collect()]
     assert set(small[0]) == {"cluster_id", "part", "parts", "user_ids"} == set(parts[0])
     assert small[0]["parts"] == 1 and {p["parts"] for p in parts} == {3}
+
+
+def test_large_models_go_in_groups(spark, monkeypatch):
+    import segmint.operators.assign as A
+    from segmint.operators.score import score_many
+
+    rng = np.random.default_rng(4)
+    pts = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.random((300, 8)))], "id int, features array<double>")
+    cents = {k: rng.random((k, 8)) for k in (3, 11, 20)}
+    whole = {k: [(r["id"], r["cluster"], r["d2"]) for r in assign(pts, c, method="batches").orderBy("id").collect()] for k, c in cents.items()}
+    scores = sorted(map(tuple, score_many(pts, cents).collect()))
+    monkeypatch.setattr(A, "MAX_CENTER_BYTES", 8 * 8 * 4)  # four centres at a time
+    assert whole == {k: [(r["id"], r["cluster"], r["d2"]) for r in assign(pts, c, method="batches").orderBy("id").collect()] for k, c in cents.items()}
+    assert scores == sorted(map(tuple, score_many(pts, cents).collect()))
