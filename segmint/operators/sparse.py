@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from segmint.operators.assign import as_centers
 from segmint.session import materialize
-from segmint.sources.text import dense_from_map
+from segmint.sources.text import dense_from_map, spread
 
 # A dimension index up to this many bytes is broadcast.
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -203,25 +203,22 @@ def cluster_summary_sparse(assigned: DataFrame, q: int, by: Sequence[str] = ())
         F.count_if(F.col("e.v") > 0).alias("ps"),
     )
     # At most Q + 1 entries per cluster: the profile's own size.
-    packed = per_dim.groupBy(*keys).agg(
-        F.map_from_entries(
-            F.collect_list(F.struct("dim", F.struct("nz", "max_dist", "dist_sum", "sse", "mn", "mx", "sm", "ps")))
-        ).alias("_m")
-    )
-    row = F.element_at(F.col("_m"), F.lit(-1))
-    joined = packed.select(
+    fields = F.struct("dim", "nz", "max_dist", "dist_sum", "sse", "mn", "mx", "sm", "ps")
+    packed = per_dim.groupBy(*keys).agg(F.sort_array(F.collect_list(fields)).alias("_e"))
+    joined = packed.withColumn("_all", spread(F.col("_e"), "dim", q))
+    row = F.col("_all")[0]  # the marker
+    joined = joined.select(
         *keys,
         row["nz"].alias("n"),
         row["max_dist"].alias("max_dist"),
         row["dist_sum"].alias("dist_sum"),
         row["sse"].alias("sse"),
-        "_m",
+        F.slice("_all", 2, q).alias("_m"),
     )
-    seq = F.sequence(F.lit(0), F.lit(q - 1))
     n = F.col("n")
 
     def per(fn):
-        return F.transform(seq, lambda i: fn(F.element_at(F.col("_m"), i)))
+        return F.transform("_m", fn)
 
     # A member without an entry has 0 in that dimension.
     has_zero = lambda e: e.isNull() | (e["nz"] < n)

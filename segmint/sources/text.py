@@ -67,10 +67,25 @@ def read_points(spark: SparkSession, source) -> DataFrame:
     return lines.select("row_id", parse_points(F.col("value")).alias("features"))
 
 
+def spread(entries: Column, key: str, q: int) -> Column:
+    """Structs sorted by the int field ``key``, from −1 to q − 1 at most → q + 1 structs, null where a key is missing.
+
+    Each entry is followed by as many nulls as keys are missing after it: linear in q.
+    """
+    after = F.concat(F.slice(F.transform(entries, lambda e: e[key]), F.lit(2), F.size(entries)), F.array(F.lit(q)))
+    return F.flatten(F.transform(
+        F.arrays_zip(entries.alias("e"), after.alias("next")),
+        lambda z: F.concat(F.array(z["e"]), F.array_repeat(F.when(F.lit(False), z["e"]), (z["next"] - z["e"][key] - 1).cast("int"))),
+    ))
+
+
 def dense_from_map(m, q: int) -> Column:
     """``map<int,double>`` → dense ``array<double>`` of width q (missing indices are 0)."""
     m = F.col(m) if isinstance(m, str) else m
-    return F.transform(F.sequence(F.lit(0), F.lit(q - 1)), lambda i: F.coalesce(F.element_at(m, i), F.lit(0.0)))
+    first = F.array(F.struct(F.lit(-1).alias("key"), F.lit(None).cast("double").alias("value")))
+    known = F.filter(F.map_entries(m), lambda e: (e["key"] >= 0) & (e["key"] < q))
+    values = F.transform(spread(F.concat(first, F.array_sort(known)), "key", q), lambda e: F.coalesce(e["value"], F.lit(0.0)))
+    return F.when(m.isNotNull(), F.slice(values, 2, q))
 
 
 def read_lookup(spark: SparkSession, source, index_col: str = "row_id", value_col: str = "user_id") -> DataFrame:

@@ -74,3 +74,26 @@ def test_sparse_training_and_scoring(brands):
     assert s.n == sparse.count() and s.bic is not None and s.wssse > 0
     sizes = assign_sparse(sparse, model.clusterCenters()).groupBy("cluster").count()
     assert sizes.agg(F.sum("count")).first()[0] == sparse.count()
+
+
+def test_summary_is_linear_in_the_number_of_dimensions(spark):
+    """50,000 dimensions: every position is filled, in time that map lookups per position would not allow."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from segmint.operators.sparse import cluster_summary_sparse
+
+    q = 50_000
+    a = spark.range(3000).select(
+        (F.col("id") % 3).cast("int").alias("cluster"), F.lit(1.0).alias("dist"), F.lit(1.0).alias("d2"),
+        F.sort_array(F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.pmod(F.xxhash64("id", i), F.lit(q)).cast("int")))).alias("idx"),
+    ).withColumn("val", F.transform("idx", lambda i: i.cast("double") + 1))
+    t = time.time()
+    got = cluster_summary_sparse(a, q).select("n", F.size("mins").alias("w"), F.aggregate("sums", F.lit(0.0), lambda s, v: s + v).alias("s"),
+                                              F.aggregate("positives", F.lit(0).cast("bigint"), lambda s, v: s + v).alias("p")).collect()
+    took = time.time() - t
+    assert [(r["n"], r["w"]) for r in got] == [(1000, q)] * 3
+    want = a.select("cluster", F.explode("val").alias("v")).groupBy("cluster").agg(F.sum("v"), F.count("*")).orderBy("cluster").collect()
+    assert sorted((r["s"], r["p"]) for r in got) == sorted((r[1], r[2]) for r in want)
+    assert took < 60
