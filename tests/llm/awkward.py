@@ -1,3 +1,5 @@
+"""Fixtures of the awkward table, imported by the test modules (a second conftest would hide the first)."""
+
 import pytest
 
 import brute

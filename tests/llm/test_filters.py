@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 import brute
+from awkward import docs, no_docs  # noqa: F401
 from segmint.llm.pii import digest, find_personal, redact
 from segmint.llm.toxicity import STRIDE, WINDOW, drop_toxic, score_documents, train, windows_of
 from segmint.llm.url_trust import judge_pages

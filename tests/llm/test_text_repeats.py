@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 import brute
+from awkward import docs, no_docs  # noqa: F401
 from segmint.llm import fm_index, suffix_buckets
 from segmint.llm.ngram_join import block_links, first_of_each, fragment_keys, jaccard_components, most_different
 

@@ -13,6 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import brute
+from awkward import docs, no_docs  # noqa: F401
 from segmint.llm.packing import Bins, WordEncoder, pack_documents
 from segmint.llm.pieces import PieceCoder, encode_pieces
 
