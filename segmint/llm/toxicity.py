@@ -195,7 +195,8 @@ class Network:
 def seed_odds(net: Network, docs, names: list[str]) -> None:
     """First components of the vectors: smoothed log odds that a document with the word, or with the trigram, is toxic."""
     grams, starts = trigrams(names)
-    of_word = {w: g for w, g in zip(names, np.split(grams, starts[1:]), strict=True)}
+    count = np.diff(np.append(starts, len(grams)))
+    number = {w: k for k, w in enumerate(names)}
     words, chars = np.zeros((2, len(net.p["E"]))), np.zeros((2, TRIGRAMS))
     total = np.ones(2)
     for y, ws in docs:
@@ -203,7 +204,9 @@ def seed_odds(net: Network, docs, names: list[str]) -> None:
         total[y] += 1
         words[y, list({net.vocabulary.get(w.lower(), 0) for w in seen})] += 1
         if seen:
-            chars[y, np.unique(np.concatenate([of_word[w] for w in seen]))] += 1
+            k = np.fromiter((number[w] for w in seen), dtype=np.int64, count=len(seen))
+            n = count[k]
+            chars[y, np.unique(grams[np.repeat(starts[k] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])] += 1
     for key, n in (("E", words), ("C", chars)):
         rate = (n + 0.5) / (total[:, None] + 1)
         net.p[key][:, 0] = np.clip(np.log(rate[1] / rate[0]), -3, 3)
@@ -311,14 +314,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 mine = np.flatnonzero(text == k)
                 mine = mine[np.linspace(0, len(mine) - 1, min(len(mine), DOC_WINDOWS)).astype(int)] if len(mine) else mine
                 got = [w for m in mine for w in (*words[number[start[m] : start[m] + size[m]]], *[""] * (WINDOW - size[m]))]
-                rows.append((i, y, got))
+                rows.append((i, y, " ".join(got) if got else None))  # words hold no space
             yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=["id", "y", "words"]), preserve_index=False,
-                                             schema=pa.schema([("id", pa.int64()), ("y", pa.int32()), ("words", pa.list_(pa.string()))]))
+                                             schema=pa.schema([("id", pa.int64()), ("y", pa.int32()), ("words", pa.string())]))
 
     rows = (pool.join(F.broadcast(picked), "_id").select(F.col("_id").cast("long").alias("id"), "y", "text")
-            .mapInArrow(some, "id long, y int, words array<string>").collect())  # 2 * sample documents of DOC_WINDOWS windows at most
-    rows = sorted(((r.id, r.y, r.words) for r in rows), key=lambda r: (r[0], r[2]))
-    return fit([(y, words) for _, y, words in rows])
+            .mapInArrow(some, "id long, y int, words string").collect())  # 2 * sample documents of DOC_WINDOWS windows at most
+    rows.sort(key=lambda r: (r.id, r.words or ""))
+    same: dict[str, str] = {}  # one object per distinct word: the sample has millions of words
+    docs_ = []
+    while rows:
+        r = rows.pop()
+        docs_.append((r.y, [same.setdefault(w, w) for w in r.words.split(" ")] if r.words is not None else []))
+    return fit(docs_[::-1])
 
 
 def score_documents(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
