@@ -4,11 +4,12 @@ Base spans (email, ip, card, phone) follow fixed patterns and checks. Beside the
 high-recall generators propose overlapping candidates: spelled-out addresses, longer
 digit groups, and assigned keys. Gradient-boosted trees judge a candidate by its format
 and the text around it. They are trained on a bounded sample of candidates, marked by
-whether a base span confirms them (the checks themselves, such as the digit sum, are no
-features). Per generator, the lowest threshold at which the candidates held back from
-training reach ``PRECISION`` selects the spans that are added; a generator that never
-reaches it adds nothing, and neither does one whose candidates no base span confirms,
-but for assigned keys, which their own cue word confirms.
+whether a base span or, where none covers it, the candidate's own form and cue words
+confirm it (``confirmed``; the checks themselves, such as the digit sum, are no features).
+Per generator, the lowest threshold at which the candidates that could be added (those no
+base span covers) and that are held back from training reach ``PRECISION`` selects the
+spans that are added: how many candidates base spans cover doesn't move it. A generator
+that never reaches it adds nothing.
 
 DataFrame functions and Spark ML only. A pattern is applied twice to a text, once for the
 matches and once for what lies between; running lengths give the places.
@@ -41,6 +42,9 @@ GENERATORS = {
 KINDS = [*BASE, *GENERATORS]
 CUES = {"cue_contact": r"(?i)mail|contact|write|@", "cue_number": r"(?i)card|phone|tel|call|fax|\bid\b|account|iban|visa|ssn|\bno\.?\s*$", "cue_address": r"(?i)\bip\b|host|server|address",
         "cue_assign": r"[:=]\s*[\"']?$", "before_word": r"[\p{L}]$", "before_digit": r"[0-9][^\p{L}]{0,2}$", "before_table": r"\|\s*$"}
+#: what confirms a candidate that no base span covers; an address's form holds its last label to letters and its dots to no spaces
+ADDRESS_CUE, PHONE_CUE = r"(?i)mail|contact|write|reach", r"(?i)\b(?:phone|tel|call|fax|mobile|cell|whatsapp)"
+AT, DOT, LOOSE_DOT = r"(?i)\x20?(?:@|\(at\)|\[at\])\x20?", r"(?i)\x20?(?:\.|\(dot\)|\[dot\])\x20?", r"\.\x20|\x20\."
 SAMPLE = 6000
 PRECISION = 0.9
 CONTEXT = 24
@@ -98,7 +102,8 @@ def features(spans: DataFrame) -> tuple[DataFrame, list[str]]:
     made = {"f_length": F.char_length("hit").cast("double"), "f_digits": count("[0-9]"), "f_letters": count(r"\p{L}"), "f_spaces": count(r"\x20"), "f_dots": count(r"\."),
             "f_dashes": count("-"), "f_brackets": count(r"[()\[\]]"), "f_groups": count("[0-9]+"), "f_longest": F.array_max(F.transform(F.split("hit", "[^0-9]+"), F.length)).cast("double"),
             "f_at": count("@"), "f_distinct": F.size(F.array_distinct(F.split("hit", ""))).cast("double"), "f_first": F.ascii("hit").cast("double"),
-            "f_after_sign": F.col("after").rlike(r"^[^\s.,;\p{L}]").cast("double"), "f_after_word": F.col("after").rlike(r"^\p{L}").cast("double"), "f_plus": F.col("before").endswith("+").cast("double")}
+            "f_after_sign": F.col("after").rlike(r"^[^\s.,;\p{L}]").cast("double"), "f_after_word": F.col("after").rlike(r"^\p{L}").cast("double"), "f_plus": F.col("before").endswith("+").cast("double"),
+            "f_loose": F.col("hit").rlike(LOOSE_DOT).cast("double"), "f_cue_address_word": F.col("before").rlike(ADDRESS_CUE).cast("double"), "f_cue_phone": F.col("before").rlike(PHONE_CUE).cast("double")}
     made |= {f"f_{name}": F.col("before").rlike(p).cast("double") for name, p in CUES.items()}
     made |= {f"f_{k}": (F.col("kind") == k).cast("double") for k in GENERATORS}
     return spans.withColumns(made), list(made)
@@ -115,6 +120,28 @@ def _with_base(spans: DataFrame) -> DataFrame:
         "sure", (F.coalesce(F.col("_reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("_next") < F.col("end"), F.lit(False))).cast("int")).drop("_reach", "_next")
 
 
+def confirmed(kind: Column, hit: Column, before: Column) -> Column:
+    """Whether a candidate's own form and cue words confirm it, without a base span.
+
+    contact: it reads as an address once its signs are put in, and its at is spelled in brackets
+    or a cue word stands before it. number: a phone's digits behind a cue word, or a card's in
+    other groups than a card's, with their sum. secret: its value mixes letters and digits.
+    """
+    address = F.regexp_replace(F.regexp_replace(hit, AT, "@"), DOT, ".").rlike(r"^[A-Za-z0-9._%+-]*[A-Za-z0-9]@.*\.[A-Za-z]{2,24}$") & ~hit.rlike(LOOSE_DOT)
+    digits = _digits(hit)
+    n = F.length(digits)
+    phone = n.between(10, 15) & before.rlike(PHONE_CUE)
+    card = F.when(n.between(14, 19), luhn(digits)).otherwise(False)
+    return (F.when(kind == "contact", address & (hit.rlike(r"(?i)[(\[]at[)\]]") | before.rlike(ADDRESS_CUE))).when(kind == "number", phone | card)
+            .otherwise(hit.rlike(r"[0-9]") & hit.rlike(r"[:=].*[A-Za-z]")))
+
+
+def _labelled(spans: DataFrame) -> DataFrame:
+    """Candidates with ``covered`` (a passed base span overlaps them) and ``sure`` (that, or ``confirmed``; of keys only the latter), each 1 or 0."""
+    own = F.coalesce(confirmed(F.col("kind"), F.col("hit"), F.col("before")), F.lit(False)).cast("int")
+    return spans.withColumn("covered", F.col("sure")).withColumn("sure", F.when((F.col("kind") != "secret") & (F.col("covered") == 1), 1).otherwise(own))
+
+
 def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> DataFrame:
     """Rows (row, doc_id, key, kind, start, end, score): every selected span, and per row of
     ``docs`` one row of kind null. ``key`` is the text's 64-bit hash; places count code points,
@@ -128,9 +155,9 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     checked = store(_with_base(spans))
     base = checked.where("base").select("row", "doc_id", "key", "kind", "start", "end", F.lit(1.0).alias("score"))
     none = spans.where("kind is null").select("row", "doc_id", "key", "kind", "start", "end", F.lit(0.0).alias("score"))
-    made, names = features(checked.where("not base"))
-    # an assigned key is confirmed by its cue word, so long as its value mixes letters and digits
-    made = made.withColumn("sure", F.when(F.col("kind") == "secret", (F.col("hit").rlike(r"[0-9]") & F.col("hit").rlike(r"[:=].*[A-Za-z]")).cast("int")).otherwise(F.col("sure")))
+    made, names = features(_labelled(checked.where("not base")))
+    # a candidate that a base span covers already adds nothing
+    addable = (F.col("kind") == "secret") | (F.col("covered") == 0)
     made = made.withColumn("draw", F.xxhash64("key", "kind", "start"))
     drawn = store(made.orderBy("draw", "row").limit(sample))
     classes = {r["sure"] for r in drawn.where("draw % 4 <> 0").select("sure").distinct().collect()}
@@ -139,14 +166,13 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     put = VectorAssembler(inputCols=names, outputCol="features")
     model = GBTClassifier(labelCol="sure", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(put.transform(drawn.where("draw % 4 <> 0")))
     score = lambda df: model.transform(put.transform(df)).withColumn("score", vector_to_array("probability")[1])
-    held = score(drawn.where("draw % 4 = 0")).select("kind", "score", "sure")
+    held = score(drawn.where((F.col("draw") % 4 == 0) & addable)).select("kind", "score", "sure")
     above = Window.partitionBy("kind").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
     cuts = (held.withColumn("right", F.avg("sure").over(above)).where(F.col("right") >= precision).groupBy("kind").agg(F.min("score").alias("cut")).collect())  # one row per generator
     chosen = F.lit(False)
     for r in cuts:
         chosen = chosen | ((F.col("kind") == r["kind"]) & (F.col("score") >= r["cut"]))
-    # a candidate that a base span covers already adds nothing
-    added = score(made.where((F.col("kind") == "secret") | (F.col("sure") == 0))).where(chosen).select("row", "doc_id", "key", "kind", "start", "end", "score")
+    added = score(made.where(addable)).where(chosen).select("row", "doc_id", "key", "kind", "start", "end", "score")
     return base.union(added).union(none)
 
 

@@ -83,6 +83,40 @@ def test_redaction(personal, found):
     assert {r.doc_id: r.text for r in got.where("doc_id < 30").collect()} == clean
 
 
+def boosted_rows():
+    """Many plain addresses, phones and cards; of each generator spans that are to be added and few that aren't."""
+    import random
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    key = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(30)) + "a1"
+    forms = {
+        "plain": lambda: f"{word()} {word()}@{word()}.com {word()}", "phoned": lambda: f"{word()} +1 (415) 555-{rng.randint(1000, 9999)} {word()}",
+        "contact": lambda: f"{word()} {word()} (at) {word()} (dot) com {word()}", "no contact": lambda: f"{word()} {word()} @ {rng.randint(2, 9)}. {word()}",
+        "number": lambda: f"{word()} phone 415 555 {rng.randint(1000, 9999)} {word()}", "no number": lambda: f"{word()} size {rng.randint(1, 9)}{rng.randint(0, 9999999):07d} {word()}",
+        "secret": lambda: f'{word()} token = "{key()}" {word()}', "no secret": lambda: f"{word()} password: {word()}{word()} {word()}",
+    }
+    many = {"plain": 900, "phoned": 900, "contact": 120, "no contact": 40, "number": 120, "no number": 60, "secret": 120, "no secret": 40}
+    return [(name, make()) for name, make in forms.items() for _ in range(many[name])]
+
+
+@pytest.fixture(scope="module")
+def boosted(spark):
+    return spark.createDataFrame(brute.full([(i, t) for i, (_, t) in enumerate(boosted_rows())]), brute.SCHEMA).repartition(3)
+
+
+def test_added_and_not_added_of_each_generator(boosted):
+    """However many candidates base spans cover, each generator adds what its form confirms and nothing of what isn't."""
+    rows = boosted_rows()
+    added = {k: Counter() for k in ("contact", "number", "secret")}
+    for r in find_personal(boosted).where("kind is not null").collect():
+        if r.kind in added:
+            added[r.kind][rows[r.doc_id][0]] += 1
+    for kind, got in added.items():
+        assert got[kind] >= 0.9 * 120, (kind, got)
+        assert sum(got.values()) - got[kind] <= 0.1 * got[kind], (kind, got)
+
+
 def test_personal_empty(no_docs):
     assert digest(find_personal(no_docs)).count() == 0
 
