@@ -3,13 +3,15 @@
 Base spans (email, ip, card, phone) follow fixed patterns and checks. Beside them,
 high-recall generators propose overlapping candidates: spelled-out addresses, longer
 digit groups, and assigned keys. Gradient-boosted trees judge a candidate by its format
-and the text around it. They are trained on a bounded sample of candidates, marked by
+and the text around it. They are trained on a bounded sample of distinct candidates, as
+many of each generator and class, marked by
 whether a base span or, where none covers it, the candidate's own form and cue words
 confirm it (``confirmed``; the checks themselves, such as the digit sum, are no features).
 Per generator, the lowest threshold at which the candidates that could be added (those no
-base span covers) and that are held back from training reach ``PRECISION`` selects the
-spans that are added: how many candidates base spans cover doesn't move it. A generator
-that never reaches it adds nothing.
+base span covers) reach ``PRECISION`` selects the spans that are added: how many candidates
+base spans cover doesn't move it. All distinct candidates but the trained ones are scored
+for it, each class weighing what it weighs in the whole. A generator that never reaches it
+adds nothing.
 
 DataFrame functions and Spark ML only. A pattern is applied twice to a text, once for the
 matches and once for what lies between; running lengths give the places.
@@ -49,6 +51,9 @@ SAMPLE = 6000
 PRECISION = 0.9
 CONTEXT = 24
 TREES, DEPTH, SEED = 20, 4, 7
+#: classes the sample is drawn from in equal bounds: covered, confirmed and other candidates of two generators, confirmed and other keys
+CLASSES = 8
+BINS = 10_000
 
 
 def _found(text: Column, kind: str, pattern: str) -> Column:
@@ -147,32 +152,42 @@ def find_personal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``docs`` one row of kind null. ``key`` is the text's 64-bit hash; places count code points,
     the end exclusive.
 
-    At most ``sample`` candidates train the trees, whatever the input's size; counts and
-    thresholds of everything else cover all rows. Null and empty texts have no spans; repeated rows and null
+    At most ``sample`` distinct candidates train the trees, whatever the input's size, and of each
+    generator and class at most an eighth of them; counts and thresholds of everything else cover
+    all rows. Null and empty texts have no spans; repeated rows and null
     ids are treated like any other row; other columns are not read.
     """
     spans = store(matches(docs, id_col, text_col))
     checked = store(_with_base(spans))
     base = checked.where("base").select("row", "doc_id", "key", "kind", "start", "end", F.lit(1.0).alias("score"))
     none = spans.where("kind is null").select("row", "doc_id", "key", "kind", "start", "end", F.lit(0.0).alias("score"))
-    made, names = features(_labelled(checked.where("not base")))
+    of = ["key", "kind", "start"]  # copies of a text hold the same candidates
+    labelled = _labelled(checked.where("not base")).withColumn("draw", F.xxhash64(*of))
     # a candidate that a base span covers already adds nothing
     addable = (F.col("kind") == "secret") | (F.col("covered") == 0)
-    made = made.withColumn("draw", F.xxhash64("key", "kind", "start"))
-    drawn = store(made.orderBy("draw", "row").limit(sample))
-    classes = {r["sure"] for r in drawn.where("draw % 4 <> 0").select("sure").distinct().collect()}
-    if classes != {0, 1}:  # nothing to learn from
+    labelled = labelled.withColumn("class", F.when(addable, F.col("sure")).otherwise(2))
+    bound = max(sample // CLASSES, 2)
+    rank = F.row_number().over(Window.partitionBy("kind", "class").orderBy("draw"))
+    drawn = store(labelled.dropDuplicates(of).withColumn("rank", rank).where(F.col("rank") <= bound))
+    train, names = features(drawn.where("rank % 4 <> 1"))
+    if {r["sure"] for r in train.select("sure").distinct().collect()} != {0, 1}:  # nothing to learn from
         return base.union(none)
     put = VectorAssembler(inputCols=names, outputCol="features")
-    model = GBTClassifier(labelCol="sure", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(put.transform(drawn.where("draw % 4 <> 0")))
-    score = lambda df: model.transform(put.transform(df)).withColumn("score", vector_to_array("probability")[1])
-    held = score(drawn.where((F.col("draw") % 4 == 0) & addable)).select("kind", "score", "sure")
-    above = Window.partitionBy("kind").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, 0)
-    cuts = (held.withColumn("right", F.avg("sure").over(above)).where(F.col("right") >= precision).groupBy("kind").agg(F.min("score").alias("cut")).collect())  # one row per generator
+    model = GBTClassifier(labelCol="sure", maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(put.transform(train))
+    scored = store(model.transform(put.transform(features(labelled.where(addable))[0])).withColumn("score", vector_to_array("probability")[1])
+                   .select("row", "doc_id", *of, "end", "score", "class", "draw", F.floor(F.col("score") * BINS).alias("bin")))
+    trained = drawn.where("rank % 4 <> 1").select(F.col("kind").alias("_kind"), F.col("draw").alias("_draw"))
+    held = scored.dropDuplicates(of).join(F.broadcast(trained), (F.col("kind") == F.col("_kind")) & (F.col("draw") == F.col("_draw")), "left")
+    bins = held.groupBy("kind", "class", "bin").agg(F.count("*").alias("all"), F.count(F.when(F.col("_draw").isNull(), 1)).alias("n"))
+    whole = Window.partitionBy("kind", "class")
+    above = Window.partitionBy("kind").orderBy(F.desc("bin")).rangeBetween(Window.unboundedPreceding, 0)
+    weight = F.col("n") * F.sum("all").over(whole) / F.sum("n").over(whole)
+    cuts = (bins.withColumn("weight", weight).where("n > 0").withColumn("right", F.sum(F.col("weight") * F.col("class")).over(above) / F.sum("weight").over(above))
+            .where(F.col("right") >= precision).groupBy("kind").agg(F.min("bin").alias("cut")).collect())  # one row per generator
     chosen = F.lit(False)
     for r in cuts:
-        chosen = chosen | ((F.col("kind") == r["kind"]) & (F.col("score") >= r["cut"]))
-    added = score(made.where(addable)).where(chosen).select("row", "doc_id", "key", "kind", "start", "end", "score")
+        chosen = chosen | ((F.col("kind") == r["kind"]) & (F.col("bin") >= r["cut"]))
+    added = scored.where(chosen).select("row", "doc_id", "key", "kind", "start", "end", "score")
     return base.union(added).union(none)
 
 

@@ -117,6 +117,17 @@ def test_added_and_not_added_of_each_generator(boosted):
         assert sum(got.values()) - got[kind] <= 0.1 * got[kind], (kind, got)
 
 
+def test_flooded_generators_add_their_spans(boosted, spark):
+    """Two thirds of all candidates are numbers, half of them copies of one text: the small sample still holds every generator."""
+    rows = boosted_rows()
+    flood = [(10_000 + i, f"abc size {10_000_000 + 7919 * i} def" if i % 2 else "abc size 98765432 def") for i in range(8000)]
+    got = find_personal(boosted.union(spark.createDataFrame(brute.full(flood), brute.SCHEMA)), sample=400)
+    added = Counter((r.kind, rows[r.doc_id][0] if r.doc_id < 10_000 else "flood") for r in got.where("kind in ('contact', 'number', 'secret')").collect())
+    for kind in ("contact", "number", "secret"):
+        assert added[kind, kind] >= 0.9 * 120, (kind, added)
+        assert sum(n for (k, of), n in added.items() if k == kind != of) <= 0.1 * added[kind, kind], (kind, added)
+
+
 def test_personal_empty(no_docs):
     assert digest(find_personal(no_docs)).count() == 0
 
