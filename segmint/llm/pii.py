@@ -37,9 +37,9 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 GENERATORS = {
-    "contact": r"(?i)[a-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[a-z0-9-]{1,64}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[a-z0-9-]{1,64}){1,8}",
+    "contact": r"(?i)(?:(?<![a-z0-9._%+-])|\G)[a-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\])\x20?[a-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[a-z0-9-]++)++",
     "number": r"[0-9](?:[\x20().\/-]{0,2}[0-9]){6,40}+",
-    "secret": r"""(?i)(?:token|secret|passwd|password|api[_-]?key)\x20{0,3}[:=]\x20{0,3}["']?[a-z0-9+/_=-]{8,256}+""",
+    "secret": r"""(?i)(?:token|secret|passwd|password|api[_-]?key)\x20{0,3}[:=]\x20{0,3}["']?[a-z0-9+/_=-]{8,}+""",
 }
 KINDS = [*BASE, *GENERATORS]
 CUES = {"cue_contact": r"(?i)mail|contact|write|@", "cue_number": r"(?i)card|phone|tel|call|fax|\bid\b|account|iban|visa|ssn|\bno\.?\s*$", "cue_address": r"(?i)\bip\b|host|server|address",
@@ -138,7 +138,7 @@ def confirmed(kind: Column, hit: Column, before: Column) -> Column:
     phone = n.between(10, 15) & before.rlike(PHONE_CUE)
     card = F.when(n.between(14, 19), luhn(digits)).otherwise(False)
     return (F.when(kind == "contact", address & (hit.rlike(r"(?i)[(\[]at[)\]]") | before.rlike(ADDRESS_CUE))).when(kind == "number", phone | card)
-            .otherwise(hit.rlike(r"[0-9]") & hit.rlike(r"[:=].*[A-Za-z]")))
+            .otherwise(hit.rlike(r"[0-9]") & hit.rlike(r"^[^:=]*+[:=].*[A-Za-z]")))
 
 
 def _labelled(spans: DataFrame) -> DataFrame:

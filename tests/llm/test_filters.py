@@ -128,6 +128,18 @@ def test_flooded_generators_add_their_spans(boosted, spark):
         assert sum(n for (k, of), n in added.items() if k == kind != of) <= 0.1 * added[kind, kind], (kind, added)
 
 
+def test_long_secrets_and_addresses_are_redacted_whole(boosted, spark):
+    """Nothing of a long key, a long local part or a domain of many labels stays, and a run's length costs no more than its reading."""
+    key, local, labels = "ab1c" * 1250, "n4me" * 50, " (dot) ".join(f"part{i}" for i in range(12)) + " (dot) com"
+    rows = [(10_000, f'abc token = "{key}" def'), (10_001, f"abc {local} (at) site (dot) com def"), (10_002, f"abc name (at) {labels} def"),
+            (10_003, "abc token=" + "=" * 200_000 + " def"), (10_004, "a" * 200_000 + " (dot) b def")]
+    docs = boosted.union(spark.createDataFrame(brute.full(rows), brute.SCHEMA))
+    got = {r.doc_id: r.text for r in redact(docs, find_personal(docs)).where("doc_id >= 10000").collect()}
+    assert got[10_000] == 'abc [SECRET]" def'
+    assert got[10_001] == got[10_002] == "abc [CONTACT] def"
+    assert got[10_003] == rows[3][1] and got[10_004] == rows[4][1]
+
+
 def test_personal_empty(no_docs):
     assert digest(find_personal(no_docs)).count() == 0
 
