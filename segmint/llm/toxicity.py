@@ -5,7 +5,8 @@ the mean of its character trigrams' (any word). Every text is read as overlappin
 of ``WINDOW`` words, ``STRIDE`` apart, from its first word to its last; a text's score is
 the calibrated logit of its worst window. Trained in numpy, on a bounded sample of
 labelled rows: at most ``SAMPLE`` documents of each label and ``DOC_WINDOWS`` windows of
-each. Documents whose crc32 of the id is divisible by ``FOLDS`` are never trained on.
+each. A fifth of them trains nothing and fits the scale and shift of the score instead, on
+the worst of all their windows. Documents whose crc32 of the id is divisible by ``FOLDS`` are never trained on.
 
 Labels are per document, not per window: a first epoch takes every window by its
 document's label, later ones take from a toxic document only the window the network itself rates
@@ -181,16 +182,35 @@ class Network:
     def score(self, logit: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * logit + self.shift, -30, 30)))
 
-    def score_texts(self, texts: pa.Array) -> np.ndarray:
-        """Score of each whole text; texts without words get that of an ordinary clean text."""
+    def worst_logits(self, texts: pa.Array) -> np.ndarray:
+        """Logit of the worst window of each whole text; -inf for texts without words."""
         number, bounds, distinct = word_lists(texts.fill_null(""))
         text, start, size = windows_of(bounds)
         worst = np.full(len(texts), -np.inf)
         if len(text):
             np.maximum.at(worst, text, self.logits(distinct.to_pylist(), number, start, size))
+        return worst
+
+    def score_texts(self, texts: pa.Array) -> np.ndarray:
+        """Score of each whole text; texts without words get that of an ordinary clean text."""
+        worst = self.worst_logits(texts)
         worst[np.isinf(worst)] = self.empty
         return self.score(worst)
 
+    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
+        """Scale and shift by a logistic fit of whole documents' worst logits to their labels."""
+        seen = np.isfinite(x)
+        x, y = x[seen].astype(np.float64), y[seen].astype(np.float64)
+        if not len(x):
+            return
+        scale, shift = 1.0, 0.0
+        for _ in range(200):
+            e = 1 / (1 + np.exp(-np.clip(scale * x + shift, -30, 30))) - y
+            scale -= 0.05 * float((e * x).mean())
+            shift -= 0.2 * float(e.mean())
+        self.scale, self.shift = max(scale, 0.05), shift
+        self.empty = float(np.median(x[y == 0])) if (y == 0).any() else -5.0
+
 
 def seed_odds(net: Network, docs, names: list[str]) -> None:
     """First components of the vectors: smoothed log odds that a document with the word, or with the trigram, is toxic."""
@@ -213,8 +233,14 @@ def seed_odds(net: Network, docs, names: list[str]) -> None:
     net.p["E"][0] = 0
 
 
+def calibrating(n: int) -> np.ndarray:
+    """Which of ``n`` sampled documents calibrate the score and train nothing."""
+    return np.arange(n) % 5 == 4
+
+
 def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
-    """A network from (label, words of some windows, each padded with '' to ``WINDOW``) of labelled documents."""
+    """A network from (label, words of some windows, each padded with '' to ``WINDOW``) of labelled documents,
+    not calibrated yet; of scale 0 where there was nothing to learn from."""
     rng = np.random.default_rng(seed)
     flat = [w for _, words in docs for w in words]
     counts: dict[str, int] = {}  # documents with the word
@@ -232,8 +258,7 @@ def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
     size = np.array([names[row] != "" for row in at]).sum(axis=1)
     owner = np.repeat(np.arange(len(docs)), [len(w) // WINDOW for _, w in docs])
     label = np.array([y for y, _ in docs])
-    calibrate = np.arange(len(docs)) % 5 == 4
-    train = np.flatnonzero(~calibrate[owner])
+    train = np.flatnonzero(~calibrating(len(docs))[owner])
     toxic = train[label[owner[train]] == 1]
     clean = train[label[owner[train]] == 0]
     words = names.tolist()
@@ -274,18 +299,6 @@ def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
                     net.p[k] *= 1 - RATE * DECAY
                 net.p[k] -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         epoch += 1
-    held = np.flatnonzero(calibrate[owner])
-    worst = np.full(len(docs), -np.inf)
-    np.maximum.at(worst, owner[held], all_logits(held))
-    seen = np.flatnonzero(np.isfinite(worst))
-    x, y = worst[seen].astype(np.float64), label[seen].astype(np.float64)
-    scale, shift = 1.0, 0.0
-    for _ in range(200):  # logistic fit of the documents' worst logits
-        e = 1 / (1 + np.exp(-np.clip(scale * x + shift, -30, 30))) - y
-        scale -= 0.05 * float((e * x).mean())
-        shift -= 0.2 * float(e.mean())
-    net.scale, net.shift = max(scale, 0.05), shift
-    net.empty = float(np.median(x[y == 0])) if (y == 0).any() else -5.0
     return net
 
 
@@ -322,11 +335,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             .mapInArrow(some, "id long, y int, words string").collect())  # 2 * sample documents of DOC_WINDOWS windows at most
     rows.sort(key=lambda r: (r.id, r.words or ""))
     same: dict[str, str] = {}  # one object per distinct word: the sample has millions of words
-    docs_ = []
+    docs_, ids = [], [r.id for r in rows]
     while rows:
         r = rows.pop()
         docs_.append((r.y, [same.setdefault(w, w) for w in r.words.split(" ")] if r.words is not None else []))
-    return fit(docs_[::-1])
+    net = fit(docs_[::-1])
+    if not net.scale:
+        return net
+    mine = {i for i, of in zip(ids, calibrating(len(ids)), strict=True) if of}
+
+    def whole(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(net.worst_logits(part.column(1)).astype(np.float64))], names=["y", "logit"])
+
+    held = picked.where(F.col("_id").isin(mine))
+    got = sorted(pool.join(F.broadcast(held), "_id").select("y", "text").repartition(16).mapInArrow(whole, "y int, logit double").collect())  # one logit a document
+    net.calibrate(np.array([r.logit for r in got]), np.array([r.y for r in got]))
+    return net
 
 
 def score_documents(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -232,6 +232,23 @@ def test_toxicity(marked):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if not r.predicted)
 
 
+def test_calibration_reads_whole_documents(spark):
+    """Long clean documents hold the toxic ones' word once, mostly outside the windows trained on: the score can't tell them apart and says so."""
+    import random
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    rows = []
+    for i in range(400):
+        t = [rng.choice(words) for _ in range(20 if i % 4 == 0 else 3000)]
+        t[rng.randrange(len(t))] = "grobian"
+        rows.append((i, " ".join(t)))
+    docs = spark.createDataFrame(brute.full(rows), brute.SCHEMA).repartition(3)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id bigint, quality int, toxic int")
+    held = [r for r in score_documents(docs, train(docs, labels)).collect() if r.held_out]
+    assert abs(np.mean([r.score for r in held]) - np.mean([r.doc_id % 4 == 0 for r in held])) <= 0.1
+
+
 def test_toxicity_without_labels(docs, no_docs, spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert {r.predicted for r in score_documents(docs, train(docs, none)).collect()} == {0}
