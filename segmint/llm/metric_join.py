@@ -7,9 +7,11 @@ d(y, p_i) <= d(y, p_j) + 2r, so a vector is copied into every cell whose pivot i
 2r farther than its own: then each cell holds all partners of the vectors at home in it,
 and cells join independently. Links are counted at home only, so a copy adds none.
 
-Equal vectors are one class with a weight. A label has about sqrt(n) pivots at most; they
-are the only thing sent to every task. A cell with many vectors at home is joined in
-parts of ``PART`` of them, each part against the whole cell in blocks.
+Equal vectors are one class with a weight. A label has about sqrt(n) pivots at most, no two
+of them within 2r, so a tight group lies in few cells; they are the only thing sent to every
+task. A cell is joined in tiles: a part of about ``PART`` vectors at home against a part of
+about ``PART`` of all that are there, so no task holds a whole cell. Links are summed over a
+vector's tiles, and every tile gives the edges it found.
 """
 
 from __future__ import annotations
@@ -66,17 +68,28 @@ def join_labels(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
 
 
-def join_cell(pdf: pd.DataFrame, least: float) -> pd.DataFrame:
-    """h, links (of vectors at home in this part) and the smallest row they hang together with."""
+def apart(u: np.ndarray, least: float) -> np.ndarray:
+    """Rows of unit vectors ``u``, each with a cosine of less than ``least`` to those taken before it."""
+    kept = np.empty_like(u)
+    n = 0
+    for x in u:
+        if not n or (kept[:n] @ x).max() < least:
+            kept[n] = x
+            n += 1
+    return kept[:n]
+
+
+def join_tile(pdf: pd.DataFrame, least: float) -> pd.DataFrame:
+    """h, links (of the ``here`` rows with the ``there`` rows) and the smallest row they hang together with."""
     pdf = pdf.sort_values("h", kind="stable").reset_index(drop=True)
     x = np.array(pdf["vec"].tolist(), dtype=np.float64)
     u, w = unit(x), pdf["w"].to_numpy()
-    here = np.flatnonzero(pdf["here"].to_numpy())
+    here, there = np.flatnonzero(pdf["here"].to_numpy()), np.flatnonzero(pdf["there"].to_numpy())
     links, parent = np.zeros(len(pdf), np.int64), np.arange(len(pdf))
     for lo in range(0, len(here), BLOCK):
         rows = here[lo : lo + BLOCK]
-        p, q = np.nonzero(u[rows] @ u.T >= least - SLACK)
-        p = rows[p]
+        p, q = np.nonzero(u[rows] @ u[there].T >= least - SLACK)
+        p, q = rows[p], there[q]
         keep = p != q
         p, q = p[keep], q[keep]
         keep = np.concatenate([cosines(x[p[k : k + 100_000]], x[q[k : k + 100_000]]) for k in range(0, len(p), 100_000)] or [np.zeros(0)]) >= least
@@ -115,14 +128,18 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_
     pivots: dict = {}
     for row in picked.toLocalIterator():
         pivots.setdefault((row.label, row.dim), []).append(row.vec)
-    pivots = {k: unit(np.array(v, dtype=np.float64)) for k, v in pivots.items()}
+    pivots = {k: apart(unit(np.array(v, dtype=np.float64)), 1 - 2 * radius**2) for k, v in pivots.items()}
     dealt = store(distinct.mapInArrow(_deal(pivots, radius), "label long, dim int, cell int, home boolean, h long, w long, vec array<double>"))
     key = ["label", "dim", "cell"]
-    parts = dealt.groupBy(*key).agg(F.ceil(F.count(F.when(F.col("home"), 1)) / part).cast("int").alias("parts"))
-    rows = (dealt.join(parts, key).where("parts > 0").withColumn("own", F.pmod(F.col("h"), F.col("parts")).cast("int"))
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select(*key, "part", (F.col("home") & (F.col("own") == F.col("part"))).alias("here"), "h", "w", "vec"))
-    found = store(rows.groupBy(*key, "part").applyInPandas(lambda pdf: join_cell(pdf, least), "h long, links long, root long"))
+    parts = dealt.groupBy(*key).agg(F.ceil(F.count(F.when(F.col("home"), 1)) / part).cast("int").alias("is"), F.ceil(F.count("*") / part).cast("int").alias("js"))
+    tile = lambda i, j, here, there: F.struct(i.alias("i"), j.alias("j"), here.alias("here"), there.alias("there"))
+    i, j = F.col("i"), F.col("j")
+    # a vector at home meets every part of its cell, and every vector there every part at home; in the tile that is both it is one row
+    at_home = F.when(F.col("home"), F.transform(F.sequence(F.lit(0), F.col("js") - 1), lambda k: tile(i, k, F.lit(True), k == j)))
+    met = F.transform(F.filter(F.sequence(F.lit(0), F.col("is") - 1), lambda k: ~F.col("home") | (k != i)), lambda k: tile(k, j, F.lit(False), F.lit(True)))
+    rows = (dealt.join(parts, key).where(F.col("is") > 0).withColumn("i", F.pmod(F.col("h"), F.col("is")).cast("int")).withColumn("j", F.pmod(F.col("h"), F.col("js")).cast("int"))
+            .select(*key, F.explode(F.when(F.col("home"), F.concat(at_home, met)).otherwise(met)).alias("t"), "h", "w", "vec").select(*key, "t.*", "h", "w", "vec"))
+    found = store(rows.groupBy(*key, "i", "j").applyInPandas(lambda pdf: join_tile(pdf, least), "h long, links long, root long"))
     links = found.groupBy("h").agg(F.sum("links").alias("links"))
     joined = components(found.where("h <> root").select(F.col("h").alias("a"), F.col("root").alias("b")).distinct())
     lows = joined.join(classes.select(F.col("h").alias("node"), "low"), "node")

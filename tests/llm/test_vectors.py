@@ -54,6 +54,33 @@ def test_near_duplicates(vectors, cell, part):
     assert sorted((tuple(r) for r in got), key=str) == want
 
 
+def test_tight_group_is_joined_in_bounded_tiles(spark, monkeypatch):
+    """Thousands of distinct near-copies lie in one cell: no task gets more than two parts of it, and links and components are exact."""
+    from segmint.llm import metric_join
+
+    rng = np.random.default_rng(8)
+    x = (rng.standard_normal(16) + 0.14 * rng.standard_normal((3000, 16))).astype(np.float32)
+    real, most = metric_join.join_tile, 2 * 256 * 1.3
+
+    def bounded(pdf, least):
+        assert len(pdf) <= most, f"{len(pdf)} rows in one task"
+        return real(pdf, least)
+
+    monkeypatch.setattr(metric_join, "join_tile", bounded)
+    docs = spark.createDataFrame([(i, v.tolist(), 1, 1, "x", 2, 3) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(docs, cell=100, part=256).collect()}
+    u = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(axis=1, keepdims=True))
+    near = u @ u.T >= 0.98
+    low = np.arange(len(x))
+    while True:
+        new = np.where(near, low, len(x)).min(axis=1)
+        if (new == low).all():
+            break
+        low = new
+    assert 0.1 < near.mean() < 0.9
+    assert got == {i: (int(n) - 1, int(c)) for i, (n, c) in enumerate(zip(near.sum(axis=1), low))}
+
+
 def test_nearest(vectors):
     rows = {r[0]: r[1] for r in table() if r[0] is not None and good(r[1])}
     hit = total = 0
