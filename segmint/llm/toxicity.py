@@ -308,7 +308,8 @@ def held_out(id_col: str):
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           sample: int = SAMPLE) -> Network:
-    """Fit on at most ``sample`` labelled documents of each label outside the held-out fold, spread over all by a hash of the id."""
+    """Fit on at most ``sample`` labelled documents of each label outside the held-out fold, spread over all by a hash of the id;
+    of rows repeated under one id, the one whose text has the smallest hash."""
     prepare(docs.sparkSession)
     marks = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("y"))
     pool = docs.where(~held_out(id_col)).select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
@@ -331,8 +332,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=["id", "y", "words"]), preserve_index=False,
                                              schema=pa.schema([("id", pa.int64()), ("y", pa.int32()), ("words", pa.string())]))
 
-    rows = (pool.join(F.broadcast(picked), "_id").select(F.col("_id").cast("long").alias("id"), "y", "text")
-            .mapInArrow(some, "id long, y int, words string").collect())  # 2 * sample documents of DOC_WINDOWS windows at most
+    def texts(ids: DataFrame) -> DataFrame:
+        one = F.min_by("text", F.xxhash64("text")).alias("text")
+        return pool.join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("y").alias("y"), one).select(F.col("_id").cast("long").alias("id"), "y", "text").repartition(32)
+
+    rows = texts(picked).mapInArrow(some, "id long, y int, words string").collect()  # 2 * sample documents of DOC_WINDOWS windows at most
     rows.sort(key=lambda r: (r.id, r.words or ""))
     same: dict[str, str] = {}  # one object per distinct word: the sample has millions of words
     docs_, ids = [], [r.id for r in rows]
@@ -351,7 +355,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(net.worst_logits(part.column(1)).astype(np.float64))], names=["y", "logit"])
 
     held = picked.where(F.col("_id").isin(mine))
-    got = sorted(pool.join(F.broadcast(held), "_id").select("y", "text").repartition(16).mapInArrow(whole, "y int, logit double").collect())  # one logit a document
+    got = sorted(texts(held).select("y", "text").mapInArrow(whole, "y int, logit double").collect())  # one logit a document
     net.calibrate(np.array([r.logit for r in got]), np.array([r.y for r in got]))
     return net
 

@@ -249,6 +249,19 @@ def test_calibration_reads_whole_documents(spark):
     assert abs(np.mean([r.score for r in held]) - np.mean([r.doc_id % 4 == 0 for r in held])) <= 0.1
 
 
+def test_repeated_id_trains_once(spark, monkeypatch):
+    """Rows repeated under one picked id reach the driver as one document."""
+    from segmint.llm import toxicity
+
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda docs: seen.append(docs) or toxicity.Network({}))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, f"word{i} other") for i in ids] + [(ids[3], f"copy{k} text") for k in range(500)]
+    docs = spark.createDataFrame(brute.full(rows), brute.SCHEMA).repartition(3)
+    train(docs, spark.createDataFrame([(i, 1, i % 2) for i in ids], "doc_id bigint, quality int, toxic int"))
+    assert [len(d) for d in seen] == [len(ids)]
+
+
 def test_toxicity_without_labels(docs, no_docs, spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert {r.predicted for r in score_documents(docs, train(docs, none)).collect()} == {0}
