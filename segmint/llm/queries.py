@@ -73,6 +73,27 @@ def q_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(table(spark, sf_dir, "pages"))
 
 
+def q_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.exact_dedup import exact_groups
+
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+def q_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.merkle import build_manifest, check_manifest, leaf_digest
+
+    # every seventh document, by its id's checksum, is presented with one character more
+    more = leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.try_add(F.col("n_chars"), F.lit(1)), F.col("text"))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, more).alias("tampered")
+    return check_manifest(build_manifest(table(spark, sf_dir, "documents"), keep=[tampered]), F.col("tampered"))
+
+
+def q_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.filter_audit import audit_filters
+
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pii_boosting": q_pii,
     "op2_url_trust": q_url,
@@ -84,4 +105,7 @@ QUERIES = {
     "op8_hnsw": q_hnsw,
     "op9_suffix_buckets": q_suffix,
     "op10_sentencepiece": q_pieces,
+    "op11_exact_dedup": q_exact,
+    "op12_merkle_manifest": q_merkle,
+    "op13_filter_audit": q_audit,
 }

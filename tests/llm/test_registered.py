@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES)
-    assert numbers == list(range(1, 11)) and {*QUERIES, "pipeline"} <= set(entry.queries())
+    assert numbers == list(range(1, 14)) and {*QUERIES, "pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
