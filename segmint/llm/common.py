@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,26 +67,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-class WordIds(dict):
-    """Word (bytes) → 64-bit id by keyed hash; forgets everything when it holds ``limit`` words."""
-
-    def __init__(self, limit: int = 200_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= self.limit:
-            self.clear()
-        h = xxhash.xxh64_intdigest(word)
-        self[word] = h
-        return h
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 class Cache:
     """A dictionary of two generations: when ``new`` is full it becomes ``old``, so at most
     2 * ``limit`` entries are held and what is used often stays."""
@@ -105,6 +88,72 @@ class Cache:
         self.new[key] = value
 
 
+class ByteCache:
+    """Bytes by string, in two generations of at most ``limit / 2`` bytes each; a string is kept from its
+    second sight on (by a table of hash marks), so what occurs once takes no room."""
+
+    ENTRY = 200  # of a dictionary entry and the two objects' headers
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old, self.size = limit // 2, {}, {}, 0
+        self.seen = bytearray(1 << 20)
+
+    def find(self, key: str) -> bytes | None:
+        got = self.new.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self._keep(key, got)
+        return got
+
+    def put(self, key: str, value: bytes) -> None:
+        at = hash(key) & 0xFFFFF
+        if self.seen[at]:
+            self._keep(key, value)
+        else:
+            self.seen[at] = 1
+
+    def _keep(self, key: str, value: bytes) -> None:
+        if self.size >= self.limit:
+            self.old, self.new, self.size = self.new, {}, 0
+            self.seen = bytearray(len(self.seen))
+        self.new[key] = value
+        self.size += self.ENTRY + 4 * len(key) + len(value)
+
+
+def byte_slices(batch: pa.RecordBatch, column: int, most: int):
+    """``batch`` in slices whose texts in ``column`` hold at most ``most`` bytes; a longer text is a slice of its own."""
+    texts = batch.column(column)
+    if not (pa.types.is_string(texts.type) or pa.types.is_binary(texts.type)):
+        texts = texts.cast(pa.string())
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(size)
+    lo = 0
+    while lo < len(size):
+        before = ends[lo] - size[lo]
+        hi = max(int(np.searchsorted(ends, before + most, side="right")), lo + 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
+def tidy(run):
+    """``run`` over batches, after which the worker gives freed memory back: workers are kept for
+    later stages, and what one stage's arrays took shouldn't count against the next."""
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not a glibc: its allocator keeps what it has
+        pass
+
+
 def per_worker(make, *args):
     """One ``make(*args)`` per Python worker process, kept between its tasks with its caches."""
     kept = _KEPT.get((make.__name__, args))

@@ -19,8 +19,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from segmint.llm.common import resized
-from segmint.llm.passages import ROWS, START_BITS, Units, repeated_spans, with_spans, without_spans
+from segmint.llm.common import byte_slices, resized, tidy
+from segmint.llm.passages import SLICE_BYTES, START_BITS, Units, repeated_spans, with_spans, without_spans
 from segmint.llm.suffix_buckets import merge
 
 WIDTH = 20
@@ -178,8 +178,7 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, at, SLICE_BYTES):
                 old = part.column(at).cast(pa.string())
                 cut = units.kept(old.fill_null(""), part.column(part.num_columns - 2).to_pylist(), part.column(part.num_columns - 1).to_pylist())
                 new = [kept.decode() if gone else text for (_, gone, kept, _), text in zip(cut, old.to_pylist(), strict=True)]
@@ -187,5 +186,5 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
                 keep = pa.array([not gone or gone < n for n, gone, _, _ in cut])
                 yield pa.RecordBatch.from_arrays(columns, names=names).filter(keep)
 
-    out = with_spans(docs, marked, spans, id_col, text_col).mapInArrow(run, docs.schema)
+    out = with_spans(docs, marked, spans, id_col, text_col).mapInArrow(tidy(run), docs.schema)
     return resized(out, text_col, size_col)

@@ -27,9 +27,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from segmint.llm.common import U64, components, mix, prepare, release, store
+from segmint.llm.common import U64, byte_slices, components, mix, prepare, release, store, tidy
 from segmint.llm.windows import powers, word_codes, word_lists
 
 NGRAM = 3
@@ -38,7 +37,7 @@ FINER = 0.5  # fragments beyond the most that a partner can spoil, as a share of
 PRUNE = 2
 SLICES = 4
 BLOCK = 512
-ROWS = 1000
+SLICE_BYTES = 2 << 20  # of texts taken at a time (a longer one alone)
 COLUMNS = 4096  # n-grams per fragment when a block is counted
 
 
@@ -120,8 +119,7 @@ def _outline(ngram, similar, finer):
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, 1, SLICE_BYTES):
                 sets = ngram_sets(part.column(1), ngram)
                 bands = [[*fragment_keys(s, similar, finer), (np.zeros(0, np.int64), 0), (np.zeros(0, np.int64), 0)][:2] for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -137,8 +135,7 @@ def _sets(ngram):
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, 1, SLICE_BYTES):
                 found = [(k, s) for k, s in zip(part.column(2).to_pylist(), ngram_sets(part.column(1), ngram), strict=True) if set_key(s) == k]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k for k, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int64()),
@@ -180,7 +177,7 @@ def similar_pairs(pairs: DataFrame, sets: DataFrame, similar=SIMILAR) -> DataFra
     fit = (pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
            .where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).select("a", "b"))
     both = fit.join(sets.select(F.col("k").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("k").alias("b"), F.col("grams").alias("gb")), "b")
-    return both.select("a", "b", "ga", "gb").mapInArrow(_similar(similar), "a long, b long")
+    return both.select("a", "b", "ga", "gb").mapInArrow(tidy(_similar(similar)), "a long, b long")
 
 
 def block_links(pdf: pd.DataFrame, similar=SIMILAR) -> list[tuple[int, int]]:
@@ -258,7 +255,7 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     """
     prepare(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    outline = store(plain.mapInArrow(_outline(ngram, similar, finer), "doc long, n long, k long, keys array<long>, need int, keys_below array<long>, need_below int"))
+    outline = store(plain.mapInArrow(tidy(_outline(ngram, similar, finer)), "doc long, n long, k long, keys array<long>, need int, keys_below array<long>, need_below int"))
     light = store(outline.select("doc", "n", "k", "need", "need_below"))
     full = light.where("doc is not null and n > 0")
     classes = store(full.groupBy("k").agg(F.min("doc").alias("doc")))
@@ -286,7 +283,7 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     middle = members.join(weight, "k").groupBy("key").agg(F.max(F.struct("w", "k")).alias("m")).select("key", F.col("m.k").alias("middle"))
     pairs = members.join(middle, "key").where("k <> middle").select(F.least("k", "middle").alias("a"), F.greatest("k", "middle").alias("b")).distinct()
     wanted = members.select("k").distinct().join(classes, "k")
-    sets = store(plain.join(wanted, "doc").select("doc", "text", "k").mapInArrow(_sets(ngram), "k long, n long, grams array<long>").dropDuplicates(["k"]))
+    sets = store(plain.join(wanted, "doc").select("doc", "text", "k").mapInArrow(tidy(_sets(ngram)), "k long, n long, grams array<long>").dropDuplicates(["k"]))
     links = store(similar_pairs(pairs, sets, similar))
     so_far = store(components(links)).select(F.col("node").alias("k"), "component")
     more = store(rest_links(members.select("key", "k"), so_far, groups, sets, similar))
@@ -303,8 +300,9 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
 def first_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", group_col: str = "component_id") -> DataFrame:
     """``docs`` without those whose group has a smaller id; of rows repeated under one id the first
     in the order of the other columns stays; rows without an id all stay."""
-    gone = groups.where(F.col(group_col) < F.col("doc_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
-    order = Window.partitionBy(id_col).orderBy(*[c for c in docs.columns if c != id_col])
-    kept = kept.withColumn("_segmint_row", F.row_number().over(order)).where("_segmint_row = 1").drop("_segmint_row")
-    return kept.union(docs.where(F.col(id_col).isNull()))
+    gone = groups.where(F.col(group_col) < F.col("doc_id")).select(F.col("doc_id").alias("gone")).distinct()
+    # the documents' own columns stay inside one struct, so their names can't clash with these
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    kept = rows.where("id is not null").join(gone, F.col("id") == F.col("gone"), "left_anti")
+    first = kept.groupBy("id").agg(F.min("doc").alias("doc"))
+    return first.unionByName(rows.where("id is null")).select("doc.*")

@@ -23,14 +23,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.common import Cache, per_worker, prepare, store
+from segmint.llm.common import ByteCache, byte_slices, per_worker, tidy, prepare, store
 
 MAX_TOKENS = 2048
 OPEN_BINS = 512
 FAN_IN = 16
-CACHE_WORDS = 500_000
-#: texts tokenised at a time: bounds the task's memory
-CHUNK_ROWS = 2000
+#: bytes a Python worker's cache of runs and that of words hold, each
+CACHE_BYTES = 64 << 20
+#: bytes of text tokenised at a time (a longer text alone): bounds the task's memory
+CHUNK_BYTES = 4 << 20
 
 
 class WordEncoder:
@@ -50,13 +51,13 @@ class WordEncoder:
     #: other letters, a letter whose lower case is two characters, control characters (white space to some libraries), special tokens
     EXOTIC = "[\u0250-\U0010ffff\u0130\x00-\x08\x0e-\x1f\x7f-\x9f]|<\\|"
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.runs_of = re.compile(self.PATTERN).findall
         self.exotic = re.compile(self.EXOTIC).search
-        self.runs, self.words = Cache(cache_words), Cache(cache_words)
+        self.runs, self.words = ByteCache(cache_bytes), ByteCache(cache_bytes)
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # byte-level alphabet: printable bytes stand for themselves
         rest = [b for b in range(256) if b not in plain]
         self.alphabet = {b: chr(256 + k) for k, b in enumerate(rest)}
@@ -166,9 +167,8 @@ def _first_pass(path: str, cap: int, open_bins: int, end_id: int, with_ids: bool
             return pa.RecordBatch.from_pandas(out, schema=schema, preserve_index=False)
 
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo in range(0, len(texts), CHUNK_ROWS):
-                for doc_id, ids in zip(doc_ids[lo : lo + CHUNK_ROWS], enc.encode(texts.slice(lo, CHUNK_ROWS)), strict=True):
+            for chunk in byte_slices(batch, 1, CHUNK_BYTES):
+                for doc_id, ids in zip(chunk.column(0).to_pylist(), enc.encode(chunk.column(1)), strict=True):
                     for row in _pieces(doc_id, ids + end, cap, with_ids):
                         b, at = bins.add(row[3])
                         waiting.setdefault(b, []).append((*row, b, at))
@@ -180,7 +180,7 @@ def _first_pass(path: str, cap: int, open_bins: int, end_id: int, with_ids: bool
         if rest:
             yield frame(rest, False)
 
-    return run
+    return tidy(run)
 
 
 def _second_pass(cap: int):

@@ -29,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.common import U64, mix, prepare, release, store
+from segmint.llm.common import U64, byte_slices, mix, prepare, release, store, tidy
 from segmint.llm.windows import BYTE_CODES, powers, runs, text_bytes, word_codes, word_lists
 
 HOT = 5_000
 SHARD_UNITS = 1 << 20
-ROWS = 1000  # texts taken at a time
+SLICE_BYTES = 2 << 20  # of texts taken at a time (a longer one alone); arrays of their units take some 20 times as much
 START_BITS = 40
 
 
@@ -103,8 +103,7 @@ def _anchors(units: Units):
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, 1, SLICE_BYTES):
                 codes, bounds, _ = units.read(part.column(1))
                 text, _, _, anchor = runs(codes, bounds, units.width, units.gram)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=part.num_rows))]).astype(np.int32)
@@ -121,8 +120,7 @@ def _segments(units: Units):
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, 1, SLICE_BYTES):
                 codes, bounds, pieces = units.read(part.column(1))
                 text, start, count, anchor = runs(codes, bounds, units.width, units.gram)
                 first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=part.num_rows))])
@@ -191,8 +189,7 @@ def _windows(units: Units):
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, batch.schema.get_field_index("text"), SLICE_BYTES):
                 codes, bounds, _ = units.read(part.column(part.schema.get_field_index("text")).cast(pa.string(), safe=False) if units.words
                                               else part.column(part.schema.get_field_index("text")))
                 n = np.diff(bounds) - units.width + 1
@@ -219,7 +216,7 @@ def repeated_spans(docs: DataFrame, units: Units, find: Callable, id_col: str =
     enough to be removed whole); spans has doc, k1 and spans (array of from, to)."""
     prepare(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
-    texts = store(keyed.select("doc", "text", "k1", "k2").mapInArrow(_anchors(units), "doc long, k1 long, k2 long, n long, anchors array<long>"))
+    texts = store(keyed.select("doc", "text", "k1", "k2").mapInArrow(tidy(_anchors(units)), "doc long, k1 long, k2 long, n long, anchors array<long>"))
     first = texts.groupBy("k1", "k2").agg(F.min("doc").alias("first"))
     marked = store(texts.select("doc", "k1", "k2", "n").join(first, ["k1", "k2"], "left")
                    .select("doc", "k1", "n", (F.coalesce(F.col("doc") > F.col("first"), F.lit(False)) & (F.col("n") >= units.width)).alias("copy")))
@@ -230,7 +227,7 @@ def repeated_spans(docs: DataFrame, units: Units, find: Callable, id_col: str =
     wanted = store(wanted.join(marked.where("not copy").select("doc", "k1").distinct(), ["doc", "k1"], "left_semi"))
     release(texts, repeated)
     segments = store(keyed.select("doc", "text", "k1").join(wanted, ["doc", "k1"]).select("doc", "text", "k1", "idx")
-                     .mapInArrow(_segments(units), "anchor long, content long, doc long, k1 long, start long, n long, text binary"))
+                     .mapInArrow(tidy(_segments(units)), "anchor long, content long, doc long, k1 long, start long, n long, text binary"))
 
     contents = store(segments.groupBy("anchor", "content").agg(F.min(place()).alias("first"), F.count("*").alias("c")))
     later = (segments.drop("text").join(contents.where("c > 1"), ["anchor", "content"]).where(place() > F.col("first"))
@@ -239,11 +236,11 @@ def repeated_spans(docs: DataFrame, units: Units, find: Callable, id_col: str =
     leads = (segments.where("text is not null").join(contents.join(shared, "anchor").select("anchor", "content", "first", "kinds"), ["anchor", "content"])
              .where(place() == F.col("first")))
     near = (leads.where(F.col("kinds") <= hot).select("anchor", "content", "doc", "start", "text", "k1", "n").repartition("anchor")
-            .sortWithinPartitions("anchor", "doc", "start").mapInArrow(_shards(units, find), "doc long, k1 long, a long, b long"))
+            .sortWithinPartitions("anchor", "doc", "start").mapInArrow(tidy(_shards(units, find)), "doc long, k1 long, a long, b long"))
     hot_leads = store(leads.where(F.col("kinds") > hot).select("doc", "k1", "start", "text"))
     spans = later.union(near)
     if not hot_leads.isEmpty():
-        single = store(hot_leads.mapInArrow(_windows(units), "w1 long, w2 long, doc long, k1 long, start long"))
+        single = store(hot_leads.mapInArrow(tidy(_windows(units)), "w1 long, w2 long, doc long, k1 long, start long"))
         earliest = single.groupBy("w1", "w2").agg(F.min(place()).alias("first"), F.count("*").alias("c")).where("c > 1")
         spans = spans.union(single.join(earliest, ["w1", "w2"]).where(place() > F.col("first"))
                             .select("doc", "k1", F.col("start").alias("a"), (F.col("start") + units.width).alias("b")))
@@ -270,9 +267,8 @@ def without_spans(docs: DataFrame, marked: DataFrame, spans: DataFrame, units: U
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, 1, SLICE_BYTES):
                 rows = [finish(*r) for r in units.kept(part.column(1), part.column(2).to_pylist(), part.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in zip(*rows, strict=True))], names=["doc_id", *names])
 
-    return with_spans(plain, marked, spans, "doc_id", "text").mapInArrow(run, f"doc_id long, {schema}")
+    return with_spans(plain, marked, spans, "doc_id", "text").mapInArrow(tidy(run), f"doc_id long, {schema}")

@@ -217,13 +217,15 @@ def redact(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col:
     island = F.sum(F.when(F.col("start") < F.col("_reach"), 0).otherwise(1)).over(order)
     merged = (spans.withColumn("_reach", F.max("end").over(before)).withColumn("_island", island).groupBy("doc_id", "key", "_island")
               .agg(F.min("start").alias("a"), F.max("end").alias("b"), F.min_by("kind", F.struct("start", _order(F.col("kind")))).alias("kind")))
-    cuts = merged.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.sort_array(F.collect_list(F.struct("a", "b", "kind"))).alias("_cuts"))
-    text = F.col(text_col)
-    keyed = docs.withColumn("_hash", F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
-    joined = keyed.join(cuts, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")), "left")
-    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("_cuts", lambda c: c["b"]))
-    parts = F.transform("_cuts", lambda c, i: F.concat(text.substr((F.element_at(starts, i + 1) + 1).cast("int"), (c["a"] - F.element_at(starts, i + 1)).cast("int")),
-                                                       F.lit("["), F.upper(c["kind"]), F.lit("]")))
+    cuts = merged.groupBy("doc_id", "key").agg(F.sort_array(F.collect_list(F.struct("a", "b", "kind"))).alias("cuts"))
+    # the documents' own columns stay inside one struct, so their names can't clash with these
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("hash"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    joined = rows.join(cuts, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("key")), "left")
+    text = F.col("doc")[text_col]
+    starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("cuts", lambda c: c["b"]))
+    parts = F.transform("cuts", lambda c, i: F.concat(text.substr((F.element_at(starts, i + 1) + 1).cast("int"), (c["a"] - F.element_at(starts, i + 1)).cast("int")),
+                                                      F.lit("["), F.upper(c["kind"]), F.lit("]")))
     tail = text.substr((F.element_at(starts, -1) + 1).cast("int"), F.char_length(text))
-    new = F.when(F.col("_cuts").isNull(), text).otherwise(F.concat(F.concat_ws("", parts), tail))
-    return resized(joined.select(*[new.alias(text_col) if c == text_col else F.col(c) for c in docs.columns]), text_col, size_col)
+    new = F.when(F.col("cuts").isNull(), text).otherwise(F.concat(F.concat_ws("", parts), tail))
+    return resized(joined.select(*[(new if c == text_col else F.col("doc")[c]).alias(c) for c in docs.columns]), text_col, size_col)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.common import prepare
+from segmint.llm.common import byte_slices, prepare, tidy
 from segmint.llm.windows import word_lists
 
 WINDOW, STRIDE = 24, 12
@@ -33,7 +33,7 @@ DECAY, DROPPED = 0.1, 0.1  # of word and trigram vectors; words that enter as un
 LEAST = 3  # documents of a vocabulary word
 STEPS = 150  # at least so many, on a small sample in more epochs
 CHUNK = 2048  # windows scored at a time
-ROWS = 500
+SLICE_BYTES = 1 << 20  # of texts scored at a time (a longer one alone)
 
 
 def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -336,7 +336,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         one = F.min_by("text", F.xxhash64("text")).alias("text")
         return pool.join(F.broadcast(ids), "_id").groupBy("_id").agg(F.min("y").alias("y"), one).select(F.col("_id").cast("long").alias("id"), "y", "text").repartition(32)
 
-    rows = texts(picked).mapInArrow(some, "id long, y int, words string").collect()  # 2 * sample documents of DOC_WINDOWS windows at most
+    rows = texts(picked).mapInArrow(tidy(some), "id long, y int, words string").collect()  # 2 * sample documents of DOC_WINDOWS windows at most
     rows.sort(key=lambda r: (r.id, r.words or ""))
     same: dict[str, str] = {}  # one object per distinct word: the sample has millions of words
     docs_, ids = [], [r.id for r in rows]
@@ -350,12 +350,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def whole(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, 1, SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(net.worst_logits(part.column(1)).astype(np.float64))], names=["y", "logit"])
 
     held = picked.where(F.col("_id").isin(mine))
-    got = sorted(texts(held).select("y", "text").mapInArrow(whole, "y int, logit double").collect())  # one logit a document
+    got = sorted(texts(held).select("y", "text").mapInArrow(tidy(whole), "y int, logit double").collect())  # one logit a document
     net.calibrate(np.array([r.logit for r in got]), np.array([r.y for r in got]))
     return net
 
@@ -370,14 +369,13 @@ def score_documents(docs: DataFrame, net: Network, id_col: str = "doc_id", text_
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, 2, SLICE_BYTES):
                 score = net.score_texts(part.column(2)).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                                                  names=["doc_id", "held_out", "score", "predicted"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int"))
+            .mapInArrow(tidy(run), "doc_id long, held_out boolean, score double, predicted int"))
 
 
 def drop_toxic(docs: DataFrame, net: Network, text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -387,8 +385,7 @@ def drop_toxic(docs: DataFrame, net: Network, text_col: str = "text", least: flo
 
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in byte_slices(batch, at, SLICE_BYTES):
                 yield part.filter(pa.array(net.score_texts(part.column(at).cast(pa.string())) < least))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
