@@ -6,12 +6,63 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_MASK = 0xFFFFFFFF
+# MurmurHash3 x86 32-bit (public domain): block multipliers, block sum, final multipliers
+_C1, _C2, _N, _F1, _F2 = 0xCC9E2D51, 0x1B873593, 0xE6546B64, 0x85EBCA6B, 0xC2B2AE35
+
+
+def _low(x: Column) -> Column:
+    return x.bitwiseAND(F.lit(_MASK))
+
+
+def _times(x: Column, c: int) -> Column:
+    """x * c modulo 2^32, both below 2^32: in halves, so that no product leaves 64 bits."""
+    high = F.shiftright(x, 16) * F.lit(c)
+    return _low(x.bitwiseAND(F.lit(0xFFFF)) * F.lit(c) + F.shiftleft(high.bitwiseAND(F.lit(0xFFFF)), 16))
+
+
+def _rotated(x: Column, bits: int) -> Column:
+    return _low(F.shiftleft(x, bits)).bitwiseOR(F.shiftright(x, 32 - bits))
+
+
+def _shifted(x: Column, bits: int) -> Column:
+    return x.bitwiseXOR(F.shiftright(x, bits))
+
+
+def murmur3_utf16(x, seed: int = 0) -> Column:
+    """Murmur3 (x86, 32 bits) of a string's UTF-16 code units, two of them a block, as a signed int in a bigint.
+
+    Characters beyond the basic plane count as their two surrogates; null gives null.
+    Every step is a lambda over bigints, so nothing is evaluated twice and nothing overflows.
+    """
+    x = F.col(x) if isinstance(x, str) else x
+    units = F.hex(F.encode(x.cast("string"), "UTF-16BE"))  # four digits a unit
+    n = (F.length(units) / 4).cast("int")
+    number = lambda digits: F.conv(digits, 16, 10).cast("bigint")
+    # a block's second unit is its high half; an odd last unit is a block of its own
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(2))).otherwise(F.array().cast("array<int>"))
+    blocks = F.transform(starts, lambda i: number(F.concat(F.substr(units, i * 4 + 5, F.lit(4)), F.substr(units, i * 4 + 1, F.lit(4)))))
+    for step in (lambda k: _times(k, _C1), lambda k: _rotated(k, 15), lambda k: _times(k, _C2)):
+        blocks = F.transform(blocks, step)
+    odd = n % 2 == 1
+    whole = F.when(odd, F.slice(blocks, 1, F.size(blocks) - 1)).otherwise(blocks)
+    h = F.aggregate(whole, F.lit(seed).cast("bigint"), lambda h, k: _low(_rotated(h.bitwiseXOR(k), 13) * 5 + F.lit(_N)))
+    tail = F.when(odd, F.element_at(blocks, -1)).otherwise(F.lit(0).cast("bigint"))
+    done = F.array(h.bitwiseXOR(tail).bitwiseXOR((n * 2).cast("bigint")))
+    for step in (lambda v: _shifted(v, 16), lambda v: _times(v, _F1), lambda v: _shifted(v, 13), lambda v: _times(v, _F2), lambda v: _shifted(v, 16)):
+        done = F.transform(done, step)
+    signed = F.transform(done, lambda v: F.when(v > 0x7FFFFFFF, v - (1 << 32)).otherwise(v))
+    return F.when(x.isNotNull(), F.element_at(signed, 1))
+
+
 def consistent_hash(x, num_slots: int, method: str = "md5") -> Column:
     """Bucket 0..num_slots-1 of a string key.
 
     ``md5`` (default) takes the first 32 bits of the MD5 digest, so the bucket
     is reproducible outside Spark. ``murmur`` uses Spark's built-in ``hash``
-    (Murmur3, seed 42): faster, same purpose, different values.
+    (Murmur3, seed 42): faster, same purpose, different values. ``utf16`` is the
+    reference's hash (Murmur3, seed 0, over UTF-16 code units), for data that was
+    placed by it. A null key has no bucket.
     """
     if num_slots <= 0:
         raise ValueError("num_slots must be positive")
@@ -20,6 +71,8 @@ def consistent_hash(x, num_slots: int, method: str = "md5") -> Column:
         h = F.conv(F.substring(F.md5(x.cast("string")), 1, 8), 16, 10).cast("bigint")
     elif method == "murmur":
         h = F.hash(x)
+    elif method == "utf16":
+        h = murmur3_utf16(x)
     else:
         raise ValueError(f"unknown hash method {method!r}")
     return F.pmod(h, F.lit(num_slots)).cast("bigint")

@@ -180,7 +180,8 @@ def cluster_reduce(assigned: DataFrame, *aggs: Column, by: Sequence[str] = ()) -
 
     The reference takes an associative reduce; Spark's aggregate functions
     are its equivalent and keep partial (map-side) aggregation, so a cluster
-    of any size never lands whole in one task.
+    of any size never lands whole in one task. A Python function of two vectors
+    is folded by ``operators/fold.cluster_fold``.
     """
     if not aggs:
         raise ValueError("give at least one aggregate column")

@@ -237,6 +237,7 @@ SQL["cluster_reduce"] = _with(
     UA_MODEL,
     _round("SELECT cluster, min(dist) AS min_dist, max(d2) AS max_d2 FROM ua_asg GROUP BY cluster", ["min_dist", "max_d2"]),
 )
+SQL["cluster_reduce_function"] = _with(UA_MODEL, _round("SELECT cluster, dim, min AS low, max AS high FROM ua_dimrows", ["low", "high"]))
 SQL["cluster_mins"] = _with(UA_MODEL, _round("SELECT cluster, dim, min FROM ua_dimrows", ["min"]))
 SQL["cluster_maxes"] = _with(UA_MODEL, _round("SELECT cluster, dim, max FROM ua_dimrows", ["max"]))
 SQL["cluster_sums"] = _with(UA_MODEL, _round("SELECT cluster, dim, sum FROM ua_dimrows", ["sum"]))
@@ -304,6 +305,33 @@ GROUP BY s.cluster, s.n, s.max_dist""",
 SQL["consistent_hash"] = (
     "SELECT c_custkey, ('0x' || substr(md5(c_name), 1, 8))::BIGINT % 16 AS bucket FROM customer"
 )
+# Murmur3 over UTF-16 code units: wide integers, taken modulo 2^32 after each product
+_UNITS = """flatten(list_transform(string_split({x}, ''), lambda c: CASE WHEN unicode(c) >= 65536
+  THEN [55296 + (unicode(c) - 65536) // 1024, 56320 + (unicode(c) - 65536) % 1024] ELSE [unicode(c)] END))"""
+_M = "4294967296::HUGEINT"
+_MURMUR = f"""
+units AS (SELECT *, {{units}} AS u FROM {{src}}),
+blocks AS (
+  SELECT *, list_transform(generate_series(1, len(u), 2), lambda i: (u[i]::HUGEINT + coalesce(u[i + 1], 0)::HUGEINT * 65536)) AS b1 FROM units
+),
+mixed AS (
+  SELECT *, list_transform(list_transform(list_transform(b1, lambda k: (k * 3432918353) % {_M}), lambda k: (k * 32768) % {_M} + k // 131072),
+                           lambda k: (k * 461845907) % {_M}) AS b FROM blocks
+),
+folded AS (
+  SELECT *, xor(xor(list_reduce(list_prepend(0::HUGEINT, b[1 : len(u) // 2]), lambda h, k: (((xor(h, k) * 8192) % {_M} + xor(h, k) // 524288) * 5 + 3864292196) % {_M}),
+                    CASE WHEN len(u) % 2 = 1 THEN b[len(b)] ELSE 0::HUGEINT END), (2 * len(u))::HUGEINT) AS f0
+  FROM mixed
+),
+f1 AS (SELECT *, (xor(f0, f0 // 65536) * 2246822507) % {_M} AS g1 FROM folded),
+f2 AS (SELECT *, (xor(g1, g1 // 8192) * 3266489909) % {_M} AS g2 FROM f1),
+hashed AS (SELECT *, CAST(CASE WHEN xor(g2, g2 // 65536) >= 2147483648 THEN xor(g2, g2 // 65536) - {_M} ELSE xor(g2, g2 // 65536) END AS BIGINT) AS h FROM f2)"""
+SQL["consistent_hash_utf16"] = (
+    "WITH names AS (SELECT c_custkey, 'name' AS kind, c_name AS x FROM customer\n"
+    "  UNION ALL SELECT c_custkey, 'moved', translate(c_name, 'Custome', 'Çü\u4e16\u2028\U0001f600\uffffé') FROM customer),"
+    + _MURMUR.format(units=_UNITS.format(x="x"), src="names")
+    + "\nSELECT c_custkey, ((max(h) FILTER (WHERE kind = 'name')) % 16 + 16) % 16 AS bucket, max(h) FILTER (WHERE kind = 'moved') AS moved_hash FROM hashed GROUP BY c_custkey"
+)
 SQL["run_cluster_id"] = _with(UA_MODEL, "SELECT user_id, 'run-' || CAST(cluster AS VARCHAR) AS cluster_id FROM ua_asg")
 
 # vector functions

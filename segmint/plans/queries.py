@@ -34,6 +34,7 @@ from segmint.operators import runs as R
 from segmint.operators import score as S
 from segmint.operators import select as SEL
 from segmint.operators import train as TR
+from segmint.operators.fold import cluster_fold
 from segmint.operators.assign import (
     as_centers,
     assign,
@@ -317,6 +318,23 @@ def q_cluster_reduce(spark, root):
     return rounded(P.cluster_reduce(a, F.min("dist").alias("min_dist"), F.max("d2").alias("max_d2")))
 
 
+def _span(x, y):
+    """Lowest values in a vector's first half, highest in its second."""
+    import numpy as np
+
+    half = x.shape[-1] // 2
+    return np.concatenate([np.minimum(x[..., :half], y[..., :half]), np.maximum(x[..., half:], y[..., half:])], axis=-1)
+
+
+def q_cluster_reduce_function(spark, root):
+    """A Python reduce over whole vectors: the box around each cluster, of the points laid twice end to end."""
+    a, _, _ = _ua_assigned(spark, root)
+    boxes = cluster_fold(a.select("cluster", F.concat("features", "features").alias("box")), _span, "box", elementwise=True)
+    half = (F.size("box") / 2).cast("int")
+    sides = F.arrays_zip(F.slice("box", 1, half).alias("low"), F.slice("box", half + 1, half).alias("high"))
+    return rounded(boxes.select("cluster", F.posexplode(sides).alias("dim", "s")).select("cluster", "dim", "s.low", "s.high"))
+
+
 def _dim_rows(spark, root):
     full, dims, _ = _ua_summary_all(spark, root)
     return P.dimension_rows(full, dims=dims)
@@ -413,6 +431,13 @@ def q_consistent_hash(spark, root):
     return cust.select("c_custkey", K.consistent_hash("c_name", HASH_SLOTS).alias("bucket"))
 
 
+def q_consistent_hash_utf16(spark, root):
+    """The reference's own bucket, of names in Latin letters and of the same names moved to other planes."""
+    cust = table(spark, root, "customer", ["c_custkey", "c_name"])
+    moved = F.translate("c_name", "Custome", "Çü\u4e16\u2028\U0001f600\uffffé")
+    return cust.select("c_custkey", K.consistent_hash("c_name", HASH_SLOTS, "utf16").alias("bucket"), K.murmur3_utf16(moved).alias("moved_hash"))
+
+
 def q_run_cluster_id(spark, root):
     a, _, _ = _ua_assigned(spark, root)
     return a.select("user_id", K.cluster_id(RUN, "cluster").alias("cluster_id"))
@@ -707,6 +732,7 @@ QUERIES: dict[str, Query] = {
     "cluster_max_distance": q_cluster_max_distance,
     "cluster_distance_sum": q_cluster_distance_sum,
     "cluster_reduce": q_cluster_reduce,
+    "cluster_reduce_function": q_cluster_reduce_function,
     "cluster_mins": q_cluster_mins,
     "cluster_maxes": q_cluster_maxes,
     "cluster_sums": q_cluster_sums,
@@ -722,6 +748,7 @@ QUERIES: dict[str, Query] = {
     "write_profile": q_write_profile,
     "write_once": q_write_once,
     "consistent_hash": q_consistent_hash,
+    "consistent_hash_utf16": q_consistent_hash_utf16,
     "run_cluster_id": q_run_cluster_id,
     # vector functions
     "square": q_square,
