@@ -651,25 +651,62 @@ FROM search WHERE k2 - k1 <= 1""",
 )
 
 
-# ---- fits: facts that hold for any k-means model of the points ----------------------------------
-# members of all clusters = points; no point nearer to another centre; the reported cost is the members' cost;
-# moving every centre to its members' mean lowers the cost by (almost) nothing more than one step may.
-
-_UA_N = "(SELECT count(DISTINCT user_id) FROM events)"
-_EMB_N = "(SELECT count(*) FROM embeddings)"
+# ---- real fits: points around four far places, whose best models of one to four clusters are known ----
+# A and B lie 12 apart, C and D 120, the two pairs 1000: k = 2 parts the pairs, k = 3 also C from D.
+
+_TOWNS = """
+towns AS (
+  SELECT vec_id % 4 AS g, [
+    CASE WHEN vec_id % 4 >= 2 THEN 1000.0::DOUBLE ELSE 0 END,
+    CASE WHEN vec_id % 2 = 1 THEN CASE WHEN vec_id % 4 >= 2 THEN 120.0::DOUBLE ELSE 12 END ELSE 0 END,
+    embedding[1]::DOUBLE * 0.5, embedding[2]::DOUBLE * 0.5, embedding[3]::DOUBLE * 0.5, embedding[4]::DOUBLE * 0.5] AS x
+  FROM embeddings
+),
+parts AS (
+  SELECT k, x, CASE k WHEN 1 THEN 0 WHEN 2 THEN g // 2 WHEN 3 THEN greatest(g - 1, 0) ELSE g END AS cluster
+  FROM towns, (SELECT unnest([1, 2, 3, 4]) AS k)
+),
+means AS (
+  SELECT k, cluster, count(*) AS members, [avg(x[1]), avg(x[2]), avg(x[3]), avg(x[4]), avg(x[5]), avg(x[6])] AS c FROM parts GROUP BY k, cluster
+),
+per AS (
+  SELECT k, cluster, count(*) AS n, sum(d2) AS sse, 2 * sqrt(max(d2)) AS diameter
+  FROM (SELECT p.k, p.cluster, """ + d2("p.x", "m.c") + """ AS d2 FROM parts p JOIN means m USING (k, cluster)) GROUP BY k, cluster
+),
+sums AS (SELECT k, sum(n) AS n, sum(sse) AS wssse, avg(diameter) AS avg_diameter FROM per GROUP BY k),
+scores AS (
+  SELECT CAST(k AS INTEGER) AS k, CAST(n AS BIGINT) AS n, wssse, avg_diameter, ln_l - (k * 6 + 1) AS aic, ln_l - (k * 6 + 1) / 2.0 * ln(n) AS bic
+  FROM (SELECT *, -n / 2.0 * (ln(2 * pi() * wssse / n) + 1) AS ln_l FROM sums)
+),
+gaps AS (
+  SELECT kind, k AS k1, bic AS b1, lead(k) OVER w AS k2, lead(bic) OVER w AS b2
+  FROM scores, (SELECT unnest(['list', 'all']) AS kind) WHERE k IN (1, 2, 4) AND (kind = 'list' OR k > 1) WINDOW w AS (PARTITION BY kind ORDER BY k)
+),
+widest AS (
+  SELECT * FROM gaps WHERE k2 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY kind ORDER BY abs(b2 - b1) DESC, k1) = 1
+),
+halves AS (
+  SELECT kind, CASE WHEN k2 - k1 = 1 THEN k1 WHEN abs(b1 - b) > abs(b - b2) THEN k1 ELSE k1 + 1 END AS k1, CASE WHEN k2 - k1 = 1 THEN k2 WHEN abs(b1 - b) > abs(b - b2) THEN k1 + 1 ELSE k2 END AS k2
+  FROM (SELECT w.*, s.bic AS b FROM widest w LEFT JOIN scores s ON s.k = w.k1 + 1)
+),
+chosen AS (
+  SELECT h.kind, CASE WHEN a.bic < b.bic THEN h.k1 ELSE h.k2 END AS k FROM halves h JOIN scores a ON a.k = h.k1 JOIN scores b ON b.k = h.k2
+  UNION ALL SELECT 'one', 2
+)"""
 
 
-def _fit(n: str, k: str) -> str:
-    return f"SELECT CAST({k} AS INTEGER) AS k, {n} AS members, CAST(0 AS BIGINT) AS misplaced, TRUE AS cost_agrees, TRUE AS settled"
+def _scores(body: str) -> str:
+    return _with(_TOWNS, _round(body, ["wssse", "avg_diameter", "aic", "bic"]))
 
 
-SQL["train_kmeans"] = _fit(_UA_N, "4")
-SQL["train_kmeans_default"] = _fit(_UA_N, "4")
-SQL["compute_next_model"] = _fit(_UA_N, "5")
-SQL["next_model_diameter"] = f"SELECT CAST(4 AS INTEGER) AS k, {_UA_N} AS members, TRUE AS diameter_agrees"
-SQL["sweep"] = f"SELECT CAST(k AS INTEGER) AS k, {_EMB_N} AS members, TRUE AS cost_agrees FROM (SELECT unnest([2, 4, 8, 16]) AS k)"
-SQL["select_k"] = f"SELECT {_EMB_N} AS members, TRUE AS between_candidates, TRUE AS cost_agrees"
-SQL["run_kmeans"] = f"SELECT kind, CASE WHEN kind = 'one' THEN 3 END AS asked, {_EMB_N} AS members, TRUE AS in_range FROM (SELECT unnest(['one', 'list', 'all']) AS kind)"
+SQL["train_kmeans"] = _with(_TOWNS, """
+SELECT CAST(cluster AS INTEGER) AS cluster, members, CAST(unnest(generate_series(0, 5)) AS INTEGER) AS dim, round(unnest(c), 6) AS center FROM means WHERE k = 4""")
+SQL["train_kmeans_default"] = _scores("SELECT * FROM scores WHERE k = 4")
+SQL["compute_next_model"] = _scores("SELECT * FROM scores WHERE k IN (2, 4)")
+SQL["next_model_diameter"] = _with(_TOWNS, _round("SELECT k, avg_diameter FROM scores WHERE k = 4", ["avg_diameter"]))
+SQL["sweep"] = _scores("SELECT * FROM scores WHERE k IN (1, 2, 4)")
+SQL["select_k"] = _scores("SELECT scores.* FROM scores JOIN chosen USING (k) WHERE kind = 'list'")
+SQL["run_kmeans"] = _scores("SELECT scores.*, kind FROM scores JOIN chosen USING (k)")
 SQL["write_once"] = """
 SELECT 'all' AS month, 'all' AS category, CAST(attempt AS INTEGER) AS attempt, attempt = 1 AS ran,
        (SELECT count(DISTINCT o_custkey) FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey) AS members

@@ -209,51 +209,48 @@ def q_assemble_vectors(spark, root):
 # ---- training (O09, O12) ----------------------------------------------------------------------
 
 
-def _fit_facts(points, model, wssse: float | None = None) -> DataFrame:
-    """(k, members, misplaced, cost_agrees, settled): what SQL can state of any fitted model."""
-    cents = TR.centers_of(model)
-    q = cents.shape[1]
-    assigned = materialize(assign(points, cents, method="batches").select("features", "cluster", "d2"))
-    d2 = [F.aggregate(F.zip_with("features", F.array(*[F.lit(float(v)) for v in c]), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
-          for c in cents]
-    nearest = F.least(*d2) if len(d2) > 1 else d2[0]
-    cost = assigned.agg(F.count(F.lit(1)).alias("members"), F.count_if(F.col("d2") > nearest * (1 + 1e-9) + 1e-12).alias("misplaced"), F.sum("d2").alias("cost"))
-    # one more mean step: each centre moves to its members' mean
-    means = assigned.groupBy("cluster").agg(*[F.avg(F.col("features")[i]).alias(f"m{i}") for i in range(q)], F.count(F.lit(1)).alias("n"), F.sum("d2").alias("sse"))
-    moved = sum((F.col(f"m{i}") - F.element_at(F.col("center"), i + 1)) ** 2 for i in range(q))
-    gain = means.join(centers_frame(points.sparkSession, cents), "cluster").agg(F.sum(F.col("n") * moved).alias("gain"))
-    reported = F.lit(wssse) if wssse is not None else F.col("cost")
-    return cost.crossJoin(gain).select(  # one row each
-        F.lit(len(cents)).alias("k"), "members", "misplaced", (F.abs(F.col("cost") - reported) <= 1e-6 * F.col("cost")).alias("cost_agrees"),
-        (F.col("gain") <= 0.25 * F.col("cost")).alias("settled"))
+def _towns(spark, root):
+    """Points whose best models SQL can state: the embeddings' first four components around four far places,
+    two and two of a kind, so that one, two, three and four clusters have one clear optimum each."""
+    e = table(spark, root, "embeddings", ["vec_id", "embedding"])
+    east, north = F.col("vec_id") % 4 >= 2, F.col("vec_id") % 2 == 1
+    place = [F.when(east, 1000.0).otherwise(0.0), F.when(north & east, 120.0).when(north, 12.0).otherwise(0.0)]
+    around = [F.element_at("embedding", i).cast("double") * 0.5 for i in range(1, 5)]
+    return e.select("vec_id", F.array(*place, *around).alias("features"))
 
 
-def q_train_kmeans(spark, root):
-    pts, _ = _ua(spark, root)
-    pts = materialize(pts)
-    return _fit_facts(pts, TR.train_kmeans(pts, K_FIXED, "kmeans||", TRAIN_ITER, 1e-4, SEED))
+KS_TOWNS = (1, 2, 4)
+
 
+def _model_rows(spark, scored) -> DataFrame:
+    rows = [(s.k, s.n, s.wssse, s.avg_diameter, s.aic, s.bic) for s in scored]
+    return rounded(spark.createDataFrame(rows, "k int, n bigint, wssse double, avg_diameter double, aic double, bic double"))
 
-def _scored_facts(pts, s) -> DataFrame:
-    return _fit_facts(pts, s.model, s.wssse)
+
+def q_train_kmeans(spark, root):
+    """Centres and members of a real fit; clusters are numbered by their centres' places."""
+    pts = materialize(_towns(spark, root))
+    model = TR.train_kmeans(pts, K_FIXED, "kmeans||", TRAIN_ITER, 1e-4, SEED)
+    cents = sorted(TR.centers_of(model).tolist())
+    members = assign(pts, cents).groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    cells = centers_frame(spark, cents).join(members, "cluster").select("cluster", "members", F.posexplode("center").alias("dim", "center"))
+    return rounded(cells)
 
 
 def q_train_kmeans_default(spark, root):
-    pts = materialize(_ua(spark, root)[0])
-    return _scored_facts(pts, TR.train_kmeans_default(pts, K_FIXED, TRAIN_ITER))
+    return _model_rows(spark, [TR.train_kmeans_default(materialize(_towns(spark, root)), K_FIXED, TRAIN_ITER)])
 
 
 def q_compute_next_model(spark, root):
-    pts = materialize(_ua(spark, root)[0])
-    return _scored_facts(pts, TR.compute_next_model(pts, K_FIXED + 1, TRAIN_ITER))
+    """The models of a search's next steps: two clusters, then four."""
+    pts = materialize(_towns(spark, root))
+    return _model_rows(spark, [TR.compute_next_model(pts, k, TRAIN_ITER) for k in (2, 4)])
 
 
 def q_next_model_diameter(spark, root):
-    pts = materialize(_ua(spark, root)[0])
+    pts = materialize(_towns(spark, root))
     d, model = TR.next_model_diameter(pts, K_FIXED, TRAIN_ITER)
-    per = assign(pts, TR.centers_of(model), method="batches").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("far"))
-    return per.agg(F.lit(len(model.clusterCenters())).alias("k"), F.sum("n").alias("members"),
-                   (F.abs(F.avg(F.col("far") * 2) - F.lit(float(d))) <= 1e-6 * F.lit(float(d))).alias("diameter_agrees"))
+    return rounded(spark.createDataFrame([(len(model.clusterCenters()), float(d))], "k int, avg_diameter double"))
 
 
 def q_cluster_centers(spark, root):
@@ -633,17 +630,9 @@ def q_candidate_ks(spark, root):
     return small.union(SEL.candidate_ks_frame(pts, limit=5, max_k=100, min_k=8).withColumn("branch", F.lit("large")))
 
 
-def _cost_agrees(pts, scored):
-    """Per scored model: whether its reported cost is the cost of the points under its centres."""
-    cents = {s.k: TR.centers_of(s.model) for s in scored}
-    found = S.score_many(pts, cents).select("k", F.col("n").alias("members"), "wssse")
-    said = pts.sparkSession.createDataFrame([(s.k, s.wssse) for s in scored], "k int, said double")
-    return found.join(said, "k").select("k", "members", (F.abs(F.col("wssse") - F.col("said")) <= 1e-6 * F.col("wssse")).alias("cost_agrees"))
-
-
 def q_sweep(spark, root):
-    pts = materialize(_emb(spark, root).select("features"))
-    return _cost_agrees(pts, SEL.sweep_models(pts, KS_CURVE, TRAIN_ITER))
+    pts = materialize(_towns(spark, root).select("features"))
+    return _model_rows(spark, SEL.sweep_models(pts, KS_TOWNS, TRAIN_ITER))
 
 
 KS_SEARCH = (2, 4, 8, 16, 32)
@@ -690,19 +679,19 @@ def q_binsearch_diameter(spark, root):
 
 
 def q_select_k(spark, root):
-    pts = materialize(_emb(spark, root).select("features"))
-    s = SEL.select_k(pts, ks=list(KS_CURVE), max_iter=TRAIN_ITER)
-    return _cost_agrees(pts, [s]).select("members", F.col("k").between(min(KS_CURVE), max(KS_CURVE)).alias("between_candidates"), "cost_agrees")
+    """The chosen model: widest BIC gap of the sweep, bisected with real fits."""
+    return _model_rows(spark, [SEL.select_k(materialize(_towns(spark, root).select("features")), ks=list(KS_TOWNS), max_iter=TRAIN_ITER)])
 
 
 def q_run_kmeans(spark, root):
     """O42b, all three branches: one k, a list of candidates, all powers of two up to a bound."""
-    pts = materialize(_emb(spark, root).select("features"))
-    few = {"limit": 1, "min_k": 2, "max_k": 8}
-    found = {"one": SEL.run_kmeans(pts, 3, TRAIN_ITER), "list": SEL.run_kmeans(pts, list(KS_CURVE), TRAIN_ITER), "all": SEL.run_kmeans(pts, None, TRAIN_ITER, **few)}
-    bounds = {"one": (3, 3), "list": (min(KS_CURVE), max(KS_CURVE)), "all": (few["min_k"], few["max_k"])}
-    rows = [(kind, 3 if kind == "one" else None, s.n, bounds[kind][0] <= s.k <= bounds[kind][1]) for kind, s in found.items()]
-    return spark.createDataFrame(rows, "kind string, asked int, members bigint, in_range boolean")
+    pts = materialize(_towns(spark, root).select("features"))
+    asked = {"one": (2, {}), "list": (list(KS_TOWNS), {}), "all": (None, {"limit": 1, "min_k": 2, "max_k": 4})}
+    found = None
+    for kind, (k, bounds) in asked.items():
+        row = _model_rows(spark, [SEL.run_kmeans(pts, k, TRAIN_ITER, **bounds)]).withColumn("kind", F.lit(kind))
+        found = row if found is None else found.union(row)
+    return found
 
 
 QUERIES: dict[str, Query] = {
