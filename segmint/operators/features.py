@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from segmint.sources.tables import table
 from segmint.sources.text import dense_from_map, index_rows
 
+# Frames are broadcast only up to this many bytes (as JSON text).
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # A category (page list) is broadcast only below this many rows.
 MAX_BROADCAST_CATEGORY = 5_000_000
 # Vectors up to this width are assembled with one conditional sum per dimension.
@@ -60,8 +62,9 @@ def group_by_user(
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after the row count is proven small; else the planner decides."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    """Broadcast hint only after the rows' number and bytes are proven small; else the planner decides."""
+    n, size = df.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= MAX_BROADCAST_BYTES else df
 
 
 def filter_to_category(

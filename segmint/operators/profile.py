@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from segmint.functions.keys import cluster_id as make_cluster_id
 from segmint.operators.assign import as_centers, centers_frame
+from segmint.session import materialize
 
 
 
@@ -133,7 +134,8 @@ def cluster_summary(
 def with_all_clusters(summary: DataFrame, centers, by_values: dict | None = None) -> DataFrame:
     """Left-join a summary to all k centres so empty clusters appear with n = 0.
 
-    The summary has at most k rows by construction, so broadcasting it is safe.
+    The summary's k rows hold five arrays of Q values; they are broadcast up to
+    ``MAX_SUMMARY_BYTES`` and joined by the planner's choice beyond.
     """
     spark = summary.sparkSession
     cents = centers_frame(spark, centers)
@@ -141,12 +143,18 @@ def with_all_clusters(summary: DataFrame, centers, by_values: dict | None = None
         for name, value in by_values.items():
             cents = cents.withColumn(name, F.lit(value))
     keys = [*(by_values or {}), "cluster"]
+    if 5 * 8 * as_centers(centers).size <= MAX_SUMMARY_BYTES:
+        summary = F.broadcast(summary)
     return (
-        cents.join(F.broadcast(summary), keys, "left")
+        cents.join(summary, keys, "left")
         .withColumn("n", F.coalesce(F.col("n"), F.lit(0).cast("bigint")))
     )
 
 
+# Summaries (k rows of five arrays of Q values) up to this size are broadcast.
+MAX_SUMMARY_BYTES = 64 * 1024 * 1024
+
+
 # ---- single-statistic views (each a projection of the summary) ---------------------------
 
 
@@ -217,8 +225,9 @@ def dimension_rows(
     if "center" not in frame.columns:
         if centers is None:
             raise ValueError("centres are needed for the center column")
-        cents = centers_frame(frame.sparkSession, as_centers(centers))
-        frame = frame.join(F.broadcast(cents), "cluster", "left")
+        mat = as_centers(centers)
+        cents = centers_frame(frame.sparkSession, mat)
+        frame = frame.join(F.broadcast(cents) if mat.nbytes <= MAX_SUMMARY_BYTES else cents, "cluster", "left")
     zipped = F.arrays_zip(
         F.col("center").alias("center"),
         F.col("mins").alias("min"),
@@ -288,7 +297,13 @@ def profile_from_summary(summary: DataFrame, centers, dims: DataFrame, run_id: s
         F.col("means").alias("mean"),
         F.col("positives").alias("pos"),
     )
-    keys = ["cluster", "n", "max_dist", "sse"]
+    # the model's cost from the k rows, before any of them is nested
+    cost = F.sum(F.coalesce(F.col("sse"), F.lit(0.0))).over(Window.partitionBy())
+    if 5 * 8 * mat.size > MAX_SUMMARY_BYTES:  # k x Q cells don't go through the window's one task: the summary is stored, one number comes back
+        full = materialize(full)
+        cost = F.lit(full.agg(F.sum("sse")).first()[0]).cast("double")
+    full = full.withColumn("cost", cost)
+    keys = ["cluster", "n", "max_dist", "sse", "cost"]
     exploded = full.select(*keys, F.posexplode_outer(F.when(F.col("n") > 0, zipped)).alias("dim", "z"))
     labels = dims.select(F.col("dim").cast("int").alias("dim"), "dimension_id", "dimension_name")
     if q <= MAX_BROADCAST_DIMS:  # Q rows: the width of the centres
@@ -309,15 +324,13 @@ def profile_from_summary(summary: DataFrame, centers, dims: DataFrame, run_id: s
     )
     # k groups of at most Q entries each.
     nested = labelled.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_dims"))
-    # k rows: the window over them is one small partition by design.
-    total = F.sum(F.coalesce(F.col("sse"), F.lit(0.0))).over(Window.partitionBy())
     out = nested.select(
         F.col("cluster"),
         make_cluster_id(run_id, "cluster").alias("cluster_id"),
         F.col("n").alias("cluster_member_count"),
         F.lit(False).alias("private"),
         F.when(F.col("n") > 0, F.col("max_dist") * 2.0).alias("cluster_diameter"),
-        total.alias("cluster_wssse"),
+        F.col("cost").alias("cluster_wssse"),
         F.transform(
             "_dims",
             lambda d: F.struct(

@@ -27,8 +27,6 @@ from segmint.operators.assign import MAX_CENTER_BYTES, feature_matrix, nearest_r
 from segmint.operators.profile import cluster_summary
 from segmint.operators.score import score_summary
 
-# Runs × max(ks) centre rows broadcast at most.
-MAX_RUN_CENTERS = 1_000_000
 
 
 def run_centers(points: DataFrame, run_col: str, id_col: str, max_k: int, features: str = "features") -> DataFrame:
@@ -134,8 +132,6 @@ def assign_runs(
     if n_runs * max(ks) * max(q, 1) * 8 <= MAX_CENTER_BYTES:
         table = {r[run_col]: np.asarray(r["centers"], dtype=np.float64) for r in cents.collect()}
         return _assign_runs_batches(points, table, run_col, id_col, ks, features, q)
-    if n_runs * max(ks) <= MAX_RUN_CENTERS:
-        cents = F.broadcast(cents)
     return _assign_runs_hof(points, cents, run_col, id_col, ks, features)
 
 

@@ -6,8 +6,8 @@ Q known to the caller. Nothing here ever materialises Q values per row:
 
 * ``assemble_sparse``: (user, page, value) → (user, idx, val); at most Q
   entries per user after (user, page) pre-aggregation.
-* ``vector_frame``: Spark ML ``SparseVector`` column for training (a
-  one-line UDF on the ETL step; the fit caches its input once).
+* ``vector_frame``: Spark ML ``SparseVector`` column for training, by way of
+  the vectors' stored form (JVM only; the fit caches its input once).
 * ``assign_sparse``: nearest centre per Arrow batch from the non-zeros,
   d² = ‖x‖² + ‖c‖² − 2x·c for the search, then the exact d² of the chosen
   centre as Σ_nz (x − c)² + Σ_zero c², with the dense tie rule.
@@ -19,6 +19,8 @@ Q known to the caller. Nothing here ever materialises Q values per row:
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -27,10 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segmint.operators.assign import as_centers
-from segmint.session import materialize
+from segmint.operators.assign import MAX_CENTER_BYTES, as_centers
+from segmint.session import ensure_checkpoint_dir, materialize
 from segmint.sources.text import dense_from_map, spread
 
+log = logging.getLogger(__name__)
+
 # A dimension index up to this many bytes is broadcast.
 MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -76,13 +80,24 @@ def sparse_to_dense(points: DataFrame, q: int) -> DataFrame:
 
 
 def vector_frame(points: DataFrame, q: int) -> DataFrame:
-    """Only a Spark ML sparse vector column ``_vec`` (for ``KMeans.fit``)."""
-
-    @F.udf(VectorUDT())
-    def to_vec(idx, val):
-        return SparseVector(q, idx, val)
+    """Only a Spark ML sparse vector column ``_vec`` (for ``KMeans.fit``).
 
-    return points.select(to_vec("idx", "val").alias("_vec"))
+    Spark has no function from arrays to a sparse vector, but a vector is stored as the struct
+    (type, size, indices, values): the points are written in that form and read again under a
+    schema that names the vector type, all in the JVM. The table lies in the shared checkpoint
+    folder; without one the vectors are made by a row function instead.
+    """
+    spark = points.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        log.warning("spark.checkpoint.dir is unset; sparse vectors are made row by row")
+        to_vec = F.udf(lambda idx, val: SparseVector(q, idx, val), VectorUDT())
+        return points.select(to_vec("idx", "val").alias("_vec"))
+    stored = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(q).cast("int").alias("size"),
+                      F.col("idx").cast("array<int>").alias("indices"), F.col("val").cast("array<double>").alias("values"))
+    path = f"{base.rstrip('/')}/vectors-{uuid.uuid4().hex}"
+    points.select(stored.alias("_vec")).write.parquet(path)
+    return spark.read.schema(T.StructType([T.StructField("_vec", VectorUDT())])).parquet(path)
 
 
 def train_kmeans_sparse(points: DataFrame, q: int, k: int, init="k-means||", max_iter=20, tol=1e-4, seed=7, vectors=None):
@@ -144,11 +159,28 @@ def nearest_sparse(rows, cols, vals, n, c, c_sq):
 
 
 def assign_sparse(points: DataFrame, centers, idx: str = "idx", val: str = "val") -> DataFrame:
-    """O10 on sparse points: add cluster, d2, dist."""
+    """O10 on sparse points: add cluster, d2, dist.
+
+    Centres beyond ``MAX_CENTER_BYTES`` are tried group by group; of equal distances the lowest cluster stays.
+    """
+    mat = as_centers(centers)
+    most = max(1, MAX_CENTER_BYTES // mat[0].nbytes)
+    found = _nearest_of(points, mat[:most], idx, val)
+    for lo in range(most, len(mat), most):
+        so_far = found.withColumnsRenamed({"cluster": "_cluster", "d2": "_d2", "dist": "_dist"})
+        here = _nearest_of(so_far, mat[lo : lo + most], idx, val)
+        nearer = F.col("d2") < F.col("_d2")
+        best = [F.when(nearer, new).otherwise(F.col(f"_{c}")).alias(c) for c, new in
+                (("cluster", F.col("cluster") + lo), ("d2", F.col("d2")), ("dist", F.col("dist")))]
+        found = here.select(*points.columns, *best)
+    return found
+
+
+def _nearest_of(points: DataFrame, mat: np.ndarray, idx: str, val: str) -> DataFrame:
+    """``assign_sparse`` for centres that are broadcast together."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    mat = as_centers(centers)
     bc = points.sparkSession.sparkContext.broadcast(mat)
     i_idx, v_idx = points.columns.index(idx), points.columns.index(val)
     out_schema = T.StructType(
@@ -246,7 +278,7 @@ def sparse_scorer(points: DataFrame, q: int, max_iter: int = 20, seed: int = 7):
     from segmint.operators.select import MemoScorer
     from segmint.operators.train import ScoredModel, centers_of
 
-    vectors = materialize(vector_frame(points, q))  # built once for all fits
+    vectors = vector_frame(points, q).persist()  # built once for all fits
 
     def score(k):
         model = train_kmeans_sparse(points, q, k, max_iter=max_iter, seed=seed, vectors=vectors)

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from segmint.operators.assign import assign
 from segmint.operators.features import user_actions
-from segmint.operators.profile import cluster_profile, profile_from_summary
-from segmint.operators.sparse import assign_sparse, cluster_summary_sparse, train_kmeans_sparse
+from segmint.operators.profile import cluster_profile
+from segmint.operators.sparse import assign_sparse, train_kmeans_sparse
 from segmint.operators.train import centers_of, parse_params, train_kmeans
+from segmint.operators.wide_profile import wide_profile
 from segmint.session import materialize
 from segmint.sources import sinks, text
 
@@ -124,7 +125,7 @@ def run_kmeans_job(
     sinks.write_membership(spark.read.parquet(f"{out}/members"), f"{out}/data.json", mode="overwrite")
     t = time.time()
     if sparse:
-        profile = profile_from_summary(cluster_summary_sparse(assigned, q), centers, dims, run_id)
+        profile = wide_profile(assigned, centers, dims, run_id)
     else:
         profile = cluster_profile(assigned, centers, dims, run_id)
     sinks.write_profile(profile, f"{out}/meta-data.json", mode="overwrite")

@@ -33,10 +33,11 @@ from segmint.operators.features import (
     filter_to_category,
     scale_actions,
 )
-from segmint.operators.profile import cluster_profile, profile_from_summary
-from segmint.operators.sparse import assemble_sparse, assign_sparse, cluster_summary_sparse, sparse_scorer, train_kmeans_sparse
+from segmint.operators.profile import cluster_profile
 from segmint.operators.select import select_k
+from segmint.operators.sparse import assemble_sparse, assign_sparse, sparse_scorer, train_kmeans_sparse
 from segmint.operators.train import centers_of, train_kmeans
+from segmint.operators.wide_profile import wide_profile
 from segmint.session import materialize, materialize_table
 from segmint.sources import sinks
 
@@ -110,7 +111,7 @@ def run_monthly(
         written = spark.read.parquet(f"{path}/members")
         sinks.write_membership(written, f"{path}/data.json", mode="overwrite")
         if sparse:
-            profile = profile_from_summary(cluster_summary_sparse(assigned, q), centers, dims, run_id)
+            profile = wide_profile(assigned, centers, dims, run_id)
         else:
             profile = cluster_profile(assigned, centers, dims, run_id)
         sinks.write_profile(profile, f"{path}/meta-data.json", mode="overwrite")

@@ -258,6 +258,27 @@ FROM ua_sum s JOIN ua_dimrows r ON r.cluster = s.cluster""",
         ["cluster_diameter", "cluster_wssse", "center", "min", "max", "avg"],
     ),
 )
+SQL["cluster_profile_wide"] = """
+WITH cnt AS (
+  SELECT o_custkey AS u, CAST(l_partkey AS VARCHAR) AS page, CAST(count(*) AS DOUBLE) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
+),
+pages AS (SELECT page, row_number() OVER (ORDER BY page) - 1 AS dim FROM (SELECT DISTINCT page FROM cnt)),
+cent AS (
+  SELECT cluster, page, n FROM cnt JOIN (SELECT u, CAST(row_number() OVER (ORDER BY u) - 1 AS INTEGER) AS cluster FROM (SELECT DISTINCT u FROM cnt) QUALIFY cluster < 4) USING (u)
+),
+norms AS (SELECT cluster, sum(n * n) AS cc FROM cent GROUP BY cluster),
+dots AS (SELECT c.u, m.cluster, sum(c.n * m.n) AS xc FROM cnt c JOIN cent m USING (page) GROUP BY ALL),
+users AS (SELECT u, sum(n * n) AS xx FROM cnt GROUP BY u),
+asg AS (
+  SELECT u, cluster, xx + cc - 2 * coalesce(xc, 0) AS d2 FROM users CROSS JOIN norms LEFT JOIN dots USING (u, cluster)
+  QUALIFY row_number() OVER (PARTITION BY u ORDER BY d2, cluster) = 1
+),
+heads AS (SELECT cluster, count(*) AS members, 2 * sqrt(max(d2)) AS diameter, sum(d2) AS sse FROM asg GROUP BY cluster),
+cells AS (SELECT cluster, page, count(*) AS entries, min(n) AS low, max(n) AS high, sum(n) AS total FROM cnt JOIN asg USING (u) GROUP BY ALL)
+SELECT 'run-' || h.cluster AS cluster_id, members AS cluster_member_count, round(diameter, 6) AS cluster_diameter, round((SELECT sum(sse) FROM heads), 6) AS cluster_wssse,
+       CAST(dim // 100 AS INTEGER) AS part, p.page AS dimension_id, p.page AS dimension_name, coalesce(entries, 0) AS member_count, round(coalesce(m.n, 0), 6) AS center,
+       round(CASE WHEN entries = members THEN low ELSE 0 END, 6) AS min, round(coalesce(high, 0), 6) AS max, round(coalesce(total, 0) / members, 6) AS avg
+FROM heads h CROSS JOIN pages p LEFT JOIN cent m ON m.cluster = h.cluster AND m.page = p.page LEFT JOIN cells c ON c.cluster = h.cluster AND c.page = p.page"""
 SQL["drop_empty_clusters"] = _with(
     UA_MODEL,
     _round(

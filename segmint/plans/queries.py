@@ -20,6 +20,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,7 @@ from segmint.operators import profile as P
 from segmint.operators import runs as R
 from segmint.operators import score as S
 from segmint.operators import select as SEL
+from segmint.operators import sparse as SP
 from segmint.operators import train as TR
 from segmint.operators.fold import cluster_fold
 from segmint.operators.assign import (
@@ -43,6 +45,7 @@ from segmint.operators.assign import (
     distance_to_center,
     first_rows_as_centers,
 )
+from segmint.operators.wide_profile import wide_profile
 from segmint.sources import jsonl, sinks, text
 from segmint.session import ensure_checkpoint_dir, materialize
 from segmint.sources.tables import table
@@ -317,8 +320,6 @@ def q_cluster_reduce(spark, root):
 
 def _span(x, y):
     """Lowest values in a vector's first half, highest in its second."""
-    import numpy as np
-
     half = x.shape[-1] // 2
     return np.concatenate([np.minimum(x[..., :half], y[..., :half]), np.maximum(x[..., half:], y[..., half:])], axis=-1)
 
@@ -398,6 +399,23 @@ def q_cluster_profile(spark, root):
     return rounded(flat)
 
 
+def q_cluster_profile_wide(spark, root):
+    """Profiles over all parts as pages: centres and statistics stay (cluster, dim) rows, cut into parts of 100 dimensions."""
+    orders = table(spark, root, "orders", ["o_orderkey", "o_custkey"])
+    items = table(spark, root, "lineitem", ["l_orderkey", "l_partkey"])
+    counts = orders.join(items, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_custkey", F.col("l_partkey").cast("string").alias("page_id")).agg(F.count(F.lit(1)).alias("n"))
+    dims = materialize(FE.dimension_table(counts, "page_id"))
+    q = dims.count()
+    points = materialize(SP.assemble_sparse(counts, dims, "o_custkey", "page_id"))
+    first = points.orderBy("o_custkey").limit(K_FIXED).collect()
+    cents = np.zeros((len(first), q))
+    for j, r in enumerate(first):
+        cents[j, r["idx"]] = r["val"]
+    prof = wide_profile(SP.assign_sparse(points, cents), cents, dims, RUN, part_dims=100)
+    head = ["cluster_id", "cluster_member_count", "cluster_diameter", "cluster_wssse"]
+    return rounded(prof.select(*head, "part", F.explode("dimensions").alias("d")).select(*head, "part", "d.*"))
+
+
 def q_drop_empty_clusters(spark, root):
     a, dims, cents = _with_empty_cluster(spark, root)
     prof = P.drop_empty_clusters(P.cluster_profile(a, cents, dims, RUN, keep_empty=True))
@@ -730,6 +748,7 @@ QUERIES: dict[str, Query] = {
     "attach_dimensions": q_attach_dimensions,
     "wssse": q_wssse,
     "cluster_profile": q_cluster_profile,
+    "cluster_profile_wide": q_cluster_profile_wide,
     "drop_empty_clusters": q_drop_empty_clusters,
     # sinks and ids
     "membership_rows": q_membership_rows,
