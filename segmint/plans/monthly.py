@@ -40,6 +40,7 @@ from segmint.operators.train import centers_of, train_kmeans
 from segmint.operators.wide_profile import wide_profile
 from segmint.session import materialize, materialize_table
 from segmint.sources import sinks
+from segmint.sources.publish import publish_once
 
 log = logging.getLogger(__name__)
 
@@ -127,7 +128,7 @@ def run_monthly(
             path = f"{out.rstrip('/')}/month={month}/category={cat_name}{('-' + suffix) if suffix else ''}"
             run_id = f"{month}-{cat_name}"
 
-            def build(month_rows=month_rows, category=category, path=path, run_id=run_id):
+            def build(path, month_rows=month_rows, category=category, run_id=run_id):
                 kept = filter_to_category(month_rows, category, "p_brand")
                 scaled = scale_actions(kept, scale)
                 dims = dimension_table(scaled, "p_brand")
@@ -146,7 +147,7 @@ def run_monthly(
 
     def run(step):
         month, cat_name, path, build = step
-        ran = sinks.write_once(spark, f"{path}/step", build)
+        ran = publish_once(spark, path, build)
         return {"month": month, "category": cat_name, "path": path, "ran": ran}
 
     try:

@@ -55,8 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback_local: bool = False) ->
     """Point the context at the cluster's shared checkpoint folder.
 
     The folder comes from ``spark.checkpoint.dir``. Only when that is unset and
-    ``fallback_local`` is asked for (tests, single machine) a fresh temporary
-    folder is used.
+    ``fallback_local`` is asked for and the session is a local one (tests, single
+    machine) a fresh temporary folder is used; on a cluster that is an error, as
+    the executors don't share the driver's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,6 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback_local: bool = False) ->
         sc.setCheckpointDir(configured)
         return configured
     if fallback_local:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="segmint-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
         sc.setCheckpointDir(path)
