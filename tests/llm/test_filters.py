@@ -187,6 +187,77 @@ def test_rank_keeps_its_mass(spark):
     assert np.allclose([got[h] for h in "abcd"], x)
 
 
+def plain_spam(seen, edges, rounds=12, damping=0.85):
+    """Spam of every host by plain loops: seen {host: (allowed, blocked, open)}, edges {(a, b)}."""
+    def walk(ways, mass):
+        nodes = {x for e in ways for x in e} | set(mass)
+        out = {n: [b for a, b in ways if a == n] or [n] for n in nodes}
+        total = sum(mass.values())
+        start = {n: mass.get(n, 0) / total if total else 0.0 for n in nodes}
+        rank = dict(start)
+        for _ in range(rounds):
+            new = {n: (1 - damping) * start[n] for n in nodes}
+            for n in nodes:
+                for b in out[n]:
+                    new[b] += damping * rank[n] / len(out[n])
+            rank = new
+        return rank, start
+
+    trust, own_t = walk(edges, {h: a / (a + b + o) for h, (a, b, o) in seen.items() if a})
+    distrust, own_d = walk({(b, a) for a, b in edges}, {h: b / (a + b + o) for h, (a, b, o) in seen.items() if b})
+    get = lambda d, h: d.get(h, 0.0)
+    bad, fine = ({h: get(r, h) + 3 * get(o, h) for h in seen} for r, o in ((distrust, own_d), (trust, own_t)))
+    return {h: bad[h] / (bad[h] + fine[h] + 3 / len(seen)) for h in seen}
+
+
+def linked_pages(seed: int = 4):
+    """300 hosts: some with pages that a rule blocks or allows, the others undecided and linking to either sort."""
+    rng = np.random.default_rng(seed)
+    kinds = ["com", "net", "org", "org", "org"]
+    hosts = [f"h{k}.{kinds[k % 5]}" for k in range(300)]
+    good, bad = [h for h in hosts if h.endswith("com")], [h for h in hosts if h.endswith("net")]
+    pages, edges, page = [], set(), 0
+    for k, h in enumerate(hosts):
+        favours = good if h.endswith("com") else bad if k % 2 or h.endswith("net") else good
+        for _ in range(int(rng.integers(1, 5))):
+            to = [str(rng.choice(favours)) for _ in range(2)]
+            edges |= {(h, t) for t in to if t != h}
+            path = "/es/" if h.endswith("net") and rng.random() < 0.7 else "/en/"
+            pages.append((page, f"http://{h}{path}{page}", " ".join(f'<a href="//{t}/x">' for t in to)))
+            page += 1
+    return pages, edges
+
+
+def test_verdicts_come_from_links(spark):
+    """Spam of 300 hosts as by plain loops; hosts without a rule of their own are blocked and allowed by their links."""
+    pages, edges = linked_pages()
+    got = judge_pages(spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)).collect()
+    seen = {}
+    for _, url, _ in pages:
+        host, path = url[7:].split("/", 1)
+        a, b, o = seen.get(host, (0, 0, 0))
+        seen[host] = (a + host.endswith("com"), b + (host.endswith("net") and path.startswith("es/")), o + (not host.endswith("com") and not path.startswith("es/")))
+    want = plain_spam(seen, edges)
+    assert all(abs(r.spam - want[r.host]) < 1e-9 for r in got)
+    org = {r.host: r for r in got if r.host.endswith("org")}
+    blocked = {h for h, r in org.items() if r.verdict == "block"}
+    linking_bad = {h for h in org if int(h[1:].split(".")[0]) % 2}
+    assert all(r.rule is None for r in org.values()) and blocked and set(org) - blocked
+    assert len(blocked - linking_bad) <= 0.1 * len(blocked)
+    assert min(org[h].spam for h in blocked) > max(org[h].spam for h in set(org) - blocked)
+    # without the rounds no host without rules is blocked: it is the links that decide
+    alone = judge_pages(spark.createDataFrame([(i, u, None) for i, u, _ in pages], "page_id bigint, url string, html string")).collect()
+    assert not [r for r in alone if r.host.endswith("org") and r.verdict == "block"]
+
+
+def test_cut_parts_settled_hosts(spark):
+    from segmint.llm.url_trust import THRESHOLD, best_cut
+
+    kinds = "host string, allowed double, blocked double, by_links double"
+    assert best_cut(spark.createDataFrame([("a", 5.0, 0.0, 0.1), ("b", 2.0, 0.0, 0.2), ("c", 0.0, 3.0, 0.6), ("d", 0.0, 1.0, None)], kinds), 1) == pytest.approx(0.405, abs=0.011)
+    assert best_cut(spark.createDataFrame([("a", 5.0, 0.0, 0.1), ("b", 0.0, 1.0, 0.9)], kinds)) == THRESHOLD == best_cut(spark.createDataFrame([], kinds))
+
+
 def test_windows_cover_every_word():
     for n in (0, 1, STRIDE, WINDOW, WINDOW + 1, 100, 1000):
         text, start, size = windows_of(np.array([0, n]))
