@@ -240,8 +240,10 @@ def calibrating(n: int) -> np.ndarray:
 
 def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
     """A network from (label, words of some windows, each padded with '' to ``WINDOW``) of labelled documents,
-    not calibrated yet; of scale 0 where there was nothing to learn from."""
+    not calibrated yet; of scale 0 where there was nothing to learn from. Nothing is learnt from the
+    calibrating documents: neither weights nor vocabulary nor the odds the vectors start from."""
     rng = np.random.default_rng(seed)
+    docs = [d for d, of in zip(docs, calibrating(len(docs)), strict=True) if not of]
     flat = [w for _, words in docs for w in words]
     counts: dict[str, int] = {}  # documents with the word
     for _, ws in docs:
@@ -258,9 +260,7 @@ def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
     size = np.array([names[row] != "" for row in at]).sum(axis=1)
     owner = np.repeat(np.arange(len(docs)), [len(w) // WINDOW for _, w in docs])
     label = np.array([y for y, _ in docs])
-    train = np.flatnonzero(~calibrating(len(docs))[owner])
-    toxic = train[label[owner[train]] == 1]
-    clean = train[label[owner[train]] == 0]
+    toxic, clean = (np.flatnonzero(label[owner] == y) for y in (1, 0))
     words = names.tolist()
 
     def all_logits(rows):

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
@@ -303,6 +304,89 @@ def test_toxicity(marked):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if not r.predicted)
 
 
+@pytest.fixture(scope="module")
+def small_net():
+    """Few words, random weights in double precision."""
+    from segmint.llm import toxicity
+
+    net = toxicity.Network({w: k + 1 for k, w in enumerate(["you", "fool", "nice", "day"])}, seed=2)
+    net.p = {k: x.astype(np.float64) for k, x in net.p.items()}
+    rng = np.random.default_rng(4)
+    net.p["b"] = rng.standard_normal(net.p["b"].shape) * 0.1
+    net.p["c"] = np.array([0.2])
+    net.scale, net.shift = 1.3, -0.4
+    return net
+
+
+def plain_score(net, text):
+    """One window at a time, one step at a time, one direction at a time."""
+    from segmint.llm.toxicity import HIDDEN, trigrams
+
+    words, worst = text.split(), -np.inf
+    for lo in range(0, max(1, len(words) - WINDOW + STRIDE) if words else 0, STRIDE):
+        window, ways = words[lo : lo + WINDOW], []
+        xs = [np.concatenate([net.p["E"][net.vocabulary.get(w.lower(), 0)], net.p["C"][trigrams([w])[0]].mean(axis=0)]) for w in window]
+        for way in (0, 1):
+            h, seen = np.zeros(HIDDEN), []
+            for x in xs[::-1] if way else xs:
+                g, u = x @ net.p["W"][way] + net.p["b"][way], h @ net.p["U"][way]
+                z, r = (1 / (1 + np.exp(-2 * (g[j * HIDDEN : (j + 1) * HIDDEN] + u[j * HIDDEN : (j + 1) * HIDDEN]))) for j in (0, 1))
+                h = (1 - z) * h + z * np.tanh(g[2 * HIDDEN :] + r * u[2 * HIDDEN :])
+                seen.append(h)
+            ways.append(seen[::-1] if way else seen)
+        both = [np.concatenate(pair) for pair in zip(*ways)]
+        weight = np.exp([np.tanh(b @ net.p["A"]) @ net.p["v"] for b in both])
+        worst = max(worst, (weight / weight.sum()) @ np.array(both) @ net.p["o"] + net.p["c"][0])
+    return 1 / (1 + np.exp(-(net.scale * (worst if words else net.empty) + net.shift)))
+
+
+def test_scores_equal_a_plain_scorer(small_net):
+    """Batches, padding and the reversed direction change nothing; every window of a long text counts."""
+    import random
+
+    rng = random.Random(6)
+    texts = ["", "fool", "you  FOOL!", *(" ".join(rng.choice(["you", "Nice", "day", "fool", "x", "wörter", "a" * 90]) for _ in range(n))
+                                          for n in (3, WINDOW - 1, WINDOW, WINDOW + 1, WINDOW + STRIDE, WINDOW + STRIDE + 1, 5 * WINDOW + 7))]
+    got = small_net.score_texts(pa.array(texts))
+    assert np.allclose(got, [plain_score(small_net, t) for t in texts], atol=1e-5)
+
+
+def test_gradients_equal_differences(small_net):
+    """Each weight's gradient against a central difference of the loss, at some of its entries."""
+    words, size, label = ["you", "fool", "unseen", "day"], np.array([3, 1, 4]), np.array([1.0, 0.0, 1.0])
+    at = np.full((3, 5), len(words))
+    at[0, :3], at[1, :1], at[2, :4] = [0, 1, 2], [3], [1, 1, 0, 2]
+
+    def loss():
+        logit = small_net.forward(small_net.gates(small_net.inputs(words)[0]), at, size).astype(np.float64)
+        return float(np.mean(np.log1p(np.exp(logit)) - label * logit))
+
+    rng = np.random.default_rng(5)
+    for name, grad in small_net.gradients(words, at, size, label).items():
+        flat, step = small_net.p[name].reshape(-1), 1e-2
+        moved = np.flatnonzero(grad.reshape(-1))
+        for k in rng.choice(moved, min(6, len(moved)), replace=False):
+            was = flat[k]
+            flat[k] = was + step
+            up = loss()
+            flat[k] = was - step
+            down = loss()
+            flat[k] = was
+            assert abs((up - down) / (2 * step) - grad.reshape(-1)[k]) <= 2e-4 + 0.02 * abs(grad.reshape(-1)[k]), (name, k)
+
+
+def test_calibrating_documents_shape_nothing():
+    """Other words and labels in the documents that calibrate leave vocabulary and weights as they are."""
+    from segmint.llm.toxicity import calibrating, fit
+
+    rng = np.random.default_rng(1)
+    pad = lambda ws: ws + [""] * (WINDOW - len(ws))
+    docs = [(k % 2, pad([f"w{rng.integers(30)}" for _ in range(8)] + ["grobian"] * (k % 2))) for k in range(60)]
+    other = [(1 - y, pad(["quite", "different", "grobian"])) if of else (y, ws) for (y, ws), of in zip(docs, calibrating(len(docs)))]
+    a, b = fit(docs), fit(other)
+    assert a.vocabulary == b.vocabulary and all((a.p[k] == b.p[k]).all() for k in a.p)
+
+
 def test_calibration_reads_whole_documents(spark):
     """Long clean documents hold the toxic ones' word once, mostly outside the windows trained on: the score can't tell them apart and says so."""
     import random
