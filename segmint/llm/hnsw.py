@@ -1,9 +1,11 @@
 """Approximate nearest neighbours: one small-world graph per shard, results merged.
 
-Distinct vectors are dealt to shards of about ``SHARD`` by their key. Each shard builds a
-hierarchical navigable small-world graph, kept as flat neighbour arrays in one row of a
-stored table. Queries, in blocks, meet every shard's graph; the best of all shards are
-merged. A class of equal vectors stands for its ``k + 1`` smallest ids, which is all
+Distinct vectors are dealt to shards by their key; every shard is a task of its own and builds
+a hierarchical navigable small-world graph, kept as flat neighbour arrays in one row of a
+stored table. Shards grow with the square root of the table, from ``SHARD`` vectors up to
+``SHARD_BYTES``, so that ``n`` vectors make about ``sqrt(n) / GROWTH`` of them. Queries, in blocks
+as large as a shard, meet every shard's graph: what travels of graphs and of queries is then
+about the same, and both grow like ``n ** 1.5``. The best of all shards are merged. A class of equal vectors stands for its ``k + 1`` smallest ids, which is all
 that k neighbours of any query can need of it.
 """
 
@@ -21,11 +23,13 @@ from pyspark.sql.window import Window
 from segmint.llm.common import prepare, store
 from segmint.llm.vectors import cosines, unit, usable
 
-SHARD = 2500
+SHARD = 2500  # least vectors of a shard where there are more than one
+GROWTH = 10  # a shard's vectors as a multiple of the square root of all
+SHARD_BYTES = 256 << 20  # most of a shard's vectors
 LINKS = 12
 EF_BUILD = 48
 EF_SEARCH = 64
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 4096  # least queries of a block where there are more than one
 
 
 class Graph:
@@ -169,6 +173,13 @@ def _ask(k: int):
     return run
 
 
+def shard_plan(distinct: DataFrame, shard: int = SHARD) -> DataFrame:
+    """dim, shards and size, the vectors of a shard, of each vector length."""
+    n = F.count("*").alias("n")
+    size = F.greatest(F.lit(1), F.least(F.greatest(F.lit(shard), F.ceil(F.sqrt("n") * GROWTH)), F.floor(F.lit(SHARD_BYTES) / (F.col("dim") * 8)))).cast("int")
+    return distinct.groupBy("dim").agg(n).withColumn("size", size).select("dim", F.ceil(F.col("n") / F.col("size")).cast("int").alias("shards"), "size")
+
+
 def nearest(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vec_col: str = "embedding", shard: int = SHARD) -> DataFrame:
     """The ``k`` nearest found of each query (ids divisible by ``every``): query_id, rank, vec_id, score.
 
@@ -183,18 +194,21 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_
     first = Window.partitionBy("h").orderBy("id")
     ids = ok.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1).select("h", "dim", "id", "r", F.when(F.col("r") == 1, F.col("vec")).alias("vec"))
     distinct = store(ids.groupBy("h", "dim").agg(F.sort_array(F.collect_list("id")).alias("ids"), F.flatten(F.collect_list("vec")).alias("vec")))
-    shards = distinct.groupBy("dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
     # few rows: one per vector length
+    shards = store(shard_plan(distinct, shard))
+    tasks = max(1, 2 * int(shards.agg(F.sum("shards")).first()[0] or 0))  # two a shard, so that few shards share one
     dealt = distinct.join(shards, "dim").withColumn("shard", F.pmod(F.xxhash64("h"), F.col("shards")).cast("int")).select("dim", "shard", "h", "ids", "vec")
-    index = store(dealt.groupBy("dim", "shard").applyInPandas(
+    index = store(dealt.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInPandas(
         _build, "dim int, shard int, vec array<double>, ids array<array<long>>, layers array<int>, nodes array<int>, near array<int>, entry int"))
     asked = ok.where(F.col("id") % every == 0).select("id", "h")
     queries = store(distinct.join(asked.select("h").distinct(), "h").select("h", "dim", "vec"))
-    blocks = queries.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
-    there = index.join(blocks, "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sent = (queries.join(shards, "dim").join(blocks, "dim").withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
+    block = F.ceil(F.col("asked") / F.greatest(F.lit(QUERY_BLOCK), F.col("size"))).cast("int")
+    blocks = queries.groupBy("dim").agg(F.count("*").alias("asked")).join(shards, "dim").select("dim", "shards", block.alias("blocks"))
+    there = index.join(blocks.drop("shards"), "dim").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = (queries.join(blocks, "dim").withColumn("block", F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int"))
             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select("dim", "shard", "block", "h", "vec"))
-    found = there.groupBy("dim", "shard", "block").cogroup(sent.groupBy("dim", "shard", "block")).applyInPandas(_ask(k), "h long, id long, score double")
+    met = [side.repartition(tasks, "dim", "shard", "block").groupBy("dim", "shard", "block") for side in (there, sent)]
+    found = met[0].cogroup(met[1]).applyInPandas(_ask(k), "h long, id long, score double")
     best = Window.partitionBy("h").orderBy(F.desc("score"), "id")
     top = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("h", "id", "score")
     of_query = Window.partitionBy("query_id", "h").orderBy(F.desc("score"), "vec_id")

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 import brute
-from segmint.llm.hnsw import nearest
+from segmint.llm import hnsw
+from segmint.llm.hnsw import nearest, shard_plan
 from segmint.llm.metric_join import near_duplicates
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, h long, vec string, cell int, id long"
@@ -100,6 +101,33 @@ def test_nearest(vectors):
     assert hit / total >= 0.9
 
 
+def test_shards_grow_with_the_table_up_to_their_bytes(spark):
+    """The square root of the table decides, between the least shard and its most bytes."""
+    from pyspark.sql import functions as F
+
+    lengths = spark.range(60).select(F.lit(4).alias("dim")).union(spark.range(90_000).select(F.lit(8).alias("dim"))).union(
+        spark.range(900).select(F.lit(hnsw.SHARD_BYTES // 80).alias("dim")))
+    got = {r.dim: (r.shards, r.size) for r in shard_plan(lengths, 100).collect()}
+    assert got == {4: (1, 100), 8: (30, 3000), hnsw.SHARD_BYTES // 80: (90, 10)}
+
+
+def test_every_shard_and_block_is_asked(spark, monkeypatch):
+    """Many shards and many blocks of queries: recall and ranks as from one graph."""
+    monkeypatch.setattr(hnsw, "GROWTH", 1)
+    monkeypatch.setattr(hnsw, "QUERY_BLOCK", 16)
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((2500, 8)).astype(np.float32)
+    docs = spark.createDataFrame([(i, v.tolist(), 1, 1, "x", 2, 3) for i, v in enumerate(x)], SCHEMA).repartition(5)
+    got: dict = {}
+    for r in nearest(docs, every=10, shard=40).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    u = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(axis=1, keepdims=True))
+    sims = u @ u.T
+    np.fill_diagonal(sims, -2)
+    assert set(got) == set(range(0, 2500, 10)) and all([r for r, _ in sorted(f)] == [1, 2, 3, 4, 5] for f in got.values())
+    assert np.mean([len({i for _, i in f} & set(np.argsort(-sims[q])[:5].tolist())) / 5 for q, f in got.items()]) >= 0.97
+
+
 def test_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert near_duplicates(none).count() == nearest(none).count() == 0
