@@ -4,9 +4,11 @@ The n-grams have one global order (their 64-bit hashes), which is cut into fragm
 equal ranges. Two sets of at least the wanted similarity differ in a bounded number of
 n-grams, each of which spoils one fragment at most, so a fine cut leaves them a known
 number of equal fragments: fragments are the join key that finds every candidate, and a
-set that shares fewer with all others together has no partner. Candidates are then
-counted fragment by fragment of a coarse cut, each partial overlap on its own, and the
-partial counts summed per pair.
+set that shares fewer with all others together has no partner. Candidates then meet
+fragment by fragment of a coarse cut: the join of a fragment counts a pair's common n-grams
+in it alone, and Spark sums these partial overlaps per pair. No row holds a whole set beside
+another, and pairs whose fragments are too unequal in size to reach the similarity, even
+if the smaller of each pair of fragments lay in the larger, are left out before.
 
 How fine the cut is depends on the size of a set, in bands half as large again as the
 one before; a set near a band's lower end also takes part in the band below.
@@ -35,7 +37,7 @@ NGRAM = 3
 SIMILAR = (90, 100)
 FINER = 0.5  # fragments beyond the most that a partner can spoil, as a share of those
 PRUNE = 2
-SLICES = 4
+SLICES = 4  # fragments in which candidates are counted
 BLOCK = 512
 SLICE_BYTES = 2 << 20  # of texts taken at a time (a longer one alone)
 COLUMNS = 4096  # n-grams per fragment when a block is counted
@@ -130,63 +132,59 @@ def _outline(ngram, similar, finer):
     return run
 
 
+def slices_of(s: np.ndarray, fragments: int = SLICES) -> list[np.ndarray]:
+    """A sorted set cut into fragments of the n-gram order by equal ranges."""
+    at = np.arange(1, fragments, dtype=np.uint64) * U64((1 << 64) // fragments)
+    return np.split(s, np.searchsorted(s, at))
+
+
 def _sets(ngram):
-    """k, n and the sorted n-grams of texts whose set is the wanted one."""
+    """k, n, sizes of all fragments, fragment and its n-grams: a row for each fragment of the wanted sets."""
 
     def run(batches):
         for batch in batches:
             for part in byte_slices(batch, 1, SLICE_BYTES):
-                found = [(k, s) for k, s in zip(part.column(2).to_pylist(), ngram_sets(part.column(1), ngram), strict=True) if set_key(s) == k]
+                rows = []
+                for k, s in zip(part.column(2).to_pylist(), ngram_sets(part.column(1), ngram), strict=True):
+                    if set_key(s) == k:
+                        cut = slices_of(s)
+                        rows += [(k, len(s), [len(x) for x in cut], f, x.view(np.int64)) for f, x in enumerate(cut)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, _ in found], pa.int64()), pa.array([len(s) for _, s in found], pa.int64()),
-                     pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], names=["k", "n", "grams"])
+                    [pa.array([r[j] for r in rows], t) for j, t in enumerate((pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.list_(pa.int64())))],
+                    names=["k", "n", "sizes", "fragment", "grams"])
 
     return run
 
 
-def overlap(x: np.ndarray, y: np.ndarray, fragments: int = SLICES) -> int:
-    """Common n-grams of two sorted sets: counted in each fragment of the order on its own, then summed."""
-    at = np.arange(1, fragments, dtype=np.uint64) * U64((1 << 64) // fragments)
-    return sum(len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(np.split(x, np.searchsorted(x, at)), np.split(y, np.searchsorted(y, at)), strict=True))
-
-
-def _similar(similar):
-    num, den = similar
-
-    def run(batches):
-        for batch in batches:
-            sets = []
-            for c in (2, 3):
-                column = batch.column(c)
-                bounds = column.offsets.to_numpy()
-                flat = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                sets.append([flat[a:b] for a, b in zip(bounds, bounds[1:], strict=False)])
-            good = []
-            for x, y in zip(*sets, strict=True):
-                same = overlap(x, y)
-                good.append(same * den >= (len(x) + len(y) - same) * num)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return run
+def partial_overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, fragment and the common n-grams of the pair in that fragment, from the fragment's n-grams alone."""
+    left = sets.select(F.col("k").alias("a"), "fragment", F.col("grams").alias("ga"))
+    right = sets.select(F.col("k").alias("b"), "fragment", F.col("grams").alias("gb"))
+    return pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "fragment", F.size(F.array_intersect("ga", "gb")).alias("partial"))
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, similar=SIMILAR) -> DataFrame:
     """The pairs (a, b) of set keys that are similar, by the sum of their partial overlaps."""
     num, den = similar
-    sizes = sets.select("k", "n")
-    fit = (pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-           .where(F.least("na", "nb") * den >= F.greatest("na", "nb") * num).select("a", "b"))
-    both = fit.join(sets.select(F.col("k").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("k").alias("b"), F.col("grams").alias("gb")), "b")
-    return both.select("a", "b", "ga", "gb").mapInArrow(tidy(_similar(similar)), "a long, b long")
+    sizes = sets.where("fragment = 0").select("k", "n", "sizes")
+    both = pairs.join(sizes.toDF("a", "na", "sa"), "a").join(sizes.toDF("b", "nb", "sb"), "b")
+    at_most = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    enough = lambda same: same * den >= (F.col("na") + F.col("nb") - same) * num
+    fit = store(both.where(enough(at_most)).select("a", "b", "na", "nb"))
+    same = partial_overlaps(fit.select("a", "b"), sets).groupBy("a", "b").agg(F.sum("partial").alias("same"))
+    return fit.join(same, ["a", "b"]).where(enough(F.col("same"))).select("a", "b")
 
 
 def block_links(pdf: pd.DataFrame, similar=SIMILAR) -> list[tuple[int, int]]:
-    """Links between the two sides of a block (side 0 with 0 and 1), enough of them to join what they join."""
+    """Links between the two sides of a block (side 0 with 0 and 1), enough of them to join what they join.
+    A set has a row for each of its fragments."""
     num, den = similar
     pdf = pdf.sort_values(["side", "k"]).reset_index(drop=True)
-    size, label = pdf["n"].to_numpy(), pdf["component"].to_numpy()
-    rows = np.repeat(np.arange(len(pdf)), [len(g) for g in pdf["grams"]])
+    of = (pdf[["side", "k"]] != pdf[["side", "k"]].shift()).any(axis=1).cumsum().to_numpy() - 1
+    rows = np.repeat(of, [len(g) for g in pdf["grams"]])
     grams, at = np.unique(np.concatenate([np.asarray(g, np.int64) for g in pdf["grams"]]), return_inverse=True)
+    pdf = pdf.drop(columns="grams").drop_duplicates(["side", "k"])
+    size, label = pdf["n"].to_numpy(), pdf["component"].to_numpy()
     head = int((pdf["side"] == 0).sum())
     same = np.zeros((head, len(pdf)), dtype=np.float32)
     order = np.argsort(at, kind="stable")
@@ -239,7 +237,7 @@ def rest_links(members: DataFrame, labels: DataFrame, groups: DataFrame, sets: D
         "k", "component", "group", F.lit(True).alias("big"), F.col("own").alias("i"), F.col("with").alias("j"), F.lit(0).alias("side"))
     from_big = each.where("big and others > 0").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select(
         "k", "component", "group", F.lit(True).alias("big"), F.col("with").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"))
-    rows = to_others.union(to_big).union(from_big).join(sets, "k")
+    rows = to_others.union(to_big).union(from_big).join(sets.drop("sizes"), "k")
     return rows.groupBy("group", "big", "i", "j").applyInPandas(
         lambda pdf: pd.DataFrame(block_links(pdf, similar), columns=["a", "b"], dtype="int64"), "a long, b long")
 
@@ -283,7 +281,8 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     middle = members.join(weight, "k").groupBy("key").agg(F.max(F.struct("w", "k")).alias("m")).select("key", F.col("m.k").alias("middle"))
     pairs = members.join(middle, "key").where("k <> middle").select(F.least("k", "middle").alias("a"), F.greatest("k", "middle").alias("b")).distinct()
     wanted = members.select("k").distinct().join(classes, "k")
-    sets = store(plain.join(wanted, "doc").select("doc", "text", "k").mapInArrow(tidy(_sets(ngram)), "k long, n long, grams array<long>").dropDuplicates(["k"]))
+    sets = store(plain.join(wanted, "doc").select("doc", "text", "k").mapInArrow(
+        tidy(_sets(ngram)), "k long, n long, sizes array<int>, fragment int, grams array<long>").dropDuplicates(["k", "fragment"]))
     links = store(similar_pairs(pairs, sets, similar))
     so_far = store(components(links)).select(F.col("node").alias("k"), "component")
     more = store(rest_links(members.select("key", "k"), so_far, groups, sets, similar))

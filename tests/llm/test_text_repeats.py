@@ -9,7 +9,7 @@ import pytest
 import brute
 from awkward import docs, no_docs  # noqa: F401
 from segmint.llm import fm_index, suffix_buckets
-from segmint.llm.ngram_join import block_links, first_of_each, fragment_keys, jaccard_components, most_different
+from segmint.llm.ngram_join import block_links, first_of_each, fragment_keys, jaccard_components, most_different, partial_overlaps, similar_pairs, slices_of
 
 import pandas as pd
 
@@ -92,6 +92,26 @@ def test_block_links_join_what_is_similar():
     sets = [np.unique(np.concatenate([base[k:], rng.integers(0, 2**62, k)])) for k in (0, 2, 4, 40, 41)]
     pdf = pd.DataFrame({"k": range(5), "n": [len(s) for s in sets], "component": range(5), "side": [0, 0, 1, 1, 1], "grams": [s.tolist() for s in sets]})
     assert brute.groups(block_links(pdf), range(5)) == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4}
+    cut = pdf.assign(grams=[[x.view(np.int64) for x in slices_of(s.astype(np.uint64) << np.uint64(1))] for s in sets]).explode("grams")
+    assert len(cut) > len(pdf) and brute.groups(block_links(cut), range(5)) == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4}
+
+
+def test_partial_overlaps_sum_to_the_whole(spark):
+    """Each fragment counts what two sets share in its range of the n-gram order; only the sum decides, at the threshold too."""
+    rng = np.random.default_rng(7)
+    new = lambda n: np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+    base = new(300)
+    sets = [base, *(np.unique(np.concatenate([base[k:], new(k)])) for k in (1, 15, 16, 17, 60)), base[:270], base[:269], base[:40], new(300), new(1), base[:1], base[:1].copy()]
+    rows = [(k, len(s), [len(x) for x in slices_of(s)], f, x.view(np.int64).tolist()) for k, s in enumerate(sets) for f, x in enumerate(slices_of(s))]
+    table = spark.createDataFrame(rows, "k long, n long, sizes array<int>, fragment int, grams array<long>").repartition(5)
+    every = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))]
+    pairs = spark.createDataFrame(every, "a long, b long")
+    got = {(r.a, r.b, r.fragment): r.partial for r in partial_overlaps(pairs, table).collect()}
+    assert got == {(a, b, f): len(np.intersect1d(x, y)) for a, b in every for f, (x, y) in enumerate(zip(slices_of(sets[a]), slices_of(sets[b])))}
+    for num, den in ((90, 100), (80, 100), (1, 10)):
+        same = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in every}
+        want = {(a, b) for (a, b), s in same.items() if s * den >= (len(sets[a]) + len(sets[b]) - s) * num}
+        assert {(r.a, r.b) for r in similar_pairs(pairs, table, (num, den)).collect()} == want and (want or num > den)
 
 
 def test_first_of_each_keeps_one_row(docs):
