@@ -62,6 +62,20 @@ def test_shard_search_against_brute_force(module, words):
         assert got == want
 
 
+def test_buckets_are_refined_to_the_order_of_suffixes():
+    """Few symbols, empty and equal segments, buckets of every depth, one round and several."""
+    rng = random.Random(1)
+    for _ in range(200):
+        segments = [[rng.randint(1, rng.choice([1, 2, 3])) for _ in range(rng.randint(0, 30))] for _ in range(rng.randint(1, 8))]
+        text = [x for s in segments for x in [*s, 0]]
+        index = suffix_buckets.SuffixBuckets(np.array(text, dtype=np.uint16), rng.choice([1, 2, 3, 7]), rng.choice([1, 2, 5]))
+        suffix = lambda i: text[i : text.index(0, i) + 1]
+        order = index.order.tolist()
+        assert sorted(order) == list(range(len(text)))
+        assert [suffix(i) for i in order] == sorted(map(suffix, order))
+        assert len(set(index.pointer.tolist())) == len({tuple(suffix(i)) for i in order})
+
+
 @pytest.mark.parametrize("num,den,n", [(90, 100, 3), (80, 100, 5), (50, 100, 2)])
 def test_jaccard_groups(docs, num, den, n):
     want = brute.jaccard_groups(brute.documents(), num, den, n)
