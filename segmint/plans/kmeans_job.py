@@ -25,6 +25,7 @@ from segmint.operators.train import centers_of, parse_params, train_kmeans
 from segmint.operators.wide_profile import wide_profile
 from segmint.session import materialize
 from segmint.sources import sinks, text
+from segmint.sources.counted import read_points_counted
 
 log = logging.getLogger(__name__)
 
@@ -48,13 +49,15 @@ def profile_job(
     return cluster_profile(assign(points, model), centers_of(model), dims, run_id)
 
 
-def load_inputs(spark: SparkSession, input_dir: str, sparse: bool = False) -> tuple[DataFrame, DataFrame, int]:
+def load_inputs(spark: SparkSession, input_dir: str, sparse: bool = False, quarantine: str | None = None) -> tuple[DataFrame, DataFrame, int]:
     """(points, dims, Q) from a segmentation input folder.
 
     Fails when points and users differ in number or an index has no page.
 
     Points carry ``row_id``, ``user_id`` and either dense ``features`` or,
     with ``sparse=True``, the non-zero ``idx``/``val`` arrays of each line.
+    With ``quarantine`` (a new folder) broken lines of points are set aside there with
+    their reasons, their users left out, and the counts come from the same pass.
     """
     d = input_dir.rstrip("/")
     pages = text.read_lookup(spark, f"{d}/pages.txt", "dim", "dimension_id")
@@ -62,10 +65,15 @@ def load_inputs(spark: SparkSession, input_dir: str, sparse: bool = False) -> tu
     # The labels are zipped by position: the shorter file wins.
     dims = pages.join(names, "dim", "inner").withColumn("dim", F.col("dim").cast("int"))
     q = pages.count()
-    raw = text.read_points(spark, f"{d}/inputs.txt")
+    if quarantine:
+        read = read_points_counted(spark, f"{d}/inputs.txt", quarantine)
+        raw, n, top = read.rows, read.counts["lines"], read.counts["top_index"]
+        if read.counts["broken"]:
+            log.warning("%d of %d lines of inputs.txt are broken, see %s", read.counts["broken"], n, quarantine)
+    else:
+        raw = materialize(text.read_points(spark, f"{d}/inputs.txt"))
+        n, top = raw.agg(F.count(F.lit(1)), F.max(F.array_max(F.map_keys("features")))).first()
     users = text.read_lookup(spark, f"{d}/users.txt", "row_id", "user_id")
-    raw = materialize(raw)
-    n, top = raw.agg(F.count(F.lit(1)), F.max(F.array_max(F.map_keys("features")))).first()
     n_users = users.count()
     if n != n_users:
         raise ValueError(f"{n} points but {n_users} users: every line of inputs.txt needs its line of users.txt")

@@ -175,6 +175,23 @@ SELECT CAST(row_id AS BIGINT) AS row_id, CAST(dim AS INTEGER) AS dim, value FROM
   FROM (SELECT row_number() OVER (ORDER BY user_id) - 1 AS row_id, features FROM ua)
 ) WHERE value <> 0""",
 )
+SQL["read_points_counted"] = _with(
+    UA,
+    """
+, judged AS (
+  SELECT row_number() OVER (ORDER BY user_id) - 1 AS row_id, features,
+    CASE WHEN features[1] = features[2] THEN 'token' WHEN features[3] > features[4] THEN 'index twice' END AS reason FROM ua),
+cells AS (
+  SELECT row_id, reason, CAST(unnest(generate_series(0, len(features) - 1)) AS INTEGER) AS dim, unnest(features) AS value
+  FROM judged WHERE reason IS NULL),
+rows AS (
+  SELECT * FROM cells WHERE value <> 0 UNION ALL
+  SELECT row_id, reason, CAST(NULL AS INTEGER), CAST(NULL AS DOUBLE) FROM judged WHERE reason IS NOT NULL)
+SELECT CAST(row_id AS BIGINT) AS row_id, reason, dim, value,
+  (SELECT count(*) FROM judged) AS lines, (SELECT count(reason) FROM judged) AS broken,
+  (SELECT count(*) FROM cells WHERE value <> 0) AS entries, (SELECT CAST(max(dim) AS BIGINT) FROM cells WHERE value <> 0) AS top_index
+FROM rows""",
+)
 SQL["read_lookup"] = _with(
     UA, "SELECT CAST(row_number() OVER (ORDER BY user_id) - 1 AS BIGINT) AS row_id, CAST(user_id AS VARCHAR) AS user_id FROM ua"
 )

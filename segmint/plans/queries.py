@@ -47,6 +47,7 @@ from segmint.operators.assign import (
 )
 from segmint.operators.wide_profile import wide_profile
 from segmint.sources import jsonl, sinks, text
+from segmint.sources.counted import read_points_counted
 from segmint.session import ensure_checkpoint_dir, materialize
 from segmint.sources.tables import table
 
@@ -139,6 +140,20 @@ def q_read_points(spark, root):
     return parsed.select("row_id", F.explode("features").alias("dim", "value"))
 
 
+def q_read_points_counted(spark, root):
+    pts, _ = _ua(spark, root)
+    good = text.format_points("features")
+    # users whose first two counts are equal get broken tokens; those with a larger third than fourth name indexes twice
+    value = (F.when(F.col("features")[0] == F.col("features")[1], F.replace(good, F.lit(":"), F.lit(";")))
+             .when(F.col("features")[2] > F.col("features")[3], F.concat(good, F.lit(" "), good)).otherwise(good))
+    folder = f"{ensure_checkpoint_dir(spark, fallback_local=True)}/counted-{uuid.uuid4().hex}"
+    read = read_points_counted(spark, pts.orderBy("user_id").select(value.alias("value")), folder)
+    counts = [F.lit(read.counts[c]).cast("bigint").alias(c) for c in ("lines", "broken", "entries", "top_index")]
+    rows = read.rows.select("row_id", F.lit(None).cast("string").alias("reason"), F.explode("features").alias("dim", "value"))
+    broken = read.broken.select("row_id", "reason", F.lit(None).cast("int").alias("dim"), F.lit(None).cast("double").alias("value"))
+    return rows.union(broken).select("*", *counts)
+
+
 def q_read_lookup(spark, root):
     pts, _ = _ua(spark, root)
     lines = pts.orderBy("user_id").select(F.col("user_id").cast("string").alias("value"))
@@ -715,6 +730,7 @@ def q_run_kmeans(spark, root):
 QUERIES: dict[str, Query] = {
     # sources
     "read_points": q_read_points,
+    "read_points_counted": q_read_points_counted,
     "read_lookup": q_read_lookup,
     "read_category": q_read_category,
     "read_user_activity": q_read_user_activity,

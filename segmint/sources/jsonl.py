@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 ACTIVITY_COLUMNS = ("user_id", "gender", "page_like", "page_comment", "post_like", "post_comment")
 # Malformed text fails the job.
 FAIL = {"mode": "FAILFAST"}
-_MAP_COLUMNS = frozenset({"page_like", "page_comment", "post_like", "post_comment"})
+MAP_COLUMNS = frozenset({"page_like", "page_comment", "post_like", "post_comment"})
 
 CATEGORY_SCHEMA = T.StructType(
     [
@@ -32,10 +32,10 @@ CATEGORY_SCHEMA = T.StructType(
 )
 
 
-def _lines(spark: SparkSession, source) -> DataFrame:
+def lines_of(spark: SparkSession, source, wholetext: bool = False) -> DataFrame:
     if isinstance(source, DataFrame):
         return source.select(F.col(source.columns[0]).alias("value"))
-    return spark.read.text(source)
+    return spark.read.text(source, wholetext=wholetext)
 
 
 def read_category(spark: SparkSession, source) -> DataFrame:
@@ -44,7 +44,7 @@ def read_category(spark: SparkSession, source) -> DataFrame:
     ``source`` is a path (read with ``multiLine``) or a frame of JSON strings.
     """
     if isinstance(source, DataFrame):
-        parsed = _lines(spark, source).select(F.from_json("value", CATEGORY_SCHEMA, FAIL).alias("c")).select("c.*")
+        parsed = lines_of(spark, source).select(F.from_json("value", CATEGORY_SCHEMA, FAIL).alias("c")).select("c.*")
     else:
         parsed = spark.read.schema(CATEGORY_SCHEMA).options(multiLine=True, **FAIL).json(source)
     return parsed.select(F.col("id").alias("category_id"), F.explode("facebook").alias("p")).select(
@@ -57,11 +57,11 @@ def read_user_activity(spark: SparkSession, source, columns: Sequence[str] = ACT
 
     Map fields become ``map<string,bigint>``; the rest stay strings. Malformed JSON fails.
     """
-    arr = _lines(spark, source).select(F.from_json("value", "array<string>", FAIL).alias("a"))
+    arr = lines_of(spark, source).select(F.from_json("value", "array<string>", FAIL).alias("a"))
     cols = []
     for i, name in enumerate(columns):
         item = F.get(F.col("a"), i)
-        if name in _MAP_COLUMNS:
+        if name in MAP_COLUMNS:
             cols.append(F.coalesce(F.from_json(item, "map<string,bigint>", FAIL), F.create_map().cast("map<string,bigint>")).alias(name))
         else:
             cols.append(item.alias(name))
@@ -72,7 +72,7 @@ def activity_line(columns: Sequence[str] = ACTIVITY_COLUMNS) -> F.Column:
     """Inverse of ``read_user_activity``: the JSON array text of one row."""
     parts = []
     for name in columns:
-        if name in _MAP_COLUMNS:
+        if name in MAP_COLUMNS:
             parts.append(F.to_json(F.col(name)))
         else:
             parts.append(F.col(name).cast("string"))

@@ -23,12 +23,16 @@ from segmint.session import materialize
 
 def _numbered(tagged: DataFrame, block: list[str], index_col: str) -> DataFrame:
     """Number rows that carry ``block`` columns and ``_pos`` (rising inside a block), blocks in column order."""
-    stored = materialize(tagged)
+    return number_stored(materialize(tagged), block, index_col)
+
+
+def number_stored(stored: DataFrame, block: list[str], index_col: str) -> DataFrame:
+    """``_numbered`` for rows that are stored already."""
     sizes = stored.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     # one row per partition or file block
     before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*block, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
-    plain = [c for c in tagged.columns if c not in (*block, "_pos")]
+    plain = [c for c in stored.columns if c not in (*block, "_pos")]
     return stored.join(offsets, block).select(*plain, (F.col("_offset") + F.col("_pos")).cast("bigint").alias(index_col))
 
 
@@ -38,14 +42,23 @@ def index_rows(df: DataFrame, index_col: str = "row_id") -> DataFrame:
     return _numbered(tagged, ["_pid"], index_col)
 
 
+def tagged_lines(spark: SparkSession, source) -> tuple[DataFrame, list[str]]:
+    """``value`` of a line frame, a file or a folder of files, with its block's columns (named beside) and ``_pos``."""
+    if isinstance(source, DataFrame):
+        lines = source.select(F.col(source.columns[0]).alias("value"), F.spark_partition_id().alias("_pid"))
+        block = ["_pid"]
+    else:
+        lines = spark.read.text(source).select(
+            "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
+        )
+        block = ["_file", "_start"]
+    return lines.withColumn("_pos", F.monotonically_increasing_id()), block
+
+
 def _index_lines(spark: SparkSession, source, index_col: str) -> DataFrame:
     """(index, value) of a line frame, a file or a folder of files (in name order)."""
-    if isinstance(source, DataFrame):
-        return index_rows(source.select(F.col(source.columns[0]).alias("value")), index_col)
-    lines = spark.read.text(source).select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
-    )
-    return _numbered(lines.withColumn("_pos", F.monotonically_increasing_id()), ["_file", "_start"], index_col)
+    lines, block = tagged_lines(spark, source)
+    return _numbered(lines, block, index_col)
 
 
 def parse_points(value: Column) -> Column:
