@@ -13,13 +13,14 @@ from __future__ import annotations
 import logging
 import threading
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmint.operators.curve import best_k_range_bic
+from segmint.operators.together import Together
 from segmint.operators.train import DEFAULT_SEED, DEFAULT_TOL, ScoredModel, train_kmeans_default
 from segmint.session import materialize
 
@@ -142,7 +143,8 @@ def sweep(scorer: Scorer, ks: Sequence[int], parallelism: int = 1, max_k: int |
     """Fit and score every candidate, in ascending k.
 
     ``parallelism`` > 1 submits several fits at once to the same session
-    (each is an independent set of Spark jobs), as ``CrossValidator`` does.
+    (each is an independent set of Spark jobs), as ``CrossValidator`` does; one
+    that fails cancels the others.
     """
     ks = [int(k) for k in ks]
     if max_k is not None:
@@ -150,8 +152,8 @@ def sweep(scorer: Scorer, ks: Sequence[int], parallelism: int = 1, max_k: int |
     if parallelism <= 1 or len(ks) <= 1:
         return [scorer(k) for k in ks]
     # Largest k first: the longest fits start earliest.
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        done = dict(zip(sorted(ks, reverse=True), pool.map(scorer, sorted(ks, reverse=True))))
+    with Together(scorer, parallelism) as fits:
+        done = fits.all(sorted(ks, reverse=True))
     return [done[k] for k in ks]
 
 
@@ -169,12 +171,12 @@ def sweep_models(
     from segmint.operators.train import centers_of, train_kmeans
 
     ks = sorted(int(k) for k in ks if max_k is None or k <= max_k)
-    fit = lambda k: (k, train_kmeans(points, k, "k-means||", max_iter, DEFAULT_TOL, seed, features))
+    fit = lambda k: train_kmeans(points, k, "k-means||", max_iter, DEFAULT_TOL, seed, features)
     if parallelism <= 1 or len(ks) <= 1:
-        models = dict(map(fit, ks))
+        models = {k: fit(k) for k in ks}
     else:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            models = dict(pool.map(fit, sorted(ks, reverse=True)))
+        with Together(fit, parallelism) as fits:
+            models = fits.all(sorted(ks, reverse=True))
     rows = {r["k"]: r for r in score_many(points, {k: centers_of(m) for k, m in models.items()}, features).collect()}
     q = len(centers_of(models[ks[0]])[0]) if ks else 0
     return [
@@ -192,21 +194,26 @@ def sweep_models(
     ]
 
 
-def _prefetch(scorer: Scorer, k1: int, mid: int, k2: int, parallelism: int) -> None:
-    """Fit the middle k and both possible next middles at once (results are memoised).
+@contextmanager
+def _looking_ahead(scorer: Scorer, parallelism: int):
+    """A function of (k1, mid, k2) that scores ``mid`` while both possible next middles are fitted ahead.
 
-    The bisection's decisions do not change; each round settles two levels
-    of the search at the price of at most one unused fit.
+    The search's decisions do not change: as soon as the middle is scored the next one is
+    known, its fit goes on, and the one that lost is cancelled.
     """
     if parallelism <= 1:
+        yield lambda k1, mid, k2: scorer(mid)
         return
-    ks = [mid]
-    if mid - k1 > 1:
-        ks.append(next_binsearch_value(k1, mid))
-    if k2 - mid > 1:
-        ks.append(next_binsearch_value(mid, k2))
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(ks))) as pool:
-        list(pool.map(scorer, ks))
+    with Together(scorer, parallelism) as fits:
+        def score(k1: int, mid: int, k2: int) -> ScoredModel:
+            fits.keep([mid])
+            now = fits.start(mid)
+            for low, high in ((k1, mid), (mid, k2)):
+                if high - low > 1 and next_binsearch_value(low, high) not in getattr(scorer, "cache", {}):
+                    fits.start(next_binsearch_value(low, high))
+            return now.result()
+
+        yield score
 
 
 def binsearch_bic(
@@ -221,28 +228,27 @@ def binsearch_bic(
     ahead, concurrently; the result is the same.
     """
     (k1, b1), (k2, b2) = lo, hi
-    while True:
-        if k2 <= k1:
-            return k1, b1
-        if k2 - k1 == 1:
-            if b1 is None or b2 is None:  # an end without variance has no BIC: the other one, or the smaller k
-                return (k2, b2) if b1 is None and b2 is not None else (k1, b1)
-            if final == "lower":
-                return (k1, b1) if b1 < b2 else (k2, b2)
-            return (k1, b1) if b1 > b2 else (k2, b2)
-        mid = next_binsearch_value(k1, k2)
-        if mid not in getattr(scorer, "cache", {}):
-            _prefetch(scorer, k1, mid, k2, parallelism)
-        b = scorer(mid).bic
-        if b is None:  # no variance at mid, so none above it either: skipped, the search goes on below
-            log.warning("skipping k = %d: zero variance", mid)
-            k2, b2 = mid, None
-        elif b1 is None or b2 is None:
-            k1, b1 = mid, b
-        elif abs(b1 - b) > abs(b - b2):
-            k2, b2 = mid, b
-        else:
-            k1, b1 = mid, b
+    with _looking_ahead(scorer, parallelism) as score:
+        while True:
+            if k2 <= k1:
+                return k1, b1
+            if k2 - k1 == 1:
+                if b1 is None or b2 is None:  # an end without variance has no BIC: the other one, or the smaller k
+                    return (k2, b2) if b1 is None and b2 is not None else (k1, b1)
+                if final == "lower":
+                    return (k1, b1) if b1 < b2 else (k2, b2)
+                return (k1, b1) if b1 > b2 else (k2, b2)
+            mid = next_binsearch_value(k1, k2)
+            b = score(k1, mid, k2).bic
+            if b is None:  # no variance at mid, so none above it either: skipped, the search goes on below
+                log.warning("skipping k = %d: zero variance", mid)
+                k2, b2 = mid, None
+            elif b1 is None or b2 is None:
+                k1, b1 = mid, b
+            elif abs(b1 - b) > abs(b - b2):
+                k2, b2 = mid, b
+            else:
+                k1, b1 = mid, b
 
 
 def binsearch_diameter(
@@ -250,19 +256,18 @@ def binsearch_diameter(
 ) -> tuple[int, float]:
     """Bisect on average diameter; left when d1 − d > d − d2; adjacent ends: the upper k."""
     (k1, d1), (k2, d2) = lo, hi
-    while True:
-        if k2 <= k1:
-            return k1, d1
-        if k2 - k1 == 1:
-            return k2, d2
-        mid = next_binsearch_value(k1, k2)
-        if mid not in getattr(scorer, "cache", {}):
-            _prefetch(scorer, k1, mid, k2, parallelism)
-        d = scorer(mid).avg_diameter
-        if (d1 - d) > (d - d2):
-            k2, d2 = mid, d
-        else:
-            k1, d1 = mid, d
+    with _looking_ahead(scorer, parallelism) as score:
+        while True:
+            if k2 <= k1:
+                return k1, d1
+            if k2 - k1 == 1:
+                return k2, d2
+            mid = next_binsearch_value(k1, k2)
+            d = score(k1, mid, k2).avg_diameter
+            if (d1 - d) > (d - d2):
+                k2, d2 = mid, d
+            else:
+                k1, d1 = mid, d
 
 
 def linear_bic(scorer: Scorer, k1: int, k2: int) -> tuple[int, float]:
