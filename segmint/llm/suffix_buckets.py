@@ -42,7 +42,7 @@ class SuffixBuckets:
             ahead = np.zeros(n, dtype=np.uint64)
             ahead[: max(0, n - j)] = text[j:]
             grams = (grams << np.uint64(9)) | np.where(self.left >= j, ahead, np.uint64(0))
-        self.order = np.argsort(grams, kind="stable")
+        self.order = np.argsort(grams)
         self.pointer = np.empty(n, dtype=np.int64)
         self.known = np.full(n, q, dtype=np.int64)  # how many symbols the suffixes of a place's bucket share
         ordered = grams[self.order]
@@ -72,7 +72,7 @@ class SuffixBuckets:
                 return
             ahead = at + self.known[at]
             key, deeper = self.pointer[ahead], self.known[ahead]
-            by = np.lexsort((key, own))
+            by = np.argsort(own * np.int64(len(self.order)) + key)
             at, own, key, deeper = at[by], own[by], key[by], deeper[by]
             self.order[rows] = at
             last = np.append((own[1:] != own[:-1]) | (key[1:] != key[:-1]), True)
