@@ -87,3 +87,16 @@ def test_utf16_buckets_of_awkward_keys(spark):
         assert got == {k: None if k is None else plain_murmur(k) % slots for k in keys}
     with pytest.raises(ValueError):
         consistent_hash("x", 0, "utf16")
+
+
+def test_a_key_is_encoded_once_and_not_for_each_of_its_blocks(spark):
+    from pyspark.sql import functions as F
+
+    # the lambda of the blocks reads what is encoded outside it: once written, and outside all lambdas but its own
+    assert str(murmur3_utf16(F.upper("x"))).count("upper(") == 1
+    keys = ["Customer#000000001", "é" * 5, "a😀", "", None]
+    frame = spark.createDataFrame([(k,) for k in keys], "x string")
+    for seed in (0, 42):
+        got = {r.x: r.h for r in frame.select("x", murmur3_utf16("x", seed).alias("h")).collect()}
+        assert got[None] is None and len(set(got.values())) == 5
+        assert seed or all(got[k] == plain_murmur(k) for k in keys if k is not None)
