@@ -173,6 +173,12 @@ def release(*stored: DataFrame) -> None:
             df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Have the driver's JVM collect its heap: planning leaves much garbage, and the heap grows by it up to its
+    limit; Spark also drops broadcasts and shuffles of finished jobs only when their handles are collected."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def resized(docs: DataFrame, text_col: str, size_col: str) -> DataFrame:
     """``size_col``, if there, as the text's length in characters."""
     if size_col not in docs.columns:
@@ -186,7 +192,7 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
     ``component`` is the smallest node reachable. Alternating large-star and
     small-star rounds: every round is two aggregations and joins by node, partial
-    sums first, so a node with very many neighbours reaches its reducer as one row
+    minima first, so a node with very many neighbours reaches its reducer as one row
     per input partition. Edges and labels never leave Spark; the driver sees only
     one count and one checksum a round. An empty frame gives an empty result;
     self-loops, nulls and repeated edges are ignored.
@@ -196,12 +202,11 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v")).distinct())
     state = None
     for _ in range(max_rounds):
-        sym = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = sym.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        # a node's larger neighbours go to the smallest node of its neighbourhood, then the smaller ones to the smallest of them
+        low = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), "m")
+        large = e.join(low, "v", "left").select("u", F.coalesce("m", "v").alias("v"))
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            low2.select("u", F.col("m").alias("v"))).distinct()
+        small = large.join(low2, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
         e = store(small)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
@@ -209,5 +214,6 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         state = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    collect_garbage(spark)
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(nodes.select("component", "component").distinct())

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.common import U64, byte_slices, components, mix, prepare, release, store, tidy
+from segmint.llm.common import U64, byte_slices, collect_garbage, components, mix, prepare, release, store, tidy
 from segmint.llm.windows import powers, word_codes, word_lists
 
 NGRAM = 3
@@ -219,16 +219,18 @@ def rest_links(members: DataFrame, labels: DataFrame, groups: DataFrame, sets: D
 
     ``members``: key, k; ``labels``: k, component so far; ``groups``: k, group (what hangs
     together by shared fragments). The largest component of a group isn't compared with itself.
+    The open sets and their blocks are tables of their own: the driver's memory goes by the
+    size of a plan, and one plan of all would hold the join of members and labels a dozen times.
     """
     known = members.join(labels, "k", "left").withColumn("component", F.coalesce("component", "k"))
     mixed = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_ = known.join(mixed, "key", "left_semi").select("k", "component").distinct().join(groups, "k")
+    open_ = store(known.join(mixed, "key", "left_semi").select("k", "component").distinct().join(groups, "k"))
     sizes = open_.groupBy("group", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("group").agg(F.max(F.struct("c", "component")).alias("m"), F.sum("c").alias("all"))
     each = (open_.join(largest, "group").withColumn("big", F.col("component") == F.col("m.component"))
             .withColumn("others", F.ceil((F.col("all") - F.col("m.c")) / block).cast("int")).withColumn("bigs", F.ceil(F.col("m.c") / block).cast("int")))
     spread = F.pmod(F.xxhash64("k"), F.when(F.col("big"), F.col("bigs")).otherwise(F.col("others"))).cast("int").alias("own")
-    each = each.select("k", "component", "group", "big", "others", "bigs", spread)
+    each = store(each.select("k", "component", "group", "big", "others", "bigs", spread))
     # a block of others meets each block of others (from its own number on) and each block of the largest component
     to_others = each.where("not big").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select(
         "k", "component", "group", F.lit(False).alias("big"), F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
@@ -263,6 +265,7 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     often = store(each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"))
     met = store(each.join(often, "key").distinct())
     release(outline, often)
+    collect_garbage(docs.sparkSession)
     needs = full.select(F.col("k").alias("node"), "need").union(full.select(F.col("k") + 1, "need_below")).distinct()
     for _ in range(PRUNE):  # sets that share too few fragments with all others go, and with them what others share
         alone = met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
@@ -275,6 +278,7 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     buckets = met.groupBy("key").agg(F.count("*").alias("c"), F.min("k").alias("low")).where("c > 1")
     members = store(met.join(buckets, "key").select("key", "k", "c", "low"))
     release(less)
+    collect_garbage(docs.sparkSession)
 
     groups = store(components(members.select(F.col("k").alias("a"), F.col("low").alias("b")))).select(F.col("node").alias("k"), F.col("component").alias("group"))
     weight = members.groupBy("k").agg(F.sum("c").alias("w"))
@@ -284,9 +288,12 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     sets = store(plain.join(wanted, "doc").select("doc", "text", "k").mapInArrow(
         tidy(_sets(ngram)), "k long, n long, sizes array<int>, fragment int, grams array<long>").dropDuplicates(["k", "fragment"]))
     links = store(similar_pairs(pairs, sets, similar))
+    collect_garbage(docs.sparkSession)
     so_far = store(components(links)).select(F.col("node").alias("k"), "component")
     more = store(rest_links(members.select("key", "k"), so_far, groups, sets, similar))
-    final = components(links.union(more)) if not more.isEmpty() else so_far.withColumnRenamed("k", "node")
+    collect_garbage(docs.sparkSession)
+    # the components so far stand for the links that made them
+    final = components(so_far.toDF("a", "b").union(more)) if not more.isEmpty() else so_far.withColumnRenamed("k", "node")
     joined = final.select(F.col("node").alias("k"), "component").join(classes, "k")
     smallest = joined.groupBy("component").agg(F.min("doc").alias("component_id"))
     by_class = classes.join(joined.join(smallest, "component").select("k", "component_id"), "k", "left").select(

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.common import byte_slices, prepare, tidy
+from segmint.llm.common import byte_slices, give_back, prepare, tidy
 from segmint.llm.windows import word_lists
 
 WINDOW, STRIDE = 24, 12
@@ -244,16 +244,17 @@ def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
     calibrating documents: neither weights nor vocabulary nor the odds the vectors start from."""
     rng = np.random.default_rng(seed)
     docs = [d for d, of in zip(docs, calibrating(len(docs)), strict=True) if not of]
-    flat = [w for _, words in docs for w in words]
     counts: dict[str, int] = {}  # documents with the word
     for _, ws in docs:
         for w in {w.lower() for w in ws if w}:
             counts[w] = counts.get(w, 0) + 1
-    names, number = np.unique(np.array(flat or [""], dtype=object), return_inverse=True)
+    names = np.array(sorted({w for _, words in docs for w in words}) or [""], dtype=object)
+    code = {w: k for k, w in enumerate(names)}
+    number = np.fromiter((code[w] for _, words in docs for w in words), dtype=np.int32)  # the one array as long as the sample
     common = sorted((w for w, c in counts.items() if c >= LEAST), key=lambda w: (-counts[w], w))[:VOCABULARY]
     net = Network({w: k + 1 for k, w in enumerate(common)}, seed)
     seed_odds(net, docs, names.tolist())
-    if not flat or len({y for y, _ in docs}) < 2:
+    if not len(number) or len({y for y, _ in docs}) < 2:
         net.scale, net.shift = 0.0, -1.0 if not any(y for y, _ in docs) else 1.0
         return net
     at = number.reshape(-1, WINDOW)
@@ -265,8 +266,11 @@ def fit(docs: list[tuple[int, list[str]]], seed: int = SEED) -> Network:
 
     def all_logits(rows):
         gates = net.gates(net.inputs(words)[0])
-        padded = np.where(np.arange(WINDOW)[None, :] < size[rows][:, None], at[rows], len(words))
-        return np.concatenate([net.forward(gates, padded[lo : lo + CHUNK], size[rows][lo : lo + CHUNK]) for lo in range(0, len(rows), CHUNK)])
+        out = []
+        for lo in range(0, len(rows), CHUNK):
+            r = rows[lo : lo + CHUNK]
+            out.append(net.forward(gates, np.where(np.arange(WINDOW)[None, :] < size[r][:, None], at[r], len(words)), size[r]))
+        return np.concatenate(out)
 
     moments = {k: (np.zeros_like(x), np.zeros_like(x)) for k, x in net.p.items()}
     step = 0
@@ -343,7 +347,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     while rows:
         r = rows.pop()
         docs_.append((r.y, [same.setdefault(w, w) for w in r.words.split(" ")] if r.words is not None else []))
-    net = fit(docs_[::-1])
+    docs_.reverse()
+    net = fit(docs_)
+    del docs_, same
+    give_back()  # the driver, too, is there for later stages
     if not net.scale:
         return net
     mine = {i for i, of in zip(ids, calibrating(len(ids)), strict=True) if of}
