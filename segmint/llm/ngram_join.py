@@ -13,21 +13,25 @@ if the smaller of each pair of fragments lay in the larger, are left out before.
 How fine the cut is depends on the size of a set, in bands half as large again as the
 one before; a set near a band's lower end also takes part in the band below.
 
-Equal sets are one class from the start. In a group of sets that share fragments each
-member is first checked against the group's best connected set; groups fall into
-few components that way, and only sets of different components are compared further,
-in blocks of ``BLOCK`` sets with their counts in one matrix. No pair of a group is
-written unless it must be counted, and no link between different sets is lost.
+Equal sets are one class from the start. As partners share a known number of fragments, they
+share one of a set's rarest, all but that number less one, in one order for all: only these
+bring sets together. Each set that has such a fragment is first checked against the best
+connected of those that have it; then only sets of different components are compared: those
+that share a fragment with at most ``FEW`` sets pair by pair, if they share as many fragments as
+partners do, and those of more common fragments in blocks of ``BLOCK`` sets with their counts in
+one matrix. No pair of a common fragment is written unless it must be counted, and no link
+between different sets is lost. What is copied for blocks goes by the sets that hang together
+by common fragments, not by all that a chain of chance fragments joins.
 """
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmint.llm.common import U64, byte_slices, collect_garbage, components, mix, prepare, release, store, tidy
@@ -37,8 +41,10 @@ NGRAM = 3
 SIMILAR = (90, 100)
 FINER = 0.5  # fragments beyond the most that a partner can spoil, as a share of those
 PRUNE = 2
+SHARES = 2  # of all fragments, looked through one after another
 SLICES = 4  # fragments in which candidates are counted
 BLOCK = 512
+FEW = 32  # sets of a fragment that are compared pair by pair, not in blocks
 SLICE_BYTES = 2 << 20  # of texts taken at a time (a longer one alone)
 COLUMNS = 4096  # n-grams per fragment when a block is counted
 
@@ -156,6 +162,36 @@ def _sets(ngram):
     return run
 
 
+def rarest(met: DataFrame, needs: DataFrame) -> DataFrame:
+    """key, node, need: of each node's shared fragments the rarest, all but ``need`` - 1 of them.
+
+    ``met``: node, key; ``needs``: node, need. Two nodes with at least ``need`` fragments in common have the
+    rarest of those among these, as the order (how many nodes have it, then the key itself) is one for all.
+    """
+    counts = met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    ranked = met.join(counts, "key").select("key", "node", F.row_number().over(Window.partitionBy("node").orderBy("c", "key")).alias("at"),
+                                            F.count("*").over(Window.partitionBy("node")).alias("m"))
+    return ranked.join(needs, "node").where("at <= m - need + 1").select("key", "node", "need")
+
+
+def fragment_lists(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The fragments of the wanted nodes in the form of ``sets``: k (the node), fragment (a share of the keys), grams (those keys)."""
+    return met.join(nodes, "node", "left_semi").groupBy(
+        F.col("node").alias("k"), F.pmod("key", F.lit(SLICES)).cast("int").alias("fragment")).agg(F.collect_list("key").alias("grams"))
+
+
+def sharing_pairs(pairs: DataFrame, lists: DataFrame, needs: DataFrame) -> DataFrame:
+    """Pairs of sets, of those pairs (a, b) of nodes that share as many fragments as either needs."""
+    same = partial_overlaps(pairs, lists).groupBy("a", "b").agg(F.sum("partial").alias("same"))
+    enough = same.join(needs.toDF("a", "na"), "a").join(needs.toDF("b", "nb"), "b").where("same >= na and same >= nb")
+    return enough.select(set_of("a").alias("a"), set_of("b").alias("b")).where("a < b").distinct()
+
+
+def set_of(node: str) -> Column:
+    """The set of a node: a set in its own band is its (even) key, in the band below the odd number after it."""
+    return F.col(node) - F.pmod(F.col(node), F.lit(2))
+
+
 def partial_overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b, fragment and the common n-grams of the pair in that fragment, from the fragment's n-grams alone."""
     left = sets.select(F.col("k").alias("a"), "fragment", F.col("grams").alias("ga"))
@@ -214,6 +250,13 @@ def block_links(pdf: pd.DataFrame, similar=SIMILAR) -> list[tuple[int, int]]:
     return out
 
 
+def open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, node, k, component, c of the members (key, node, c) of fragments whose sets aren't all of one component so far."""
+    known = members.select("key", "node", "c", set_of("node").alias("k")).join(labels, "k", "left").withColumn("component", F.coalesce("component", "k"))
+    mixed = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    return known.join(mixed, "key").select("key", "node", "k", "component", "c")
+
+
 def rest_links(members: DataFrame, labels: DataFrame, groups: DataFrame, sets: DataFrame, similar=SIMILAR, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between sets that share a fragment but not yet a component, found block by block.
 
@@ -262,36 +305,52 @@ def jaccard_components(docs: DataFrame, similar=SIMILAR, ngram: int = NGRAM, id_
     # a set in its own band is its (even) key, in the band below the odd number after it
     own = outline.where("doc is not null and n > 0")
     each = own.select(F.col("k").alias("node"), F.explode("keys").alias("key")).union(own.select(F.col("k") + 1, F.explode("keys_below")))
-    often = store(each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"))
-    met = store(each.join(often, "key").distinct())
-    release(outline, often)
+    shares = []
+    for share in range(SHARES):  # the disk holds the shuffled fragments of one share at a time
+        part = each.where(F.pmod("key", F.lit(SHARES)) == share)
+        often = store(part.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"))
+        shares.append(store(part.join(often, "key").distinct()))
+        release(often)
+    release(outline)
     collect_garbage(docs.sparkSession)
+    met = reduce(DataFrame.union, shares).select("key", "node")
     needs = full.select(F.col("k").alias("node"), "need").union(full.select(F.col("k") + 1, "need_below")).distinct()
     for _ in range(PRUNE):  # sets that share too few fragments with all others go, and with them what others share
         alone = met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
         shared = met.join(alone, "key")
         enough = shared.groupBy("node").agg(F.count("*").alias("c")).join(needs, "node").where("c >= need").select("node")
         less = store(shared.join(enough, "node"))
-        release(met)
-        met = less
-    met = met.select("key", (F.col("node") - F.pmod(F.col("node"), F.lit(2))).alias("k"))
-    buckets = met.groupBy("key").agg(F.count("*").alias("c"), F.min("k").alias("low")).where("c > 1")
-    members = store(met.join(buckets, "key").select("key", "k", "c", "low"))
-    release(less)
+        release(*shares)
+        met, shares = less, [less]
+    near = store(rarest(met, needs))
+    members = store(near.join(near.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "key"))
+    needs = store(members.select("node", "need").distinct())
+    lists = store(fragment_lists(met, needs))
+    release(less, near)
     collect_garbage(docs.sparkSession)
 
-    groups = store(components(members.select(F.col("k").alias("a"), F.col("low").alias("b")))).select(F.col("node").alias("k"), F.col("component").alias("group"))
-    weight = members.groupBy("k").agg(F.sum("c").alias("w"))
-    middle = members.join(weight, "k").groupBy("key").agg(F.max(F.struct("w", "k")).alias("m")).select("key", F.col("m.k").alias("middle"))
-    pairs = members.join(middle, "key").where("k <> middle").select(F.least("k", "middle").alias("a"), F.greatest("k", "middle").alias("b")).distinct()
-    wanted = members.select("k").distinct().join(classes, "k")
+    weight = members.groupBy("node").agg(F.sum("c").alias("w"))
+    middle = members.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node")).alias("m")).select("key", F.col("m.node").alias("middle"))
+    to_middle = members.join(middle, "key").where("node <> middle").select(F.least("node", "middle").alias("a"), F.greatest("node", "middle").alias("b")).distinct()
+    wanted = needs.select(set_of("node").alias("k")).distinct().join(classes, "k")
     sets = store(plain.join(wanted, "doc").select("doc", "text", "k").mapInArrow(
         tidy(_sets(ngram)), "k long, n long, sizes array<int>, fragment int, grams array<long>").dropDuplicates(["k", "fragment"]))
-    links = store(similar_pairs(pairs, sets, similar))
+    links = store(similar_pairs(store(sharing_pairs(to_middle, lists, needs)), sets, similar))
     collect_garbage(docs.sparkSession)
     so_far = store(components(links)).select(F.col("node").alias("k"), "component")
-    more = store(rest_links(members.select("key", "k"), so_far, groups, sets, similar))
+    open_ = store(open_members(members, so_far))
+    few = open_.where(F.col("c") <= FEW)
+    apart = few.select("key", F.col("node").alias("a"), F.col("component").alias("ca")).join(
+        few.select("key", F.col("node").alias("b"), F.col("component").alias("cb")), "key").where("a < b and ca <> cb").select("a", "b").distinct()
+    more = store(similar_pairs(store(sharing_pairs(apart, lists, needs)), sets, similar))
     collect_garbage(docs.sparkSession)
+    many = open_.where(F.col("c") > FEW).select("key", "k")
+    if not many.isEmpty():
+        low = many.groupBy("key").agg(F.min("k").alias("low"))
+        groups = store(components(many.join(low, "key").select(F.col("k").alias("a"), F.col("low").alias("b")))).select(
+            F.col("node").alias("k"), F.col("component").alias("group"))
+        more = more.union(store(rest_links(many, so_far, groups, sets, similar)))
+        collect_garbage(docs.sparkSession)
     # the components so far stand for the links that made them
     final = components(so_far.toDF("a", "b").union(more)) if not more.isEmpty() else so_far.withColumnRenamed("k", "node")
     joined = final.select(F.col("node").alias("k"), "component").join(classes, "k")
